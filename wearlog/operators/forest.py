@@ -108,7 +108,7 @@ def search_forest(
         foldCol=FOLD,
         parallelism=parallelism,
     ).fit(vectors)
-    scores = list(zip(points, search.avgMetrics))
+    scores = [(point, float(error)) for point, error in zip(points, search.avgMetrics)]
     best = min(scores, key=lambda scored: scored[1])[0]
     return Search(PipelineModel([assembler, search.bestModel]), best, scores)
 

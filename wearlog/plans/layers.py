@@ -51,13 +51,12 @@ class BronzeStage:
 
     def _process_log(self, split: str) -> None:
         lines = read_lines(self.spark, self._landing(split, len(LOG_COLUMNS)), self.skip_header)
-        parsed = parse_lines(lines)
         # Bad lines are counted while the good ones are written; the text is read again for
         # them only if there are any.
-        seen = Observation()
-        bad = F.count_if(F.col("reject_reason").isNotNull()).alias("bad")
-        overwrite_table(good_rows(parsed.observe(seen, bad)), f"{self.bronze_path}/{split}")
-        rejects = rejected_lines(parsed if seen.get["bad"] else parsed.limit(0))
+        counts = Observation()
+        overwrite_table(good_rows(parse_lines(lines, counts)), f"{self.bronze_path}/{split}")
+        parsed = parse_lines(lines)
+        rejects = rejected_lines(parsed if counts.get["bad"] else parsed.limit(0))
         overwrite_table(rejects, f"{self.bronze_path}/rejects/{split}")
 
     def process_train(self) -> None:

@@ -7,10 +7,10 @@ truth file every engine takes its neighbour's value. Pass False for such files.
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearlog.functions.text import all_finite, bare, fields, to_number
+from wearlog.functions.text import all_finite, fields, to_int, to_numbers
 from wearlog.schema import LABEL, LOG_COLUMNS, LOG_TYPES
 from wearlog.session import shared_folder
 
@@ -34,30 +34,45 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Data
     )
 
 
-def parse_lines(lines: DataFrame) -> DataFrame:
+def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
     """Typed log columns, the raw ``line`` and ``reject_reason`` (NULL for a good line).
 
     A good line has exactly the expected fields, all of them finite numbers. Blank lines
-    are no records and vanish.
+    are no records and vanish. ``counts`` will hold the number of ``bad`` lines.
     """
-    split = lines.filter(bare(F.col("value")) != "").select(
-        F.col("value").alias("line"), fields(F.col("value")).alias("fields")
-    )
-    typed = split.select(
+    split = lines.select(F.col("value").alias("line"), fields(F.col("value")).alias("fields"))
+    numbers = split.select("line", "fields", to_numbers(F.col("fields")).alias("numbers"))
+    typed = numbers.select(
         *[
-            to_number(F.get("fields", F.lit(i)), LOG_TYPES[name]).alias(name)
-            for i, name in enumerate(LOG_COLUMNS)
+            (to_int(value) if LOG_TYPES[name] == "int" else value).alias(name)
+            for name, value in zip(LOG_COLUMNS, _elements("numbers", len(LOG_COLUMNS)))
         ],
         "line",
         F.size("fields").alias("n_fields"),
+        (F.get("fields", F.lit(0)) == "").alias("blank"),
     )
     finite = all_finite([F.col(name) for name in LOG_COLUMNS])
     reason = (
-        F.when(F.col("n_fields") != len(LOG_COLUMNS), "field_count")
+        F.when(F.col("blank"), "blank")
+        .when(F.col("n_fields") != len(LOG_COLUMNS), "field_count")
         .when(finite.isNull(), "not_a_number")
         .when(~finite, "not_finite")
     )
-    return typed.select(*LOG_COLUMNS, "line", reason.alias("reject_reason"))
+    parsed = typed.select(*LOG_COLUMNS, "line", reason.alias("reject_reason"))
+    # Observing also keeps filters on the result above it. Pushed down to the text, they would
+    # split and cast each line once per column they mention.
+    bad = F.count_if(_is_bad()).alias("bad")
+    return parsed.observe(counts or Observation(), bad).filter(
+        F.col("reject_reason").isNull() | _is_bad()
+    )
+
+
+def _elements(array: str, n: int) -> list[Column]:
+    return [F.get(array, F.lit(i)) for i in range(n)]
+
+
+def _is_bad() -> Column:
+    return F.col("reject_reason") != "blank"
 
 
 def good_rows(parsed: DataFrame) -> DataFrame:
@@ -112,11 +127,12 @@ def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Da
 def parse_truth(numbered: DataFrame) -> DataFrame:
     """``engine_id``, ``RUL`` from numbered truth lines: the line's number is the engine.
 
-    A line without a number keeps its place, with a NULL label.
+    A line that is not one number keeps its place, with a NULL label.
     """
-    return numbered.select(
-        F.col("line_no").cast("int").alias("engine_id"),
-        to_number(bare(F.col("value")), "int").alias(LABEL),
+    numbers = numbered.select("line_no", to_numbers(fields(F.col("value"))).alias("numbers"))
+    only = F.when(F.size("numbers") == 1, F.get("numbers", F.lit(0)))
+    return numbers.select(
+        F.col("line_no").cast("int").alias("engine_id"), to_int(only).alias(LABEL)
     )
 
 
@@ -125,8 +141,8 @@ def warn_if_data(spark: SparkSession, path: str, n_fields: int) -> bool:
     first = (
         spark.read.text(path)
         .limit(1)
-        .select(fields(F.col("value")).alias("f"))
-        .select((F.size("f") == n_fields) & F.forall("f", lambda x: x.try_cast("double").isNotNull()))
+        .select(to_numbers(fields(F.col("value"))).alias("f"))
+        .select((F.size("f") == n_fields) & F.forall("f", lambda x: x.isNotNull()))
         .first()
     )
     if first is None or not first[0]:
