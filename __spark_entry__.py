@@ -274,7 +274,7 @@ def forest_grid(spark, sf_dir):
     """Cross-validated error of each grid point."""
     folded = assign_folds(_model_train(spark, sf_dir), 3, ORDER)
     grid = {"n_estimators": [1], "max_depth": [0, 5]}
-    search = search_forest(folded, grid, bootstrap=False, parallelism=2)
+    search = search_forest(folded, 3, grid, bootstrap=False, parallelism=2)
     rows = [(point["max_depth"], round(error, 6)) for point, error in search.scores]
     return spark.createDataFrame(rows, "max_depth int, rmse double")
 

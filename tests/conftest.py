@@ -1,0 +1,54 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("wearlog-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture()
+def small_splits(spark):
+    """Files are read in splits of 1 KB, so small ones have many."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    for name in names:
+        spark.conf.set(name, "1024")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+def log_line(engine, cycle, first, step=1.0):
+    """A line whose sensor i reads ``first + (i - 1) * step``."""
+    return " ".join(
+        map(str, [engine, cycle, 0, 0, 0, *[float(first + i * step) for i in range(21)]])
+    )
+
+
+@pytest.fixture()
+def landing(tmp_path):
+    """Three lines of one engine in train and test, two lines of truth."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    lines = [log_line(1, cycle, cycle) for cycle in (1, 2, 3)]
+    for split in ("train", "test"):
+        (folder / f"{split}_FD001.txt").write_text("\n".join(lines) + "\n")
+    (folder / "RUL_FD001.txt").write_text("99\n88\n")
+    return folder

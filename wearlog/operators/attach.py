@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.session import shared_folder
+from wearlog.session import stored
 
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
@@ -36,8 +36,7 @@ def attach(
       rows are shuffled, so no task gets more of one key than that. There are at most
       ``total / hot_rows`` hot keys; the limit is raised until those fit the broadcast.
     """
-    shared_folder(rows.sparkSession)
-    side = per_key.withColumnRenamed(key, "_key").checkpoint()
+    side = stored(per_key.withColumnRenamed(key, "_key"), "per_key")
     n_keys, total = side.agg(F.count(F.lit(1)), F.sum(n_rows)).first()
     width = _row_bytes(side)
 

@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearlog.session import shared_folder
+from wearlog.session import stored
 
 FOLD = "fold"
 
@@ -52,18 +52,17 @@ def assign_folds(df: DataFrame, k: int, order: list[str], by_rows: bool = True)
     Rows that agree in all ``order`` columns share a fold. ``by_rows=False`` counts distinct
     order values instead of rows: with ``["engine_id"]`` folds hold whole engines.
     """
-    shared_folder(df.sparkSession)
     counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
     if not by_rows:
         counted = counted.withColumn("n", F.lit(1).cast("long"))
     # After a sort the ids grow with the order, and their upper bits tell the partition.
-    ranked = (
+    ranked = stored(
         counted.orderBy(*order)
         .withColumn("id", F.monotonically_increasing_id())
-        .withColumn("part", F.shiftright("id", 33))
-        .checkpoint()
+        .withColumn("part", F.shiftright("id", 33)),
+        "ranked",
     )
-    blocks = ranked.groupBy("part").agg(F.sum("n").alias("n")).checkpoint()
+    blocks = ranked.groupBy("part").agg(F.sum("n").alias("n"))
     starts = _starts(blocks.agg(F.sum("n")).first()[0] or 0, k)
     wanted = _locate(blocks, "part", starts).withColumnRenamed("part", "_part")
     # At most k-1 partitions of the sorted keys are looked into, each by one task.

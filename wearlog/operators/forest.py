@@ -81,12 +81,14 @@ def fit_forest(train: DataFrame, seed: int = 42, bootstrap: bool = True, **point
 
 def search_forest(
     folded: DataFrame,
+    folds: int,
     grid: dict[str, list] | None = None,
     seed: int = 42,
     bootstrap: bool = True,
     parallelism: int = 2,
 ) -> Search:
-    """Cross-validate every grid point over column ``fold``, refit the best one on all rows."""
+    """Cross-validate every grid point over column ``fold`` (0 to ``folds`` - 1), then fit the
+    best one on all rows."""
     shared_folder(folded.sparkSession)
     points = grid_points(DEFAULT_GRID if grid is None else grid)
     labelled = folded.filter(F.col(LABEL).isNotNull())
@@ -97,14 +99,13 @@ def search_forest(
         {estimator.getParam(_PARAMS[name]): value for name, value in point.items()}
         for point in points
     ]
-    n_folds = vectors.agg(F.max(FOLD)).first()[0] + 1
     search = CrossValidator(
         estimator=estimator,
         estimatorParamMaps=maps,
         evaluator=RegressionEvaluator(
             labelCol=LABEL, predictionCol=PREDICTION, metricName="rmse"
         ),
-        numFolds=n_folds,
+        numFolds=folds,
         foldCol=FOLD,
         parallelism=parallelism,
     ).fit(vectors)

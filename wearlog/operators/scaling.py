@@ -7,37 +7,35 @@ from pyspark.sql import functions as F
 
 from wearlog.schema import sensor_columns
 
-# Whole-stage code generation gives up above 100 fields, and a sensor's mean and deviation keep
-# five aggregation fields, so wide logs are aggregated in groups of sensors. Each group reads
-# only its own columns.
-SENSORS_PER_AGGREGATE = 16
+# Whole-stage code generation gives up on operators with more than 100 fields, which makes the
+# aggregation several times slower. Wide logs are therefore aggregated in groups of sensors; each
+# group reads only its own columns.
+MAX_FIELDS = 100
 
 
-def _aggregate(log: DataFrame, measures: dict) -> DataFrame:
+def _aggregate(log: DataFrame, measures: dict, fields: int) -> DataFrame:
+    """One row of ``measures`` of each sensor; they keep ``fields`` values while aggregating."""
     sensors = sensor_columns(log)
-    groups = [
-        sensors[i : i + SENSORS_PER_AGGREGATE] for i in range(0, len(sensors), SENSORS_PER_AGGREGATE)
-    ]
+    size = max(1, (MAX_FIELDS - 1) // fields)
     parts = [
         log.agg(*[f(s).alias(f"{name}_{s}") for s in group for name, f in measures.items()])
-        for group in groups
+        for group in (sensors[i : i + size] for i in range(0, len(sensors), size))
     ]
     if len(parts) == 1:
         return parts[0]
     # One row per group, each with NULL in the other groups' columns: max picks the value.
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    names = [f"{name}_{s}" for s in sensors for name in measures]
-    return rows.agg(*[F.max(name).alias(name) for name in names])
+    return rows.agg(*[F.max(c).alias(c) for part in parts for c in part.columns])
 
 
 def fit_stats(log: DataFrame) -> DataFrame:
     """One row: ``mean_<sensor>`` and sample deviation ``std_<sensor>`` of each sensor."""
-    return _aggregate(log, {"mean": F.mean, "std": F.stddev_samp})
+    return _aggregate(log, {"mean": F.mean, "std": F.stddev_samp}, fields=5)
 
 
 def range_profile(log: DataFrame) -> DataFrame:
     """One row: ``min_<sensor>`` and ``max_<sensor>`` of each sensor."""
-    return _aggregate(log, {"min": F.min, "max": F.max})
+    return _aggregate(log, {"min": F.min, "max": F.max}, fields=2)
 
 
 def apply_stats(df: DataFrame, stats: DataFrame) -> DataFrame:

@@ -56,7 +56,7 @@ class LifeTrainer:
         else:
             folded = read_with_folds(self.spark, self.train_path, cv)
         self.search = forest.search_forest(
-            folded, param_grid, self.random_state, parallelism=parallelism
+            folded, cv, param_grid, self.random_state, parallelism=parallelism
         )
         self.model = self.search.model
 

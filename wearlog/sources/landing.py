@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wearlog.functions.text import all_finite, fields, to_int, to_numbers
 from wearlog.schema import LABEL, LOG_COLUMNS, LOG_TYPES
-from wearlog.session import shared_folder
+from wearlog.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -88,18 +88,16 @@ def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Da
 
     No task ever sees more than one file split: a line's number is its place within its split
     plus the lines of all splits before it. The ids that give the place are only meaningful
-    for one particular cut of the files into splits, hence the checkpoint.
+    for one particular cut of the files into splits, hence the stored table.
     """
-    shared_folder(spark)
-    stamped = (
-        spark.read.text(path)
-        .select(
+    stamped = stored(
+        spark.read.text(path).select(
             "value",
             F.col("_metadata.file_path").alias("file"),
             F.col("_metadata.file_block_start").alias("block"),
             F.monotonically_increasing_id().alias("id"),
-        )
-        .checkpoint()
+        ),
+        "lines",
     )
     header = F.when(F.col("block") == 0, 1).otherwise(0) if skip_header else F.lit(0)
     # One row per split (some 100 MB of text), so the ordered window is over a short table.

@@ -45,7 +45,15 @@ def parse_events(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> Data
         .select("body", "data.*")
     )
     finite = F.coalesce(all_finite([F.col(name) for name in names]), F.lit(False))
-    return expanded.select("body", *names, (F.col(_CORRUPT).isNull() & finite).alias("complete"))
+    # The counts appear in the stream's progress. Observing also keeps filters on the result
+    # above it; pushed down they would parse the JSON a second time.
+    return expanded.select(
+        "body", *names, (F.col(_CORRUPT).isNull() & finite).alias("complete")
+    ).observe(
+        "events",
+        F.count(F.lit(1)).alias("parsed"),
+        F.count_if(~F.col("complete")).alias("rejected"),
+    )
 
 
 def sensor_rows(parsed: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from wearlog.streaming.events import (
 )
 
 INGEST_TRIGGER = "5 seconds"
+FILES_PER_BATCH = 10_000
 
 PREDICTION_SCHEMA = StructType(
     [
@@ -61,9 +62,11 @@ def append_stream(
     return writer.start(table)
 
 
-def stream_table(spark: SparkSession, path: str, schema: StructType, **options) -> DataFrame:
-    """The rows appended to a table, as a stream."""
-    return spark.readStream.schema(schema).options(**options).parquet(path)
+def stream_table(
+    spark: SparkSession, path: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
+) -> DataFrame:
+    """The rows appended to a table, as a stream. A backlog is worked off in bounded batches."""
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
 def ingest(
@@ -100,10 +103,11 @@ def score_stream(
     checkpoint: str,
     stats: DataFrame | None = None,
     name: str = "score",
+    files_per_batch: int = FILES_PER_BATCH,
     **trigger,
 ) -> StreamingQuery:
     """Score the sensor rows as they arrive."""
-    rows = stream_table(spark, rows_table, EVENT_SCHEMA)
+    rows = stream_table(spark, rows_table, EVENT_SCHEMA, files_per_batch)
     return append_stream(predictions(model, rows, stats), table, checkpoint, name, **trigger)
 
 
@@ -114,10 +118,11 @@ def alert_stream(
     checkpoint: str,
     threshold: float = ALERT_THRESHOLD,
     name: str = "alert",
+    files_per_batch: int = FILES_PER_BATCH,
     **trigger,
 ) -> StreamingQuery:
     """Predictions below the threshold into the alert table, as they arrive."""
-    rows = stream_table(spark, predictions_table, PREDICTION_SCHEMA)
+    rows = stream_table(spark, predictions_table, PREDICTION_SCHEMA, files_per_batch)
     return append_stream(low_life(rows, threshold), table, checkpoint, name, **trigger)
 
 
