@@ -320,9 +320,8 @@ def _event_files(spark: SparkSession, sf_dir: str) -> str:
     return _text(readings.union(rows.select("props")), "events")
 
 
-def _finished(start: Callable, *args, **options) -> str:
+def _finished(spark: SparkSession, start: Callable, *args, **options) -> str:
     """Run a streaming job over the data at hand; returns its table."""
-    spark = SparkSession.active()
     table, checkpoint = scratch_path(spark, "table"), scratch_path(spark, "offsets")
     start(*args, table, checkpoint, available_now=True, **options).awaitTermination()
     return table
@@ -330,20 +329,20 @@ def _finished(start: Callable, *args, **options) -> str:
 
 def stream_ingest(spark, sf_dir):
     stream = read_events(spark, _event_files(spark, sf_dir))
-    return read_table(spark, _finished(jobs.ingest, stream))
+    return read_table(spark, _finished(spark, jobs.ingest, stream))
 
 
 def stream_rejects(spark, sf_dir):
     stream = read_events(spark, _event_files(spark, sf_dir))
-    return read_table(spark, _finished(jobs.reject, stream))
+    return read_table(spark, _finished(spark, jobs.reject, stream))
 
 
 def stream_score(spark, sf_dir):
     """Raw sensor rows scaled by the training statistics and scored as they arrive."""
-    rows = _finished(jobs.ingest, read_events(spark, _event_files(spark, sf_dir)))
+    rows = _finished(spark, jobs.ingest, read_events(spark, _event_files(spark, sf_dir)))
     stats = _stats(spark, sf_dir)
     table = _finished(
-        jobs.score_stream, spark, _type_model(spark, sf_dir), rows, stats=stats
+        spark, jobs.score_stream, spark, _type_model(spark, sf_dir), rows, stats=stats
     )
     scored = read_table(spark, table).select("sensor_2", "sensor_3", PREDICTION)
     return _rounded(scored, [PREDICTION])
@@ -362,7 +361,7 @@ def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_alerts(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     overwrite_table(_predictions(spark, sf_dir), path)
-    return read_table(spark, _finished(jobs.alert_stream, spark, path)).select(
+    return read_table(spark, _finished(spark, jobs.alert_stream, spark, path)).select(
         *SENSORS, PREDICTION
     )
 

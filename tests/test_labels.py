@@ -10,7 +10,7 @@ from wearlog.operators.attach import attach
 from wearlog.operators.labels import engine_spans, label_from_truth, label_run_to_failure
 
 # Broadcast everything; broadcast nothing; shuffle, with engines above 40 rows split off.
-LIMITS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 200, "hot_rows": 40}]
+LIMITS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 400, "hot_rows": 40}]
 
 
 @pytest.fixture(scope="module")
@@ -76,7 +76,7 @@ def test_large_tables_are_not_broadcast(spark, log):
 def test_only_hot_keys_are_broadcast(spark, log):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        df = label_run_to_failure(log[0], broadcast_bytes=200, hot_rows=40)
+        df = label_run_to_failure(log[0], broadcast_bytes=400, hot_rows=40)
         text = plan(df)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -95,3 +95,22 @@ def test_attach_keeps_rows_without_a_match(spark):
     assert [tuple(r) for r in got.collect()] == [(1, "a", 10.0), (2, "b", None)]
     empty = attach(rows, side.filter(F.lit(False)), "k").orderBy("k")
     assert [tuple(r) for r in empty.collect()] == [(1, "a", None), (2, "b", None)]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_attach_on_two_keys_of_which_one_is_text(spark, limits):
+    rows = [(k % 7 or None, f"t{k % 3}", k) for k in range(200)] + [(1, "hot", k) for k in range(300)]
+    df = spark.createDataFrame(rows, "k int, t string, v int")
+    side = df.groupBy("k", "t").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("n_rows"))
+    top = {}
+    for k, t, v in rows:
+        top[k, t] = max(v, top.get((k, t), v))
+    got = Counter(tuple(r) for r in attach(df, side, "k", "t", **limits).collect())
+    assert got == Counter((k, t, v, top[k, t]) for k, t, v in rows)
+
+
+def test_attach_refuses_tables_of_unknown_size(spark):
+    rows = spark.createDataFrame([(1,)], "k int")
+    side = spark.createDataFrame([(1, [1], 1)], "k int, x array<int>, n_rows long")
+    with pytest.raises(ValueError, match="no size known"):
+        attach(rows, side, "k")

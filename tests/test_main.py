@@ -1,0 +1,29 @@
+"""The command line, one command after the other."""
+
+import json
+
+from wearlog import __main__ as cli
+from wearlog.operators import forest
+from wearlog.schema import SENSORS
+
+
+def test_commands(spark, landing, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr(forest, "DEFAULT_GRID", {"n_estimators": [2], "max_depth": [2]})
+    at = str(tmp_path)
+    cli.main(["batch", str(landing), f"{at}/out", "--no-header", "--keep-keys"])
+    assert "gold/test" in capsys.readouterr().out
+    cli.main(["train", f"{at}/out/gold", f"{at}/model", "--folds", "2"])
+    assert "RMSE train" in capsys.readouterr().out
+
+    (tmp_path / "in").mkdir()
+    event = {s: float(i) for i, s in enumerate(SENSORS, 1)}
+    (tmp_path / "in" / "a.json").write_text(json.dumps(event) + "\nbad\n")
+    cli.main(["ingest", f"{at}/in", f"{at}/rows", f"{at}/c1", "--once", "--option", "maxFilesPerTrigger=1"])
+    cli.main(["reject", f"{at}/in", f"{at}/bad", f"{at}/c2", "--once"])
+    cli.main(
+        ["score", f"{at}/rows", f"{at}/pred", f"{at}/c3", "--once", "--model", f"{at}/model",
+         "--stats", f"{at}/out/silver/stats"]
+    )
+    cli.main(["alert", f"{at}/pred", f"{at}/alerts", f"{at}/c4", "--once", "--threshold", "1000"])
+    assert [r.body for r in spark.read.parquet(f"{at}/bad").collect()] == ["bad"]
+    assert spark.read.parquet(f"{at}/alerts").count() == 1

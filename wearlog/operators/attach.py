@@ -1,6 +1,9 @@
 """Join of rows with a one-row-per-key table that holds up when a few keys own most rows."""
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import add, and_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.session import stored
@@ -8,25 +11,32 @@ from wearlog.session import stored
 BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 2_000_000
 
-# Bytes a hash table entry takes beside the row's values, roughly and on the safe side.
-_ENTRY_OVERHEAD = 48
+# Bytes of an entry of the broadcast hash table, on the safe side: per entry, per column, and the
+# text itself.
+_ENTRY_BYTES = 48
+_VALUE_BYTES = 8
+_FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date"}
 
 
-def _row_bytes(df: DataFrame) -> int:
-    """Upper bound of a row's size; the per-key tables hold fixed-width columns only."""
-    sizes = {"tinyint": 8, "smallint": 8, "int": 8, "bigint": 8, "float": 8, "double": 8, "boolean": 8, "date": 8}
-    return _ENTRY_OVERHEAD + sum(sizes.get(kind, 64) for _, kind in df.dtypes)
+def _row_bytes(df: DataFrame) -> Column:
+    """A row's size in a broadcast."""
+    texts = [name for name, kind in df.dtypes if kind == "string"]
+    unknown = {kind for _, kind in df.dtypes} - _FIXED_WIDTH - {"string"}
+    if unknown:
+        raise ValueError(f"no size known for columns of type {sorted(unknown)}")
+    fixed = F.lit(_ENTRY_BYTES + _VALUE_BYTES * len(df.columns)).cast("long")
+    return reduce(add, [F.coalesce(F.octet_length(t), F.lit(0)) for t in texts], fixed)
 
 
 def attach(
     rows: DataFrame,
     per_key: DataFrame,
-    key: str,
+    *keys: str,
     n_rows: str = "n_rows",
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """``rows`` left-joined with ``per_key`` on ``key`` (NULL matches NULL).
+    """``rows`` left-joined with ``per_key`` on ``keys`` (NULL matches NULL).
 
     ``per_key`` has one row per key and says in column ``n_rows`` how many rows the key owns;
     that column is not part of the result. Its size is measured:
@@ -36,24 +46,25 @@ def attach(
       rows are shuffled, so no task gets more of one key than that. There are at most
       ``total / hot_rows`` hot keys; the limit is raised until those fit the broadcast.
     """
-    side = stored(per_key.withColumnRenamed(key, "_key"), "per_key")
-    n_keys, total = side.agg(F.count(F.lit(1)), F.sum(n_rows)).first()
-    width = _row_bytes(side)
+    names = {key: f"_key_{key}" for key in keys}
+    side = stored(per_key.withColumnsRenamed(names), "per_key")
+    size = _row_bytes(side)
+    bytes_, widest, total = side.agg(F.sum(size), F.max(size), F.sum(n_rows)).first()
 
     def joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        return left.join(right, F.col(key).eqNullSafe(F.col("_key")), how)
+        same = [F.col(key).eqNullSafe(F.col(name)) for key, name in names.items()]
+        return left.join(right, reduce(and_, same), how)
 
     def done(df: DataFrame) -> DataFrame:
-        return df.drop("_key", n_rows)
+        return df.drop(*names.values(), n_rows)
 
-    if n_keys * width <= broadcast_bytes:
+    if bytes_ is None or bytes_ <= broadcast_bytes:
         return done(joined(rows, F.broadcast(side), "left"))
 
-    most_keys = max(1, broadcast_bytes // width)
-    limit = max(hot_rows, -(-total // most_keys))
+    limit = max(hot_rows, -(-total // max(1, broadcast_bytes // widest)))
     hot = side.filter(F.col(n_rows) > limit)
     if hot.isEmpty():
         return done(joined(rows, side, "left"))
-    cold_rows = joined(rows, F.broadcast(hot.select("_key")), "left_anti")
+    cold_rows = joined(rows, F.broadcast(hot.select(*names.values())), "left_anti")
     cold = done(joined(cold_rows, side.filter(F.col(n_rows) <= limit), "left"))
     return done(joined(rows, F.broadcast(hot), "inner")).unionByName(cold)

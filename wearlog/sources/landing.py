@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearlog.functions.text import all_finite, fields, to_int, to_numbers
+from wearlog.operators.attach import attach
 from wearlog.schema import LABEL, LOG_COLUMNS, LOG_TYPES
 from wearlog.session import stored
 
@@ -104,21 +105,17 @@ def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Da
     earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     splits = (
         stamped.groupBy("file", "block")
-        .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+        .agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n_rows"))
         .withColumn("header", header)
-        .select(
-            "file",
-            "block",
-            (F.col("first_id") + F.col("header")).alias("first_id"),
-            F.coalesce(F.sum(F.col("n") - F.col("header")).over(earlier), F.lit(0)).alias("before"),
-        )
+        .withColumn("before", F.sum(F.col("n_rows") - F.col("header")).over(earlier))
+        .withColumn("first_id", F.col("first_id") + F.col("header"))
+        .drop("header")
     )
-    # Spark broadcasts the splits if it measures them as small; else it shuffles on a key that
-    # holds one split's lines at most.
+    place = F.coalesce("before", F.lit(0)) + F.col("id") - F.col("first_id") + 1
     return (
-        stamped.join(splits, ["file", "block"])
+        attach(stamped, splits, "file", "block")
         .filter(F.col("id") >= F.col("first_id"))
-        .select((F.col("before") + F.col("id") - F.col("first_id") + 1).alias("line_no"), "value")
+        .select(place.alias("line_no"), "value")
     )
 
 
