@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wearlog.functions.metrics import rmse
 from wearlog.operators.attach import attach
@@ -42,7 +43,7 @@ from wearlog.sources.landing import (
 )
 from wearlog.sources.tables import append_table, overwrite_table, preview, read_table
 from wearlog.streaming import jobs
-from wearlog.streaming.events import low_life, parse_events, read_events
+from wearlog.streaming.events import alert_messages, low_life, parse_events, read_events
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
@@ -303,9 +304,9 @@ def forest_life(spark, sf_dir):
 
 
 def json_parse(spark, sf_dir):
-    rows = events(spark, sf_dir).select("event_id", F.col("props").alias("body"))
-    schema = F.schema_of_json(F.lit('{"k": 1.5}'))
-    return rows.select("event_id", F.from_json("body", schema)["k"].alias("k"))
+    bodies = events(spark, sf_dir).select(F.col("props").cast("binary").alias("body"))
+    parsed = parse_events(bodies, StructType([StructField("k", DoubleType())]))
+    return parsed.filter("complete").select("body", "k")
 
 
 def low_value_alerts(spark, sf_dir):
@@ -366,6 +367,14 @@ def stream_alerts(spark, sf_dir):
     )
 
 
+def alert_payloads(spark, sf_dir):
+    """Alerts as JSON messages, read back."""
+    messages = alert_messages(low_life(_predictions(spark, sf_dir)))
+    schema = f"sensor_2 double, {PREDICTION} double, processed_utc string"
+    read = F.from_json("value", schema)
+    return messages.select(read.alias("m")).select("m.sensor_2", f"m.{PREDICTION}")
+
+
 def prediction_merge(spark, sf_dir):
     """Two appends, the second with one more column."""
     path = scratch_path(spark, "merged")
@@ -408,6 +417,7 @@ QUERIES = [
     stream_rejects,
     stream_score,
     stream_alerts,
+    alert_payloads,
     prediction_merge,
 ]
 
@@ -551,7 +561,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT round(sqrt(avg((RUL - life) * (RUL - life))), 6) AS rmse
             FROM train_labelled JOIN {by_type} USING (event_type)""",
         "json_parse": """
-            SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events""",
+            SELECT props AS body, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events""",
         "low_value_alerts": "SELECT event_id, value AS predicted_rul FROM events WHERE value < 20",
         "stream_ingest": f"{tables} SELECT {sensors} FROM log",
         "stream_rejects": "SELECT props AS body FROM events",
@@ -560,6 +570,8 @@ def oracle_sql() -> dict[str, str]:
             FROM log JOIN {by_type} USING (event_type)""",
         "stream_alerts": f"""{tables}
             SELECT {sensors}, sensor_2 AS predicted_rul FROM log WHERE sensor_2 < 20""",
+        "alert_payloads": """
+            SELECT value AS sensor_2, value AS predicted_rul FROM events WHERE value < 20""",
         "prediction_merge": f"""{tables}
             SELECT sensor_2, sensor_3, sensor_2 AS predicted_rul, CAST(NULL AS VARCHAR) AS model
             FROM log

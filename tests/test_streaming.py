@@ -12,7 +12,7 @@ from wearlog.operators.forest import PREDICTION, fit_forest
 from wearlog.operators.scaling import fit_stats
 from wearlog.schema import LABEL, SENSORS
 from wearlog.streaming import jobs
-from wearlog.streaming.events import low_life, parse_events, read_events
+from wearlog.streaming.events import alert_messages, low_life, parse_events, read_events
 
 NOW = {"available_now": True}
 
@@ -145,6 +145,25 @@ def test_threshold_is_strict(spark):
     assert low_life(df, 30.0).count() == 2
 
 
+def test_alert_messages(spark):
+    df = spark.sql(f"SELECT 1.5D sensor_1, 3.0D {PREDICTION}, timestamp'2024-01-31 23:59:59' processed_utc")
+    (row,) = alert_messages(df).collect()
+    assert json.loads(row.value) == {
+        "sensor_1": 1.5,
+        PREDICTION: 3.0,
+        "processed_utc": "2024-01-31T23:59:59Z",
+    }
+
+
+def test_progress_counts_rejects(spark, folder):
+    drop(folder, "a", [event(), *BAD])
+    query = run(
+        jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c", **NOW)
+    )
+    counts = query.recentProgress[0].observedMetrics["events"]
+    assert (counts["parsed"], counts["rejected"]) == (1 + len(BAD), len(BAD))
+
+
 def test_only_named_jobs_are_stopped(spark, folder):
     drop(folder, "a", [event()])
     events = read_events(spark, f"{folder}/in")

@@ -47,13 +47,18 @@ def grid_points(grid: dict[str, list]) -> list[dict]:
     return [dict(zip(grid, values)) for values in product(*grid.values())]
 
 
-def forest(seed: int = 42, bootstrap: bool = True, **point) -> RandomForestRegressor:
+def forest(
+    seed: int = 42, bootstrap: bool = True, settings: dict | None = None, **point
+) -> RandomForestRegressor:
     """A regressor that tries all features at every split, as is usual for regression.
 
+    ``settings`` are Spark ML's own, e.g. ``maxBins`` or ``maxMemoryInMB`` (how many nodes are
+    split in one pass over the data; raise it for deep trees).
+
     Node ids are cached between levels: without that, each level of a deep tree ships all
     trees grown so far to every task.
     """
-    params = {_PARAMS[name]: value for name, value in point.items()}
+    params = {_PARAMS[name]: value for name, value in point.items()} | (settings or {})
     return RandomForestRegressor(
         featuresCol=FEATURES,
         labelCol=LABEL,
@@ -72,10 +77,16 @@ def _assembler(sensors: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=sensors, outputCol=FEATURES)
 
 
-def fit_forest(train: DataFrame, seed: int = 42, bootstrap: bool = True, **point) -> PipelineModel:
+def fit_forest(
+    train: DataFrame,
+    seed: int = 42,
+    bootstrap: bool = True,
+    settings: dict | None = None,
+    **point,
+) -> PipelineModel:
     """Train one forest on the labelled rows."""
     shared_folder(train.sparkSession)
-    stages = [_assembler(sensor_columns(train)), forest(seed, bootstrap, **point)]
+    stages = [_assembler(sensor_columns(train)), forest(seed, bootstrap, settings, **point)]
     return Pipeline(stages=stages).fit(train.filter(F.col(LABEL).isNotNull()))
 
 
@@ -86,6 +97,7 @@ def search_forest(
     seed: int = 42,
     bootstrap: bool = True,
     parallelism: int = 2,
+    settings: dict | None = None,
 ) -> Search:
     """Cross-validate every grid point over column ``fold`` (0 to ``folds`` - 1), then fit the
     best one on all rows."""
@@ -94,7 +106,7 @@ def search_forest(
     labelled = folded.filter(F.col(LABEL).isNotNull())
     assembler = _assembler(sensor_columns(folded))
     vectors = assembler.transform(labelled).select(FEATURES, LABEL, FOLD)
-    estimator = forest(seed, bootstrap)
+    estimator = forest(seed, bootstrap, settings)
     maps = [
         {estimator.getParam(_PARAMS[name]): value for name, value in point.items()}
         for point in points

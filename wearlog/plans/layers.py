@@ -6,6 +6,10 @@
     gold     train, test   model inputs and label
 """
 
+from collections.abc import Callable
+from multiprocessing.pool import ThreadPool
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +29,12 @@ from wearlog.sources.landing import (
 from wearlog.sources.tables import overwrite_table, preview, read_table
 
 
+def _together(spark: SparkSession, *tasks: Callable[[], None]) -> None:
+    """Run independent writes at the same time, so one's last tasks leave no cores idle."""
+    with ThreadPool(len(tasks)) as pool:
+        pool.map(inheritable_thread_target(spark)(lambda task: task()), tasks)
+
+
 class BronzeStage:
     """Landing files ``train_<dataset>.txt``, ``test_<dataset>.txt``, ``RUL_<dataset>.txt`` as
     typed tables. Each may also be a directory of files."""
@@ -76,9 +86,7 @@ class BronzeStage:
         overwrite_table(unread.select("line_no", "value"), f"{self.bronze_path}/rejects/truth")
 
     def run_all(self) -> None:
-        self.process_train()
-        self.process_test()
-        self.process_rul()
+        _together(self.spark, self.process_train, self.process_test, self.process_rul)
 
 
 class SilverStage:
@@ -95,11 +103,14 @@ class SilverStage:
         truth = read_table(self.spark, f"{self.bronze_path}/truth")
         overwrite_table(fit_stats(train), f"{self.silver_path}/stats")
         stats = read_table(self.spark, f"{self.silver_path}/stats")
-        overwrite_table(
-            apply_stats(label_run_to_failure(train), stats), f"{self.silver_path}/train"
-        )
-        overwrite_table(
-            apply_stats(label_from_truth(test, truth), stats), f"{self.silver_path}/test"
+
+        def write(split: str, label: Callable[[], DataFrame]) -> None:
+            overwrite_table(apply_stats(label(), stats), f"{self.silver_path}/{split}")
+
+        _together(
+            self.spark,
+            lambda: write("train", lambda: label_run_to_failure(train)),
+            lambda: write("test", lambda: label_from_truth(test, truth)),
         )
 
 
@@ -114,10 +125,12 @@ class GoldStage:
         self.gold_path = gold_path
         self.keep_keys = keep_keys
 
+    def _project(self, split: str) -> None:
+        silver = read_table(self.spark, f"{self.silver_path}/{split}")
+        overwrite_table(gold_projection(silver, self.keep_keys), f"{self.gold_path}/{split}")
+
     def run_all(self) -> None:
-        for split in ("train", "test"):
-            silver = read_table(self.spark, f"{self.silver_path}/{split}")
-            overwrite_table(gold_projection(silver, self.keep_keys), f"{self.gold_path}/{split}")
+        _together(self.spark, lambda: self._project("train"), lambda: self._project("test"))
 
 
 def run_batch(

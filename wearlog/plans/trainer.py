@@ -41,6 +41,7 @@ class LifeTrainer:
         cv: int = 3,
         by_engine: bool = False,
         parallelism: int = 2,
+        settings: dict | None = None,
     ) -> None:
         """Grid search over ``cv`` contiguous folds, then a fit on all rows with the best point.
 
@@ -56,7 +57,12 @@ class LifeTrainer:
         else:
             folded = read_with_folds(self.spark, self.train_path, cv)
         self.search = forest.search_forest(
-            folded, cv, param_grid, self.random_state, parallelism=parallelism
+            folded,
+            cv,
+            param_grid,
+            self.random_state,
+            parallelism=parallelism,
+            settings=settings,
         )
         self.model = self.search.model
 

@@ -4,11 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wearlog.functions.text import all_finite
+from wearlog.functions.text import all_finite, utc_text
 from wearlog.operators.forest import PREDICTION
 from wearlog.schema import EVENT_SCHEMA, SENSORS
 
 ALERT_THRESHOLD = 20.0
+FILES_PER_BATCH = 10_000
 
 _CORRUPT = "_corrupt"
 
@@ -22,10 +23,12 @@ def read_events(
 ) -> DataFrame:
     """A stream with one column ``body``.
 
-    By default the source is a folder of text files with one event per line; any streaming
-    source works, e.g. ``source="kafka"`` with its options, or an event hub with
-    ``body="body"``.
+    By default the source is a folder of text files with one event per line, a backlog of which
+    is worked off in bounded batches. Any streaming source works, e.g. ``source="kafka"`` with
+    its options, or an event hub with ``body="body"``.
     """
+    if path:
+        options = {"maxFilesPerTrigger": FILES_PER_BATCH} | options
     stream = spark.readStream.format(source).options(**options)
     return (stream.load(path) if path else stream.load()).select(F.col(body).alias("body"))
 
@@ -69,6 +72,12 @@ def low_life(predictions: DataFrame, threshold: float = ALERT_THRESHOLD) -> Data
     return predictions.filter(F.col(PREDICTION) < threshold)
 
 
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Alerts as one column ``value`` of JSON, ready for a message sink; times as UTC text."""
+    sent = alerts.withColumn("processed_utc", utc_text(F.col("processed_utc")))
+    return sent.select(F.to_json(F.struct(*sent.columns)).alias("value"))
+
+
 def features(rows: DataFrame, sensors: list[str] = SENSORS) -> DataFrame:
     """The model's inputs as doubles."""
     return rows.select(*[F.col(name).cast("double").alias(name) for name in sensors])

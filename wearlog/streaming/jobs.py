@@ -16,6 +16,7 @@ from wearlog.operators.scaling import apply_stats
 from wearlog.schema import EVENT_SCHEMA
 from wearlog.streaming.events import (
     ALERT_THRESHOLD,
+    FILES_PER_BATCH,
     features,
     low_life,
     parse_events,
@@ -24,7 +25,6 @@ from wearlog.streaming.events import (
 )
 
 INGEST_TRIGGER = "5 seconds"
-FILES_PER_BATCH = 10_000
 
 PREDICTION_SCHEMA = StructType(
     [
