@@ -286,6 +286,11 @@ def forest_score(spark, sf_dir):
     return _rounded(scored.select(*ORDER, PREDICTION), [PREDICTION])
 
 
+def first_predictions(spark, sf_dir):
+    """The first hundred predictions in order."""
+    return preview(forest_score(spark, sf_dir), 100, ORDER)
+
+
 def forest_rmse(spark, sf_dir):
     error = model_rmse(_type_model(spark, sf_dir), _model_train(spark, sf_dir))
     return _rounded(error, ["rmse"])
@@ -409,6 +414,7 @@ QUERIES = [
     rmse_group_mean,
     forest_grid,
     forest_score,
+    first_predictions,
     forest_rmse,
     forest_life,
     json_parse,
@@ -557,6 +563,10 @@ def oracle_sql() -> dict[str, str]:
         "forest_score": f"""{tables}
             SELECT engine_id, cycle, event_id, round(life, 6) AS predicted_rul
             FROM test JOIN {by_type} USING (event_type)""",
+        "first_predictions": f"""{tables}
+            SELECT engine_id, cycle, event_id, round(life, 6) AS predicted_rul
+            FROM test JOIN {by_type} USING (event_type)
+            ORDER BY engine_id, cycle, event_id LIMIT 100""",
         "forest_rmse": f"""{tables}
             SELECT round(sqrt(avg((RUL - life) * (RUL - life))), 6) AS rmse
             FROM train_labelled JOIN {by_type} USING (event_type)""",

@@ -43,6 +43,18 @@ def test_constant_sensors_stay_raw_and_others_are_scaled(spark, log):
     assert got[1] == (2, None, 400.0, 0.0)
 
 
+def test_constant_sensors_stay_constant_over_many_partitions(spark):
+    """Merging the partitions' deviations alone gives some of these a deviation of 1e-14."""
+    constants = [518.67, 14.62, 1.3, 0.03, 2388.0, 100.0, 1.0]
+    columns = [f"CAST({value} AS DOUBLE) AS sensor_{i}" for i, value in enumerate(constants)]
+    df = spark.range(0, 8 * 49, 1, 8).selectExpr(*columns)
+    merged = df.selectExpr(*[f"stddev_samp({c}) AS {c}" for c in df.columns]).first()
+    assert any(merged), "the case this test is about no longer occurs"
+    stats = fit_stats(df)
+    assert all(stats.first()[f"std_{c}"] == 0.0 for c in df.columns)
+    assert apply_stats(df, stats).distinct().collect() == [tuple(constants)]
+
+
 def test_one_row_has_no_deviation_and_stays_raw(log):
     one = log.filter("engine_id = 2")
     assert fit_stats(one).first()["std_sensor_1"] is None

@@ -49,8 +49,10 @@ def _fold(order: list[str], types: dict[str, str], cuts: list[Row]) -> Column:
 def assign_folds(df: DataFrame, k: int, order: list[str], by_rows: bool = True) -> DataFrame:
     """Add ``fold`` 0..k-1: contiguous, equally large parts of the table sorted by ``order``.
 
-    Rows that agree in all ``order`` columns share a fold. ``by_rows=False`` counts distinct
-    order values instead of rows: with ``["engine_id"]`` folds hold whole engines.
+    Rows that agree in all ``order`` columns share a fold, the last one that begins among them. If
+    they outnumber a fold, an earlier one stays empty.
+    ``by_rows=False`` counts distinct order values instead of rows: with ``["engine_id"]`` folds
+    hold whole engines.
     """
     counted = df.groupBy(*order).agg(F.count(F.lit(1)).alias("n"))
     if not by_rows:
@@ -72,14 +74,10 @@ def assign_folds(df: DataFrame, k: int, order: list[str], by_rows: bool = True)
     cuts = (
         ranked.join(F.broadcast(wanted), F.col("part") == F.col("_part"))
         .withColumn("upto", F.col("before") + so_far)
-        .withColumn("first", F.col("upto") - F.col("n"))
-        .filter((F.col("first") <= F.col("start")) & (F.col("start") < F.col("upto")))
-        .select("first", *[F.col(c).cast("string").alias(c) for c in order])
-        .distinct()
+        .filter((F.col("upto") - F.col("n") <= F.col("start")) & (F.col("start") < F.col("upto")))
+        .select(*[F.col(c).cast("string").alias(c) for c in order])
         .collect()
     )
-    if len(cuts) < k - 1 or any(cut["first"] == 0 for cut in cuts):
-        raise ValueError(f"rows that share one value of {order} fill more than a fold")
     return df.withColumn(FOLD, _fold(order, dict(df.dtypes), cuts))
 
 

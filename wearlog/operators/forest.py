@@ -58,18 +58,18 @@ def forest(
     Node ids are cached between levels: without that, each level of a deep tree ships all
     trees grown so far to every task.
     """
-    params = {_PARAMS[name]: value for name, value in point.items()} | (settings or {})
-    return RandomForestRegressor(
-        featuresCol=FEATURES,
-        labelCol=LABEL,
-        predictionCol=PREDICTION,
-        featureSubsetStrategy="all",
-        seed=seed,
-        bootstrap=bootstrap,
-        cacheNodeIds=True,
-        checkpointInterval=10,
-        **params,
-    )
+    params = {
+        "featuresCol": FEATURES,
+        "labelCol": LABEL,
+        "predictionCol": PREDICTION,
+        "featureSubsetStrategy": "all",
+        "cacheNodeIds": True,
+        "checkpointInterval": 10,
+        "seed": seed,
+        "bootstrap": bootstrap,
+    }
+    params |= {_PARAMS[name]: value for name, value in point.items()}
+    return RandomForestRegressor(**params | (settings or {}))
 
 
 def _assembler(sensors: list[str]) -> VectorAssembler:

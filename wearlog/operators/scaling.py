@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.schema import sensor_columns
@@ -28,9 +28,20 @@ def _aggregate(log: DataFrame, measures: dict, fields: int) -> DataFrame:
     return rows.agg(*[F.max(c).alias(c) for part in parts for c in part.columns])
 
 
+def _deviation(name: str) -> Column:
+    """Sample deviation, exactly 0 for a constant sensor.
+
+    Combining the deviations of many partitions can leave a rounding error instead of 0, and a
+    constant sensor would be divided by it.
+    """
+    std = F.stddev_samp(name)
+    constant = (F.min(name) == F.max(name)) & std.isNotNull()
+    return F.when(constant, 0.0).otherwise(std)
+
+
 def fit_stats(log: DataFrame) -> DataFrame:
     """One row: ``mean_<sensor>`` and sample deviation ``std_<sensor>`` of each sensor."""
-    return _aggregate(log, {"mean": F.mean, "std": F.stddev_samp}, fields=5)
+    return _aggregate(log, {"mean": F.mean, "std": _deviation}, fields=7)
 
 
 def range_profile(log: DataFrame) -> DataFrame:
