@@ -1,6 +1,7 @@
 """Landing text: fields, numbers, rejects, headers, line numbers."""
 
 import random
+import re
 
 import pytest
 from conftest import log_line
@@ -33,6 +34,15 @@ def test_white_space_and_quotes_never_shift_fields(spark, line):
     assert df.first()["f"] == ["1", "2", "3"]
 
 
+def test_fields_of_random_lines(spark):
+    rng = random.Random(11)
+    lines = ["".join(rng.choices('1a. \t\x0b\f"é;', k=rng.randint(0, 25))) for _ in range(2000)]
+    df = lines_of(spark, *lines).select("value", fields(F.col("value")).alias("f"))
+    for row in df.collect():
+        bare = row.value.replace('"', "").strip(" \t\x0b\f")
+        assert row.f == re.split(r"[ \t\x0b\f]+", bare), row.value
+
+
 def test_all_finite(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1.0, -2.0), (-0.0, 0.0), (1.0, nan), (inf, 1.0), (-inf, inf), (None, 1.0), (None, nan)]

@@ -70,6 +70,13 @@ def test_stages_can_run_again_and_alone(spark, landing, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/g/train").count() == 2
 
 
+def test_silver_is_the_same_without_broadcast(spark, out):
+    SilverStage(spark, f"{out}/bronze", f"{out}/other", broadcast_bytes=0).run_all()
+    for split in ("train", "test"):
+        one, other = (spark.read.parquet(f"{out}/{d}/{split}") for d in ("silver", "other"))
+        assert one.exceptAll(other).isEmpty() and one.count() == other.count()
+
+
 def test_missing_label_is_null(spark):
     df = spark.createDataFrame([(1, 2, 3.0)], "engine_id int, cycle int, sensor_1 double")
     assert gold_projection(df).collect() == [(3.0, None)]

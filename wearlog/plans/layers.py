@@ -13,6 +13,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from wearlog.operators.attach import BROADCAST_BYTES
 from wearlog.operators.features import gold_projection
 from wearlog.operators.labels import label_from_truth, label_run_to_failure
 from wearlog.operators.scaling import apply_stats, fit_stats
@@ -92,10 +93,17 @@ class BronzeStage:
 class SilverStage:
     """Bronze tables labelled, with sensors standardised by the training data."""
 
-    def __init__(self, spark: SparkSession, bronze_path: str, silver_path: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        bronze_path: str,
+        silver_path: str,
+        broadcast_bytes: int = BROADCAST_BYTES,
+    ):
         self.spark = spark
         self.bronze_path = bronze_path
         self.silver_path = silver_path
+        self.limits = {"broadcast_bytes": broadcast_bytes}
 
     def run_all(self) -> None:
         train = read_table(self.spark, f"{self.bronze_path}/train")
@@ -109,8 +117,8 @@ class SilverStage:
 
         _together(
             self.spark,
-            lambda: write("train", lambda: label_run_to_failure(train)),
-            lambda: write("test", lambda: label_from_truth(test, truth)),
+            lambda: write("train", lambda: label_run_to_failure(train, **self.limits)),
+            lambda: write("test", lambda: label_from_truth(test, truth, **self.limits)),
         )
 
 
