@@ -31,7 +31,7 @@ from wearlog.operators.scaling import apply_stats, fit_stats, range_profile
 from wearlog.plans import layers, series
 from wearlog.plans.series import events, test_log, to_line, train_log, truth
 from wearlog.plans.trainer import LifeTrainer
-from wearlog.schema import EVENT_SCHEMA, KEYS, LABEL, LOG_COLUMNS, SENSORS, SETTINGS
+from wearlog.schema import KEYS, LABEL, LOG_COLUMNS, SENSORS, SETTINGS
 from wearlog.session import scratch_path
 from wearlog.sources.landing import (
     good_rows,

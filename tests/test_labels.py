@@ -99,7 +99,8 @@ def test_attach_keeps_rows_without_a_match(spark):
 
 @pytest.mark.parametrize("limits", LIMITS)
 def test_attach_on_two_keys_of_which_one_is_text(spark, limits):
-    rows = [(k % 7 or None, f"t{k % 3}", k) for k in range(200)] + [(1, "hot", k) for k in range(300)]
+    rows = [(k % 7 or None, f"t{k % 3}", k) for k in range(200)]
+    rows += [(1, "hot", k) for k in range(300)]
     df = spark.createDataFrame(rows, "k int, t string, v int")
     side = df.groupBy("k", "t").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("n_rows"))
     top = {}

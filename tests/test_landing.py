@@ -8,6 +8,7 @@ from conftest import log_line
 from pyspark.sql import functions as F
 
 from wearlog.functions.text import all_finite, fields, utc_text
+from wearlog.plans import layers
 from wearlog.plans.layers import BronzeStage
 from wearlog.schema import LOG_COLUMNS
 from wearlog.sources.landing import (
@@ -22,12 +23,21 @@ from wearlog.sources.landing import (
 
 
 def lines_of(spark, *lines):
-    return spark.createDataFrame([(line,) for line in lines], "value string")
+    return spark.createDataFrame([(line, "f.txt") for line in lines], "value string, file string")
 
 
 @pytest.mark.parametrize(
     "line",
-    ["1 2 3", " 1 2 3 ", "1   2 3  ", "\t1\t2 3", '"1 2 3"', '" 1 2" 3', ' "\t1 2 3"\r', "1\x0b2\f3"],
+    [
+        "1 2 3",
+        " 1 2 3 ",
+        "1   2 3  ",
+        "\t1\t2 3",
+        '"1 2 3"',
+        '" 1 2" 3',
+        ' "\t1 2 3"\r',
+        "1\x0b2\f3",
+    ],
 )
 def test_white_space_and_quotes_never_shift_fields(spark, line):
     df = lines_of(spark, line).select(fields(F.col("value")).alias("f"))
@@ -142,9 +152,8 @@ def test_warning_when_the_header_looks_like_data(spark, tmp_path, caplog):
 
 
 def test_bronze_tables(spark, landing, tmp_path):
-    (landing / "train_FD001.txt").write_text(
-        "\n".join([log_line(1, 1, 1), log_line(1, 2, 1), "1 3 broken", "", log_line(1, 4, 1)]) + "\n"
-    )
+    lines = [log_line(1, 1, 1), log_line(1, 2, 1), "1 3 broken", "", log_line(1, 4, 1)]
+    (landing / "train_FD001.txt").write_text("\n".join(lines) + "\n")
     bronze = str(tmp_path / "bronze")
     BronzeStage(spark, str(landing), bronze).run_all()
     train = spark.read.parquet(f"{bronze}/train")
@@ -157,11 +166,43 @@ def test_bronze_tables(spark, landing, tmp_path):
     assert rul.columns == ["RUL"] and [r.RUL for r in rul.collect()] == [88]
     assert [tuple(r) for r in spark.read.parquet(f"{bronze}/truth").collect()] == [(1, 88)]
     rejects = spark.read.parquet(f"{bronze}/rejects/train")
-    assert [tuple(r) for r in rejects.collect()] == [("1 3 broken", "field_count")]
+    (reject,) = rejects.collect()
+    assert (reject.line, reject.reject_reason) == ("1 3 broken", "field_count")
+    assert reject.file.endswith("/train_FD001.txt")
     assert spark.read.parquet(f"{bronze}/rejects/test").count() == 0
     assert spark.read.parquet(f"{bronze}/rejects/truth").count() == 0
 
 
+@pytest.mark.parametrize("most", [10_000, 0])
+def test_rejects_come_from_the_files_that_have_some(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(layers, "MOST_FILES_BY_NAME", most)
+    folder = tmp_path / "land ing" / "train_FD001.txt"
+    folder.mkdir(parents=True)
+    for name, lines in {
+        "clean": ["head", log_line(1, 1, 1)],
+        "one bad+%20": ["head", "oops", log_line(1, 2, 1)],
+        "two": ["head", log_line(1, 3, 1) + " 4", log_line(1, 3, 1), "", "x"],
+    }.items():
+        (folder / f"{name}.txt").write_text("\n".join(lines) + "\n")
+    stage = BronzeStage(spark, str(folder.parent), str(tmp_path / "bronze"))
+    stage.process_train()
+    rejects = spark.read.parquet(str(tmp_path / "bronze" / "rejects" / "train"))
+    expected = ["oops", "x", log_line(1, 3, 1) + " 4"]
+    assert sorted(r.line for r in rejects.collect()) == sorted(expected)
+    assert spark.read.parquet(str(tmp_path / "bronze" / "train")).count() == 3
+
+
+def test_files_are_pruned_by_name(spark, tmp_path):
+    for name in ("a", "b", "c"):
+        (tmp_path / f"{name}.txt").write_text(f"head\n{name}\n")
+    lines = read_lines(spark, str(tmp_path))
+    file = next(r.file for r in lines.collect() if r.value == "b")
+    some = lines.filter(F.col("file").isin([file]))
+    assert [r.value for r in some.collect()] == ["b"]
+    node = some._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert node.metrics().apply("numFiles").value() == 1
+
+
 def test_utc_text(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")

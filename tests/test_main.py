@@ -18,7 +18,8 @@ def test_commands(spark, landing, tmp_path, monkeypatch, capsys):
     (tmp_path / "in").mkdir()
     event = {s: float(i) for i, s in enumerate(SENSORS, 1)}
     (tmp_path / "in" / "a.json").write_text(json.dumps(event) + "\nbad\n")
-    cli.main(["ingest", f"{at}/in", f"{at}/rows", f"{at}/c1", "--once", "--option", "maxFilesPerTrigger=1"])
+    options = ["--once", "--option", "maxFilesPerTrigger=1"]
+    cli.main(["ingest", f"{at}/in", f"{at}/rows", f"{at}/c1", *options])
     cli.main(["reject", f"{at}/in", f"{at}/bad", f"{at}/c2", "--once"])
     cli.main(
         ["score", f"{at}/rows", f"{at}/pred", f"{at}/c3", "--once", "--model", f"{at}/model",

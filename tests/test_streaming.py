@@ -146,7 +146,8 @@ def test_threshold_is_strict(spark):
 
 
 def test_alert_messages(spark):
-    df = spark.sql(f"SELECT 1.5D sensor_1, 3.0D {PREDICTION}, timestamp'2024-01-31 23:59:59' processed_utc")
+    now = "timestamp'2024-01-31 23:59:59' AS processed_utc"
+    df = spark.sql(f"SELECT 1.5D AS sensor_1, 3.0D AS {PREDICTION}, {now}")
     (row,) = alert_messages(df).collect()
     assert json.loads(row.value) == {
         "sensor_1": 1.5,

@@ -1 +1 @@
-"""Run-to-failure sensor logs on Spark: layers, labels, scaling, remaining-life model, live scoring."""
+"""Run-to-failure sensor logs on Spark: layers, labels, scaling, life model, live scoring."""

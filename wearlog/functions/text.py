@@ -15,7 +15,8 @@ def fields(line: Column) -> Column:
     no pattern matching.
     """
     plain = F.trim(F.replace(line, F.lit('"'), F.lit("")))
-    uneven = reduce(or_, [F.contains(plain, F.lit(blank)) for blank in ("  ", "\t", "\r", "\f", "\x0b")])
+    blanks = ("  ", "\t", "\r", "\f", "\x0b")
+    uneven = reduce(or_, [F.contains(plain, F.lit(blank)) for blank in blanks])
     even = F.trim(F.regexp_replace(plain, r"\s+", " "))
     return F.split(F.when(uneven, even).otherwise(plain), " ")
 
@@ -41,4 +42,5 @@ def all_finite(columns: list[Column]) -> Column:
 
 def utc_text(moment: Column) -> Column:
     """A timestamp as ``2024-01-31T23:59:59Z``."""
-    return F.date_format(F.to_utc_timestamp(moment, F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    utc = F.to_utc_timestamp(moment, F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -29,6 +29,9 @@ from wearlog.sources.landing import (
 )
 from wearlog.sources.tables import overwrite_table, preview, read_table
 
+# A longer list of files makes a plan too unwieldy; all files are read then.
+MOST_FILES_BY_NAME = 10_000
+
 
 def _together(spark: SparkSession, *tasks: Callable[[], None]) -> None:
     """Run independent writes at the same time, so one's last tasks leave no cores idle."""
@@ -62,13 +65,16 @@ class BronzeStage:
 
     def _process_log(self, split: str) -> None:
         lines = read_lines(self.spark, self._landing(split, len(LOG_COLUMNS)), self.skip_header)
-        # Bad lines are counted while the good ones are written; the text is read again for
-        # them only if there are any.
         counts = Observation()
         overwrite_table(good_rows(parse_lines(lines, counts)), f"{self.bronze_path}/{split}")
-        parsed = parse_lines(lines)
-        rejects = rejected_lines(parsed if counts.get["bad"] else parsed.limit(0))
-        overwrite_table(rejects, f"{self.bronze_path}/rejects/{split}")
+        # While the good rows were written, the files with bad lines were noted. Only these are
+        # read again.
+        bad_files = counts.get["bad_files"]
+        if not bad_files:
+            lines = lines.limit(0)
+        elif len(bad_files) <= MOST_FILES_BY_NAME:
+            lines = lines.filter(F.col("file").isin(bad_files))
+        overwrite_table(rejected_lines(parse_lines(lines)), f"{self.bronze_path}/rejects/{split}")
 
     def process_train(self) -> None:
         self._process_log("train")

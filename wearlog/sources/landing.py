@@ -19,36 +19,39 @@ log = logging.getLogger(__name__)
 
 
 def read_lines(spark: SparkSession, path: str, skip_header: bool = True) -> DataFrame:
-    """One row ``value`` per line.
+    """``value`` of each line and the ``file`` it is from.
 
     The header is left out by the CSV reader, read as one column: it skips the first non-blank
     line of each file inside the task that opens that file, so no line numbers, no second pass
     and no shuffle are needed. Separator and quote are characters that text does not hold.
     """
-    if not skip_header:
-        return spark.read.text(path).select("value")
-    return (
-        spark.read.schema("value string")
-        .options(header=True, sep="\u0001", quote="", escape="", mode="PERMISSIVE")
-        .csv(path)
-        .select("value")
-    )
+    if skip_header:
+        one_column = {"header": True, "sep": "\u0001", "quote": "", "escape": ""}
+        lines = spark.read.schema("value string").options(**one_column).csv(path)
+    else:
+        lines = spark.read.text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("file"))
 
 
 def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFrame:
-    """Typed log columns, the raw ``line`` and ``reject_reason`` (NULL for a good line).
+    """Typed log columns, the raw ``line``, its ``file`` and ``reject_reason`` (NULL for a good
+    line).
 
     A good line has exactly the expected fields, all of them finite numbers. Blank lines
-    are no records and vanish. ``counts`` will hold the number of ``bad`` lines.
+    are no records and vanish. ``counts`` will hold the ``bad_files`` that hold bad lines; that
+    set is never larger than the file listing, which the driver holds anyway.
     """
-    split = lines.select(F.col("value").alias("line"), fields(F.col("value")).alias("fields"))
-    numbers = split.select("line", "fields", to_numbers(F.col("fields")).alias("numbers"))
+    split = lines.select(
+        F.col("value").alias("line"), "file", fields(F.col("value")).alias("fields")
+    )
+    numbers = split.withColumn("numbers", to_numbers(F.col("fields")))
     typed = numbers.select(
         *[
             (to_int(value) if LOG_TYPES[name] == "int" else value).alias(name)
             for name, value in zip(LOG_COLUMNS, _elements("numbers", len(LOG_COLUMNS)))
         ],
         "line",
+        "file",
         F.size("fields").alias("n_fields"),
         (F.get("fields", F.lit(0)) == "").alias("blank"),
     )
@@ -59,11 +62,11 @@ def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFram
         .when(finite.isNull(), "not_a_number")
         .when(~finite, "not_finite")
     )
-    parsed = typed.select(*LOG_COLUMNS, "line", reason.alias("reject_reason"))
+    parsed = typed.select(*LOG_COLUMNS, "line", "file", reason.alias("reject_reason"))
     # Observing also keeps filters on the result above it. Pushed down to the text, they would
     # split and cast each line once per column they mention.
-    bad = F.count_if(_is_bad()).alias("bad")
-    return parsed.observe(counts or Observation(), bad).filter(
+    bad_files = F.collect_set(F.when(_is_bad(), F.col("file"))).alias("bad_files")
+    return parsed.observe(counts or Observation(), bad_files).filter(
         F.col("reject_reason").isNull() | _is_bad()
     )
 
@@ -81,7 +84,9 @@ def good_rows(parsed: DataFrame) -> DataFrame:
 
 
 def rejected_lines(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("reject_reason").isNotNull()).select("line", "reject_reason")
+    return parsed.filter(F.col("reject_reason").isNotNull()).select(
+        "line", "reject_reason", "file"
+    )
 
 
 def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> DataFrame:

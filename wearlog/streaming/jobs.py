@@ -66,7 +66,8 @@ def stream_table(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """The rows appended to a table, as a stream. A backlog is worked off in bounded batches."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path)
 
 
 def ingest(
