@@ -123,6 +123,30 @@ def test_score_and_alert(spark, folder, model):
         assert sorted(r.sensor_2 for r in alerts.collect()) == [-0.9, -0.5]
 
 
+def test_all_jobs_at_once_in_any_order(spark, folder, model):
+    names = ["alert", "score", "reject", "ingest"]
+    drop(folder, "a", [event(sensor_2=-0.5), "bad"])
+    try:
+        alert = jobs.alert_stream(spark, f"{folder}/pred", f"{folder}/alerts", f"{folder}/c1")
+        score = jobs.score_stream(
+            spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2"
+        )
+        events = read_events(spark, f"{folder}/in")
+        reject = jobs.reject(events, f"{folder}/bad", f"{folder}/c3")
+        ingest = jobs.ingest(events, f"{folder}/rows", f"{folder}/c4")
+        for n in (1, 2):
+            for query in (ingest, reject, score, alert):
+                query.processAllAvailable()
+            counts = [
+                spark.read.parquet(f"{folder}/{t}").count() for t in ("rows", "bad", "pred", "alerts")
+            ]
+            assert counts == [n, n, n, n]
+            drop(folder, "b", [event(sensor_2=-0.7), "also bad"])
+    finally:
+        jobs.stop_jobs(spark, *names)
+    assert not any(query.name in names for query in spark.streams.active)
+
+
 def test_raw_rows_are_scaled_by_training_statistics(spark, folder, model):
     raw = spark.createDataFrame([(95.0,), (105.0,)], "sensor_2 double")
     drop(folder, "a", [event(sensor_2=96.0), event(sensor_2=104.0)])

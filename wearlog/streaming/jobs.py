@@ -65,7 +65,12 @@ def append_stream(
 def stream_table(
     spark: SparkSession, path: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """The rows appended to a table, as a stream. A backlog is worked off in bounded batches."""
+    """The rows appended to a table, as a stream. A backlog is worked off in bounded batches.
+
+    The job that fills the table need not have written anything yet, so its folder is made.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     return reader.parquet(path)
 
