@@ -65,22 +65,15 @@ def test_small_tables_are_broadcast_and_rows_not_shuffled(log):
     assert "hashpartitioning" not in text and "Window" not in text
 
 
-def test_large_tables_are_not_broadcast(spark, log):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "Broadcast" not in plan(label_run_to_failure(log[0], broadcast_bytes=0))
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_only_hot_keys_are_broadcast(spark, log):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        df = label_run_to_failure(log[0], broadcast_bytes=400, hot_rows=40)
-        text = plan(df)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in text and "LeftAnti" in text and "Union" in text
+def test_large_tables_are_not_broadcast(log):
+    text = plan(label_run_to_failure(log[0], broadcast_bytes=0))
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
+def test_only_hot_keys_are_broadcast(log):
+    text = plan(label_run_to_failure(log[0], broadcast_bytes=400, hot_rows=40))
+    assert "LeftAnti" in text and "Union" in text
+    assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
 
 
 def test_spans_combine_before_the_shuffle(log):

@@ -61,10 +61,11 @@ def attach(
     if bytes_ is None or bytes_ <= broadcast_bytes:
         return done(joined(rows, F.broadcast(side), "left"))
 
+    # Spark goes by file sizes, which understate well compressed tables: no broadcast of its own.
     limit = max(hot_rows, -(-total // max(1, broadcast_bytes // widest)))
     hot = side.filter(F.col(n_rows) > limit)
     if hot.isEmpty():
-        return done(joined(rows, side, "left"))
+        return done(joined(rows, side.hint("merge"), "left"))
     cold_rows = joined(rows, F.broadcast(hot.select(*names.values())), "left_anti")
-    cold = done(joined(cold_rows, side.filter(F.col(n_rows) <= limit), "left"))
+    cold = done(joined(cold_rows, side.filter(F.col(n_rows) <= limit).hint("merge"), "left"))
     return done(joined(rows, F.broadcast(hot), "inner")).unionByName(cold)
