@@ -147,6 +147,18 @@ def test_all_jobs_at_once_in_any_order(spark, folder, model):
     assert not any(query.name in names for query in spark.streams.active)
 
 
+def test_other_table_formats(spark, folder, model):
+    drop(folder, "a", [event(sensor_2=-0.5), event(sensor_2=0.5)])
+    orc = {"table_format": "orc", **NOW}
+    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c1", **orc))
+    run(
+        jobs.score_stream(spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2", **orc)
+    )
+    run(jobs.alert_stream(spark, f"{folder}/pred", f"{folder}/alerts", f"{folder}/c3", **orc))
+    alerts = spark.read.orc(f"{folder}/alerts")
+    assert [(r.sensor_2, r[PREDICTION]) for r in alerts.collect()] == [(-0.5, 10.0)]
+
+
 def test_raw_rows_are_scaled_by_training_statistics(spark, folder, model):
     raw = spark.createDataFrame([(95.0,), (105.0,)], "sensor_2 double")
     drop(folder, "a", [event(sensor_2=96.0), event(sensor_2=104.0)])

@@ -25,6 +25,7 @@ from wearlog.streaming.events import (
 )
 
 INGEST_TRIGGER = "5 seconds"
+FILE_FORMATS = {"parquet", "orc", "json"}
 
 PREDICTION_SCHEMA = StructType(
     [
@@ -42,15 +43,15 @@ def append_stream(
     name: str,
     every: str | None = None,
     available_now: bool = False,
-    sink: str = "parquet",
+    table_format: str = "parquet",
 ) -> StreamingQuery:
     """Start appending a stream to a table.
 
     ``every`` is the trigger interval (None: as soon as possible); ``available_now`` stops once
-    the data at hand is written.
+    the data at hand is written. ``table_format`` is any streaming sink that takes a path.
     """
     writer = (
-        rows.writeStream.format(sink)
+        rows.writeStream.format(table_format)
         .outputMode("append")
         .queryName(name)
         .option("checkpointLocation", checkpoint)
@@ -63,32 +64,39 @@ def append_stream(
 
 
 def stream_table(
-    spark: SparkSession, path: str, schema: StructType, files_per_batch: int = FILES_PER_BATCH
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    files_per_batch: int = FILES_PER_BATCH,
+    table_format: str = "parquet",
 ) -> DataFrame:
     """The rows appended to a table, as a stream. A backlog is worked off in bounded batches.
 
-    The job that fills the table need not have written anything yet, so its folder is made.
+    The job that fills a table of files need not have written anything yet: its folder is made.
+    Table formats that are more than files know their schema themselves.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(path)
+    reader = spark.readStream.format(table_format).option("maxFilesPerTrigger", files_per_batch)
+    if table_format in FILE_FORMATS:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        reader = reader.schema(schema)
+    return reader.load(path)
 
 
 def ingest(
-    events: DataFrame, table: str, checkpoint: str, name: str = "ingest", **trigger
+    events: DataFrame, table: str, checkpoint: str, name: str = "ingest", **options
 ) -> StreamingQuery:
-    """Complete events into the table of sensor rows."""
-    trigger = trigger or {"every": INGEST_TRIGGER}
-    return append_stream(sensor_rows(parse_events(events)), table, checkpoint, name, **trigger)
+    """Complete events into the table of sensor rows. ``options`` are ``append_stream``'s."""
+    options = {"every": INGEST_TRIGGER} | options
+    return append_stream(sensor_rows(parse_events(events)), table, checkpoint, name, **options)
 
 
 def reject(
-    events: DataFrame, table: str, checkpoint: str, name: str = "reject", **trigger
+    events: DataFrame, table: str, checkpoint: str, name: str = "reject", **options
 ) -> StreamingQuery:
     """All other events, as text, into the reject table."""
-    trigger = trigger or {"every": INGEST_TRIGGER}
-    return append_stream(rejected_events(parse_events(events)), table, checkpoint, name, **trigger)
+    options = {"every": INGEST_TRIGGER} | options
+    return append_stream(rejected_events(parse_events(events)), table, checkpoint, name, **options)
 
 
 def predictions(model: PipelineModel, rows: DataFrame, stats: DataFrame | None = None) -> DataFrame:
@@ -110,11 +118,13 @@ def score_stream(
     stats: DataFrame | None = None,
     name: str = "score",
     files_per_batch: int = FILES_PER_BATCH,
-    **trigger,
+    table_format: str = "parquet",
+    **options,
 ) -> StreamingQuery:
     """Score the sensor rows as they arrive."""
-    rows = stream_table(spark, rows_table, EVENT_SCHEMA, files_per_batch)
-    return append_stream(predictions(model, rows, stats), table, checkpoint, name, **trigger)
+    rows = stream_table(spark, rows_table, EVENT_SCHEMA, files_per_batch, table_format)
+    scored = predictions(model, rows, stats)
+    return append_stream(scored, table, checkpoint, name, table_format=table_format, **options)
 
 
 def alert_stream(
@@ -125,11 +135,13 @@ def alert_stream(
     threshold: float = ALERT_THRESHOLD,
     name: str = "alert",
     files_per_batch: int = FILES_PER_BATCH,
-    **trigger,
+    table_format: str = "parquet",
+    **options,
 ) -> StreamingQuery:
     """Predictions below the threshold into the alert table, as they arrive."""
-    rows = stream_table(spark, predictions_table, PREDICTION_SCHEMA, files_per_batch)
-    return append_stream(low_life(rows, threshold), table, checkpoint, name, **trigger)
+    rows = stream_table(spark, predictions_table, PREDICTION_SCHEMA, files_per_batch, table_format)
+    low = low_life(rows, threshold)
+    return append_stream(low, table, checkpoint, name, table_format=table_format, **options)
 
 
 def stop_jobs(spark: SparkSession, *names: str) -> None:
