@@ -18,6 +18,7 @@ from wearlog.sources.landing import (
     parse_truth,
     read_lines,
     rejected_lines,
+    rejected_truth,
     warn_if_data,
 )
 
@@ -129,10 +130,12 @@ def test_line_numbers_run_over_splits_and_files(spark, tmp_path, small_splits, s
 
 def test_truth_lines_keep_their_place(spark, tmp_path):
     (tmp_path / "t.txt").write_text('head\n112 \n\n"98"\nabc\n69.0\n')
-    truth = parse_truth(number_lines(spark, str(tmp_path)))
-    assert sorted(tuple(r) for r in truth.collect()) == [
+    numbered = number_lines(spark, str(tmp_path))
+    assert sorted(tuple(r) for r in parse_truth(numbered).collect()) == [
         (1, 112), (2, None), (3, 98), (4, None), (5, 69),
     ]
+    rejects = rejected_truth(numbered).collect()
+    assert sorted(tuple(r) for r in rejects) == [(2, ""), (4, "abc")]
 
 
 def test_headerless_truth(spark, tmp_path):

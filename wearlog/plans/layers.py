@@ -25,6 +25,7 @@ from wearlog.sources.landing import (
     parse_truth,
     read_lines,
     rejected_lines,
+    rejected_truth,
     warn_if_data,
 )
 from wearlog.sources.tables import overwrite_table, preview, read_table
@@ -87,10 +88,7 @@ class BronzeStage:
         overwrite_table(parse_truth(numbered), f"{self.bronze_path}/truth")
         truth = read_table(self.spark, f"{self.bronze_path}/truth")
         overwrite_table(truth.select(LABEL), f"{self.bronze_path}/RUL")
-        unread = numbered.join(
-            truth.filter(F.col(LABEL).isNull()), F.col("line_no") == F.col("engine_id")
-        )
-        overwrite_table(unread.select("line_no", "value"), f"{self.bronze_path}/rejects/truth")
+        overwrite_table(rejected_truth(numbered), f"{self.bronze_path}/rejects/truth")
 
     def run_all(self) -> None:
         _together(self.spark, self.process_train, self.process_test, self.process_rul)

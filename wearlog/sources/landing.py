@@ -124,18 +124,26 @@ def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Da
     )
 
 
+def _label(value: Column) -> Column:
+    """The one number a truth line holds, else NULL."""
+    numbers = to_numbers(fields(value))
+    return to_int(F.when(F.size(numbers) == 1, F.get(numbers, F.lit(0))))
+
+
 def parse_truth(numbered: DataFrame) -> DataFrame:
     """``engine_id``, ``RUL`` from numbered truth lines: the line's number is the engine.
 
     A line that is not one number keeps its place, with a NULL label.
     """
-    numbers = numbered.select("line_no", to_numbers(fields(F.col("value"))).alias("numbers"))
-    only = F.when(F.size("numbers") == 1, F.get("numbers", F.lit(0)))
-    return numbers.select(
-        F.col("line_no").cast("int").alias("engine_id"), to_int(only).alias(LABEL)
+    return numbered.select(
+        F.col("line_no").cast("int").alias("engine_id"), _label(F.col("value")).alias(LABEL)
     )
 
 
+def rejected_truth(numbered: DataFrame) -> DataFrame:
+    return numbered.filter(_label(F.col("value")).isNull())
+
+
 def warn_if_data(spark: SparkSession, path: str, n_fields: int) -> bool:
     """Log a warning, and return True, if the line to be skipped reads as a record."""
     first = (
