@@ -77,9 +77,8 @@ def test_save_and_score_one_record(spark, trainer, tmp_path):
     path = str(tmp_path / "deep" / "model")
     trainer.save_model(path)
     trainer.save_model(path)
-    record = spark.createDataFrame([SAMPLE])
-    once = forest.score(trainer.model, record).first()[forest.PREDICTION]
-    again = forest.score(forest.load_model(path), record).first()[forest.PREDICTION]
+    once = forest.score_record(spark, trainer.model, SAMPLE)
+    again = forest.score_record(spark, forest.load_model(path), SAMPLE)
     assert once == again and 30 < once < 180
 
 

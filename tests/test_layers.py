@@ -3,9 +3,9 @@
 import pytest
 from conftest import log_line
 
-from wearlog.plans.layers import BronzeStage, GoldStage, SilverStage, run_batch
-from wearlog.schema import KEYS, LABEL, SENSORS
 from wearlog.operators.features import gold_projection
+from wearlog.plans.layers import BronzeStage, GoldStage, SilverStage, run_batch
+from wearlog.schema import KEYS, LABEL, SENSORS, SETTINGS
 from wearlog.sources.tables import append_table, preview, read_table
 
 
@@ -23,6 +23,7 @@ def test_silver(spark, out):
             (1, 2, labels[0]),
             (1, 3, labels[1]),
         ]
+        assert {r[s] for r in rows for s in SETTINGS} == {0.0}
         for s in SENSORS:
             assert [r[s] for r in rows] == pytest.approx([-half, half])
 

@@ -8,7 +8,7 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlog.functions.metrics import rmse
@@ -131,6 +131,12 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return model.transform(df).drop(FEATURES)
 
 
+def score_record(spark: SparkSession, model: PipelineModel, record: dict[str, float]) -> float:
+    """The prediction for one set of readings."""
+    readings = {name: float(value) for name, value in record.items()}
+    return score(model, spark.createDataFrame([readings])).first()[PREDICTION]
+
+
 def model_rmse(model: PipelineModel, df: DataFrame) -> DataFrame:
     """One row ``rmse``: the model's error on the labelled rows."""
     return score(model, df).agg(rmse(F.col(LABEL), F.col(PREDICTION)).alias("rmse"))

@@ -34,10 +34,10 @@ from wearlog.sources.tables import overwrite_table, preview, read_table
 MOST_FILES_BY_NAME = 10_000
 
 
-def _together(spark: SparkSession, *tasks: Callable[[], None]) -> None:
-    """Run independent writes at the same time, so one's last tasks leave no cores idle."""
-    with ThreadPool(len(tasks)) as pool:
-        pool.map(inheritable_thread_target(spark)(lambda task: task()), tasks)
+def _together(spark: SparkSession, *steps: Callable) -> list:
+    """Run independent steps at the same time, so one's last tasks leave no cores idle."""
+    with ThreadPool(len(steps)) as pool:
+        return pool.map(inheritable_thread_target(spark)(lambda step: step()), steps)
 
 
 class BronzeStage:
@@ -113,16 +113,18 @@ class SilverStage:
         train = read_table(self.spark, f"{self.bronze_path}/train")
         test = read_table(self.spark, f"{self.bronze_path}/test")
         truth = read_table(self.spark, f"{self.bronze_path}/truth")
-        overwrite_table(fit_stats(train), f"{self.silver_path}/stats")
+        _, *labelled = _together(
+            self.spark,
+            lambda: overwrite_table(fit_stats(train), f"{self.silver_path}/stats"),
+            lambda: label_run_to_failure(train, **self.limits),
+            lambda: label_from_truth(test, truth, **self.limits),
+        )
         stats = read_table(self.spark, f"{self.silver_path}/stats")
-
-        def write(split: str, label: Callable[[], DataFrame]) -> None:
-            overwrite_table(apply_stats(label(), stats), f"{self.silver_path}/{split}")
-
+        train, test = (apply_stats(rows, stats) for rows in labelled)
         _together(
             self.spark,
-            lambda: write("train", lambda: label_run_to_failure(train, **self.limits)),
-            lambda: write("test", lambda: label_from_truth(test, truth, **self.limits)),
+            lambda: overwrite_table(train, f"{self.silver_path}/train"),
+            lambda: overwrite_table(test, f"{self.silver_path}/test"),
         )
 
 
