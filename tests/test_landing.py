@@ -111,9 +111,12 @@ def test_header_is_dropped_once_per_file(spark, tmp_path, small_splits):
 
 
 def test_header_reader_leaves_lines_alone(spark, tmp_path):
-    lines = ["header", 'a "b" c', " , ; \\ # ", "\ttab", "x" * 100_000]
+    odd = ["a\u0001b", "\0q r\0 s", '"', '""', "\\", "#c", "\x0bz\x0c", "é\u2028k"]
+    lines = ["header", 'a "b" c', " , ; \\ # ", "\ttab ", *odd, "x" * 100_000]
     (tmp_path / "f.txt").write_text("\n".join(lines) + "\n")
     assert [r.value for r in read_lines(spark, str(tmp_path)).collect()] == lines[1:]
+    (tmp_path / "f.txt").write_bytes("\r\n".join(lines).encode())
+    assert [r.value for r in read_lines(spark, str(tmp_path)).collect()] == lines[1:]
 
 
 @pytest.mark.parametrize("skip_header", [True, False])

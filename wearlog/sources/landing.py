@@ -23,10 +23,11 @@ def read_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Data
 
     The header is left out by the CSV reader, read as one column: it skips the first non-blank
     line of each file inside the task that opens that file, so no line numbers, no second pass
-    and no shuffle are needed. Separator and quote are characters that text does not hold.
+    and no shuffle are needed. A line holds no line break, so with line breaks as separator and
+    quote it comes out as it is.
     """
     if skip_header:
-        one_column = {"header": True, "sep": "\u0001", "quote": "", "escape": ""}
+        one_column = {"header": True, "sep": "\r", "quote": "\n", "escape": "\n"}
         lines = spark.read.schema("value string").options(**one_column).csv(path)
     else:
         lines = spark.read.text(path)
