@@ -137,9 +137,8 @@ def test_all_jobs_at_once_in_any_order(spark, folder, model):
         for n in (1, 2):
             for query in (ingest, reject, score, alert):
                 query.processAllAvailable()
-            counts = [
-                spark.read.parquet(f"{folder}/{t}").count() for t in ("rows", "bad", "pred", "alerts")
-            ]
+            tables = ("rows", "bad", "pred", "alerts")
+            counts = [spark.read.parquet(f"{folder}/{t}").count() for t in tables]
             assert counts == [n, n, n, n]
             drop(folder, "b", [event(sensor_2=-0.7), "also bad"])
     finally:
