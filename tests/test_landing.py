@@ -7,7 +7,7 @@ import pytest
 from conftest import log_line
 from pyspark.sql import functions as F
 
-from wearlog.functions.text import all_finite, fields, utc_text
+from wearlog.functions.text import all_finite, fields, numbers, quick_numbers, to_numbers, utc_text
 from wearlog.plans import layers
 from wearlog.plans.layers import BronzeStage
 from wearlog.schema import LOG_COLUMNS
@@ -54,6 +54,21 @@ def test_fields_of_random_lines(spark):
         assert row.f == re.split(r"[ \t\x0b\f]+", bare), row.value
 
 
+def test_numbers_do_not_depend_on_the_quick_way(spark):
+    rng = random.Random(12)
+    parts = ["1", "2.5", "-3e2", "x", "NaN", "", " ", " ", " ", "  ", "\t", '"', "\x0b"]
+    lines = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
+    lines += ["1 2  3", "1 2 3 ", '" 1 2 3', "1 \t2 3", "1 2\t 3", "1  2", "1 2 3 4"]
+    value = F.col("value")
+    df = lines_of(spark, *lines).select(
+        "value",
+        numbers(value, quick_numbers(value), 3).alias("got"),
+        to_numbers(fields(value)).alias("expected"),
+    )
+    assert df.filter("size(got) = 3").count() > 100
+    assert df.filter(~F.col("got").eqNullSafe(F.col("expected"))).collect() == []
+
+
 def test_all_finite(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1.0, -2.0), (-0.0, 0.0), (1.0, nan), (inf, 1.0), (-inf, inf), (None, 1.0), (None, nan)]
@@ -95,7 +110,6 @@ def test_filters_stay_above_the_parsing(spark):
     plan = good_rows(parse_lines(lines_of(spark, "x"))).filter("sensor_3 > 0")
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("Filter") < text.index("CollectMetrics") < text.index("split(")
-    assert text.count("split(") == 1
 
 
 def test_header_is_dropped_once_per_file(spark, tmp_path, small_splits):

@@ -1,24 +1,24 @@
 """Column expressions for raw text: fields, numbers, timestamps."""
 
 from functools import reduce
-from operator import add, or_
+from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fields(line: Column) -> Column:
-    """The line's white-space separated fields, quotes removed; one empty field if it is blank.
+def _plain(line: Column) -> Column:
+    """The line without quotes and outer spaces.
 
-    Quotes go before the outer white space: inside an outer quote it would otherwise become an
-    empty first field and shift every column. Most lines hold single spaces only, which need
-    no pattern matching.
+    Quotes go first: a space inside an outer quote would otherwise become an empty first field
+    and shift every column.
     """
-    plain = F.trim(F.replace(line, F.lit('"'), F.lit("")))
-    blanks = ("  ", "\t", "\r", "\f", "\x0b")
-    uneven = reduce(or_, [F.contains(plain, F.lit(blank)) for blank in blanks])
-    even = F.trim(F.regexp_replace(plain, r"\s+", " "))
-    return F.split(F.when(uneven, even).otherwise(plain), " ")
+    return F.trim(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def fields(line: Column) -> Column:
+    """The line's white-space separated fields, quotes removed; one empty field if it is blank."""
+    return F.split(F.trim(F.regexp_replace(_plain(line), r"\s+", " ")), " ")
 
 
 def to_numbers(texts: Column) -> Column:
@@ -26,6 +26,31 @@ def to_numbers(texts: Column) -> Column:
     return texts.try_cast("array<double>")
 
 
+def elements(array: Column, n: int) -> list[Column]:
+    """The first ``n`` elements, NULL where there are fewer."""
+    return [F.get(array, F.lit(i)) for i in range(n)]
+
+
+def quick_numbers(line: Column) -> Column:
+    """What lies between single spaces as doubles: the line's numbers if it is an even one."""
+    return to_numbers(F.split(_plain(line), " "))
+
+
+def numbers(line: Column, quick: Column, n: int) -> Column:
+    """The line's fields as doubles, NULL where one is no number.
+
+    Nearly all lines have their ``n`` numbers in ``quick``. Only the others need the slower
+    pattern matching, which would find the same in lines of the first kind. ``quick`` should be
+    a column of its own, as an expression it would be computed several times.
+    """
+    complete = (F.size(quick) == n) & (F.size(F.array_compact(quick)) == n)
+    return F.when(complete, quick).otherwise(to_numbers(fields(line)))
+
+
+def is_blank(line: Column) -> Column:
+    return F.get(fields(line), F.lit(0)) == ""
+
+
 def to_int(number: Column) -> Column:
     """A double as int, NULL if it does not fit. Whole numbers may thus be written "1.0"."""
     return number.try_cast("int")

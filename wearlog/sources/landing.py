@@ -10,7 +10,16 @@ import logging
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wearlog.functions.text import all_finite, fields, to_int, to_numbers
+from wearlog.functions.text import (
+    all_finite,
+    elements,
+    fields,
+    is_blank,
+    numbers,
+    quick_numbers,
+    to_int,
+    to_numbers,
+)
 from wearlog.operators.attach import attach
 from wearlog.schema import LABEL, LOG_COLUMNS, LOG_TYPES
 from wearlog.session import stored
@@ -42,26 +51,26 @@ def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFram
     are no records and vanish. ``counts`` will hold the ``bad_files`` that hold bad lines; that
     set is never larger than the file listing, which the driver holds anyway.
     """
+    n = len(LOG_COLUMNS)
     split = lines.select(
-        F.col("value").alias("line"), "file", fields(F.col("value")).alias("fields")
+        F.col("value").alias("line"), "file", quick_numbers(F.col("value")).alias("quick")
     )
-    numbers = split.withColumn("numbers", to_numbers(F.col("fields")))
-    typed = numbers.select(
+    typed = split.withColumn("numbers", numbers(F.col("line"), F.col("quick"), n)).select(
         *[
             (to_int(value) if LOG_TYPES[name] == "int" else value).alias(name)
-            for name, value in zip(LOG_COLUMNS, _elements("numbers", len(LOG_COLUMNS)))
+            for name, value in zip(LOG_COLUMNS, elements(F.col("numbers"), n))
         ],
         "line",
         "file",
-        F.size("fields").alias("n_fields"),
-        (F.get("fields", F.lit(0)) == "").alias("blank"),
+        F.size("numbers").alias("n_fields"),
     )
     finite = all_finite([F.col(name) for name in LOG_COLUMNS])
     reason = (
-        F.when(F.col("blank"), "blank")
-        .when(F.col("n_fields") != len(LOG_COLUMNS), "field_count")
+        F.when((F.col("n_fields") == n) & finite, None)
+        .when(is_blank(F.col("line")), "blank")
+        .when(F.col("n_fields") != n, "field_count")
         .when(finite.isNull(), "not_a_number")
-        .when(~finite, "not_finite")
+        .otherwise("not_finite")
     )
     parsed = typed.select(*LOG_COLUMNS, "line", "file", reason.alias("reject_reason"))
     # Observing also keeps filters on the result above it. Pushed down to the text, they would
@@ -72,10 +81,6 @@ def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFram
     )
 
 
-def _elements(array: str, n: int) -> list[Column]:
-    return [F.get(array, F.lit(i)) for i in range(n)]
-
-
 def _is_bad() -> Column:
     return F.col("reject_reason") != "blank"
 
@@ -127,8 +132,8 @@ def number_lines(spark: SparkSession, path: str, skip_header: bool = True) -> Da
 
 def _label(value: Column) -> Column:
     """The one number a truth line holds, else NULL."""
-    numbers = to_numbers(fields(value))
-    return to_int(F.when(F.size(numbers) == 1, F.get(numbers, F.lit(0))))
+    found = to_numbers(fields(value))
+    return to_int(F.when(F.size(found) == 1, F.get(found, F.lit(0))))
 
 
 def parse_truth(numbered: DataFrame) -> DataFrame:
