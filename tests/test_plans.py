@@ -1,0 +1,54 @@
+"""Generated code of the hot paths stays small enough to be compiled.
+
+The JVM never compiles a method of more than 8000 bytes, which makes a plan many times slower
+without any other sign.
+"""
+
+import pytest
+from pyspark.sql import functions as F
+
+from wearlog.operators.labels import label_run_to_failure
+from wearlog.operators.scaling import apply_stats, fit_stats
+from wearlog.schema import LOG_COLUMNS, LOG_TYPES
+from wearlog.sources.landing import good_rows, parse_lines, read_lines
+from wearlog.streaming.events import parse_events, sensor_rows
+
+LIMIT = 8000
+
+
+def method_sizes(spark, df):
+    debug = getattr(spark._jvm, "org.apache.spark.sql.execution.debug.package$")
+    parts = getattr(debug, "MODULE$").codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+
+
+@pytest.fixture()
+def fixed_plans(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("skip_header", [True, False])
+def test_parsing_lines(spark, landing, fixed_plans, skip_header):
+    lines = read_lines(spark, str(landing / "train_FD001.txt"), skip_header)
+    sizes = method_sizes(spark, good_rows(parse_lines(lines)))
+    assert sizes and max(sizes) < LIMIT
+
+
+def test_parsing_events(spark, landing, fixed_plans):
+    text = spark.read.text(str(landing)).select(F.col("value").alias("body"))
+    sizes = method_sizes(spark, sensor_rows(parse_events(text)))
+    assert sizes and max(sizes) < LIMIT
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_statistics_and_silver(spark, tmp_path, fixed_plans, broadcast_bytes):
+    columns = [f"CAST(id % 7 AS {LOG_TYPES[name]}) AS {name}" for name in LOG_COLUMNS]
+    spark.range(50).selectExpr(*columns).write.parquet(f"{tmp_path}/log")
+    log = spark.read.parquet(f"{tmp_path}/log")
+    stats = fit_stats(log)
+    silver = apply_stats(label_run_to_failure(log, broadcast_bytes=broadcast_bytes), stats)
+    for df in (stats, silver):
+        sizes = method_sizes(spark, df)
+        assert sizes and max(sizes) < LIMIT
