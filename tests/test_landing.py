@@ -7,7 +7,15 @@ import pytest
 from conftest import log_line
 from pyspark.sql import functions as F
 
-from wearlog.functions.text import all_finite, fields, numbers, quick_numbers, to_numbers, utc_text
+from wearlog.functions.text import (
+    all_finite,
+    fields,
+    numbers,
+    quick_fields,
+    to_numbers,
+    utc_text,
+    without_gaps,
+)
 from wearlog.plans import layers
 from wearlog.plans.layers import BronzeStage
 from wearlog.schema import LOG_COLUMNS
@@ -58,11 +66,11 @@ def test_numbers_do_not_depend_on_the_quick_way(spark):
     rng = random.Random(12)
     parts = ["1", "2.5", "-3e2", "x", "NaN", "", " ", " ", " ", "  ", "\t", '"', "\x0b"]
     lines = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(3000)]
-    lines += ["1 2  3", "1 2 3 ", '" 1 2 3', "1 \t2 3", "1 2\t 3", "1  2", "1 2 3 4"]
+    lines += ["1 2  3", "1 2 3 ", '" 1 2 3', "1 \t2 3", "1 2\t 3", "1  2", "1 2 3 4", "1\t2 3 4"]
     value = F.col("value")
     df = lines_of(spark, *lines).select(
         "value",
-        numbers(value, quick_numbers(value), 3).alias("got"),
+        without_gaps(value, numbers(value, quick_fields(value), 3), 3).alias("got"),
         to_numbers(fields(value)).alias("expected"),
     )
     assert df.filter("size(got) = 3").count() > 100

@@ -31,20 +31,28 @@ def elements(array: Column, n: int) -> list[Column]:
     return [F.get(array, F.lit(i)) for i in range(n)]
 
 
-def quick_numbers(line: Column) -> Column:
-    """What lies between single spaces as doubles: the line's numbers if it is an even one."""
-    return to_numbers(F.split(_plain(line), " "))
+def quick_fields(line: Column) -> Column:
+    """What lies between single spaces: the line's fields if it has no other white space."""
+    return F.split(_plain(line), " ")
 
 
 def numbers(line: Column, quick: Column, n: int) -> Column:
     """The line's fields as doubles, NULL where one is no number.
 
-    Nearly all lines have their ``n`` numbers in ``quick``. Only the others need the slower
-    pattern matching, which would find the same in lines of the first kind. ``quick`` should be
-    a column of its own, as an expression it would be computed several times.
+    Most lines have their ``n`` fields in ``quick``. Only the others need the slower pattern
+    matching. The number of fields is looked at first, as failed casts are the slowest way.
     """
-    complete = (F.size(quick) == n) & (F.size(F.array_compact(quick)) == n)
-    return F.when(complete, quick).otherwise(to_numbers(fields(line)))
+    return to_numbers(F.when(F.size(quick) == n, quick).otherwise(fields(line)))
+
+
+def without_gaps(line: Column, found: Column, n: int) -> Column:
+    """``numbers`` again for lines whose ``n`` quick fields were not all numbers.
+
+    Other white space than spaces may be the reason. Both steps should be columns of their own,
+    as expressions they would be computed several times.
+    """
+    whole = (F.size(found) != n) | (F.size(F.array_compact(found)) == n)
+    return F.when(whole, found).otherwise(to_numbers(fields(line)))
 
 
 def is_blank(line: Column) -> Column:

@@ -16,9 +16,10 @@ from wearlog.functions.text import (
     fields,
     is_blank,
     numbers,
-    quick_numbers,
+    quick_fields,
     to_int,
     to_numbers,
+    without_gaps,
 )
 from wearlog.operators.attach import attach
 from wearlog.schema import LABEL, LOG_COLUMNS, LOG_TYPES
@@ -53,9 +54,10 @@ def parse_lines(lines: DataFrame, counts: Observation | None = None) -> DataFram
     """
     n = len(LOG_COLUMNS)
     split = lines.select(
-        F.col("value").alias("line"), "file", quick_numbers(F.col("value")).alias("quick")
+        F.col("value").alias("line"), "file", quick_fields(F.col("value")).alias("quick")
     )
-    typed = split.withColumn("numbers", numbers(F.col("line"), F.col("quick"), n)).select(
+    found = split.withColumn("found", numbers(F.col("line"), F.col("quick"), n))
+    typed = found.withColumn("numbers", without_gaps(F.col("line"), F.col("found"), n)).select(
         *[
             (to_int(value) if LOG_TYPES[name] == "int" else value).alias(name)
             for name, value in zip(LOG_COLUMNS, elements(F.col("numbers"), n))
