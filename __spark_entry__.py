@@ -428,11 +428,29 @@ QUERIES = [
 ]
 
 
+def _corpus() -> tuple[dict, dict]:
+    """Queries and SQL of the optional subpackage; both empty where it is not installed."""
+    try:
+        import corpus_pipeline
+        from wearlog.llm.queries import ORACLE_SQL
+        from wearlog.llm.queries import QUERIES as corpus_queries
+    except ModuleNotFoundError as error:
+        if error.name not in ("corpus_pipeline", "wearlog.llm"):
+            raise
+        return {}, {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return corpus_queries | {"pipeline": corpus_pipeline.run}, ORACLE_SQL | whole
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {query.__name__: query for query in QUERIES}
+    return {query.__name__: query for query in QUERIES} | _corpus()[0]
 
 
 def oracle_sql() -> dict[str, str]:
+    return _sensor_sql() | _corpus()[1]
+
+
+def _sensor_sql() -> dict[str, str]:
     def columns(names, table=""):
         return ", ".join(f"{table}{name}" for name in names)
 
