@@ -4,9 +4,53 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlog.llm.lines import drop_common_lines
+from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(read(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+MIX_SQL = r"""
+    WITH sized AS (
+        SELECT doc_id, source, md5(concat('mix:', doc_id)) AS place,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size
+        FROM documents),
+    sources AS (
+        SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
+        FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source)),
+    ranked AS (
+        SELECT *, 2.0::DOUBLE * source_size AS cap,
+               row_number() OVER (ORDER BY 2.0::DOUBLE * source_size / w, source NULLS LAST) AS k
+        FROM sources WHERE source_size > 0),
+    levels AS (
+        SELECT k, cap, w,
+               (1.5::DOUBLE * sum(cap) OVER () / 2
+                   - coalesce(sum(cap) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+               / (sum(w) OVER (ORDER BY k ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level
+        FROM ranked),
+    chosen AS (SELECT level FROM levels WHERE cap > level * w ORDER BY k LIMIT 1),
+    targets AS (
+        SELECT source, source_size,
+               CASE WHEN source_size > 0
+                    THEN least(2.0::DOUBLE * source_size, level * w) ELSE 0 END AS target
+        FROM sources, chosen),
+    plan AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole
+        FROM targets),
+    placed AS (
+        SELECT doc_id, size, source_size, target, whole,
+               round(target)::BIGINT - whole * source_size AS extra,
+               coalesce(sum(size) OVER (PARTITION BY sized.source ORDER BY place, size
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM sized JOIN plan ON sized.source IS NOT DISTINCT FROM plan.source)
+    SELECT doc_id, size::BIGINT AS size, source_size, target,
+           (whole * size + greatest(0, least(size, extra - before)))::BIGINT AS taken
+    FROM placed"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_common_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(
@@ -38,9 +82,11 @@ LINE_DEDUP_SQL = r"""
 QUERIES = {
     query.__name__: query
     for query in [
+        op5_mix_sources,
         op10_line_dedup,
     ]
 }
 ORACLE_SQL = {
+    "op5_mix_sources": MIX_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
