@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wearlog.llm.decontaminate import find_contamination
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
@@ -51,6 +52,52 @@ MIX_SQL = r"""
     FROM placed"""
 
 
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+DECONTAMINATE_SQL = r"""
+    WITH doc_words AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    items AS (
+        SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM benchmark),
+    grams AS (
+        SELECT DISTINCT item, array_to_string(w[i:i + 9], ' ') AS g, least(len(w), 10) AS n
+        FROM (SELECT item, w, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i
+              FROM items WHERE len(w) > 0)),
+    lengths AS (SELECT DISTINCT n FROM grams),
+    places AS (
+        SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc_words), lengths
+        WHERE i + n - 1 <= len(w)),
+    found AS (SELECT doc_id, i, places.n, item FROM places JOIN grams USING (g)),
+    hits AS (
+        SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+    by_doc AS (
+        SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+        FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN by_doc USING (doc_id)"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_common_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(
@@ -83,10 +130,12 @@ QUERIES = {
     query.__name__: query
     for query in [
         op5_mix_sources,
+        op8_decontaminate,
         op10_line_dedup,
     ]
 }
 ORACLE_SQL = {
     "op5_mix_sources": MIX_SQL,
+    "op8_decontaminate": DECONTAMINATE_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
