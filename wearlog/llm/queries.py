@@ -1,14 +1,28 @@
 """The registered queries of the operators, their SQL where SQL can express them."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlog.llm.decontaminate import find_contamination
+from wearlog.llm.language import identify_languages, learn_languages
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
 
 
+def remainder(parts: int) -> Column:
+    """Of the check sum of the id as text; a null id counts as remainder 0."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)), F.lit(0))
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = learn_languages(docs.filter(remainder(4) != 2))
+    found = identify_languages(docs, model, ["doc_id"])
+    held_out = (remainder(4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "shares")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -129,6 +143,7 @@ LINE_DEDUP_SQL = r"""
 QUERIES = {
     query.__name__: query
     for query in [
+        op1_language_id,
         op5_mix_sources,
         op8_decontaminate,
         op10_line_dedup,

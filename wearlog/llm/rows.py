@@ -1,8 +1,13 @@
 """What the operators share on the side of Spark."""
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wearlog.llm.flat import slices
+
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: What is no part of a word, once A-Z are lower-cased.
@@ -38,3 +43,40 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     for name in names:
         condition = condition & left[name].eqNullSafe(right[name])
     return condition
+
+
+def scan(
+    docs: DataFrame,
+    keep: list[str],
+    text: Column,
+    work: Callable[[pa.RecordBatch], list[pa.Array]],
+    fields: str,
+    prefix: str = "",
+) -> DataFrame:
+    """The columns ``keep`` of every row, then the new ``fields`` that ``work`` computes.
+
+    ``work`` gets slices of batches whose last column is ``text`` (bounded by ``SLICE_BYTES``) and
+    returns one array per field. Kept columns travel under neutral names, so none can clash with the
+    text's or with one another; a field that would clash gets ``prefix``.
+    """
+    inner = [F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(keep)]
+    kinds = dict(docs.dtypes)
+    kept = [f"c{i} {kinds[name]}" for i, name in enumerate(keep)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "body"):
+                columns = part.columns[:-1] + work(part)
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    new = [f"f{i} {field.strip().split(' ', 1)[1]}" for i, field in enumerate(fields.split(";"))]
+    names = [x.split(" ")[0] for x in kept + new]
+    called = [field.strip().split(" ")[0] for field in fields.split(";")]
+    out = docs.select(*inner, text.alias("body")).mapInArrow(run, ", ".join(kept + new))
+    return out.select(
+        *[F.col(f"c{i}").alias(name) for i, name in enumerate(keep)],
+        *[
+            F.col(f"f{i}").alias(prefix + name if name in keep else name)
+            for i, name in enumerate(called)
+        ],
+    )
