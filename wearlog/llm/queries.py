@@ -8,6 +8,7 @@ from wearlog.llm.language import identify_languages, learn_languages
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
+from wearlog.llm.toxicity import learn_toxicity, score_toxicity
 
 
 def remainder(parts: int) -> Column:
@@ -23,6 +24,19 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "shares")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    labels = read(spark, sf_dir, "labels").filter(remainder(5) != 0)
+    scored = score_toxicity(docs, learn_toxicity(docs, labels), ["doc_id"])
+    return scored.select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("hits").alias("n_hits"),
+    )
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -144,6 +158,7 @@ QUERIES = {
     query.__name__: query
     for query in [
         op1_language_id,
+        op3_toxicity,
         op5_mix_sources,
         op8_decontaminate,
         op10_line_dedup,
