@@ -220,10 +220,10 @@ def identify_languages(
     - Repeated rows get the same result. Texts of any length are used as a whole.
     - An empty table gives an empty table; kept columns may have any names (see ``rows.scan``).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def work(part: pa.RecordBatch) -> list[pa.Array]:
-        known = shared.value
+        known = LanguageModel(**shared.value)
         grams, first = gram_buckets(*flat_text(part.column(part.num_columns - 1)))
         units, sizes, unit_first = unit_likelihoods(known, grams, first)
         shares = infer_mixture(known, units, sizes, unit_first, penalty)

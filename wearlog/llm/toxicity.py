@@ -138,13 +138,11 @@ class Hits:
 def find_hits(machine, folded: str, first: np.ndarray) -> Hits:
     """``first``: n + 1 places where rows begin."""
     points = np.frombuffer(folded.encode("utf-32-le"), np.uint32)
-    blanks = np.concatenate([[0], np.cumsum(points == BLANK)])
     # Words of a row: blanks in front of letters, its own end blank excepted.
     ahead = np.zeros(len(points) + 1, bool)
     ahead[1 : len(points)] = (points[:-1] == BLANK) & (points[1:] != BLANK)
     words = np.concatenate([[0], np.cumsum(ahead[: len(points)])])
     n_words = words[first[1:]] - words[first[:-1]]
-    del blanks
     best: dict[int, tuple[int, float]] = {}
     shields: list[tuple[int, int]] = []
     if len(machine):
@@ -173,12 +171,13 @@ def evidence(hits: Hits) -> np.ndarray:
     return np.log1p(100 * sums / (hits.n_words + PRIOR_WORDS))
 
 
-def _terms(words: list[str]) -> set[str]:
-    found = set()
-    for word in set(words):
-        found.add(f" {word} ")
+def _terms(words: list[str]) -> Counter:
+    """How often each term of a row stands in it."""
+    found: Counter = Counter()
+    for word, n in Counter(words).items():
+        found[f" {word} "] += n
         for size in range(MIN_STEM, min(MAX_STEM, len(word)) + 1):
-            found.add(f" {word[:size]}")
+            found[f" {word[:size]}"] += n
     return found
 
 
@@ -187,19 +186,36 @@ def _folded_rows(part: pa.RecordBatch) -> list[str]:
     return [folded[a:b] for a, b in zip(first[:-1], first[1:])]
 
 
+def _longest(part: pa.RecordBatch) -> list[pa.Array]:
+    """The two longest words of each row, which copies and near copies share."""
+    rows = (sorted(set(row.split()), key=lambda w: (-len(w), w)) for row in _folded_rows(part))
+    return [pa.array([" ".join(words[:2]) for words in rows], pa.string())]
+
+
 def _count_terms(wanted):
-    """``wanted``: a broadcast set of terms, or None for all terms."""
+    """``wanted``: a broadcast set of terms, or None for all terms. The term ``""`` counts words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        rows: Counter = Counter()
+        places: Counter = Counter()
         for batch in batches:
             for part in slices(batch, "body"):
                 for row in _folded_rows(part):
-                    terms = _terms(row.split())
-                    counts.update(terms if wanted is None else terms & wanted.value)
+                    words = row.split()
+                    own = _terms(words)
+                    if wanted is not None:
+                        own = {term: own[term] for term in own.keys() & wanted.value}
+                    rows.update(own.keys())
+                    places.update(own)
+                    rows[""] += 1
+                    places[""] += len(words)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
-            names=["term", "n"],
+            [
+                pa.array(rows.keys(), pa.string()),
+                pa.array(rows.values(), pa.int64()),
+                pa.array([places[term] for term in rows], pa.int64()),
+            ],
+            names=["term", "rows", "places"],
         )
 
     return run
@@ -209,7 +225,7 @@ def _count_contexts(model):
     """Words that hold a hit, alone and with each neighbour, once per row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = model.value.automaton()
+        machine = ToxicityModel(**model.value).automaton()
         counts: Counter = Counter()
         for batch in batches:
             for part in slices(batch, "body"):
@@ -240,24 +256,47 @@ def _count_contexts(model):
     return run
 
 
-def _odds(n_toxic: int, n_clean: int, toxic: int, clean: int) -> tuple[float, float]:
-    """Log odds of a term for toxic rows, and its standard error."""
-    odds = np.log((n_toxic + 0.5) / (toxic + 1)) - np.log((n_clean + 0.5) / (clean + 1))
-    return float(odds), float(np.sqrt(1 / (n_toxic + 0.5) + 1 / (n_clean + 0.5)))
+@dataclass
+class Count:
+    """Rows that hold a term, and its places."""
+
+    rows: int = 0
+    places: int = 0
+
+
+def _odds(bad: Count, good: Count, all_bad: Count, all_good: Count) -> tuple[float, float]:
+    """Log ratio of a term's places per word in toxic and in clean rows, and its standard error, for
+    which a row counts once however often it repeats the term."""
+    odds = np.log((bad.places + 0.5) / (all_bad.places + 1))
+    odds -= np.log((good.places + 0.5) / (all_good.places + 1))
+    return float(odds), float(np.sqrt(1 / (bad.rows + 0.5) + 1 / (good.rows + 0.5)))
 
 
-def _lexicon(counts: dict[str, tuple[int, int]], toxic: int, clean: int, margin: float) -> dict:
-    """Terms whose log odds exceed 1 by ``margin`` standard errors, shortest first."""
+def _lexicon(bad: dict[str, Count], good: dict[str, Count], margin: float) -> dict[str, float]:
+    """Terms whose log odds exceed 1 by ``margin`` standard errors.
+
+    From the shortest on; a longer term joins only if it says clearly more than its beginnings. A
+    chosen beginning that stands almost only in one longer term is replaced by that.
+    """
+    none = Count()
     chosen: dict[str, float] = {}
-    for term in sorted(counts, key=lambda t: (len(t.strip()), t.endswith(" "), t)):
-        odds, error = _odds(*counts[term], toxic, clean)
+    for term in sorted(bad, key=lambda t: (len(t.strip()), t.endswith(" "), t)):
+        if not term:
+            continue
+        odds, error = _odds(bad[term], good.get(term, none), bad[""], good[""])
         if odds - margin * error < 1:
             continue
         bare = term.rstrip()
         parents = [chosen[bare[:i]] for i in range(MIN_STEM + 1, len(bare) + 1) if bare[:i] in chosen]
         if all(odds > parent + 0.7 for parent in parents):
             chosen[term] = odds
-    return chosen
+    longest: dict[str, str] = {}
+    for term in sorted(bad, key=lambda t: (len(t), t)):
+        for size in range(MIN_STEM + 1, len(term)):
+            start = term[:size]
+            if start in chosen and bad[term].places >= 0.95 * bad[start].places:
+                longest[start] = term
+    return {longest.get(term, term): odds for term, odds in chosen.items()}
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -288,7 +327,8 @@ def learn_toxicity(
     """Learn from about ``most_rows`` labelled rows at most, chosen by a hash of their id.
 
     Terms must stand in ``min_rows`` toxic rows. Rows without label or id are left out; an id with
-    several labels takes the highest. Without toxic or without clean rows nothing is learned, and every
+    several labels takes the highest. Rows with the same two longest words count once: copies and near
+    copies share them. Without toxic or without clean rows nothing is learned, and every
     text scores 0.
     """
     spark = docs.sparkSession
@@ -302,31 +342,37 @@ def learn_toxicity(
     spread = F.pmod(F.xxhash64("label_id"), F.lit(1 << 20))
     chosen = known.filter(spread < F.lit(int(share * (1 << 20))))
     # At most about most_rows rows of 12 bytes.
-    sample = stored(
+    rows = (
         docs.select(F.col(id).alias("id"), F.col(text).alias("body"))
         .join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
-        .select("body", "toxic"),
-        "labelled",
+        .select("body", "toxic")
     )
+    # Copies are no evidence of their own.
+    marked = scan(rows, ["body", "toxic"], F.col("body"), _longest, "longest string")
+    sample = stored(marked.dropDuplicates(["longest", "toxic"]).drop("longest"), "labelled")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
         return ToxicityModel(slope=0.0, offset=-50.0)
 
-    def counted(label: int, wanted) -> DataFrame:
-        rows = sample.filter(F.col("toxic") == label).select("body")
-        return rows.mapInArrow(_count_terms(wanted), "term string, n long").groupBy("term").agg(
-            F.sum("n").alias("n")
+    def counted(label: int, wanted, least: int) -> dict[str, Count]:
+        """Terms of enough rows; at most those of the sample."""
+        counts = (
+            sample.filter(F.col("toxic") == label)
+            .select("body")
+            .mapInArrow(_count_terms(wanted), "term string, rows long, places long")
+            .groupBy("term")
+            .agg(F.sum("rows").alias("rows"), F.sum("places").alias("places"))
+            .filter((F.col("rows") >= least) | (F.col("term") == ""))
         )
+        return {r["term"]: Count(r["rows"], r["places"]) for r in counts.collect()}
 
-    in_toxic = {r["term"]: r["n"] for r in counted(1, None).filter(F.col("n") >= min_rows).collect()}
-    wanted = spark.sparkContext.broadcast(set(in_toxic))
-    in_clean = {r["term"]: r["n"] for r in counted(0, wanted).collect()}
-    counts = {term: (n, in_clean.get(term, 0)) for term, n in in_toxic.items()}
-    model = ToxicityModel(_lexicon(counts, n_toxic, n_clean, margin))
+    bad = counted(1, None, min_rows)
+    good = counted(0, spark.sparkContext.broadcast(set(bad)), 1)
+    model = ToxicityModel(_lexicon(bad, good, margin))
     # Exceptions: what holds hits and speaks for clean rows.
     around = sample.mapInArrow(
-        _count_contexts(spark.sparkContext.broadcast(model)), "phrase string, toxic long, n long"
+        _count_contexts(spark.sparkContext.broadcast(vars(model))), "phrase string, toxic long, n long"
     )
     phrases: dict[str, list[int]] = {}
     for r in (
@@ -341,10 +387,10 @@ def learn_toxicity(
         phrases[r["phrase"]] = [r["bad"], r["good"]]
     model.exceptions = sorted(
         phrase
-        for phrase, (bad, good) in phrases.items()
-        if (lambda odds, error: odds + error < 0)(*_odds(bad, good, n_toxic, n_clean))
+        for phrase, (n_bad, n_good) in phrases.items()
+        if sum(_odds(Count(n_bad, n_bad), Count(n_good, n_good), bad[""], good[""])) < 0
     )
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(vars(model))
     fitted = scan(sample, ["toxic"], F.col("body"), _evidence_of(shared), "evidence double").toArrow()
     model.slope, model.offset = _logistic(
         fitted["evidence"].to_numpy(), fitted["toxic"].to_numpy().astype(np.float64)
@@ -355,7 +401,7 @@ def learn_toxicity(
 def _evidence_of(shared):
     def work(part: pa.RecordBatch) -> list[pa.Array]:
         folded, _, first = fold(*flat_text(part.column(part.num_columns - 1)))
-        return [pa.array(evidence(find_hits(shared.value.automaton(), folded, first)))]
+        return [pa.array(evidence(find_hits(ToxicityModel(**shared.value).automaton(), folded, first)))]
 
     return work
 
@@ -370,11 +416,11 @@ def score_toxicity(
     - Repeated rows get the same result. Texts of any length are used as a whole.
     - An empty table gives an empty table; kept columns may have any names (see ``rows.scan``).
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     machines: list = []
 
     def work(part: pa.RecordBatch) -> list[pa.Array]:
-        known = shared.value
+        known = ToxicityModel(**shared.value)
         if not machines:
             machines.append(known.automaton())
         text, at = flat_text(part.column(part.num_columns - 1))
