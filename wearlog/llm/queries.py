@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from wearlog.llm.decontaminate import find_contamination
 from wearlog.llm.language import identify_languages, learn_languages
+from wearlog.llm.licences import TEMPLATES, scan_licences
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
+from wearlog.llm.tokens import attribute_tokens
 from wearlog.llm.toxicity import learn_toxicity, score_toxicity
 
 
@@ -37,6 +39,65 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licences(read(spark, sf_dir, "documents"), ["doc_id"])
+    base = F.filter("matches", lambda m: m["base"])
+    starts = F.transform(base, lambda m: m["start"])
+    joined = lambda some: F.array_join(
+        F.array_sort(F.array_distinct(F.transform(some, lambda m: m["label"]))), ","
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        joined(base).alias("base_labels"),
+        joined(F.col("matches")).alias("labels"),
+        F.round(
+            F.coalesce(F.array_max(F.transform("matches", lambda m: m["cover"])), F.lit(0.0)), 6
+        ).alias("score"),
+    )
+
+
+def _licence_sql() -> str:
+    words = ", ".join(
+        f"({t}, {off}, '{word}', {off in set(template.mandatory)})"
+        for t, template in enumerate(TEMPLATES)
+        for off, word in enumerate(template.words)
+    )
+    templates = ", ".join(
+        f"({t}, '{x.label}', {x.base}, {len(x.words)}, {x.needed}, {len(x.mandatory)})"
+        for t, x in enumerate(TEMPLATES)
+    )
+    return rf"""
+    WITH parts(t, off, word, must) AS (VALUES {words}),
+    templates(t, label, base, size, needed, musts) AS (VALUES {templates}),
+    split AS (
+        SELECT doc_id, regexp_extract_all(
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM documents),
+    places AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS pos FROM split),
+    aligned AS (
+        SELECT doc_id, t, pos - off AS start, count(*) AS n, count(*) FILTER (must) AS n_must
+        FROM places JOIN parts USING (word) GROUP BY ALL),
+    matches AS (
+        SELECT doc_id, start, label, base, n / size AS cover
+        FROM aligned JOIN templates USING (t) JOIN split USING (doc_id)
+        WHERE n >= needed AND n_must = musts AND start >= 0 AND start + size <= len(w)),
+    found AS (
+        SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word,
+               max(start) FILTER (base) AS last_word,
+               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels,
+               string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+        FROM matches GROUP BY doc_id)
+    SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+           coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+           round(coalesce(score, 0), 6) AS score
+    FROM split LEFT JOIN found USING (doc_id)"""
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -80,6 +141,29 @@ MIX_SQL = r"""
     FROM placed"""
 
 
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+
+
+def op6_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY
+) -> DataFrame:
+    """Tokens of source, language and text, and of each of their lines, encoded as one document."""
+    fields = ["source", "lang", "text"]
+    counted = attribute_tokens(read(spark, sf_dir, "documents"), vocabulary, ["doc_id"], fields)
+    tokens = lambda name: F.aggregate(
+        F.filter("sections", lambda s: s["field"] == name),
+        F.lit(0).cast("long"),
+        lambda total, s: total + s["n_tokens"],
+    ).alias(f"{name}_tokens")
+    return counted.select(
+        "doc_id",
+        "n_tokens",
+        "n_crossing",
+        *[tokens(name) for name in fields],
+        F.transform("sections", lambda s: s["n_tokens"]).alias("section_tokens"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10
@@ -159,12 +243,15 @@ QUERIES = {
     for query in [
         op1_language_id,
         op3_toxicity,
+        op4_licence_scan,
         op5_mix_sources,
+        op6_token_counts,
         op8_decontaminate,
         op10_line_dedup,
     ]
 }
 ORACLE_SQL = {
+    "op4_licence_scan": _licence_sql(),
     "op5_mix_sources": MIX_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,

@@ -45,6 +45,14 @@ def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return condition
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """The name, lengthened until no column has it."""
+    taken = {column.lower() for column in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scan(
     docs: DataFrame,
     keep: list[str],
