@@ -10,6 +10,7 @@ from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
+from wearlog.llm.topk import top_k
 from wearlog.llm.toxicity import learn_toxicity, score_toxicity
 
 
@@ -210,6 +211,33 @@ DECONTAMINATE_SQL = r"""
     FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN by_doc USING (doc_id)"""
 
 
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("double"))
+    fine = F.forall(
+        "embedding",
+        lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))),
+    )
+    vectors = read(spark, sf_dir, "embeddings").filter(fine).select("vec_id", whole.alias("vector"))
+    found = top_k(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+    return found.select(
+        "query_id", "rank", F.col("id").alias("vec_id"), F.col("score").cast("long").alias("score")
+    )
+
+
+TOP_K_SQL = """
+    WITH vectors AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256.0::DOUBLE * x::DOUBLE)) AS v
+        FROM embeddings
+        WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v) AS score
+        FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND q.vec_id % 50 = 0)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, CAST(score AS BIGINT) AS score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+          FROM scored)
+    WHERE rank <= 5"""
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_common_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(
@@ -247,6 +275,7 @@ QUERIES = {
         op5_mix_sources,
         op6_token_counts,
         op8_decontaminate,
+        op9_top_k,
         op10_line_dedup,
     ]
 }
@@ -254,5 +283,6 @@ ORACLE_SQL = {
     "op4_licence_scan": _licence_sql(),
     "op5_mix_sources": MIX_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
+    "op9_top_k": TOP_K_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
