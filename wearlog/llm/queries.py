@@ -8,6 +8,7 @@ from wearlog.llm.language import identify_languages, learn_languages
 from wearlog.llm.licences import TEMPLATES, scan_licences
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
+from wearlog.llm.near_dup import near_duplicates
 from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
 from wearlog.llm.topk import top_k
@@ -27,6 +28,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score", "shares")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     labels = read(spark, sf_dir, "labels").filter(remainder(5) != 0)
@@ -270,6 +275,7 @@ QUERIES = {
     query.__name__: query
     for query in [
         op1_language_id,
+        op2_near_dedup,
         op3_toxicity,
         op4_licence_scan,
         op5_mix_sources,
