@@ -15,32 +15,11 @@ Only rare lists and the postings of documents with survivors are ever joined. Si
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.llm.rows import words_of
+from wearlog.llm.rows import DOC, join, measured, words_of
 from wearlog.session import stored
 
 #: Stands for the end of a document among the postings; no word holds a blank.
 END = " "
-#: A broadcast side has this many rows at most, of about 100 bytes.
-MOST_BROADCAST_ROWS = 100_000
-
-DOC = ["doc_id", "text_key"]
-
-
-def measured(table: DataFrame, limit: int = MOST_BROADCAST_ROWS) -> DataFrame:
-    """The stored table, to be broadcast if it is small enough."""
-    return F.broadcast(table) if table.count() <= limit else table
-
-
-def join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
-    """Join on columns of the same name; null ids are equal."""
-    renamed = right.select(*[F.col(c).alias(f"{c}_" if c in names else c) for c in right.columns])
-    condition = F.lit(True)
-    for name in names:
-        same = F.col(name).eqNullSafe if name == "doc_id" else F.col(name).__eq__
-        condition = condition & same(F.col(f"{name}_"))
-    joined = left.join(renamed, condition, how)
-    return joined.drop(*[f"{name}_" for name in names])
-
 
 def keyed_words(docs: DataFrame, id: str, text: str) -> DataFrame:
     body = F.col(f"`{text}`")
@@ -123,7 +102,7 @@ def exact_matches(plan: DataFrame, postings: DataFrame) -> DataFrame:
     others = plan.filter("n > 2").select(
         F.col("key").alias("k"), F.explode(F.slice("lists", 3, F.greatest(F.size("lists") - 2, F.lit(1)))).alias("list")
     )
-    wanted = survivors.filter("n > 2").join(measured(stored(others, "other-lists"), MOST_BROADCAST_ROWS), F.col("key") == F.col("k")).select(
+    wanted = survivors.filter("n > 2").join(measured(stored(others, "other-lists")), F.col("key") == F.col("k")).select(
         *DOC, "key", "n", "start",
         F.col("list")["term"].alias("term"),
         (F.col("start") + F.col("list")["off"]).alias("pos"),

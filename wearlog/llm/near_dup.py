@@ -24,9 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.components import components
-from wearlog.llm.decontaminate import measured
 from wearlog.llm.flat import U64, Words, column_of, flat_text, slices, splitmix
-from wearlog.llm.rows import scan
+from wearlog.llm.rows import measured, scan
 from wearlog.session import stored
 
 SHINGLE, BANDS, ROWS = 5, 28, 5

@@ -9,6 +9,7 @@ from wearlog.llm.licences import TEMPLATES, scan_licences
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
+from wearlog.llm.repeats import drop_repeats
 from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
 from wearlog.llm.topk import top_k
@@ -170,6 +171,20 @@ def op6_token_counts(
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = drop_repeats(read(spark, sf_dir, "documents"), 400)
+    lost = F.aggregate(
+        "removed", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["start"]
+    )
+    return cut.select(
+        "doc_id",
+        (F.octet_length("kept") + lost).cast("long").alias("n_bytes"),
+        lost.alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10
@@ -280,6 +295,7 @@ QUERIES = {
         op4_licence_scan,
         op5_mix_sources,
         op6_token_counts,
+        op7_suffix_dedup,
         op8_decontaminate,
         op9_top_k,
         op10_line_dedup,
