@@ -151,14 +151,15 @@ def infer_mixture(
     first: np.ndarray,
     penalty: float = 1.0,
     rounds: int = 30,
-) -> np.ndarray:
-    """The share of each language in the grams of each row; rows without grams get zeros."""
+) -> tuple[np.ndarray, np.ndarray]:
+    """The share of each language in the grams of each row, zeros for rows without grams; and by how
+    much the mixture's log-likelihood per gram exceeds that of grams that are all equally likely."""
     n_rows, n_langs = len(first) - 1, units.shape[1]
     out = np.zeros((n_rows, n_langs))
     n_units = np.diff(first)
     rows = np.flatnonzero(n_units)
     if len(rows) == 0 or n_langs == 0:
-        return out
+        return out, np.zeros(n_rows)
     top = units.max(axis=1)
     ratio = np.exp(units - top[:, None])
     shares = np.zeros((n_rows, n_langs))
@@ -198,7 +199,10 @@ def infer_mixture(
     joint *= (sizes / np.maximum(joint.sum(axis=1), 1e-300))[:, None]
     out = _by_row(joint, first)
     total = out.sum(axis=1, keepdims=True)
-    return np.divide(out, total, out=np.zeros_like(out), where=total > 0)
+    likelihood = fit + _by_row(top[:, None], first)[:, 0]
+    grams = np.maximum(_by_row(sizes[:, None].astype(np.float64), first)[:, 0], 1)
+    gain = np.where(n_units > 0, likelihood * GRAM / grams + GRAM_BITS * np.log(2), 0.0)
+    return np.divide(out, total, out=np.zeros_like(out), where=total > 0), gain
 
 
 def _within(counts: np.ndarray) -> np.ndarray:
@@ -212,10 +216,11 @@ def identify_languages(
     text: str = "text",
     penalty: float = 1.0,
 ) -> DataFrame:
-    """The columns ``keep`` with ``lang_pred``, ``score`` (its share) and ``shares`` (language, share;
-    largest first) of every row.
+    """The columns ``keep`` with ``lang_pred``, ``score`` (its share), ``shares`` (language, share; largest
+    first) and ``gain`` of every row: the log-likelihood per gram above that of grams that are all equally
+    likely. Texts in none of the learned languages have a negative gain.
 
-    - Texts that are null or have no letter are ``und`` with score 0 and no shares; so is every text if
+    - Texts that are null or have no letter are ``und`` with score and gain 0 and no shares; so is every text if
       nothing was learned. Ties go to the language that comes first in code point order.
     - Repeated rows get the same result. Texts of any length are used as a whole.
     - An empty table gives an empty table; kept columns may have any names (see ``rows.scan``).
@@ -226,7 +231,7 @@ def identify_languages(
         known = LanguageModel(**shared.value)
         grams, first = gram_buckets(*flat_text(part.column(part.num_columns - 1)))
         units, sizes, unit_first = unit_likelihoods(known, grams, first)
-        shares = infer_mixture(known, units, sizes, unit_first, penalty)
+        shares, gain = infer_mixture(known, units, sizes, unit_first, penalty)
         preds, scores, lists = [], [], []
         for own in shares:
             order = [i for i in np.argsort(-own, kind="stable").tolist() if own[i] > 0]
@@ -234,10 +239,17 @@ def identify_languages(
             scores.append(float(own[order[0]]) if order else 0.0)
             lists.append([{"lang": known.languages[i], "share": float(own[i])} for i in order])
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
-        return [pa.array(preds, pa.string()), pa.array(scores, pa.float64()), pa.array(lists, kind)]
+        return [
+            pa.array(preds, pa.string()),
+            pa.array(scores, pa.float64()),
+            pa.array(lists, kind),
+            pa.array(gain),
+        ]
 
     # A text without a letter is handed on as empty: bytes outside ASCII need not be letters.
     body = F.col(f"`{text}`")
     letters = F.when(body.rlike(r"\p{L}"), F.lower(body)).otherwise(F.lit(""))
-    fields = "lang_pred string; score double; shares array<struct<lang:string,share:double>>"
+    fields = (
+        "lang_pred string; score double; shares array<struct<lang:string,share:double>>; gain double"
+    )
     return scan(docs, keep, letters, work, fields, prefix="found_")

@@ -211,8 +211,9 @@ def near_duplicates(
     bands: int = BANDS,
     rows: int = ROWS,
 ) -> DataFrame:
-    """``doc_id, text_key, class_id, class_size`` for every row of ``docs``; ``class_id`` is the smallest
-    id of the class, ``class_size`` its rows.
+    """``doc_id, text_key, class_id, class_size, class_key`` for every row of ``docs``; ``class_id`` is the
+    smallest id of the class, ``class_size`` its rows, ``class_key`` its smallest node (null for rows without
+    words).
 
     - Words: what ``flat.Words`` says. Texts that agree in all words are in one class; texts with fewer
       words than a shingle are compared as a whole. Rows without words (null, empty, signs only) are
@@ -281,9 +282,15 @@ def near_duplicates(
     named = known.groupBy("component").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
-    grouped = known.join(named, "component").select("doc_id", "text_key", "class_id", "class_size")
+    grouped = known.join(named, "component").select(
+        "doc_id", "text_key", "class_id", "class_size", F.col("component").alias("class_key")
+    )
     alone = placed.filter(F.col("component").isNull()).select(
-        "doc_id", "text_key", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size")
+        "doc_id",
+        "text_key",
+        F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("long").alias("class_size"),
+        F.col("component").alias("class_key"),
     )
     return grouped.unionByName(alone)
 

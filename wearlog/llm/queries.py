@@ -26,11 +26,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = learn_languages(docs.filter(remainder(4) != 2))
     found = identify_languages(docs, model, ["doc_id"])
     held_out = (remainder(4) == 2).alias("held_out")
-    return found.select("doc_id", held_out, "lang_pred", "score", "shares")
+    return found.select("doc_id", held_out, "lang_pred", "score", "shares", "gain")
 
 
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_key")
+    return near_duplicates(read(spark, sf_dir, "documents")).drop("text_key", "class_key")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
