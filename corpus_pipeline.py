@@ -17,6 +17,10 @@ from wearlog.llm.rows import DOC, join, measured, read, unused
 from wearlog.session import stored
 
 
+#: A text is in no learned language if its letter groups are e**100 times likelier at random.
+EVIDENCE = 100
+
+
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The rows whose id and text hash are not among the stored ``keys``."""
     id, key = unused(docs, "row_id"), unused(docs, "row_key")
@@ -27,11 +31,11 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language go: those without a letter, and those less likely under the languages
+    """Documents in no language go: those without a letter, and those far less likely under the languages
     learned from the labelled rows than if all letter groups were equally likely. ``lang`` stays."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     found = identify_languages(rows, learn_languages(docs), DOC)
-    unknown = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("gain") < 0))
+    unknown = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("gain") * F.col("n_grams") < -EVIDENCE))
     return _without(docs, stored(unknown.select(*DOC).distinct(), "unknown"))
 
 

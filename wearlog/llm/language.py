@@ -217,8 +217,8 @@ def identify_languages(
     penalty: float = 1.0,
 ) -> DataFrame:
     """The columns ``keep`` with ``lang_pred``, ``score`` (its share), ``shares`` (language, share; largest
-    first) and ``gain`` of every row: the log-likelihood per gram above that of grams that are all equally
-    likely. Texts in none of the learned languages have a negative gain.
+    first), ``gain`` and ``n_grams`` of every row. The gain is the log-likelihood per gram above that of
+    grams that are all equally likely; texts in none of the learned languages have a negative one.
 
     - Texts that are null or have no letter are ``und`` with score and gain 0 and no shares; so is every text if
       nothing was learned. Ties go to the language that comes first in code point order.
@@ -244,12 +244,14 @@ def identify_languages(
             pa.array(scores, pa.float64()),
             pa.array(lists, kind),
             pa.array(gain),
+            pa.array(np.diff(first)),
         ]
 
     # A text without a letter is handed on as empty: bytes outside ASCII need not be letters.
     body = F.col(f"`{text}`")
     letters = F.when(body.rlike(r"\p{L}"), F.lower(body)).otherwise(F.lit(""))
     fields = (
-        "lang_pred string; score double; shares array<struct<lang:string,share:double>>; gain double"
+        "lang_pred string; score double; shares array<struct<lang:string,share:double>>; "
+        "gain double; n_grams long"
     )
     return scan(docs, keep, letters, work, fields, prefix="found_")
