@@ -1,0 +1,80 @@
+import random
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+STEMS = {
+    "en": "the of and ing tion er th wh ou ly ed ha".split(),
+    "de": "der die und sch ung keit ein ver lich zu ß ü".split(),
+    "fr": "le la eau eux que ment oi tre é ç vi ai".split(),
+}
+
+
+@pytest.fixture(scope="session")
+def prose():
+    """A function that makes text of invented words in one language."""
+
+    def make(rng: random.Random, lang: str, n: int) -> str:
+        word = lambda: "".join(rng.choice(STEMS[lang]) for _ in range(rng.randint(1, 4)))
+        return " ".join(word() + rng.choice(["", "", "", ".", ",", ".\n"]) for _ in range(n))
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def corpus(prose):
+    """(doc_id, text, lang, source) with copies, near copies, common lines, nulls and a hot source."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(160):
+        lang = ("en", "de", "fr")[i % 3]
+        rows.append([i, prose(rng, lang, rng.choice([3, 12, 40, 150])), lang, f"s{i % 7 if i % 3 else 0}"])
+    for i in range(160, 200):
+        own = list(rows[rng.randrange(40)])
+        own[0] = i
+        if i % 2:
+            parts = own[1].split(" ")
+            parts[rng.randrange(len(parts))] = "changed"
+            own[1] = " ".join(parts)
+        rows.append(own)
+    for i in range(0, 200, 9):
+        rows[i][1] += "\nall of these lines are the same everywhere\n" + "\t SHORT line"
+    for i in range(5, 60, 11):
+        rows[i][1] = rows[i][1] + " " + prose(random.Random(99), "en", 60) + " " + rows[i][1]
+    rows[3][1], rows[4][1], rows[7][1] = None, "", " .. \n\t"
+    rows[8][3] = None
+    rows[10][1] = "Ünïted Wörds mit license. CC BY-NC 4.0, gnu general public license version 3"
+    return [tuple(row) for row in rows]
+
+
+DOCUMENTS = "doc_id long, text string, lang string, source string"
+
+
+@pytest.fixture()
+def documents(spark, corpus):
+    return spark.createDataFrame(corpus, DOCUMENTS).repartition(5)
+
+
+@pytest.fixture()
+def awkward(spark):
+    """Nulls in every column, empty texts, ties, equal rows, columns whose names clash."""
+    line = "this very long line stands in many documents"
+    rows = [
+        (1, line, "en", "a"),
+        (1, line, "en", "a"),
+        (2, f"{line}\nother words", None, None),
+        (None, line, None, None),
+        (None, line, None, None),
+        (None, None, None, None),
+        (3, None, "en", "a"),
+        (3, "", "de", "a"),
+        (4, "   \n ", "de", None),
+        (5, "?!", "de", "b"),
+        (6, "x", "en", "b"),
+    ]
+    wide = [(*row, 7, "text_key", 1.5, "n", "c0") for row in rows]
+    names = "text_key int, n_words string, score double, body string, c0 string"
+    return spark.createDataFrame(wide, f"{DOCUMENTS}, {names}")

@@ -1,0 +1,92 @@
+import random
+
+import numpy as np
+import pytest
+
+from wearlog.llm.language import (
+    GRAM_BITS,
+    LanguageModel,
+    identify_languages,
+    infer_mixture,
+    learn_languages,
+)
+
+
+@pytest.fixture(scope="module")
+def model(spark, prose):
+    rng = random.Random(1)
+    rows = [(prose(rng, lang, 200), lang) for lang in ("en", "de", "fr") for _ in range(10)]
+    return learn_languages(spark.createDataFrame([*rows, (None, "en"), ("x", None)], "text string, lang string"))
+
+
+def _found(spark, model, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = identify_languages(docs, model, ["doc_id"]).collect()
+    return [r for _, r in sorted((r["doc_id"], r) for r in rows)]
+
+
+def test_held_out_accuracy(spark, model, prose):
+    rng = random.Random(2)
+    made = [(lang, prose(rng, lang, 30)) for lang in ("en", "de", "fr") * 30]
+    found = _found(spark, model, [text for _, text in made])
+    right = sum(r["lang_pred"] == lang for r, (lang, _) in zip(found, made))
+    assert right >= 0.98 * len(made)
+    assert all(0 < r["score"] <= 1 and r["gain"] > 0 for r in found)
+
+
+def test_shares_of_a_mixture(spark, model, prose):
+    rng = random.Random(3)
+    text = prose(rng, "en", 300) + " " + prose(rng, "fr", 100)
+    upper = prose(rng, "de", 60).upper()
+    mixed, plain = _found(spark, model, [text, upper])
+    shares = {s["lang"]: s["share"] for s in mixed["shares"]}
+    assert set(shares) == {"en", "fr"} and 0.6 < shares["en"] < 0.9
+    assert mixed["score"] == shares["en"] and sum(shares.values()) == pytest.approx(1)
+    assert plain["lang_pred"] == "de" and len(plain["shares"]) == 1
+
+
+def test_the_penalty_keeps_the_set_small(model):
+    rng = np.random.default_rng(0)
+    units = rng.normal(-50, 1, (200, 3))
+    units[:, 1] += 0.3
+    sizes, first = np.full(200, 24), np.array([0, 200])
+    some, _ = infer_mixture(model, units, sizes, first, penalty=0.0)
+    one, _ = infer_mixture(model, units, sizes, first, penalty=1e9)
+    assert (some > 0).sum() > 1 and (one > 0).sum() == 1
+
+
+def test_likelihood_rises_with_the_shares_found(model):
+    rng = np.random.default_rng(1)
+    units = np.where(rng.random((400, 1)) < 0.3, [[-40.0, -60.0, -70.0]], [[-60.0, -40.0, -70.0]])
+    shares, _ = infer_mixture(model, units, np.full(400, 24), np.array([0, 400]))
+    truth = (units[:, 0] == -40).mean()
+    assert shares[0, 0] == pytest.approx(truth, abs=1e-3) and shares[0, 2] == 0
+
+
+def test_awkward_texts(spark, model, awkward):
+    texts = [None, "", " 1234 -- !", "日本語", "a", "the of " * 60_000, "⅔½ —"]
+    found = _found(spark, model, texts)
+    assert [r["lang_pred"] for r in found[:3]] == ["und"] * 3 and found[6]["lang_pred"] == "und"
+    assert [r["score"] for r in found[:3]] == [0.0] * 3 and found[0]["shares"] == []
+    assert {found[3]["lang_pred"], found[4]["lang_pred"]} <= {"en", "de", "fr"}
+    assert found[3]["gain"] < 0 and found[5]["lang_pred"] == "en"
+    out = identify_languages(awkward, model, awkward.columns)
+    assert len(out.collect()) == awkward.count()
+    assert out.columns.count("score") == 1 and "found_score" in out.columns
+    assert identify_languages(awkward.limit(0), model, ["doc_id"]).collect() == []
+
+
+def test_nothing_learned(spark, awkward):
+    empty = learn_languages(awkward.limit(0))
+    assert empty.languages == [] and empty.log_p.shape == (0, 1 << GRAM_BITS)
+    assert {r["lang_pred"] for r in identify_languages(awkward, empty, ["doc_id"]).collect()} == {"und"}
+
+
+def test_too_many_labels_are_refused(spark):
+    rows = [("abc", f"l{i}") for i in range(5)]
+    with pytest.raises(ValueError, match="more than 4"):
+        learn_languages(spark.createDataFrame(rows, "text string, lang string"), most_languages=4)
+
+
+def test_model_is_sent_as_plain_values(model):
+    assert isinstance(LanguageModel(**vars(model)).log_p, np.ndarray)

@@ -1,0 +1,43 @@
+import wearlog.llm.lines as lines
+from brute import line_dedup
+
+
+def _rows(df, counts=("n_lines", "n_dropped")):
+    return sorted((r["doc_id"], r[counts[0]], r[counts[1]], r["text"] or "") for r in df.collect())
+
+
+def test_equals_the_plain_version(documents, corpus, monkeypatch):
+    pairs = [(row[0], row[1]) for row in corpus]
+    expected = sorted((i, *own) for (i, _), own in zip(pairs, line_dedup(pairs)))
+    assert any(own[2] for own in expected)
+    assert _rows(lines.drop_common_lines(documents)) == expected
+    # The same with many shards, and groups of few pairs.
+    monkeypatch.setattr(lines, "SHARD_HASHES", 20)
+    monkeypatch.setattr(lines, "GROUP_ROWS", 3)
+    assert _rows(lines.drop_common_lines(documents)) == expected
+
+
+def test_awkward_rows(awkward):
+    rows = [(r["doc_id"], r["text"]) for r in awkward.collect()]
+    found = lines.drop_common_lines(awkward, counts=("score_", "n_"))
+    assert found.columns == [*awkward.columns, "score_", "n_"]
+    expected = [(i, *own) for (i, _), own in zip(rows, line_dedup(rows))]
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = [(r["doc_id"], r["score_"], r["n_"], r["text"] or "") for r in found.collect()]
+    assert sorted(got, key=key) == sorted(expected, key=key)
+    assert {r["c0"] for r in found.collect()} == {"c0"}
+
+
+def test_empty_table_and_long_text(spark, awkward):
+    assert lines.drop_common_lines(awkward.limit(0)).collect() == []
+    text = "\n".join(f"line number {i % 1000} of a very long text" for i in range(50_000))
+    docs = spark.createDataFrame([(i, text) for i in range(3)], "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in lines.drop_common_lines(docs).collect()}
+    assert [rows[i]["n_dropped"] for i in range(3)] == [50_000, 50_000, 0]
+
+
+def test_keys_are_stripped_lowered_and_counted_in_code_points():
+    assert lines.line_key(b"\t ABC \xc3\x89 \x0b") == b"abc \xc3\x89"
+    nineteen, twenty = "é" * 19, "é" * 20
+    assert lines.line_hashes(nineteen.encode(), 20) == [None]
+    assert lines.line_hashes(twenty.encode(), 20) != [None]

@@ -11,7 +11,7 @@ from wearlog.session import stored
 
 
 def _step(edges: DataFrame, large: bool) -> DataFrame:
-    """One star operation on edges (u, v) with u > v."""
+    """One star operation on edges (u, v) with u > v; edges may come out more than once."""
     if large:
         both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
@@ -24,31 +24,36 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
     if large:
         moved = joined.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        moved = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select(F.col("w").alias("u"), F.col("m").alias("v"))
-        )
-    return moved.filter("u <> v").distinct()
+        # The neighbour and the node itself both move to the smallest.
+        ends = F.array(F.col("v"), F.col("u"))
+        moved = joined.select(F.explode(ends).alias("u"), F.col("m").alias("v"))
+    return moved.filter("u <> v")
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, component`` (its smallest node) for every node of the edges ``u, v`` (longs)."""
-    edges = stored(
-        edges.filter("u <> v")
-        .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        .distinct(),
-        "edges",
-    )
-    state = None
+    """``node, component`` (its smallest node) for every node of the edges ``u, v`` (longs), stored."""
+    ordered = edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = stored(ordered.distinct(), "edges")
     while True:
-        edges = stored(_step(_step(edges, large=True), large=False), "stars")
-        # Two longs that tell whether the set of edges has changed.
-        mark = edges.agg(
-            F.count(F.lit(1)), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))
-        ).first()
-        if mark == state:
+        edges = stored(_step(_step(edges, large=True), large=False).distinct(), "stars")
+        # Done when all edges are stars: no node has two centers, no center is below another.
+        tops = edges.groupBy("u").agg(F.count(F.lit(1)).alias("n"))
+        centers = edges.select(F.col("v").alias("center")).distinct()
+        loose = tops.join(centers, F.col("u") == F.col("center"), "left").filter("n > 1 OR center IS NOT NULL")
+        if loose.isEmpty():
             break
-        state = mark
     roots = edges.select(F.col("v").alias("node")).distinct()
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-        roots.select("node", F.col("node").alias("component"))
+    return stored(
+        edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
+            roots.select("node", F.col("node").alias("component"))
+        ),
+        "components",
     )
+
+
+def joined_components(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """``components`` of the stored classes with more links ``u, v``; the same classes if there are none."""
+    if links.isEmpty():
+        return classes
+    stars = classes.select(F.col("node").alias("u"), F.col("component").alias("v"))
+    return components(stars.filter("u <> v").unionByName(links.select("u", "v")))

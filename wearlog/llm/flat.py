@@ -7,7 +7,7 @@ document), so the memory of a task does not depend on the batch.
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 19
 U64 = np.uint64
 
 

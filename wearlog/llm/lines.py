@@ -187,7 +187,7 @@ def _rebuild(at: int, min_points: int, with_counts: bool):
                 text = value.as_py()
                 lost = set(drops.as_py() or ())
                 lines = (text or b"").split(b"\n")
-                if lost:
+                if lost and text:
                     hashes = line_hashes(text, min_points)
                     left = [line for line, h in zip(lines, hashes) if h is None or h not in lost]
                     text = b"\n".join(left)

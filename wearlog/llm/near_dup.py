@@ -8,11 +8,13 @@ consecutive words, weighted by how often they occur); with weights of 1 it is th
    as its next arrival is later than the latest register. Two registers agree with the probability
    Jaccard similarity. Documents with the same words are one node from here on.
 2. Candidates share a band of ``ROWS`` registers. A pair of similarity 0.8 shares none of 28 bands of 5
-   with probability 1.5e-5; in buckets above ``HOT_BUCKET`` two bands must agree (below 3e-4).
+   with probability 1.5e-5.
 3. Verification computes the similarity from the texts. First each node meets the smallest node of its
-   buckets, then the smallest node of each bucket that is not yet in its class, then all candidates of
-   its buckets outside its class. Pairs within a class need no proof, so groups of copies cost a number
-   of pairs in proportion to their size, and no link between classes is lost.
+   buckets, then the smallest node of each bucket that is not yet in its class. What is then still outside
+   the class of its bucket's smallest node meets all nodes of the bucket that are in other classes: pair by
+   pair in small buckets, block by block in large ones, where no pair becomes a row. Pairs within a class
+   need no proof, so groups of copies cost a number of pairs in proportion to their size, and no link
+   between classes is lost.
 4. Classes are the connected components of the verified pairs.
 """
 
@@ -23,14 +25,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.llm.components import components
+from wearlog.llm.components import components, joined_components
 from wearlog.llm.flat import U64, Words, column_of, flat_text, slices, splitmix
 from wearlog.llm.rows import measured, scan
 from wearlog.session import stored
 
 SHINGLE, BANDS, ROWS = 5, 28, 5
-#: Buckets with more nodes than this compare nodes only where a second band agrees.
-HOT_BUCKET = 200
+#: Buckets with more pairs than this to look at are compared in blocks of so many nodes.
+FEW_PAIRS, BLOCK_NODES = 20_000, 2048
+#: Common elements that a comparison of blocks looks at at a time, about.
+MATCHES = 1 << 20
+#: Pairs of one node that are verified together, about.
+PART_PAIRS = 256
 #: Arrivals made at a time, about.
 ARRIVALS = 1 << 16
 
@@ -154,46 +160,89 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float((1 / (from_a[at] / common_a + before_b[at] / common_b)).sum())
 
 
+def similar_rows(
+    elements: np.ndarray, counts: np.ndarray, first: np.ndarray, a: np.ndarray, wa: np.ndarray, threshold: float
+) -> np.ndarray:
+    """The rows (of ``shingles``) whose similarity with the set ``a, wa`` reaches the threshold.
+
+    No term of the similarity exceeds the smaller of an element's shares in both sets; rows whose sum of
+    these is too small are left out at once.
+    """
+    sizes = np.add.reduceat(np.append(counts, 0), first[:-1]) * (np.diff(first) > 0)
+    row = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    if len(a) == 0 or len(elements) == 0:
+        return np.zeros(0, np.int64)
+    place = np.minimum(np.searchsorted(a, elements), len(a) - 1)
+    common = np.flatnonzero(a[place] == elements)
+    shares = np.minimum(counts[common] / sizes[row[common]], wa[place[common]] / wa.sum())
+    most = np.bincount(row[common], shares, minlength=len(first) - 1)
+    return np.array(
+        [
+            i
+            for i in np.flatnonzero(most >= threshold - 1e-9).tolist()
+            if probability_jaccard(
+                elements[first[i] : first[i + 1]], counts[first[i] : first[i + 1]], a, wa
+            )
+            >= threshold - 1e-12
+        ],
+        np.int64,
+    )
+
+
 def _verify(threshold: float):
-    """Rows (a, b, text_a, text_b) to the pairs that are similar enough."""
+    """Rows (u, v, part, body) in the order of (v, part), the text of v first (its u is null), to the
+    pairs that are similar enough. One text of v is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        center: tuple[np.ndarray, np.ndarray] | None = None
         for batch in batches:
-            for part in slices(batch, "text_a"):
-                sides = []
-                for name in ("text_a", "text_b"):
-                    # Rows that follow each other often have the same text.
-                    column = column_of(part, name).dictionary_encode()
-                    elements, counts, first = shingles(Words(*flat_text(column.dictionary)))
-                    sides.append((elements, counts, first, column.indices.to_numpy()))
-                (ea, ca, fa, ia), (eb, cb, fb, ib) = sides
-                good = [
-                    probability_jaccard(
-                        ea[fa[x] : fa[x + 1]], ca[fa[x] : fa[x + 1]],
-                        eb[fb[y] : fb[y + 1]], cb[fb[y] : fb[y + 1]],
-                    )
-                    >= threshold - 1e-12
-                    for x, y in zip(ia.tolist(), ib.tolist())
-                ]
-                keep = pa.array(np.flatnonzero(good))
+            for part in slices(batch, "body"):
+                elements, counts, first = shingles(Words(*flat_text(column_of(part, "body"))))
+                centers = np.flatnonzero(column_of(part, "u").is_null().to_numpy(zero_copy_only=False))
+                edges, opened = [0, *centers.tolist(), part.num_rows], set(centers.tolist())
+                good = []
+                for low, high in zip(edges[:-1], edges[1:]):
+                    if low in opened:
+                        own = slice(first[low], first[low + 1])
+                        center = elements[own].copy(), counts[own].copy()
+                        low += 1
+                    if low < high:
+                        own = slice(first[low], first[high])
+                        found = similar_rows(
+                            elements[own], counts[own], first[low : high + 1] - first[low], *center, threshold
+                        )
+                        good.append(found + low)
+                keep = pa.array(np.concatenate(good) if good else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(keep), part.column(1).take(keep)], names=["u", "v"]
+                    [column_of(part, "u").take(keep), column_of(part, "v").take(keep)],
+                    names=["u", "v"],
                 )
 
     return run
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``u, v`` of nodes whose texts are similar enough, stored."""
-    side = lambda name: texts.select(
-        F.col("node").alias(f"node_{name}"), F.col("text").alias(f"text_{name}")
+    """The pairs ``u, v`` of nodes whose texts are similar enough, stored.
+
+    The text of v is sent once to each part of ``PART_PAIRS`` of its pairs, that of u once a pair.
+    """
+    sizes = pairs.groupBy("v").agg(F.ceil(F.count(F.lit(1)) / PART_PAIRS).alias("parts"))
+    part = F.pmod(F.xxhash64("u"), F.col("parts")).alias("part")
+    dealt = stored(pairs.join(sizes, "v").select("u", "v", part), "dealt-pairs")
+    body = texts.select(F.col("node"), F.col("text").alias("body"))
+    centers = (
+        dealt.select("v", "part")
+        .distinct()
+        .join(body, F.col("v") == F.col("node"))
+        .select(F.lit(None).cast("long").alias("u"), "v", "part", "body")
     )
-    joined = (
-        pairs.join(side("a"), F.col("u") == F.col("node_a"))
-        .join(side("b"), F.col("v") == F.col("node_b"))
-        .select("u", "v", "text_a", "text_b")
+    others = dealt.join(body, F.col("u") == F.col("node")).select("u", "v", "part", "body")
+    rows = (
+        centers.unionByName(others)
+        .repartition("v", "part")
+        .sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
     )
-    return stored(joined.mapInArrow(_verify(threshold), "u long, v long"), "verified")
+    return stored(rows.mapInArrow(_verify(threshold), "u long, v long"), "verified")
 
 
 def _with_class(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
@@ -259,20 +308,17 @@ def near_duplicates(
 
     first = members.groupBy("node").agg(F.min("leader").alias("v")).select(F.col("node").alias("u"), "v")
     first = stored(first.filter("u <> v"), "pairs")
-    tested = first
-    links = verified(first, texts, threshold)
-    classes = stored(components(links), "classes")
+    classes = components(verified(first, texts, threshold))
 
     second = members.select(F.col("node").alias("u"), F.col("leader").alias("v")).distinct()
     second = _with_class(_with_class(second, classes, "u"), classes, "v").filter("class_u <> class_v")
-    second = stored(second.select("u", "v").join(tested, ["u", "v"], "left_anti"), "pairs")
-    tested = tested.unionByName(second)
-    links = links.unionByName(verified(second, texts, threshold))
-    classes = stored(components(links), "classes")
+    second = stored(second.select("u", "v").join(first, ["u", "v"], "left_anti"), "pairs")
+    classes = joined_components(classes, verified(second, texts, threshold))
 
-    third = _outside(members, classes, signed, tested)
-    links = links.unionByName(verified(third, texts, threshold))
-    classes = stored(components(links), "classes")
+    few, many = _outside(members, classes)
+    third = _bucket_pairs(few, signed, first.unionByName(second))
+    classes = joined_components(classes, verified(third, texts, threshold))
+    classes = joined_components(classes, _block_links(many, texts, threshold))
 
     placed = signed.select("doc_id", "text_key", "node").join(
         classes.select("node", "component"), "node", "left"
@@ -301,33 +347,125 @@ def _repeats(signed: DataFrame) -> bool:
     return not twice.isEmpty()
 
 
-def _outside(
-    members: DataFrame, classes: DataFrame, signed: DataFrame, tested: DataFrame
-) -> DataFrame:
-    """Untested pairs of different classes that share a bucket; stored.
-
-    Nodes outside the class of their bucket's leader meet all nodes of the bucket that are in other
-    classes. In hot buckets both must also share a second bucket.
-    """
+def _outside(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of the buckets with nodes outside their leader's class: ``key, node, class_node, out`` and the numbers
+    ``size`` and ``n_out`` of their nodes; those with few pairs of an outside and any node, and the others."""
     placed = _with_class(_with_class(members, classes, "node"), classes, "leader")
-    mixed = placed.filter("class_node <> class_leader").select("key").distinct()
+    out = F.col("class_node") != F.col("class_leader")
+    mixed = placed.filter(out).groupBy("key").agg(F.count(F.lit(1)).alias("n_out"))
     placed = stored(
-        placed.join(mixed, "key", "left_semi").select(
-            "key", "size", "node", "class_node", (F.col("class_node") != F.col("class_leader")).alias("out")
-        ),
-        "mixed",
+        placed.join(mixed, "key").select("key", "size", "n_out", "node", "class_node", out.alias("out")), "mixed"
     )
-    small = placed.filter(F.col("size") <= HOT_BUCKET).withColumn("second", F.lit(0).cast("long"))
+    few = F.col("size") * F.col("n_out") <= FEW_PAIRS
+    return placed.filter(few), placed.filter(~few)
+
+
+def _bucket_pairs(placed: DataFrame, signed: DataFrame, tested: DataFrame) -> DataFrame:
+    """Untested pairs of different classes of which one is outside its bucket's class, each from the first
+    bucket it shares; stored."""
     own = signed.select(F.col("node").alias("n"), "bands").dropDuplicates(["n"])
-    hot = (
-        placed.filter(F.col("size") > HOT_BUCKET)
-        .join(own, F.col("node") == F.col("n"))
-        .select(*placed.columns, F.explode("bands").alias("second"))
-        .filter("second <> key")
+    dealt = placed.join(own, F.col("node") == F.col("n"))
+    side = lambda rows, x: rows.select(
+        F.col("key").alias(f"key_{x}"), F.col("node").alias(x), F.col("class_node").alias(f"class_{x}"),
+        F.col("bands").alias(f"bands_{x}"), F.col("out").alias(f"out_{x}"),
+    )
+    once = (F.col("class_a") != F.col("class_b")) & (~F.col("out_b") | (F.col("a") > F.col("b")))
+    first = F.array_intersect("bands_a", "bands_b")[0] == F.col("key_a")
+    pairs = side(dealt.filter("out"), "a").join(
+        side(dealt, "b"), (F.col("key_a") == F.col("key_b")) & once & first
     )
-    dealt = small.unionByName(hot)
-    left = dealt.filter("out").select("key", "second", F.col("node").alias("a"), F.col("class_node").alias("ca"))
-    right = dealt.select("key", "second", F.col("node").alias("b"), F.col("class_node").alias("cb"))
-    pairs = left.join(right, ["key", "second"]).filter("ca <> cb")
-    pairs = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    pairs = pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     return stored(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
+
+
+def shared_weight(left: tuple, right: tuple, n_left: int, n_right: int) -> np.ndarray:
+    """For each pair of rows of two lists of (element, row, share): the sum over common elements of the
+    smaller share, which their similarity does not exceed."""
+    (a, row_a, share_a), (b, row_b, share_b) = left, right
+    order = np.argsort(b, kind="stable")
+    b, row_b, share_b = b[order], row_b[order], share_b[order]
+    low, high = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
+    total = np.zeros(n_left * n_right)
+    ends = np.cumsum(high - low)
+    start = 0
+    while start < len(a):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + MATCHES, "right")))
+        n = (high - low)[start:stop]
+        which = np.repeat(np.arange(start, stop), n)
+        at = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        share = np.minimum(share_a[which], share_b[at])
+        place = row_a[which] * n_right + row_b[at]
+        total += np.bincount(place, share, minlength=len(total))
+        start = stop
+    return total.reshape(n_left, n_right)
+
+
+def _linked_blocks(threshold: float):
+    """Nodes of two blocks of a bucket (outside ones, and any) to links that join their classes.
+
+    Classes that links of the block have joined already need no further link.
+    """
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        body = rows["body"].combine_chunks() if rows["body"].num_chunks else pa.array([], pa.string())
+        elements, counts, first = shingles(Words(*flat_text(body)))
+        node, own = rows["node"].to_numpy(), rows["class_node"].to_numpy().tolist()
+        row = np.repeat(np.arange(len(node)), np.diff(first))
+        share = counts / np.bincount(row, counts, minlength=len(node))[row]
+        is_out = rows["side"].to_numpy() == 0
+        sides = []
+        for who in (np.flatnonzero(is_out), np.flatnonzero(~is_out)):
+            place = np.full(len(node), -1)
+            place[who] = np.arange(len(who))
+            keep = place[row] >= 0
+            sides.append((who, (elements[keep], place[row][keep], share[keep])))
+        (outs, left), (all_, right) = sides
+        most = shared_weight(left, right, len(outs), len(all_))
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        links = []
+        for x, y in zip(*(i.tolist() for i in np.nonzero(most >= threshold - 1e-9))):
+            i, j = int(outs[x]), int(all_[y])
+            a, b = root(own[i]), root(own[j])
+            if a == b:
+                continue
+            one, two = slice(first[i], first[i + 1]), slice(first[j], first[j + 1])
+            if (
+                probability_jaccard(elements[one], counts[one], elements[two], counts[two])
+                >= threshold - 1e-12
+            ):
+                parent[max(a, b)] = min(a, b)
+                links.append((int(node[i]), int(node[j])))
+        return pa.table(
+            {
+                "u": pa.array([u for u, _ in links], pa.int64()),
+                "v": pa.array([v for _, v in links], pa.int64()),
+            }
+        )
+
+    return run
+
+
+def _block_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Links between classes within large buckets, stored. Blocks of ``BLOCK_NODES`` outside nodes meet
+    blocks of as many nodes of the bucket; no pair of nodes is a row."""
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK_NODES)
+    number = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    outs = placed.filter("out").select(
+        "key", "node", "class_node", number("n_out").alias("i"), every("size").alias("j"), F.lit(0).alias("side")
+    )
+    all_ = placed.select(
+        "key", "node", "class_node", every("n_out").alias("i"), number("size").alias("j"), F.lit(1).alias("side")
+    )
+    body = texts.select(F.col("node").alias("n"), F.col("text").alias("body"))
+    rows = outs.unionByName(all_).join(body, F.col("node") == F.col("n")).drop("n")
+    links = rows.groupBy("key", "i", "j").applyInArrow(_linked_blocks(threshold), "u long, v long")
+    return stored(links, "block-links")
