@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wearlog.functions.metrics import rmse
+from wearlog.functions.text import utc_text
 from wearlog.operators.attach import attach
 from wearlog.operators.features import gold_projection, with_label
 from wearlog.operators.folds import FOLD, assign_folds, read_with_folds
@@ -24,26 +25,33 @@ from wearlog.operators.forest import (
     model_rmse,
     save_model,
     score,
+    score_record,
     search_forest,
 )
 from wearlog.operators.labels import label_from_truth, label_run_to_failure
 from wearlog.operators.scaling import apply_stats, fit_stats, range_profile
 from wearlog.plans import layers, series
 from wearlog.plans.series import events, test_log, to_line, train_log, truth
-from wearlog.plans.trainer import LifeTrainer
+from wearlog.plans.trainer import train_life
 from wearlog.schema import KEYS, LABEL, LOG_COLUMNS, SENSORS, SETTINGS
 from wearlog.session import scratch_path
 from wearlog.sources.landing import (
     good_rows,
+    land_log,
     number_lines,
-    parse_lines,
     parse_truth,
-    read_lines,
     rejected_lines,
 )
 from wearlog.sources.tables import append_table, overwrite_table, preview, read_table
 from wearlog.streaming import jobs
-from wearlog.streaming.events import alert_messages, low_life, parse_events, read_events
+from wearlog.streaming.events import (
+    alert_messages,
+    low_life,
+    parse_events,
+    read_events,
+    rejected_events,
+    sensor_rows,
+)
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 
@@ -66,13 +74,18 @@ def _text(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> str:
     return path
 
 
-def _daily_files(spark: SparkSession, sf_dir: str, value) -> str:
-    """One file per day, a new one after a million events, lines by event id."""
+def _daily_files(spark: SparkSession, sf_dir: str, value, blank_days: bool = False) -> str:
+    """One file per day, a new one after a million events, lines by event id. With ``blank_days`` the files
+    of every third day begin with a blank line."""
     day = F.to_date("ts").alias("day")
     roll = F.lpad((F.col("event_id") / 1_000_000).cast("long").cast("string"), 9, "0").alias("roll")
-    rows = series.series(events(spark, sf_dir), "event_id", "ts").select(
-        value, day, roll, "event_id"
-    )
+    rows = series.series(
+        events(spark, sf_dir), "event_id", "ts", "user_id", "event_type"
+    ).select(value, day, roll, "event_id")
+    if blank_days:
+        third = rows.filter(F.dayofmonth("day") % 3 == 0).select("day", "roll").distinct()
+        blank = third.select(F.lit("").alias("value"), "day", "roll", F.lit(-1).alias("event_id"))
+        rows = rows.unionByName(blank)
     filed = rows.repartition("day", "roll").sortWithinPartitions("day", "roll", "event_id")
     return _text(filed.drop("event_id"), "daily", ("day", "roll"))
 
@@ -89,29 +102,47 @@ def landing_parse(spark, sf_dir):
     untidy = F.concat(F.lit('\t"  '), F.regexp_replace(line, " ", " \t "), F.lit('" '))
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     path = _text(items.select(F.when(tidy, line).otherwise(untidy)), "lines")
-    return good_rows(parse_lines(read_lines(spark, path, skip_header=False)))
+    return good_rows(land_log(spark, path, skip_header=False))
 
 
 def landing_skip_header(spark, sf_dir):
     """Daily files parsed without the first line of each."""
-    return good_rows(parse_lines(read_lines(spark, _daily_files(spark, sf_dir, to_line()))))
+    return good_rows(land_log(spark, _daily_files(spark, sf_dir, to_line())))
+
+
+def landing_header_blank(spark, sf_dir):
+    """The same where the first line of some files is blank."""
+    return good_rows(land_log(spark, _daily_files(spark, sf_dir, to_line(), blank_days=True)))
+
+
+# A line of whole numbers for each event, spoiled in a way that depends on type and id: the same text in
+# Spark and in other engines.
+_HEAD = "CAST(user_id + 1 AS STRING)", "CAST(event_id % 300 AS STRING)"
+_READING = "CAST(event_id AS STRING)"
+_SPOILED = f"""
+    CASE event_type
+    WHEN 'view' THEN concat({{head}}, ' 0 0 0', {{twenty}}, ' ', {_READING}, ' 0')
+    WHEN 'error' THEN concat({{head}}, ' 0 0 0', {{twenty}})
+    WHEN 'click' THEN concat({{head}}, ' 0 0 0', {{twenty}}, ' abc')
+    WHEN 'signup' THEN concat({{head}}, ' 0 0 0', {{twenty}}, ' NaN')
+    ELSE CASE event_id % 5
+         WHEN 0 THEN concat({{head}}, ' 0 0 0', {{twenty}}, ' ', {_READING})
+         WHEN 1 THEN concat('1.7 ', {_HEAD[1]}, ' 0 0 0', {{twenty}}, ' ', {_READING})
+         WHEN 2 THEN concat({_HEAD[0]}, ' -0.5 0 0 0', {{twenty}}, ' ', {_READING})
+         WHEN 3 THEN concat({{head}}, ' 0 0 0', {{twenty}}, ' 1d')
+         ELSE concat({{head}}, ' 0 0 0', {{twenty}}, ' 0x1p3') END
+    END""".format(
+    head=f"{_HEAD[0]}, ' ', {_HEAD[1]}", twenty=", ".join(["' '", _READING] * 20)
+)
 
 
 def landing_rejects(spark, sf_dir):
-    """Event types spoil their lines in different ways; lines per reason."""
-    text = {
-        "view": F.concat(to_line(), F.lit(" 0")),
-        "error": to_line(LOG_COLUMNS[:-1]),
-        "click": F.concat(to_line(LOG_COLUMNS[:-1]), F.lit(" abc")),
-        "signup": F.concat(to_line(LOG_COLUMNS[:-1]), F.lit(" NaN")),
-    }
-    line = to_line()
-    for kind, spoiled in text.items():
-        line = F.when(F.col("event_type") == kind, spoiled).otherwise(line)
-    rows = series.series(events(spark, sf_dir), "event_type")
-    path = _text(rows.select(line.alias("value")), "spoiled")
-    rejects = rejected_lines(parse_lines(read_lines(spark, path, skip_header=False)))
-    return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+    """Event types spoil their lines in different ways; every rejected line, with reason and file."""
+    path = _daily_files(spark, sf_dir, F.expr(_SPOILED).alias("value"))
+    rejects = rejected_lines(land_log(spark, path, skip_header=False))
+    # Of the file's name, the day is what another engine knows too.
+    day = F.regexp_extract("file", r"day=(\d{4}-\d{2}-\d{2})", 1).alias("day")
+    return rejects.select("line", "reject_reason", day)
 
 
 def truth_line_numbers(spark, sf_dir):
@@ -233,11 +264,11 @@ def cv_folds_by_engine(spark, sf_dir):
 
 
 def cv_folds_as_stored(spark, sf_dir):
-    """Rows per fold of a table without a key."""
+    """Folds of a table without a key, written in the order of the event ids."""
     path = scratch_path(spark, "stored")
-    overwrite_table(train_log(spark, sf_dir).select(*SENSORS), path)
-    folded = read_with_folds(spark, path, 7)
-    return folded.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n"))
+    rows = train_log(spark, sf_dir, "event_id").select("event_id", *SENSORS)
+    overwrite_table(rows.orderBy("event_id"), path)
+    return read_with_folds(spark, path, 7).select("event_id", FOLD)
 
 
 def rmse_group_mean(spark, sf_dir):
@@ -297,21 +328,42 @@ def forest_rmse(spark, sf_dir):
 
 
 def forest_life(spark, sf_dir):
-    """Batch run, grid search over all sensors and bagged trees, predictions on the test rows."""
+    """Batch run, grid search over all sensors and bagged trees, predictions on the test rows.
+
+    Of each prediction: does it lie within the training labels, as an average of some of them must; and
+    is the model's error on its training rows below that of predicting their mean.
+    """
     gold = f"{_batch(spark, sf_dir, keep_keys=True)}/gold"
-    trainer = LifeTrainer(spark, f"{gold}/train", f"{gold}/test")
-    trainer.load_data()
-    trainer.train({"n_estimators": [10], "max_depth": [5, 8]}, cv=3)
-    return trainer.predict().select(*KEYS, LABEL, PREDICTION)
+    grid = {"n_estimators": [5, 10], "max_depth": [5, 8], "min_samples_leaf": [1, 2]}
+    found = train_life(spark, gold, cv=3, grid=grid)
+    low, high, spread = found.train.agg(
+        F.min(LABEL), F.max(LABEL), F.stddev_pop(LABEL)
+    ).first()
+    in_range = F.coalesce(F.col(PREDICTION).between(low, high), F.lit(False)).alias("in_range")
+    beats_mean = F.lit(found.rmse() < spread).alias("beats_mean")
+    return found.predict().select(*KEYS, LABEL, in_range, beats_mean)
+
+
+def score_one_record(spark, sf_dir):
+    """The prediction for the readings of the first test row."""
+    rows = test_log(spark, sf_dir, "event_id").select(*ORDER, *INDICATORS)
+    first = preview(apply_stats(rows, _stats(spark, sf_dir)), 1, ["event_id"]).first()
+    life = score_record(spark, _type_model(spark, sf_dir), {s: first[s] for s in INDICATORS})
+    return spark.createDataFrame([(first["event_id"], round(life, 6))], f"event_id long, {PREDICTION} double")
 
 
 # ---------------------------------------------------------------- events
 
 
 def json_parse(spark, sf_dir):
-    bodies = events(spark, sf_dir).select(F.col("props").cast("binary").alias("body"))
-    parsed = parse_events(bodies, StructType([StructField("k", DoubleType())]))
-    return parsed.filter("complete").select("body", "k")
+    """Bodies that are one object; others, which hold more after it, are rejected."""
+    more = F.get(
+        F.array(F.lit(""), F.lit("}"), F.lit(" x"), F.col("props"), F.lit(',"end":1')),
+        F.col("event_id") % 5,
+    )
+    body = F.concat("props", more).cast("binary").alias("body")
+    parsed = parse_events(events(spark, sf_dir).select(body), StructType([StructField("k", DoubleType())]))
+    return parsed.select("body", "k", "complete")
 
 
 def low_value_alerts(spark, sf_dir):
@@ -335,49 +387,94 @@ def _finished(spark: SparkSession, start: Callable, *args, **options) -> str:
 
 def stream_ingest(spark, sf_dir):
     stream = read_events(spark, _event_files(spark, sf_dir))
-    return read_table(spark, _finished(spark, jobs.ingest, stream))
+    return sensor_rows(read_table(spark, _finished(spark, jobs.ingest, stream)))
 
 
 def stream_rejects(spark, sf_dir):
+    """Events that are no complete object of readings, some with text after the object."""
+    path = _event_files(spark, sf_dir)
+    readings = series.series(events(spark, sf_dir), "event_id")
+    body = F.to_json(F.struct(*SENSORS))
+    more = F.get(
+        F.array(F.lit("}"), F.lit(" garbage"), body, F.lit(',"end":1')), F.col("event_id") % 4
+    )
+    readings.select(F.concat(body, more).alias("value")).write.mode("append").text(path)
+    rejects = rejected_events(read_table(spark, _finished(spark, jobs.ingest, read_events(spark, path))))
+    # The readings' text is Spark's; what another engine knows is how the rejects end.
+    last = F.regexp_extract("body", r"(\}\}| garbage|,\"end\":1)$", 1)
+    doubled = F.col("body").rlike(r"\}\{")
+    shown = F.when(doubled, "doubled").when(last != "", last).otherwise(F.col("body"))
+    return rejects.select(shown.alias("body"))
+
+
+def stream_restart(spark, sf_dir):
+    """A finished stream started again finds nothing new, then what was added meanwhile."""
+    rows = series.series(events(spark, sf_dir), "event_id")
+    halves = [rows.filter(F.col("event_id") % 2 == i) for i in (0, 1)]
+    path, table, offsets = (scratch_path(spark, name) for name in ("events", "table", "offsets"))
+    for part in (halves[0], None, halves[1]):
+        if part is not None:
+            part.select(F.to_json(F.struct(*SENSORS)).alias("value")).write.mode("append").text(path)
+        query = jobs.ingest(read_events(spark, path), table, offsets, available_now=True)
+        query.awaitTermination()
+    return sensor_rows(read_table(spark, table))
+
+
+def stream_stop(spark, sf_dir):
+    """A running job stopped by its name after it has worked off what is there."""
+    table, offsets = scratch_path(spark, "table"), scratch_path(spark, "offsets")
+    name = f"stop-{table[-32:]}"
     stream = read_events(spark, _event_files(spark, sf_dir))
-    return read_table(spark, _finished(spark, jobs.reject, stream))
+    query = jobs.ingest(stream, table, offsets, name=name)
+    query.processAllAvailable()
+    running = query.isActive
+    jobs.stop_jobs(spark, name)
+    stopped = running and not query.isActive
+    return sensor_rows(read_table(spark, table)).withColumn("stopped", F.lit(stopped))
 
 
 def stream_score(spark, sf_dir):
-    """Raw sensor rows scaled by the training statistics and scored as they arrive."""
-    rows = _finished(spark, jobs.ingest, read_events(spark, _event_files(spark, sf_dir)))
-    stats = _stats(spark, sf_dir)
-    table = _finished(
-        spark, jobs.score_stream, spark, _type_model(spark, sf_dir), rows, stats=stats
+    """Raw readings scaled by the training statistics and scored as they arrive; one time for the batch."""
+    table = _finished(spark, jobs.ingest, read_events(spark, _event_files(spark, sf_dir)))
+    scored = _finished(
+        spark,
+        jobs.score_stream,
+        spark,
+        _type_model(spark, sf_dir),
+        table,
+        stats=_stats(spark, sf_dir),
+    )
+    rows = read_table(spark, scored)
+    times = rows.select("processed_utc").distinct().count()
+    timed = F.col("processed_utc").isNotNull().alias("timed")
+    return _rounded(
+        rows.select(*SENSORS, PREDICTION, timed, F.lit(times).cast("long").alias("n_times")),
+        [*SENSORS, PREDICTION],
     )
-    scored = read_table(spark, table).select("sensor_2", "sensor_3", PREDICTION)
-    return _rounded(scored, [PREDICTION])
 
 
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as predictions: the value is the predicted life."""
+    """Events as predictions: the value is the predicted life, the event's time (in UTC) that of scoring."""
     rows = series.series(events(spark, sf_dir), "ts")
+    scored_at = F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp")
     return rows.select(
-        *SENSORS,
-        F.col("sensor_2").alias(PREDICTION),
-        F.col("ts").cast("timestamp").alias("processed_utc"),
+        *SENSORS, F.col("sensor_2").alias(PREDICTION), scored_at.alias("processed_utc")
     )
 
 
 def stream_alerts(spark, sf_dir):
     path = scratch_path(spark, "predictions")
     overwrite_table(_predictions(spark, sf_dir), path)
-    return read_table(spark, _finished(spark, jobs.alert_stream, spark, path)).select(
-        *SENSORS, PREDICTION
-    )
+    alerts = read_table(spark, _finished(spark, jobs.alert_stream, spark, path))
+    return alerts.withColumn("processed_utc", utc_text(F.col("processed_utc")))
 
 
 def alert_payloads(spark, sf_dir):
     """Alerts as JSON messages, read back."""
     messages = alert_messages(low_life(_predictions(spark, sf_dir)))
-    schema = f"sensor_2 double, {PREDICTION} double, processed_utc string"
-    read = F.from_json("value", schema)
-    return messages.select(read.alias("m")).select("m.sensor_2", f"m.{PREDICTION}")
+    fields = ", ".join(f"{name} double" for name in [*SENSORS, PREDICTION])
+    read = F.from_json("value", f"{fields}, processed_utc string")
+    return messages.select(read.alias("m")).select("m.*")
 
 
 def prediction_merge(spark, sf_dir):
@@ -392,6 +489,7 @@ def prediction_merge(spark, sf_dir):
 QUERIES = [
     landing_parse,
     landing_skip_header,
+    landing_header_blank,
     landing_rejects,
     truth_line_numbers,
     truth_skip_header,
@@ -417,10 +515,13 @@ QUERIES = [
     first_predictions,
     forest_rmse,
     forest_life,
+    score_one_record,
     json_parse,
     low_value_alerts,
     stream_ingest,
     stream_rejects,
+    stream_restart,
+    stream_stop,
     stream_score,
     stream_alerts,
     alert_payloads,
@@ -478,14 +579,22 @@ def _sensor_sql() -> dict[str, str]:
                                          ORDER BY event_id) AS line
             FROM log)
     """
-    scaled = ", ".join(
-        f"round(CASE WHEN d_{s} <> 0 THEN ({s} - m_{s}) / d_{s} ELSE {s} END, 6) + 0.0 AS {s}"
-        for s in SENSORS
-    )
+    def z_scores(names):
+        """All sensors, those in ``names`` standardised."""
+        z = "CASE WHEN d_{0} <> 0 THEN ({0} - m_{0}) / d_{0} ELSE {0} END"
+        return ", ".join(
+            f"round({z.format(s) if s in names else s}, 6) + 0.0 AS {s}" for s in SENSORS
+        )
+
+    scaled = z_scores(SENSORS)
     sensors = columns(SENSORS)
     gold_train_sql = f"{tables} SELECT {scaled}, RUL FROM train_labelled, stats"
     gold_test_sql = f"{tables} SELECT {scaled}, RUL FROM test_labelled, stats"
     by_type = """(SELECT event_type, avg(RUL) AS life FROM train_labelled GROUP BY event_type)"""
+    alerts = f"""{tables}
+            SELECT {sensors}, sensor_2 AS predicted_rul,
+                   strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS processed_utc
+            FROM log WHERE sensor_2 < 20"""
     parsed = {
         "engine_id": "CAST(l_orderkey AS INTEGER)",
         "cycle": "CAST(l_linenumber AS INTEGER)",
@@ -500,11 +609,17 @@ def _sensor_sql() -> dict[str, str]:
         + ", ".join(f"{text} AS {name}" for name, text in parsed.items())
         + " FROM lineitem",
         "landing_skip_header": f"{tables} SELECT {columns(LOG_COLUMNS)} FROM daily WHERE line > 1",
-        "landing_rejects": """
-            SELECT CASE WHEN event_type IN ('view', 'error') THEN 'field_count'
-                        WHEN event_type = 'click' THEN 'not_a_number'
-                        ELSE 'not_finite' END AS reject_reason, count(*) AS n
-            FROM events WHERE event_type <> 'purchase' GROUP BY 1""",
+        "landing_header_blank": f"""{tables}
+            SELECT {columns(LOG_COLUMNS)} FROM daily WHERE line > 1 OR day(ts) % 3 = 0""",
+        "landing_rejects": f"""
+            SELECT {_SPOILED.replace("STRING", "VARCHAR")} AS line,
+                   CASE WHEN event_type IN ('view', 'error') THEN 'field_count'
+                        WHEN event_type = 'click' OR (event_type = 'purchase' AND event_id % 5 > 2)
+                        THEN 'not_a_number'
+                        WHEN event_type = 'signup' THEN 'not_finite'
+                        ELSE 'not_an_integer' END AS reject_reason,
+                   strftime(ts, '%Y-%m-%d') AS day
+            FROM events WHERE event_type <> 'purchase' OR event_id % 5 > 0""",
         "truth_line_numbers": """
             SELECT row_number() OVER (ORDER BY event_id) AS line_no,
                    CAST(event_id AS VARCHAR) AS value FROM events""",
@@ -557,8 +672,8 @@ def _sensor_sql() -> dict[str, str]:
             SELECT engine_id, cycle, event_id, CAST(fold AS INTEGER) AS fold
             FROM train JOIN engines USING (engine_id)""",
         "cv_folds_as_stored": f"""{tables}
-            SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n
-            FROM (SELECT ntile(7) OVER (ORDER BY event_id) - 1 AS fold FROM train) GROUP BY 1""",
+            SELECT event_id, CAST(ntile(7) OVER (ORDER BY event_id) - 1 AS INTEGER) AS fold
+            FROM train""",
         "rmse_group_mean": f"""{tables},
             m AS (SELECT *, avg(RUL) OVER (PARTITION BY engine_id) AS p FROM train_labelled)
             SELECT round(sqrt(avg((RUL - p) * (RUL - p))), 6) AS rmse FROM m""",
@@ -588,18 +703,30 @@ def _sensor_sql() -> dict[str, str]:
         "forest_rmse": f"""{tables}
             SELECT round(sqrt(avg((RUL - life) * (RUL - life))), 6) AS rmse
             FROM train_labelled JOIN {by_type} USING (event_type)""",
+        "forest_life": f"""{tables}
+            SELECT engine_id, cycle, RUL, true AS in_range, true AS beats_mean FROM test_labelled""",
+        "score_one_record": f"""{tables}
+            SELECT event_id, round(life, 6) AS predicted_rul
+            FROM test JOIN {by_type} USING (event_type) ORDER BY event_id LIMIT 1""",
         "json_parse": """
-            SELECT props AS body, CAST(json_extract(props, '$.k') AS DOUBLE) AS k FROM events""",
+            SELECT concat(props, ['', '}', ' x', props, ',"end":1'][event_id % 5 + 1]) AS body,
+                   CASE WHEN event_id % 5 = 0 THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS k,
+                   event_id % 5 = 0 AS complete
+            FROM events""",
         "low_value_alerts": "SELECT event_id, value AS predicted_rul FROM events WHERE value < 20",
         "stream_ingest": f"{tables} SELECT {sensors} FROM log",
-        "stream_rejects": "SELECT props AS body FROM events",
+        "stream_rejects": """
+            SELECT props AS body FROM events
+            UNION ALL
+            SELECT ['}}', ' garbage', 'doubled', ',"end":1'][event_id % 4 + 1] FROM events""",
+        "stream_restart": f"{tables} SELECT {sensors} FROM log",
+        "stream_stop": f"{tables} SELECT {sensors}, true AS stopped FROM log",
         "stream_score": f"""{tables}
-            SELECT sensor_2, sensor_3, round(life, 6) AS predicted_rul
-            FROM log JOIN {by_type} USING (event_type)""",
-        "stream_alerts": f"""{tables}
-            SELECT {sensors}, sensor_2 AS predicted_rul FROM log WHERE sensor_2 < 20""",
-        "alert_payloads": """
-            SELECT value AS sensor_2, value AS predicted_rul FROM events WHERE value < 20""",
+            SELECT {z_scores(INDICATORS)}, round(life, 6) AS predicted_rul, true AS timed,
+                   CAST(1 AS BIGINT) AS n_times
+            FROM log JOIN {by_type} USING (event_type), stats""",
+        "stream_alerts": alerts,
+        "alert_payloads": alerts,
         "prediction_merge": f"""{tables}
             SELECT sensor_2, sensor_3, sensor_2 AS predicted_rul, CAST(NULL AS VARCHAR) AS model
             FROM log

@@ -5,18 +5,9 @@ import random
 import pytest
 
 from wearlog.operators import forest
-from wearlog.plans.trainer import LifeTrainer
+from wearlog.plans.trainer import train_life
 from wearlog.schema import KEYS, LABEL, SENSORS
 
-# A sample record of standardised readings, rounded.
-SAMPLE = dict(
-    zip(
-        SENSORS,
-        [518.67, -2.07, -1.43, -0.715, 14.62, -4.618, -0.46, 0.149, 0.291, 1.3, 0.138, 1.463,
-         -1.297, -1.293, 2.528, 0.03, -1.054, 2388.0, 100.0, -2.797, -1.917],
-    )
-)
-
 
 @pytest.fixture(scope="module")
 def gold(spark, tmp_path_factory):
@@ -33,61 +24,57 @@ def gold(spark, tmp_path_factory):
         [*[f"{k} int" for k in KEYS], *[f"{s} double" for s in SENSORS], f"{LABEL} int"]
     )
     df = spark.createDataFrame(rows, schema)
-    df.write.parquet(f"{folder}/keyed")
+    df.write.parquet(f"{folder}/keyed/train")
     df.drop(*KEYS).write.parquet(f"{folder}/train")
-    df.drop(*KEYS, LABEL).limit(40).write.parquet(f"{folder}/test")
+    for test in (f"{folder}/test", f"{folder}/keyed/test"):
+        df.drop(*KEYS, LABEL).limit(40).write.parquet(test)
     return folder
 
 
 @pytest.fixture(scope="module")
-def trainer(spark, gold):
-    trainer = LifeTrainer(spark, f"{gold}/train", f"{gold}/test")
-    trainer.load_data()
-    trainer.train({"n_estimators": [5], "max_depth": [1, 6], "min_samples_leaf": [1]}, cv=3)
-    return trainer
+def life(spark, gold):
+    grid = {"n_estimators": [5], "max_depth": [1, 6], "min_samples_leaf": [1]}
+    return train_life(spark, str(gold), cv=3, grid=grid)
 
 
-def test_order_of_calls_is_enforced(spark, gold):
-    trainer = LifeTrainer(spark, f"{gold}/train", f"{gold}/test")
-    for call in (trainer.train, trainer.predict, trainer.evaluate_train, trainer.save_model):
-        with pytest.raises(RuntimeError):
-            call()
+@pytest.fixture()
+def record(spark, gold):
+    """The readings of one training row."""
+    row = spark.read.parquet(f"{gold}/keyed/train").filter("engine_id = 3 AND cycle = 4").first()
+    return {s: row[s] for s in SENSORS}
 
 
-def test_search_picks_the_deeper_forest(trainer):
-    scores = {point["max_depth"]: error for point, error in trainer.search.scores}
+def test_search_picks_the_deeper_forest(life):
+    scores = {point["max_depth"]: error for point, error in life.search.scores}
     assert scores[6] < scores[1]
-    assert trainer.search.best == {"n_estimators": 5, "max_depth": 6, "min_samples_leaf": 1}
-    assert trainer.evaluate_train() < scores[6] < 25
+    assert life.search.best == {"n_estimators": 5, "max_depth": 6, "min_samples_leaf": 1}
+    assert life.rmse() < scores[6] < 25
 
 
-def test_predictions(trainer):
-    predicted = trainer.predict()
+def test_predictions(life):
+    predicted = life.predict()
     assert predicted.columns == [*SENSORS, LABEL, forest.PREDICTION]
     assert predicted.count() == 40
     # Test rows without labels get empty ones, so they have no error either.
     assert {r[LABEL] for r in predicted.collect()} == {None}
-    assert trainer.evaluate_test() is None
-    assert trainer.first_predictions(7).count() == 7
+    assert life.rmse(life.test) is None
+    assert life.first_predictions(7).count() == 7
 
 
-def test_save_and_score_one_record(spark, trainer, tmp_path):
-    with pytest.raises(ValueError):
-        trainer.save_model()
+def test_save_and_score_one_record(spark, life, record, tmp_path):
     path = str(tmp_path / "deep" / "model")
-    trainer.save_model(path)
-    trainer.save_model(path)
-    once = forest.score_record(spark, trainer.model, SAMPLE)
-    again = forest.score_record(spark, forest.load_model(path), SAMPLE)
+    life.save(path)
+    life.save(path)
+    once = forest.score_record(spark, life.model, record)
+    again = forest.score_record(spark, forest.load_model(path), record)
     assert once == again and 30 < once < 180
 
 
 @pytest.mark.parametrize("by_engine", [False, True])
 def test_folds_by_key(spark, gold, by_engine):
-    trainer = LifeTrainer(spark, f"{gold}/keyed", f"{gold}/test")
-    trainer.load_data()
-    trainer.train({"n_estimators": [2], "max_depth": [3]}, cv=2, by_engine=by_engine)
-    assert len(trainer.search.scores) == 1
+    grid = {"n_estimators": [2], "max_depth": [3]}
+    life = train_life(spark, f"{gold}/keyed", cv=2, grid=grid, by_engine=by_engine)
+    assert len(life.search.scores) == 1
 
 
 def test_seed_makes_training_repeatable(spark, gold):
@@ -105,7 +92,7 @@ def test_grid():
         forest.grid_points({"min_samples_split": [2, 5]})
 
 
-def test_missing_sensor_is_loud(spark, trainer):
-    broken = spark.createDataFrame([{**SAMPLE, "sensor_9": float("nan")}])
+def test_missing_sensor_is_loud(spark, life, record):
+    broken = spark.createDataFrame([{**record, "sensor_9": float("nan")}])
     with pytest.raises(Exception, match="NaN"):
-        forest.score(trainer.model, broken).collect()
+        forest.score(life.model, broken).collect()

@@ -9,8 +9,13 @@ from pyspark.sql import functions as F
 from wearlog.operators.attach import attach
 from wearlog.operators.labels import engine_spans, label_from_truth, label_run_to_failure
 
-# Broadcast everything; broadcast nothing; shuffle, with engines above 40 rows split off.
-LIMITS = [{}, {"broadcast_bytes": 0}, {"broadcast_bytes": 400, "hot_rows": 40}]
+# Broadcast everything; shuffle; shuffle, with engines above 40 rows split off, both ways.
+LIMITS = [
+    {},
+    {"broadcast_bytes": 0},
+    {"broadcast_bytes": 0, "hot_rows": 40},
+    {"broadcast_bytes": 400, "hot_rows": 40},
+]
 
 
 @pytest.fixture(scope="module")
@@ -70,8 +75,9 @@ def test_large_tables_are_not_broadcast(log):
     assert "SortMergeJoin" in text and "Broadcast" not in text
 
 
-def test_only_hot_keys_are_broadcast(log):
-    text = plan(label_run_to_failure(log[0], broadcast_bytes=400, hot_rows=40))
+@pytest.mark.parametrize("broadcast_bytes", [0, 400])
+def test_only_hot_keys_are_broadcast(log, broadcast_bytes):
+    text = plan(label_run_to_failure(log[0], broadcast_bytes=broadcast_bytes, hot_rows=40))
     assert "LeftAnti" in text and "Union" in text
     assert text.count("SortMergeJoin") == 1 and text.count("BroadcastHashJoin") == 2
 
@@ -108,3 +114,23 @@ def test_attach_refuses_tables_of_unknown_size(spark):
     side = spark.createDataFrame([(1, [1], 1)], "k int, x array<int>, n_rows long")
     with pytest.raises(ValueError, match="no size known"):
         attach(rows, side, "k")
+
+
+def test_a_key_with_several_rows_is_an_error(spark, log):
+    truth = spark.createDataFrame([(1, 5), (2, 6), (1, 7)], "engine_id int, RUL int")
+    with pytest.raises(ValueError, match="keys"):
+        label_from_truth(log[0], truth)
+    side = spark.createDataFrame([(None, 1.0, 1), (None, 2.0, 1)], "k int, x double, n_rows long")
+    with pytest.raises(ValueError, match="2 rows for 1 keys"):
+        attach(spark.createDataFrame([(1,)], "k int"), side, "k")
+
+
+def test_columns_of_the_log_are_kept(spark, log):
+    own = log[0].withColumn("n_rows", F.lit("mine")).withColumn("last_cycle", F.lit(-1))
+    truth = spark.createDataFrame([(1, 5)], "engine_id int, RUL int")
+    for labelled in (label_run_to_failure(own), label_from_truth(own, truth)):
+        assert labelled.columns == ["engine_id", "cycle", "n_rows", "last_cycle", "RUL"]
+        assert {tuple(r) for r in labelled.select("n_rows", "last_cycle").collect()} == {("mine", -1)}
+    side = spark.createDataFrame([(1, "b", 1)], "k int, v string, n_rows long")
+    with pytest.raises(ValueError, match="both tables"):
+        attach(spark.createDataFrame([(1, "a")], "k int, v string"), side, "k")

@@ -16,23 +16,22 @@ from wearlog.functions.text import (
     utc_text,
     without_gaps,
 )
-from wearlog.plans import layers
-from wearlog.plans.layers import BronzeStage
+from wearlog.plans.layers import land
 from wearlog.schema import LOG_COLUMNS
 from wearlog.sources.landing import (
     good_rows,
+    land_log,
     number_lines,
     parse_lines,
     parse_truth,
-    read_lines,
     rejected_lines,
     rejected_truth,
-    warn_if_data,
 )
 
 
 def lines_of(spark, *lines):
-    return spark.createDataFrame([(line, "f.txt") for line in lines], "value string, file string")
+    rows = [(line, "f.txt", 0, i) for i, line in enumerate(lines)]
+    return spark.createDataFrame(rows, "value string, file string, block long, id long")
 
 
 @pytest.mark.parametrize(
@@ -91,12 +90,21 @@ def test_bad_lines_are_rejected_with_a_reason(spark, ansi):
     cases = {
         good: None,
         good.replace("7 3", "7.0 3.0", 1): None,
+        good.replace("7 3", "70e-1 +3", 1): None,
         good.rsplit(" ", 1)[0]: "field_count",
         good + " 5": "field_count",
         good.rsplit(" ", 1)[0] + " abc": "not_a_number",
         good.rsplit(" ", 1)[0] + " NaN": "not_finite",
         good.rsplit(" ", 1)[0] + " Infinity": "not_finite",
-        "99999999999 " + good.split(" ", 1)[1]: "not_a_number",
+        good.rsplit(" ", 1)[0] + " -inf": "not_finite",
+        good.rsplit(" ", 1)[0] + " 1d": "not_a_number",
+        good.rsplit(" ", 1)[0] + " 2F": "not_a_number",
+        good.rsplit(" ", 1)[0] + " 0x1p3": "not_a_number",
+        '"' + good.rsplit(" ", 1)[0] + '\t 3f"': "not_a_number",
+        "99999999999 " + good.split(" ", 1)[1]: "not_an_integer",
+        "1.7 " + good.split(" ", 1)[1]: "not_an_integer",
+        "-0.5 " + good.split(" ", 1)[1]: "not_an_integer",
+        good.replace("7 3", "7 2.9", 1): "not_an_integer",
     }
     before = spark.conf.get("spark.sql.ansi.enabled")
     spark.conf.set("spark.sql.ansi.enabled", ansi)
@@ -107,38 +115,67 @@ def test_bad_lines_are_rejected_with_a_reason(spark, ansi):
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
     assert rejected == {line: reason for line, reason in cases.items() if reason}
-    assert len(rows) == 2 and rows[0] == rows[1]
+    assert len(rows) == 3 and rows[0] == rows[1] == rows[2]
     assert rows[0].asDict() == dict(
         zip(LOG_COLUMNS, [7, 3, 0.0, 0.0, 0.0, *[float(i) for i in range(1, 22)]])
     )
 
 
-def test_filters_stay_above_the_parsing(spark):
-    """Pushed below, they would split the line again for every column."""
-    plan = good_rows(parse_lines(lines_of(spark, "x"))).filter("sensor_3 > 0")
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert text.index("Filter") < text.index("CollectMetrics") < text.index("split(")
+def scans_of_text(spark, run):
+    """How many scans of text files the executed plans of ``run`` have."""
+    seen = []
+    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
+    run()
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = store.executionsList()
+    for i in range(before, runs.size()):
+        seen.append(runs.apply(i).physicalPlanDescription())
+    return sum(text.count("Scan text ") - text.count(") Scan text ") for text in seen)
 
 
 def test_header_is_dropped_once_per_file(spark, tmp_path, small_splits):
     expected = []
-    for name, n in (("a", 300), ("b", 1), ("c", 150)):
-        lines = [f"{name} {i}" for i in range(n)]
+    for name, n in (("a", 40), ("b", 1), ("c", 25)):
+        lines = [log_line(1, i + 1, i) for i in range(n)]
         (tmp_path / f"{name}.txt").write_text("\n".join(lines) + "\n")
-        expected += lines[1:]
-    df = read_lines(spark, str(tmp_path))
-    assert df.rdd.getNumPartitions() > 3
-    assert sorted(r.value for r in df.collect()) == sorted(expected)
-    assert read_lines(spark, str(tmp_path), skip_header=False).count() == 451
+        expected += range(2, n + 1)
+    good = good_rows(land_log(spark, str(tmp_path)))
+    assert sorted(r.cycle for r in good.collect()) == sorted(expected)
+    assert good_rows(land_log(spark, str(tmp_path), skip_header=False)).count() == 66
+
+
+def test_a_header_is_the_first_line_even_if_blank(spark, tmp_path):
+    lines = [log_line(1, cycle, cycle) for cycle in (1, 2)]
+    for name, first in (("blank", ""), ("spaces", "  \t"), ("head", "id cycle"), ("bad", "1 x")):
+        (tmp_path / f"{name}.txt").write_text("\n".join([first, *lines, "", lines[0]]) + "\n")
+    parsed = land_log(spark, str(tmp_path))
+    assert sorted(r.cycle for r in good_rows(parsed).collect()) == [1] * 8 + [2] * 4
+    assert rejected_lines(parsed).collect() == []
+    numbered = number_lines(spark, str(tmp_path))
+    assert numbered.count() == 16
+
+
+def test_text_is_read_once_for_good_rows_and_rejects(spark, landing, tmp_path):
+    (landing / "train_FD001.txt").write_text("\n".join(["head", log_line(1, 1, 1), "bad"]) + "\n")
+
+    def run():
+        parsed = land_log(spark, str(landing / "train_FD001.txt"))
+        good_rows(parsed).write.parquet(str(tmp_path / "good"))
+        rejected_lines(parsed).write.parquet(str(tmp_path / "bad"))
 
+    assert scans_of_text(spark, run) == 1
+    parsed = land_log(spark, str(landing / "train_FD001.txt"), skip_header=False)
+    plan = rejected_lines(parsed)._jdf.queryExecution().executedPlan().toString()
+    assert "Scan text" not in plan and "IsNotNull(reject_reason)" in plan
 
-def test_header_reader_leaves_lines_alone(spark, tmp_path):
-    odd = ["a\u0001b", "\0q r\0 s", '"', '""', "\\", "#c", "\x0bz\x0c", "é\u2028k"]
-    lines = ["header", 'a "b" c', " , ; \\ # ", "\ttab ", *odd, "x" * 100_000]
-    (tmp_path / "f.txt").write_text("\n".join(lines) + "\n")
-    assert [r.value for r in read_lines(spark, str(tmp_path)).collect()] == lines[1:]
-    (tmp_path / "f.txt").write_bytes("\r\n".join(lines).encode())
-    assert [r.value for r in read_lines(spark, str(tmp_path)).collect()] == lines[1:]
+
+def test_lines_are_left_alone(spark, tmp_path):
+    odd = ["a\u0001b", "\0q r\0 s", '"', "\\", "#c", "é\u2028k", 'a "b" c', "x" * 100_000]
+    for i, end in enumerate(("\n", "\r\n")):
+        (tmp_path / f"{i}.txt").write_bytes(end.join(["header", *odd]).encode())
+        rejects = rejected_lines(land_log(spark, str(tmp_path / f"{i}.txt"))).collect()
+        assert sorted(r.line for r in rejects) == sorted(line for line in odd if line != '"')
 
 
 @pytest.mark.parametrize("skip_header", [True, False])
@@ -154,13 +191,13 @@ def test_line_numbers_run_over_splits_and_files(spark, tmp_path, small_splits, s
 
 
 def test_truth_lines_keep_their_place(spark, tmp_path):
-    (tmp_path / "t.txt").write_text('head\n112 \n\n"98"\nabc\n69.0\n')
+    (tmp_path / "t.txt").write_text('head\n112 \n\n"98"\nabc\n69.0\n69.7\n7d\n')
     numbered = number_lines(spark, str(tmp_path))
     assert sorted(tuple(r) for r in parse_truth(numbered).collect()) == [
-        (1, 112), (2, None), (3, 98), (4, None), (5, 69),
+        (1, 112), (2, None), (3, 98), (4, None), (5, 69), (6, None), (7, None),
     ]
     rejects = rejected_truth(numbered).collect()
-    assert sorted(tuple(r) for r in rejects) == [(2, ""), (4, "abc")]
+    assert sorted(tuple(r) for r in rejects) == [(2, ""), (4, "abc"), (6, "69.7"), (7, "7d")]
 
 
 def test_headerless_truth(spark, tmp_path):
@@ -171,19 +208,28 @@ def test_headerless_truth(spark, tmp_path):
     assert sorted(tuple(r) for r in shifted.collect()) == [(1, 98), (2, 69)]
 
 
-def test_warning_when_the_header_looks_like_data(spark, tmp_path, caplog):
-    (tmp_path / "data.txt").write_text("112 \n98\n")
-    (tmp_path / "head.txt").write_text("RUL\n98\n")
-    assert warn_if_data(spark, str(tmp_path / "data.txt"), 1)
-    assert "skip_header" in caplog.text
-    assert not warn_if_data(spark, str(tmp_path / "head.txt"), 1)
+def test_warning_when_a_header_looks_like_data(spark, tmp_path, caplog):
+    for name, first in (("a_head", "RUL"), ("b_data", "112 "), ("c_data", "7")):
+        (tmp_path / f"{name}.txt").write_text(f"{first}\n98\n")
+    number_lines(spark, str(tmp_path))
+    assert "2 files" in caplog.text and "b_data" in caplog.text and "skip_header" in caplog.text
+    caplog.clear()
+    number_lines(spark, str(tmp_path / "a_head.txt"))
+    assert caplog.text == ""
+    (tmp_path / "log").mkdir()
+    for name, first in (("a", "engine cycle"), ("b", log_line(1, 1, 1))):
+        (tmp_path / "log" / f"{name}.txt").write_text(f"{first}\n{log_line(1, 2, 1)}\n")
+    land_log(spark, str(tmp_path / "log"), skip_header=False)
+    assert caplog.text == ""
+    land_log(spark, str(tmp_path / "log"))
+    assert "1 files" in caplog.text and "log/b.txt" in caplog.text
 
 
 def test_bronze_tables(spark, landing, tmp_path):
     lines = [log_line(1, 1, 1), log_line(1, 2, 1), "1 3 broken", "", log_line(1, 4, 1)]
     (landing / "train_FD001.txt").write_text("\n".join(lines) + "\n")
     bronze = str(tmp_path / "bronze")
-    BronzeStage(spark, str(landing), bronze).run_all()
+    land(spark, str(landing), bronze)
     train = spark.read.parquet(f"{bronze}/train")
     assert train.columns == LOG_COLUMNS
     assert [f.dataType.simpleString() for f in train.schema] == ["int"] * 2 + ["double"] * 24
@@ -201,9 +247,7 @@ def test_bronze_tables(spark, landing, tmp_path):
     assert spark.read.parquet(f"{bronze}/rejects/truth").count() == 0
 
 
-@pytest.mark.parametrize("most", [10_000, 0])
-def test_rejects_come_from_the_files_that_have_some(spark, tmp_path, monkeypatch, most):
-    monkeypatch.setattr(layers, "MOST_FILES_BY_NAME", most)
+def test_rejects_of_many_files(spark, tmp_path):
     folder = tmp_path / "land ing" / "train_FD001.txt"
     folder.mkdir(parents=True)
     for name, lines in {
@@ -212,25 +256,13 @@ def test_rejects_come_from_the_files_that_have_some(spark, tmp_path, monkeypatch
         "two": ["head", log_line(1, 3, 1) + " 4", log_line(1, 3, 1), "", "x"],
     }.items():
         (folder / f"{name}.txt").write_text("\n".join(lines) + "\n")
-    stage = BronzeStage(spark, str(folder.parent), str(tmp_path / "bronze"))
-    stage.process_train()
+    land(spark, str(folder.parent), str(tmp_path / "bronze"), parts=("train",))
     rejects = spark.read.parquet(str(tmp_path / "bronze" / "rejects" / "train"))
     expected = ["oops", "x", log_line(1, 3, 1) + " 4"]
     assert sorted(r.line for r in rejects.collect()) == sorted(expected)
     assert spark.read.parquet(str(tmp_path / "bronze" / "train")).count() == 3
 
 
-def test_files_are_pruned_by_name(spark, tmp_path):
-    for name in ("a", "b", "c"):
-        (tmp_path / f"{name}.txt").write_text(f"head\n{name}\n")
-    lines = read_lines(spark, str(tmp_path))
-    file = next(r.file for r in lines.collect() if r.value == "b")
-    some = lines.filter(F.col("file").isin([file]))
-    assert [r.value for r in some.collect()] == ["b"]
-    node = some._jdf.queryExecution().executedPlan().collectLeaves().head()
-    assert node.metrics().apply("numFiles").value() == 1
-
-
 def test_utc_text(spark):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")

@@ -1,10 +1,12 @@
 """The batch run from text to gold."""
 
+from pathlib import Path
+
 import pytest
 from conftest import log_line
 
 from wearlog.operators.features import gold_projection
-from wearlog.plans.layers import BronzeStage, GoldStage, SilverStage, run_batch
+from wearlog.plans.layers import land, previews, project, refine, run_batch
 from wearlog.schema import KEYS, LABEL, SENSORS, SETTINGS
 from wearlog.sources.tables import append_table, preview, read_table
 
@@ -34,6 +36,17 @@ def test_gold_columns_and_preview(spark, landing, out):
         assert gold.columns == [*SENSORS, LABEL] and gold.count() == 2
     first = run_batch(spark, str(landing), str(out), keep_keys=True)
     assert first["train"].count() == 2 and first["test"].columns == [*KEYS, *SENSORS, LABEL]
+    # Every table below gold is shown, whoever wrote it.
+    spark.range(9).write.parquet(f"{out}/gold/extra")
+    shown = previews(spark, f"{out}/gold", n=3)
+    assert list(shown) == ["extra", "test", "train"] and shown["extra"].count() == 3
+
+
+def test_no_intermediate_table_is_left(spark, landing, tmp_path):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    run_batch(spark, str(landing), str(tmp_path))
+    assert set(folder.iterdir()) == before
 
 
 def test_two_lines_leave_one_row_in_raw_units(spark, landing, tmp_path):
@@ -64,14 +77,14 @@ def test_headerless_truth_pairs_by_position(spark, tmp_path):
 
 def test_stages_can_run_again_and_alone(spark, landing, tmp_path):
     for _ in range(2):
-        BronzeStage(spark, str(landing), f"{tmp_path}/b").run_all()
-        SilverStage(spark, f"{tmp_path}/b", f"{tmp_path}/s").run_all()
-        GoldStage(spark, f"{tmp_path}/s", f"{tmp_path}/g").run_all()
+        land(spark, str(landing), f"{tmp_path}/b")
+        refine(spark, f"{tmp_path}/b", f"{tmp_path}/s")
+        project(spark, f"{tmp_path}/s", f"{tmp_path}/g")
     assert spark.read.parquet(f"{tmp_path}/g/train").count() == 2
 
 
 def test_silver_is_the_same_without_broadcast(spark, out):
-    SilverStage(spark, f"{out}/bronze", f"{out}/other", broadcast_bytes=0).run_all()
+    refine(spark, f"{out}/bronze", f"{out}/other", broadcast_bytes=0)
     for split in ("train", "test"):
         one, other = (spark.read.parquet(f"{out}/{d}/{split}") for d in ("silver", "other"))
         assert one.exceptAll(other).isEmpty() and one.count() == other.count()

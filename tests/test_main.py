@@ -3,28 +3,33 @@
 import json
 
 from wearlog import __main__ as cli
-from wearlog.operators import forest
+from wearlog.operators.forest import load_model
 from wearlog.schema import SENSORS
+from wearlog.streaming.events import rejected_events
 
 
-def test_commands(spark, landing, tmp_path, monkeypatch, capsys):
-    monkeypatch.setattr(forest, "DEFAULT_GRID", {"n_estimators": [2], "max_depth": [2]})
+def test_commands(spark, landing, tmp_path, capsys):
     at = str(tmp_path)
     cli.main(["batch", str(landing), f"{at}/out", "--no-header", "--keep-keys"])
     assert "gold/test" in capsys.readouterr().out
-    cli.main(["train", f"{at}/out/gold", f"{at}/model", "--folds", "2"])
+    cli.main(
+        ["train", f"{at}/out/gold", f"{at}/model", "--folds", "2", "--grid", "n_estimators=2",
+         "--grid", "max_depth=1,2", "--setting", "maxBins=16"]
+    )
     assert "RMSE train" in capsys.readouterr().out
+    trees = load_model(f"{at}/model").stages[-1]
+    assert trees.getNumTrees == 2 and trees.getMaxBins() == 16
 
     (tmp_path / "in").mkdir()
     event = {s: float(i) for i, s in enumerate(SENSORS, 1)}
     (tmp_path / "in" / "a.json").write_text(json.dumps(event) + "\nbad\n")
     options = ["--once", "--option", "maxFilesPerTrigger=1"]
-    cli.main(["ingest", f"{at}/in", f"{at}/rows", f"{at}/c1", *options])
-    cli.main(["reject", f"{at}/in", f"{at}/bad", f"{at}/c2", "--once"])
+    cli.main(["ingest", f"{at}/in", f"{at}/events", f"{at}/c1", *options])
     cli.main(
-        ["score", f"{at}/rows", f"{at}/pred", f"{at}/c3", "--once", "--model", f"{at}/model",
+        ["score", f"{at}/events", f"{at}/pred", f"{at}/c3", "--once", "--model", f"{at}/model",
          "--stats", f"{at}/out/silver/stats"]
     )
     cli.main(["alert", f"{at}/pred", f"{at}/alerts", f"{at}/c4", "--once", "--threshold", "1000"])
-    assert [r.body for r in spark.read.parquet(f"{at}/bad").collect()] == ["bad"]
+    rejects = rejected_events(spark.read.parquet(f"{at}/events"))
+    assert [r.body for r in rejects.collect()] == ["bad"]
     assert spark.read.parquet(f"{at}/alerts").count() == 1

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from wearlog.operators.labels import label_run_to_failure
 from wearlog.operators.scaling import apply_stats, fit_stats
 from wearlog.schema import LOG_COLUMNS, LOG_TYPES
-from wearlog.sources.landing import good_rows, parse_lines, read_lines
-from wearlog.streaming.events import parse_events, sensor_rows
+from wearlog.sources.landing import parse_lines, read_lines
+from wearlog.streaming.events import parse_events
 
 LIMIT = 8000
 
@@ -29,16 +29,15 @@ def fixed_plans(spark):
     spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-@pytest.mark.parametrize("skip_header", [True, False])
-def test_parsing_lines(spark, landing, fixed_plans, skip_header):
-    lines = read_lines(spark, str(landing / "train_FD001.txt"), skip_header)
-    sizes = method_sizes(spark, good_rows(parse_lines(lines)))
+def test_parsing_lines(spark, landing, fixed_plans):
+    lines = read_lines(spark, str(landing / "train_FD001.txt"))
+    sizes = method_sizes(spark, parse_lines(lines))
     assert sizes and max(sizes) < LIMIT
 
 
 def test_parsing_events(spark, landing, fixed_plans):
     text = spark.read.text(str(landing)).select(F.col("value").alias("body"))
-    sizes = method_sizes(spark, sensor_rows(parse_events(text)))
+    sizes = method_sizes(spark, parse_events(text))
     assert sizes and max(sizes) < LIMIT
 
 

@@ -1,11 +1,14 @@
 """The shared folder."""
 
+from multiprocessing.pool import ThreadPool
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from wearlog.session import scratch_path, shared_folder, stored
+from wearlog.session import scratch, scratch_path, shared_folder, stored
 
 
 def fake(master, setting=None, current=None):
@@ -27,10 +30,11 @@ def test_the_setting_is_used_everywhere():
 def test_without_the_setting_only_a_local_session_gets_a_folder():
     session, used = fake("local[2]")
     assert [shared_folder(session)] == used
-    session, used = fake("yarn")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(session)
-    assert not used
+    for master in ("yarn", "local-cluster[2,1,1024]"):
+        session, used = fake(master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(session)
+        assert not used
 
 
 def test_a_folder_already_in_use_is_kept():
@@ -43,3 +47,31 @@ def test_stored_tables_lie_in_the_shared_folder_and_never_change(spark):
     table = stored(spark.range(5).withColumn("r", F.rand()), "random")
     assert table.orderBy("id").collect() == table.orderBy("id").collect()
     assert "Range" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_scratch_block_removes_its_tables(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+
+    def make(_):
+        return stored(spark.range(3), "inner").count()
+
+    with scratch(spark):
+        assert stored(spark.range(5), "table").count() == 5
+        with scratch(spark, keep=True):
+            stored(spark.range(5), "kept")
+        with ThreadPool(2) as pool:
+            assert pool.map(inheritable_thread_target(spark)(make), [1, 2]) == [3, 3]
+        assert len(set(folder.iterdir()) - before) == 1
+    assert set(folder.iterdir()) == before
+    outside = stored(spark.range(2), "outside")
+    assert len(set(folder.iterdir()) - before) == 1 and outside.count() == 2
+
+
+def test_a_scratch_block_that_fails_removes_its_tables(spark):
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(folder.iterdir())
+    with pytest.raises(ZeroDivisionError), scratch(spark):
+        stored(spark.range(5), "table")
+        1 / 0
+    assert set(folder.iterdir()) == before

@@ -12,7 +12,14 @@ from wearlog.operators.forest import PREDICTION, fit_forest
 from wearlog.operators.scaling import fit_stats
 from wearlog.schema import LABEL, SENSORS
 from wearlog.streaming import jobs
-from wearlog.streaming.events import alert_messages, low_life, parse_events, read_events
+from wearlog.streaming.events import (
+    alert_messages,
+    low_life,
+    parse_events,
+    read_events,
+    rejected_events,
+    sensor_rows,
+)
 
 NOW = {"available_now": True}
 
@@ -29,6 +36,12 @@ BAD = [
     event(sensor_4=None),
     event(sensor_5=float("nan")),
     event()[:-1],
+    event() + event(),
+    event() + " garbage",
+    event() + "}",
+    event() + ',"end":1',
+    event() + "," + event(),
+    event() + '],"end":1,"event":[' + event(),
 ]
 
 
@@ -42,6 +55,11 @@ def drop(folder, name, lines):
     (folder / "in" / f"{name}.json").write_text("\n".join(lines) + "\n")
 
 
+def rows_and_rejects(spark, folder, table_format="parquet"):
+    table = spark.read.format(table_format).load(f"{folder}/events")
+    return sensor_rows(table), rejected_events(table)
+
+
 def run(query):
     query.awaitTermination()
     return query
@@ -58,32 +76,42 @@ def test_parse(spark):
     assert wrong_type.sensor_3 is None and wrong_type.sensor_4 == 4.0
 
 
-def test_ingest_and_reject_across_batches_and_restarts(spark, folder):
-    def both():
+def test_ingest_across_batches_and_restarts(spark, folder):
+    def counted():
         events = read_events(spark, f"{folder}/in", maxFilesPerTrigger=1)
-        run(jobs.ingest(events, f"{folder}/rows", f"{folder}/c1", **NOW))
-        run(jobs.reject(events, f"{folder}/bad", f"{folder}/c2", **NOW))
-        rows, bad = (spark.read.parquet(f"{folder}/{t}") for t in ("rows", "bad"))
+        run(jobs.ingest(events, f"{folder}/events", f"{folder}/c1", tasks=1, **NOW))
+        rows, bad = rows_and_rejects(spark, folder)
         assert rows.columns == SENSORS and bad.columns == ["body"]
         return rows.count(), sorted(r.body for r in bad.collect())
 
     drop(folder, "a", [event(), *BAD])
     drop(folder, "b", [event()] * 5)
-    assert both() == (6, sorted(BAD))
-    assert both() == (6, sorted(BAD))
+    assert counted() == (6, sorted(BAD))
+    assert counted() == (6, sorted(BAD))
     drop(folder, "c", [event()] * 2 + ["late"])
-    assert both() == (8, sorted([*BAD, "late"]))
+    assert counted() == (8, sorted([*BAD, "late"]))
+    # One file per batch, partition and task; the text of complete events is not kept.
+    files = list((folder / "events").glob("complete=*/*.parquet"))
+    assert len(files) == 5
+    assert spark.read.parquet(f"{folder}/events").filter("complete AND body IS NOT NULL").isEmpty()
+
+
+def test_downstream_reads_complete_events_only(spark, folder):
+    drop(folder, "a", [event(), *BAD])
+    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c", **NOW))
+    rows, _ = rows_and_rejects(spark, folder)
+    assert "PartitionFilters: [isnotnull(complete" in rows._jdf.queryExecution().toString()
 
 
 def test_a_batch_run_twice_counts_once(spark, folder):
     drop(folder, "a", [event()] * 3)
     for _ in range(2):
         events = read_events(spark, f"{folder}/in")
-        run(jobs.ingest(events, f"{folder}/rows", f"{folder}/c", **NOW))
+        run(jobs.ingest(events, f"{folder}/events", f"{folder}/c", **NOW))
         # As after a failure between writing the batch and noting that it is done.
         for note in (Path(folder) / "c" / "commits").glob("*0*"):
             shutil.move(str(note), str(folder / f"note-{note.name}"))
-    assert spark.read.parquet(f"{folder}/rows").count() == 3
+    assert spark.read.parquet(f"{folder}/events").count() == 3
 
 
 @pytest.fixture(scope="module")
@@ -104,12 +132,12 @@ def model(spark):
 
 def test_score_and_alert(spark, folder, model):
     drop(folder, "a", [event(sensor_2=-0.5), event(sensor_2=0.5), event(sensor_2=-0.9)])
-    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c1", **NOW))
+    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c1", **NOW))
 
     def score_and_alert():
         run(
             jobs.score_stream(
-                spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2", **NOW
+                spark, model, f"{folder}/events", f"{folder}/pred", f"{folder}/c2", **NOW
             )
         )
         run(jobs.alert_stream(spark, f"{folder}/pred", f"{folder}/alerts", f"{folder}/c3", **NOW))
@@ -124,21 +152,20 @@ def test_score_and_alert(spark, folder, model):
 
 
 def test_all_jobs_at_once_in_any_order(spark, folder, model):
-    names = ["alert", "score", "reject", "ingest"]
+    names = ["alert", "score", "ingest"]
     drop(folder, "a", [event(sensor_2=-0.5), "bad"])
     try:
         alert = jobs.alert_stream(spark, f"{folder}/pred", f"{folder}/alerts", f"{folder}/c1")
         score = jobs.score_stream(
-            spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2"
+            spark, model, f"{folder}/events", f"{folder}/pred", f"{folder}/c2"
         )
         events = read_events(spark, f"{folder}/in")
-        reject = jobs.reject(events, f"{folder}/bad", f"{folder}/c3")
-        ingest = jobs.ingest(events, f"{folder}/rows", f"{folder}/c4")
+        ingest = jobs.ingest(events, f"{folder}/events", f"{folder}/c4")
         for n in (1, 2):
-            for query in (ingest, reject, score, alert):
+            for query in (ingest, score, alert):
                 query.processAllAvailable()
-            tables = ("rows", "bad", "pred", "alerts")
-            counts = [spark.read.parquet(f"{folder}/{t}").count() for t in tables]
+            counts = [table.count() for table in rows_and_rejects(spark, folder)]
+            counts += [spark.read.parquet(f"{folder}/{t}").count() for t in ("pred", "alerts")]
             assert counts == [n, n, n, n]
             drop(folder, "b", [event(sensor_2=-0.7), "also bad"])
     finally:
@@ -149,9 +176,9 @@ def test_all_jobs_at_once_in_any_order(spark, folder, model):
 def test_other_table_formats(spark, folder, model):
     drop(folder, "a", [event(sensor_2=-0.5), event(sensor_2=0.5)])
     orc = {"table_format": "orc", **NOW}
-    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c1", **orc))
+    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c1", **orc))
     run(
-        jobs.score_stream(spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2", **orc)
+        jobs.score_stream(spark, model, f"{folder}/events", f"{folder}/pred", f"{folder}/c2", **orc)
     )
     run(jobs.alert_stream(spark, f"{folder}/pred", f"{folder}/alerts", f"{folder}/c3", **orc))
     alerts = spark.read.orc(f"{folder}/alerts")
@@ -161,10 +188,10 @@ def test_other_table_formats(spark, folder, model):
 def test_raw_rows_are_scaled_by_training_statistics(spark, folder, model):
     raw = spark.createDataFrame([(95.0,), (105.0,)], "sensor_2 double")
     drop(folder, "a", [event(sensor_2=96.0), event(sensor_2=104.0)])
-    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c1", **NOW))
+    run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c1", **NOW))
     run(
         jobs.score_stream(
-            spark, model, f"{folder}/rows", f"{folder}/pred", f"{folder}/c2",
+            spark, model, f"{folder}/events", f"{folder}/pred", f"{folder}/c2",
             stats=fit_stats(raw), **NOW,
         )
     )
@@ -194,7 +221,7 @@ def test_alert_messages(spark):
 def test_progress_counts_rejects(spark, folder):
     drop(folder, "a", [event(), *BAD])
     query = run(
-        jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/rows", f"{folder}/c", **NOW)
+        jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c", **NOW)
     )
     counts = query.recentProgress[0].observedMetrics["events"]
     assert (counts["parsed"], counts["rejected"]) == (1 + len(BAD), len(BAD))
@@ -203,7 +230,7 @@ def test_progress_counts_rejects(spark, folder):
 def test_only_named_jobs_are_stopped(spark, folder):
     drop(folder, "a", [event()])
     events = read_events(spark, f"{folder}/in")
-    ours = jobs.ingest(events, f"{folder}/rows", f"{folder}/c1", name="ours")
+    ours = jobs.ingest(events, f"{folder}/events", f"{folder}/c1", name="ours")
     other = jobs.ingest(events, f"{folder}/rows2", f"{folder}/c2", name="other")
     try:
         jobs.stop_jobs(spark, "ours")

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from wearlog.operators.forest import load_model
 from wearlog.plans.layers import run_batch
-from wearlog.plans.trainer import LifeTrainer
+from wearlog.plans.trainer import train_life
 from wearlog.sources.tables import read_table
 from wearlog.streaming import jobs
 from wearlog.streaming.events import ALERT_THRESHOLD, read_events
@@ -33,6 +33,20 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
     train.add_argument("--folds", type=int, default=3)
     train.add_argument("--by-engine", action="store_true", help="never cut an engine in two")
     train.add_argument("--parallelism", type=int, default=2)
+    train.add_argument(
+        "--grid",
+        action="append",
+        default=[],
+        metavar="NAME=VALUES",
+        help="values of a parameter, e.g. max_depth=5,10; the default grid if none is given",
+    )
+    train.add_argument(
+        "--setting",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="a parameter of Spark's forest, e.g. maxBins=64 or maxMemoryInMB=1024",
+    )
 
     def streaming(name: str, text: str) -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=text)
@@ -42,19 +56,22 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
         command.add_argument("--once", action="store_true", help="stop after the data at hand")
         return command
 
-    for name, text in (("ingest", "complete events to sensor rows"), ("reject", "other events")):
-        command = streaming(name, text)
-        command.add_argument("--format", default="text", help="streaming source, e.g. kafka")
-        command.add_argument("--body", default="value", help="the source's column with the JSON")
-        command.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
-    score = streaming("score", "sensor rows to predictions")
+    ingest = streaming("ingest", "events to a table of complete and rejected ones")
+    ingest.add_argument("--format", default="text", help="streaming source, e.g. kafka")
+    ingest.add_argument("--body", default="value", help="the source's column with the JSON")
+    ingest.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
+    score = streaming("score", "complete events to predictions")
     score.add_argument("--model", required=True)
-    score.add_argument("--stats", help="silver/stats, if the sensor rows are raw")
+    score.add_argument("--stats", help="silver/stats, if the events are raw readings")
     alert = streaming("alert", "low predictions to alerts")
     alert.add_argument("--threshold", type=float, default=ALERT_THRESHOLD)
     return parser.parse_args(args)
 
 
+def _pairs(options: Sequence[str]) -> list[list[str]]:
+    return [option.split("=", 1) for option in options]
+
+
 def main(args: Sequence[str] | None = None) -> None:
     given = _arguments(args)
     spark = SparkSession.builder.appName(f"wearlog-{given.command}").getOrCreate()
@@ -67,22 +84,28 @@ def main(args: Sequence[str] | None = None) -> None:
             rows.show(truncate=False)
         return
     if given.command == "train":
-        trainer = LifeTrainer(spark, f"{given.gold}/train", f"{given.gold}/test", given.model)
-        trainer.load_data()
-        trainer.train(cv=given.folds, by_engine=given.by_engine, parallelism=given.parallelism)
-        trainer.save_model()
-        print("best point", trainer.search.best)
-        print("RMSE train", trainer.evaluate_train(), "test", trainer.evaluate_test())
+        grid = {name: [int(v) for v in values.split(",")] for name, values in _pairs(given.grid)}
+        found = train_life(
+            spark,
+            given.gold,
+            given.folds,
+            grid or None,
+            given.by_engine,
+            parallelism=given.parallelism,
+            settings={name: int(value) for name, value in _pairs(given.setting)},
+        )
+        found.save(given.model)
+        print("best point", found.search.best)
+        print("RMSE train", found.rmse(), "test", found.rmse(found.test))
         return
 
     trigger = {"available_now": True} if given.once else {}
     where = (given.table, given.checkpoint)
-    if given.command in ("ingest", "reject"):
-        options = dict(option.split("=", 1) for option in given.option)
+    if given.command == "ingest":
+        options = dict(_pairs(given.option))
         path = given.source if given.source != "-" else None
         events = read_events(spark, path, given.format, given.body, **options)
-        job = jobs.ingest if given.command == "ingest" else jobs.reject
-        query = job(events, *where, **trigger)
+        query = jobs.ingest(events, *where, **trigger)
     elif given.command == "score":
         stats = read_table(spark, given.stats) if given.stats else None
         model = load_model(given.model)

@@ -6,6 +6,12 @@ from operator import add
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: A number in plain decimal notation, or one of the words for what is not finite. Casts alone would
+#: also take type suffixes and hexadecimal digits ("1d", "0x1p3").
+_PLAIN_NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?(nan|inf|infinity)$"
+#: What only other notations have.
+_ODD_LETTER = r"[dDfFxXpP]"
+
 
 def _plain(line: Column) -> Column:
     """The line without quotes and outer spaces.
@@ -26,6 +32,11 @@ def to_numbers(texts: Column) -> Column:
     return texts.try_cast("array<double>")
 
 
+def plain_numbers(texts: Column) -> Column:
+    """``to_numbers`` for texts in plain decimal notation; NULL for any other."""
+    return to_numbers(F.transform(texts, lambda x: F.when(F.rlike(x, F.lit(_PLAIN_NUMBER)), x)))
+
+
 def elements(array: Column, n: int) -> list[Column]:
     """The first ``n`` elements, NULL where there are fewer."""
     return [F.get(array, F.lit(i)) for i in range(n)]
@@ -37,12 +48,14 @@ def quick_fields(line: Column) -> Column:
 
 
 def numbers(line: Column, quick: Column, n: int) -> Column:
-    """The line's fields as doubles, NULL where one is no number.
+    """The line's fields as doubles, NULL where one is no number in plain notation.
 
-    Most lines have their ``n`` fields in ``quick``. Only the others need the slower pattern
-    matching. The number of fields is looked at first, as failed casts are the slowest way.
+    Most lines have their ``n`` fields in ``quick`` and no letter that another notation has. Only the others
+    need the slower pattern matching. The number of fields is looked at first, as failed casts are the
+    slowest way.
     """
-    return to_numbers(F.when(F.size(quick) == n, quick).otherwise(fields(line)))
+    easy = (F.size(quick) == n) & ~F.rlike(line, F.lit(_ODD_LETTER))
+    return F.when(easy, to_numbers(quick)).otherwise(plain_numbers(fields(line)))
 
 
 def without_gaps(line: Column, found: Column, n: int) -> Column:
@@ -52,7 +65,7 @@ def without_gaps(line: Column, found: Column, n: int) -> Column:
     as expressions they would be computed several times.
     """
     whole = (F.size(found) != n) | (F.size(F.array_compact(found)) == n)
-    return F.when(whole, found).otherwise(to_numbers(fields(line)))
+    return F.when(whole, found).otherwise(plain_numbers(fields(line)))
 
 
 def is_blank(line: Column) -> Column:
@@ -60,8 +73,8 @@ def is_blank(line: Column) -> Column:
 
 
 def to_int(number: Column) -> Column:
-    """A double as int, NULL if it does not fit. Whole numbers may thus be written "1.0"."""
-    return number.try_cast("int")
+    """A double as int, NULL if it is not whole or does not fit. Whole numbers may be written "1.0"."""
+    return F.when(number == F.floor(number), number.try_cast("int"))
 
 
 def all_finite(columns: list[Column]) -> Column:

@@ -10,28 +10,25 @@ from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from wearlog.operators.attach import BROADCAST_BYTES
 from wearlog.operators.features import gold_projection
 from wearlog.operators.labels import label_from_truth, label_run_to_failure
 from wearlog.operators.scaling import apply_stats, fit_stats
-from wearlog.schema import LABEL, LOG_COLUMNS
+from wearlog.schema import LABEL
+from wearlog.session import scratch
 from wearlog.sources.landing import (
     good_rows,
+    land_log,
     number_lines,
-    parse_lines,
     parse_truth,
-    read_lines,
     rejected_lines,
     rejected_truth,
-    warn_if_data,
 )
-from wearlog.sources.tables import overwrite_table, preview, read_table
+from wearlog.sources.tables import folders, overwrite_table, preview, read_table
 
-# A longer list of files makes a plan too unwieldy; all files are read then.
-MOST_FILES_BY_NAME = 10_000
+LOG_SPLITS = ("train", "test")
 
 
 def _together(spark: SparkSession, *steps: Callable) -> list:
@@ -40,111 +37,68 @@ def _together(spark: SparkSession, *steps: Callable) -> list:
         return pool.map(inheritable_thread_target(spark)(lambda step: step()), steps)
 
 
-class BronzeStage:
-    """Landing files ``train_<dataset>.txt``, ``test_<dataset>.txt``, ``RUL_<dataset>.txt`` as
-    typed tables. Each may also be a directory of files."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        landing_path: str,
-        bronze_path: str,
-        dataset: str = "FD001",
-        skip_header: bool = True,
-    ):
-        self.spark = spark
-        self.landing_path = landing_path
-        self.bronze_path = bronze_path
-        self.dataset = dataset
-        self.skip_header = skip_header
-
-    def _landing(self, kind: str, n_fields: int) -> str:
-        path = f"{self.landing_path}/{kind}_{self.dataset}.txt"
-        if self.skip_header:
-            warn_if_data(self.spark, path, n_fields)
-        return path
-
-    def _process_log(self, split: str) -> None:
-        lines = read_lines(self.spark, self._landing(split, len(LOG_COLUMNS)), self.skip_header)
-        counts = Observation()
-        overwrite_table(good_rows(parse_lines(lines, counts)), f"{self.bronze_path}/{split}")
-        # While the good rows were written, the files with bad lines were noted. Only these are
-        # read again.
-        bad_files = counts.get["bad_files"]
-        if not bad_files:
-            lines = lines.limit(0)
-        elif len(bad_files) <= MOST_FILES_BY_NAME:
-            lines = lines.filter(F.col("file").isin(bad_files))
-        overwrite_table(rejected_lines(parse_lines(lines)), f"{self.bronze_path}/rejects/{split}")
-
-    def process_train(self) -> None:
-        self._process_log("train")
-
-    def process_test(self) -> None:
-        self._process_log("test")
-
-    def process_rul(self) -> None:
-        numbered = number_lines(self.spark, self._landing("RUL", 1), self.skip_header)
-        overwrite_table(parse_truth(numbered), f"{self.bronze_path}/truth")
-        truth = read_table(self.spark, f"{self.bronze_path}/truth")
-        overwrite_table(truth.select(LABEL), f"{self.bronze_path}/RUL")
-        overwrite_table(rejected_truth(numbered), f"{self.bronze_path}/rejects/truth")
-
-    def run_all(self) -> None:
-        _together(self.spark, self.process_train, self.process_test, self.process_rul)
-
-
-class SilverStage:
+def land(
+    spark: SparkSession,
+    landing: str,
+    bronze: str,
+    dataset: str = "FD001",
+    skip_header: bool = True,
+    parts: tuple[str, ...] = (*LOG_SPLITS, LABEL),
+) -> None:
+    """Landing files ``train_<dataset>.txt``, ``test_<dataset>.txt``, ``RUL_<dataset>.txt`` as typed
+    tables. Each may also be a directory of files. ``parts``: which of them."""
+
+    def log(split: str) -> None:
+        parsed = land_log(spark, f"{landing}/{split}_{dataset}.txt", skip_header)
+        overwrite_table(good_rows(parsed), f"{bronze}/{split}")
+        overwrite_table(rejected_lines(parsed), f"{bronze}/rejects/{split}")
+
+    def truth() -> None:
+        numbered = number_lines(spark, f"{landing}/{LABEL}_{dataset}.txt", skip_header)
+        overwrite_table(parse_truth(numbered), f"{bronze}/truth")
+        overwrite_table(read_table(spark, f"{bronze}/truth").select(LABEL), f"{bronze}/{LABEL}")
+        overwrite_table(rejected_truth(numbered), f"{bronze}/rejects/truth")
+
+    steps = [truth if part == LABEL else lambda part=part: log(part) for part in parts]
+    with scratch(spark):
+        _together(spark, *steps)
+
+
+def refine(
+    spark: SparkSession, bronze: str, silver: str, broadcast_bytes: int = BROADCAST_BYTES
+) -> None:
     """Bronze tables labelled, with sensors standardised by the training data."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        bronze_path: str,
-        silver_path: str,
-        broadcast_bytes: int = BROADCAST_BYTES,
-    ):
-        self.spark = spark
-        self.bronze_path = bronze_path
-        self.silver_path = silver_path
-        self.limits = {"broadcast_bytes": broadcast_bytes}
-
-    def run_all(self) -> None:
-        train = read_table(self.spark, f"{self.bronze_path}/train")
-        test = read_table(self.spark, f"{self.bronze_path}/test")
-        truth = read_table(self.spark, f"{self.bronze_path}/truth")
+    train, test, truth = (read_table(spark, f"{bronze}/{name}") for name in (*LOG_SPLITS, "truth"))
+    limits = {"broadcast_bytes": broadcast_bytes}
+    with scratch(spark):
         _, *labelled = _together(
-            self.spark,
-            lambda: overwrite_table(fit_stats(train), f"{self.silver_path}/stats"),
-            lambda: label_run_to_failure(train, **self.limits),
-            lambda: label_from_truth(test, truth, **self.limits),
+            spark,
+            lambda: overwrite_table(fit_stats(train), f"{silver}/stats"),
+            lambda: label_run_to_failure(train, **limits),
+            lambda: label_from_truth(test, truth, **limits),
         )
-        stats = read_table(self.spark, f"{self.silver_path}/stats")
-        train, test = (apply_stats(rows, stats) for rows in labelled)
+        stats = read_table(spark, f"{silver}/stats")
+        scaled = [apply_stats(rows, stats) for rows in labelled]
         _together(
-            self.spark,
-            lambda: overwrite_table(train, f"{self.silver_path}/train"),
-            lambda: overwrite_table(test, f"{self.silver_path}/test"),
+            spark,
+            lambda: overwrite_table(scaled[0], f"{silver}/train"),
+            lambda: overwrite_table(scaled[1], f"{silver}/test"),
         )
 
 
-class GoldStage:
+def project(spark: SparkSession, silver: str, gold: str, keep_keys: bool = False) -> None:
     """Silver tables cut down to what the model takes; ``keep_keys`` keeps engine and cycle."""
 
-    def __init__(
-        self, spark: SparkSession, silver_path: str, gold_path: str, keep_keys: bool = False
-    ):
-        self.spark = spark
-        self.silver_path = silver_path
-        self.gold_path = gold_path
-        self.keep_keys = keep_keys
+    def cut(split: str) -> None:
+        rows = read_table(spark, f"{silver}/{split}")
+        overwrite_table(gold_projection(rows, keep_keys), f"{gold}/{split}")
+
+    _together(spark, *[lambda split=split: cut(split) for split in LOG_SPLITS])
 
-    def _project(self, split: str) -> None:
-        silver = read_table(self.spark, f"{self.silver_path}/{split}")
-        overwrite_table(gold_projection(silver, self.keep_keys), f"{self.gold_path}/{split}")
 
-    def run_all(self) -> None:
-        _together(self.spark, lambda: self._project("train"), lambda: self._project("test"))
+def previews(spark: SparkSession, gold: str, n: int = 5) -> dict[str, DataFrame]:
+    """The first rows of every table below ``gold``, by name."""
+    return {name: preview(read_table(spark, f"{gold}/{name}"), n) for name in folders(spark, gold)}
 
 
 def run_batch(
@@ -157,9 +111,7 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """Run all three stages below ``out``; returns the first rows of each gold table."""
     bronze, silver, gold = (f"{out}/{layer}" for layer in ("bronze", "silver", "gold"))
-    BronzeStage(spark, landing, bronze, dataset, skip_header).run_all()
-    SilverStage(spark, bronze, silver).run_all()
-    GoldStage(spark, silver, gold, keep_keys).run_all()
-    return {
-        split: preview(read_table(spark, f"{gold}/{split}")) for split in ("train", "test")
-    }
+    land(spark, landing, bronze, dataset, skip_header)
+    refine(spark, bronze, silver)
+    project(spark, silver, gold, keep_keys)
+    return previews(spark, gold)

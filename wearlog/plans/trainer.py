@@ -1,5 +1,7 @@
 """Training run over gold tables."""
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -7,90 +9,68 @@ from wearlog.operators import forest
 from wearlog.operators.features import with_label
 from wearlog.operators.folds import assign_folds, read_with_folds
 from wearlog.schema import KEYS
-from wearlog.sources.tables import read_table
-
-
-class LifeTrainer:
-    """Loads gold tables, searches the forest's parameters, predicts, evaluates, saves."""
-
-    def __init__(
-        self,
-        spark: SparkSession,
-        train_path: str,
-        test_path: str,
-        model_save_path: str | None = None,
-        random_state: int = 42,
-    ):
-        self.spark = spark
-        self.train_path = train_path
-        self.test_path = test_path
-        self.model_save_path = model_save_path
-        self.random_state = random_state
-        self.train_rows: DataFrame | None = None
-        self.test_rows: DataFrame | None = None
-        self.model: PipelineModel | None = None
-        self.search: forest.Search | None = None
-
-    def load_data(self) -> None:
-        self.train_rows = read_table(self.spark, self.train_path)
-        self.test_rows = with_label(read_table(self.spark, self.test_path))
-
-    def train(
-        self,
-        param_grid: dict[str, list] | None = None,
-        cv: int = 3,
-        by_engine: bool = False,
-        parallelism: int = 2,
-        settings: dict | None = None,
-    ) -> None:
-        """Grid search over ``cv`` contiguous folds, then a fit on all rows with the best point.
-
-        Rows are taken by engine and cycle where the table kept its keys, else as stored.
-        ``by_engine`` never cuts an engine in two, so close cycles cannot leak between folds.
-        """
-        if self.train_rows is None:
-            raise RuntimeError("no data: call load_data() first")
-        if by_engine:
-            folded = assign_folds(self.train_rows, cv, ["engine_id"], by_rows=False)
-        elif set(KEYS) <= set(self.train_rows.columns):
-            folded = assign_folds(self.train_rows, cv, KEYS)
-        else:
-            folded = read_with_folds(self.spark, self.train_path, cv)
-        self.search = forest.search_forest(
-            folded,
-            cv,
-            param_grid,
-            self.random_state,
-            parallelism=parallelism,
-            settings=settings,
-        )
-        self.model = self.search.model
+from wearlog.session import scratch
+from wearlog.sources.tables import preview, read_table
+
 
-    def _trained(self) -> PipelineModel:
-        if self.model is None:
-            raise RuntimeError("no model: call train() first")
-        return self.model
+@dataclass(frozen=True)
+class LifeModel:
+    """What a search over gold tables found, with the tables it is about."""
+
+    search: forest.Search
+    train: DataFrame
+    test: DataFrame
+
+    @property
+    def model(self) -> PipelineModel:
+        return self.search.model
 
     def predict(self) -> DataFrame:
         """The test rows with ``predicted_rul``."""
-        return forest.score(self._trained(), self.test_rows)
-
-    def evaluate_train(self) -> float:
-        """RMSE on the training rows."""
-        return forest.model_rmse(self._trained(), self.train_rows).first()["rmse"]
+        return forest.score(self.model, self.test)
 
-    def evaluate_test(self) -> float:
-        """RMSE on the test rows with a known label."""
-        return forest.model_rmse(self._trained(), self.test_rows).first()["rmse"]
+    def rmse(self, rows: DataFrame | None = None) -> float:
+        """The error on the labelled ones of these rows, by default the training rows."""
+        return forest.model_rmse(self.model, self.train if rows is None else rows).first()["rmse"]
 
-    def save_model(self, path: str | None = None) -> None:
-        model, target = self._trained(), path or self.model_save_path
-        if target is None:
-            raise ValueError("no path to save the model to")
-        forest.save_model(model, target)
+    def save(self, path: str) -> None:
+        forest.save_model(self.model, path)
 
-    def first_predictions(self, n_points: int = 100) -> DataFrame:
+    def first_predictions(self, n: int = 100) -> DataFrame:
         """The first predictions, by engine and cycle where the table kept its keys."""
         predicted = self.predict()
-        keys = [key for key in KEYS if key in predicted.columns]
-        return (predicted.orderBy(*keys) if keys else predicted).limit(n_points)
+        return preview(predicted, n, [key for key in KEYS if key in predicted.columns])
+
+
+def _folded(spark: SparkSession, path: str, cv: int, by_engine: bool) -> DataFrame:
+    rows = read_table(spark, path)
+    if by_engine:
+        return assign_folds(rows, cv, ["engine_id"], by_rows=False)
+    if set(KEYS) <= set(rows.columns):
+        return assign_folds(rows, cv, KEYS)
+    return read_with_folds(spark, path, cv)
+
+
+def train_life(
+    spark: SparkSession,
+    gold: str,
+    cv: int = 3,
+    grid: dict[str, list] | None = None,
+    by_engine: bool = False,
+    seed: int = 42,
+    parallelism: int = 2,
+    settings: dict | None = None,
+) -> LifeModel:
+    """Grid search over ``cv`` contiguous folds of ``gold/train``, then a fit on all rows with the best
+    point.
+
+    Rows are taken by engine and cycle where the table kept its keys, else as stored. ``by_engine`` never
+    cuts an engine in two, so close cycles cannot leak between folds. ``settings`` are Spark ML's own.
+    """
+    with scratch(spark):
+        folded = _folded(spark, f"{gold}/train", cv, by_engine)
+        search = forest.search_forest(
+            folded, cv, grid, seed, parallelism=parallelism, settings=settings
+        )
+    test = with_label(read_table(spark, f"{gold}/test"))
+    return LifeModel(search, read_table(spark, f"{gold}/train"), test)

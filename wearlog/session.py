@@ -2,6 +2,8 @@
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -9,13 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster a
-    machine-local folder would be lost with its executor, so there the setting is required.
+    Only a session whose executors are threads of this process gets a temporary folder without that
+    setting; on a cluster (and in ``local-cluster``) a machine-local folder would be lost with its
+    executor, so there the setting is required.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="wearlog-")
     if context.getCheckpointDir() is None:
@@ -23,9 +26,34 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_SCRATCH = "wearlog.scratch"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path inside the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path inside the shared folder, or inside that of the scratch block at hand."""
+    folder = spark.sparkContext.getLocalProperty(_SCRATCH) or shared_folder(spark)
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, keep: bool = False) -> Iterator[None]:
+    """Intermediate tables that are made inside the block are removed at its end.
+
+    Everything that reads them must be written by then: data frames that were made inside and are used
+    later would miss their files. The block holds for this thread, and for threads it starts with Spark's
+    ``inheritable_thread_target``. ``keep`` leaves the tables, for looking into a run. Blocks may be nested.
+    """
+    context = spark.sparkContext
+    before = context.getLocalProperty(_SCRATCH)
+    path = scratch_path(spark, "scratch")
+    context.setLocalProperty(_SCRATCH, path)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_SCRATCH, before)
+        if not keep:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -20,3 +20,10 @@ def append_table(df: DataFrame, path: str) -> None:
 def preview(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
     """The first ``n`` rows, in ``order`` if given."""
     return (df.orderBy(*order) if order else df).limit(n)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the tables (folders) below a path, in order."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(root)
+    return sorted(status.getPath().getName() for status in found if status.isDirectory())

@@ -1,5 +1,7 @@
 """Sensor events: one JSON object of readings per message."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,6 +12,7 @@ from wearlog.schema import EVENT_SCHEMA, SENSORS
 
 ALERT_THRESHOLD = 20.0
 FILES_PER_BATCH = 10_000
+OFFSETS_PER_BATCH = 10_000_000
 
 _CORRUPT = "_corrupt"
 
@@ -25,10 +28,12 @@ def read_events(
 
     By default the source is a folder of text files with one event per line, a backlog of which
     is worked off in bounded batches. Any streaming source works, e.g. ``source="kafka"`` with
-    its options, or an event hub with ``body="body"``.
+    its options (bounded batches too), or an event hub with ``body="body"``.
     """
     if path:
         options = {"maxFilesPerTrigger": FILES_PER_BATCH} | options
+    if source == "kafka":
+        options = {"maxOffsetsPerTrigger": OFFSETS_PER_BATCH} | options
     stream = spark.readStream.format(source).options(**options)
     return (stream.load(path) if path else stream.load()).select(F.col(body).alias("body"))
 
@@ -36,35 +41,46 @@ def read_events(
 def parse_events(events: DataFrame, schema: T.StructType = EVENT_SCHEMA) -> DataFrame:
     """``body`` as text, the fields of ``schema``, and ``complete``.
 
-    An event is complete if it is valid JSON with a finite number in every field. A field of
-    the wrong type is NULL alone; text that is no such object has NULL in all fields.
+    An event is complete if its body is one JSON object, with nothing after it, that has a finite number in
+    every field. A field of the wrong type is NULL alone; text that is no such object has NULL in all
+    fields.
     """
     names = schema.fieldNames()
-    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json("body", with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT})
+    # A parser stops after the first object. Within a list that has to be closed, and before a mark that
+    # has to be found and that no body can know, anything after the object shows.
+    mark = f"end_{uuid.uuid4().hex}"
+    outer = T.StructType(
+        [
+            T.StructField("event", T.ArrayType(schema)),
+            T.StructField(mark, T.IntegerType()),
+            T.StructField(_CORRUPT, T.StringType()),
+        ]
+    )
+    text = F.col("body").cast("string")
+    wrapped = F.concat(F.lit('{"event":['), text, F.lit(f'],"{mark}":1}}'))
+    parsed = F.from_json(wrapped, outer, {"columnNameOfCorruptRecord": _CORRUPT})
+    whole = (F.size("data.event") == 1) & (F.col(f"data.{mark}") == 1)
+    # Only a body that closes the list could add fields of its own.
+    closes = F.contains(F.col("body"), F.lit("]"))
+    alone = ~closes | (F.size(F.json_object_keys(wrapped)) == 2)
     expanded = (
-        events.select(F.col("body").cast("string").alias("body"))
+        events.select(text.alias("body"))
         .withColumn("data", parsed)
-        .select("body", "data.*")
+        .select("body", F.when(whole & alone, F.col("data.event")[0]).alias("one"), f"data.{_CORRUPT}")
+        .select("body", "one.*", _CORRUPT)
     )
     finite = F.coalesce(all_finite([F.col(name) for name in names]), F.lit(False))
-    # The counts appear in the stream's progress. Observing also keeps filters on the result
-    # above it; pushed down they would parse the JSON a second time.
-    return expanded.select(
-        "body", *names, (F.col(_CORRUPT).isNull() & finite).alias("complete")
-    ).observe(
-        "events",
-        F.count(F.lit(1)).alias("parsed"),
-        F.count_if(~F.col("complete")).alias("rejected"),
-    )
+    return expanded.select("body", *names, (F.col(_CORRUPT).isNull() & finite).alias("complete"))
 
 
 def sensor_rows(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("complete").drop("body", "complete")
+    """The readings of complete events, of ``parse_events`` or of the table that holds its result."""
+    return parsed.filter(F.col("complete").cast("boolean")).drop("body", "complete")
 
 
 def rejected_events(parsed: DataFrame) -> DataFrame:
-    return parsed.filter("NOT complete").select("body")
+    """The other events as text."""
+    return parsed.filter(~F.col("complete").cast("boolean")).select("body")
 
 
 def low_life(predictions: DataFrame, threshold: float = ALERT_THRESHOLD) -> DataFrame:

@@ -1,6 +1,7 @@
-"""The streaming jobs: events -> sensor rows and rejects -> predictions -> alerts.
+"""The streaming jobs: events -> parsed events -> predictions -> alerts.
 
-Each job is one query into one file sink with its own checkpoint. The sink's commit log lists
+Events are read and parsed once, into one table with the partitions ``complete=true`` (sensor rows) and
+``complete=false`` (rejects). Each job is one query into one file sink with its own checkpoint. The sink's commit log lists
 the files of every finished batch, so a batch that is run again after a failure counts once, and
 the next job, which reads the sink as a stream, never sees a row twice.
 """
@@ -9,7 +10,14 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DoubleType, StructField, StructType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    DoubleType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 from wearlog.operators.forest import PREDICTION, score
 from wearlog.operators.scaling import apply_stats
@@ -20,13 +28,21 @@ from wearlog.streaming.events import (
     features,
     low_life,
     parse_events,
-    rejected_events,
     sensor_rows,
 )
 
 INGEST_TRIGGER = "5 seconds"
 FILE_FORMATS = {"parquet", "orc", "json"}
 
+#: Parsed events as stored; the text is kept of rejects only.
+EVENTS_SCHEMA = StructType(
+    [
+        StructField("body", StringType()),
+        *EVENT_SCHEMA.fields,
+        StructField("complete", BooleanType()),
+    ]
+)
+
 PREDICTION_SCHEMA = StructType(
     [
         *EVENT_SCHEMA.fields,
@@ -44,17 +60,25 @@ def append_stream(
     every: str | None = None,
     available_now: bool = False,
     table_format: str = "parquet",
+    partition_by: tuple[str, ...] = (),
+    tasks: int | None = None,
 ) -> StreamingQuery:
     """Start appending a stream to a table.
 
     ``every`` is the trigger interval (None: as soon as possible); ``available_now`` stops once
     the data at hand is written. ``table_format`` is any streaming sink that takes a path.
+
+    Each batch leaves a file per task and partition, and a sink of plain files keeps a list of all files it
+    ever wrote. ``tasks`` bounds the former: set it to a batch's bytes over the file size wanted. Streams
+    that run for months at a short interval want a ``table_format`` that merges its files, e.g. ``delta``.
     """
+    rows = rows.coalesce(tasks) if tasks else rows
     writer = (
         rows.writeStream.format(table_format)
         .outputMode("append")
         .queryName(name)
         .option("checkpointLocation", checkpoint)
+        .partitionBy(*partition_by)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -86,17 +110,17 @@ def stream_table(
 def ingest(
     events: DataFrame, table: str, checkpoint: str, name: str = "ingest", **options
 ) -> StreamingQuery:
-    """Complete events into the table of sensor rows. ``options`` are ``append_stream``'s."""
-    options = {"every": INGEST_TRIGGER} | options
-    return append_stream(sensor_rows(parse_events(events)), table, checkpoint, name, **options)
-
-
-def reject(
-    events: DataFrame, table: str, checkpoint: str, name: str = "reject", **options
-) -> StreamingQuery:
-    """All other events, as text, into the reject table."""
+    """Parse events into the table of parsed events, of which ``sensor_rows`` and ``rejected_events`` are
+    the two partitions. The counts appear in the stream's progress. ``options`` are ``append_stream``'s."""
     options = {"every": INGEST_TRIGGER} | options
-    return append_stream(rejected_events(parse_events(events)), table, checkpoint, name, **options)
+    parsed = parse_events(events).observe(
+        "events",
+        F.count(F.lit(1)).alias("parsed"),
+        F.count_if(~F.col("complete")).alias("rejected"),
+    )
+    text = F.when(~F.col("complete"), F.col("body"))
+    rows = parsed.withColumn("body", text)
+    return append_stream(rows, table, checkpoint, name, partition_by=("complete",), **options)
 
 
 def predictions(model: PipelineModel, rows: DataFrame, stats: DataFrame | None = None) -> DataFrame:
@@ -112,7 +136,7 @@ def predictions(model: PipelineModel, rows: DataFrame, stats: DataFrame | None =
 def score_stream(
     spark: SparkSession,
     model: PipelineModel,
-    rows_table: str,
+    events_table: str,
     table: str,
     checkpoint: str,
     stats: DataFrame | None = None,
@@ -121,9 +145,9 @@ def score_stream(
     table_format: str = "parquet",
     **options,
 ) -> StreamingQuery:
-    """Score the sensor rows as they arrive."""
-    rows = stream_table(spark, rows_table, EVENT_SCHEMA, files_per_batch, table_format)
-    scored = predictions(model, rows, stats)
+    """Score the complete events of the table of parsed events as they arrive."""
+    parsed = stream_table(spark, events_table, EVENTS_SCHEMA, files_per_batch, table_format)
+    scored = predictions(model, sensor_rows(parsed), stats)
     return append_stream(scored, table, checkpoint, name, table_format=table_format, **options)
 
 
