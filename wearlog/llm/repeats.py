@@ -13,10 +13,11 @@ Sorting every suffix of the corpus would move each byte hundreds of times. Inste
 5. Covered ranges go back to the rows and are cut out.
 
 An anchor with more than ``GROUP_CONTEXTS`` different contexts is split: windows that begin in the same
-part of the reach share a longer string, whose hash becomes the new group; parts are split again until groups
-are small or hold a single window, where equal hashes mean equal strings and counting is enough.
+part of the reach share a longer string, whose hash becomes the new group, and see less of their contexts, of
+which equal ones are again taken as one. Parts are split until groups are small; a part of one window has one
+context.
 
-Grams and windows are compared by 64-bit hashes in steps 2 and 5's splits, contexts by their bytes.
+Grams, whole contexts and the strings of split groups are compared by 64-bit hashes, windows by their bytes.
 """
 
 from collections.abc import Iterator
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.flat import (
@@ -41,8 +42,8 @@ from wearlog.llm.rows import DOC, join, measured
 from wearlog.llm.suffix_sort import deep_shallow
 from wearlog.session import stored
 
-#: Contexts of one group at most, up to the number of identical windows.
-GROUP_CONTEXTS = 5_000
+#: Different contexts that one task sorts at most.
+GROUP_CONTEXTS = 20_000
 #: Parts that the beginnings of windows in a large group are split into.
 PARTS = 4
 
@@ -206,23 +207,23 @@ def repeated_windows(
     return out
 
 
-WINDOWS = "gram long, context_key long, least int, most int"
+WINDOWS = "group long, key long, least int, most int"
 
 
 def _sorted_group(length: int):
     gram = length // 4
     reach = length - gram
 
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        low, high = group["low"][0].as_py(), group["high"][0].as_py()
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        low, high = rows["low"][0].as_py(), rows["high"][0].as_py()
         found = repeated_windows(
-            group["context"].to_pylist(), group["left"].to_pylist(), gram, reach, low, high
+            rows["context"].to_pylist(), rows["left"].to_pylist(), gram, reach, low, high
         )
         keep = pa.array([i for i, own in enumerate(found) if own], pa.int64())
         return pa.table(
             {
-                "gram": group["gram"].take(keep),
-                "context_key": group["context_key"].take(keep),
+                "group": rows["group"].take(keep),
+                "key": rows["key"].take(keep),
                 "least": pa.array([own[0] for own in found if own], pa.int32()),
                 "most": pa.array([own[1] for own in found if own], pa.int32()),
             }
@@ -231,58 +232,86 @@ def _sorted_group(length: int):
     return run
 
 
-def _split(groups: DataFrame, length: int) -> DataFrame:
-    """Rows of large groups by the part in which windows begin, keyed by the string that all windows of
-    the part share."""
-    reach = length - length // 4
+def _feasible(length: int) -> tuple[Column, Column]:
+    """The least and greatest distance at which a window lies within its context."""
+    room = F.octet_length("context") - F.col("left")
+    return F.greatest(F.col("low"), F.lit(length) - room), F.least(F.col("high"), F.col("left"))
+
+
+def _split(items: DataFrame, length: int) -> DataFrame:
+    """Each item once for each part of its windows' beginnings: ``group, key`` of the item, and of the
+    part. A part's group is the string that all its windows share; its context is cut down to what these
+    windows reach, so that contexts which differ farther off become one."""
     width = F.ceil((F.col("high") - F.col("low") + 1) / PARTS)
     lows = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.col("low") + i * width)
-    parts = (
-        groups.withColumn("width", width)
-        .select("*", F.explode(lows).alias("part"))
-        .filter(F.col("part") <= F.col("high"))
-        .withColumn("high", F.least(F.col("high"), F.col("part") + F.col("width") - 1).cast("int"))
-        .withColumn("low", F.col("part").cast("int"))
-        # A context too short on the left has only the nearer windows, on the right only the farther.
-        .withColumn("low_", F.greatest("low", F.lit(length) - (F.octet_length("context") - F.col("left"))))
-        .withColumn("high_", F.least("high", "left"))
-        .filter("low_ <= high_")
+    parts = items.select("*", width.alias("width"), F.explode(lows).alias("part")).filter("part <= high")
+    parts = parts.withColumn(
+        "high", F.least(F.col("high"), F.col("part") + F.col("width") - 1).cast("int")
+    ).withColumn("low", F.col("part").cast("int"))
+    least, most = _feasible(length)
+    parts = parts.filter(least <= most)
+    size = F.lit(length) - (F.col("high") - F.col("low"))
+    shared = F.substring(F.col("context"), F.col("left") - F.col("low") + 1, size)
+    left = F.least("left", "high")
+    reach = F.lit(length) - F.col("low") + left
+    cut = F.substring(F.col("context"), F.col("left") - left + 1, reach)
+    return parts.select(
+        "group",
+        "key",
+        F.xxhash64(shared, F.col("low"), F.col("high"), F.col("group")).alias("new_group"),
+        F.xxhash64(cut, left).alias("new_key"),
+        "low",
+        "high",
+        left.alias("left"),
+        cut.alias("context"),
+        "n",
     )
-    shared = F.substring(
-        F.col("context"), F.col("left") - F.col("low") + 1, F.lit(length) - (F.col("high") - F.col("low"))
-    )
-    own = F.xxhash64(shared, F.col("low"), F.col("high"), F.col("group"))
-    return parts.withColumn("group", own).drop("part", "width", "low_", "high_")
 
 
 def _found_windows(contexts: DataFrame, length: int) -> DataFrame:
-    """``gram, context_key, least, most`` of the contexts with repeated windows."""
+    """``gram, context_key, least, most`` of the contexts (which have occurred ``n`` times) with windows
+    that occur twice."""
     reach = length - length // 4
-    todo = contexts.select(
-        "gram", "context_key", "left", "context",
-        F.col("gram").alias("group"), F.lit(0).alias("low"), F.lit(reach).alias("high"),
+    items = contexts.select(
+        F.col("gram").alias("group"), F.col("context_key").alias("key"),
+        F.lit(0).alias("low"), F.lit(reach).alias("high"), "left", "context", "n",
     )
-    found = []
+    holders = contexts.select(
+        "gram", "context_key", F.col("gram").alias("group"), F.col("context_key").alias("key")
+    )
+    least, most = _feasible(length)
+    found = None
     while True:
-        sizes = stored(todo.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "groups")
-        large = sizes.filter(F.col("size") > GROUP_CONTEXTS).select("group")
+        sizes = items.groupBy("group").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        sizes = stored(sizes, "groups")
         small = sizes.filter(F.col("size") <= GROUP_CONTEXTS).select("group")
-        found.append(
-            todo.join(small, "group").groupBy("group").applyInArrow(_sorted_group(length), WINDOWS)
+        large = sizes.filter(F.col("size") > GROUP_CONTEXTS).select("group")
+        by_order = (
+            items.join(small, "group").groupBy("group").applyInArrow(_sorted_group(length), WINDOWS)
+        )
+        # An item that occurs twice repeats all of its windows.
+        whole = items.filter("n > 1").select("group", "key", least.alias("least"), most.alias("most"))
+        own = holders.join(by_order.unionByName(whole), ["group", "key"]).select(
+            "gram", "context_key", "least", "most"
         )
+        found = own if found is None else found.unionByName(own)
         if large.isEmpty():
             break
-        hot = todo.join(measured(large), "group")
-        # Of a single window the group's string is all there is: each of its rows repeats it.
-        single = hot.filter("low = high")
-        found.append(
-            single.select("gram", "context_key", F.col("low").alias("least"), F.col("high").alias("most"))
+        parts = stored(_split(items.join(measured(large), "group"), length), "parts")
+        holders = stored(
+            holders.join(parts.select("group", "key", "new_group", "new_key"), ["group", "key"]).select(
+                "gram", "context_key", F.col("new_group").alias("group"), F.col("new_key").alias("key")
+            ),
+            "holders",
+        )
+        first = [F.first(c).alias(c) for c in ("low", "high", "left", "context")]
+        items = stored(
+            parts.groupBy(F.col("new_group").alias("group"), F.col("new_key").alias("key")).agg(
+                *first, F.sum("n").alias("n")
+            ),
+            "parts",
         )
-        todo = stored(_split(hot.filter("low < high"), length), "split")
-    union = found[0]
-    for more in found[1:]:
-        union = union.unionByName(more)
-    return union.groupBy("gram", "context_key").agg(
+    return found.groupBy("gram", "context_key").agg(
         F.min("least").alias("least"), F.max("most").alias("most")
     )
 
@@ -335,20 +364,7 @@ def repeated_spans(docs: DataFrame, length: int, id: str, text: str) -> DataFram
         F.count(F.lit(1)).alias("n"), F.first("left").alias("left"), F.first("context").alias("context")
     )
     distinct = stored(distinct, "distinct-contexts")
-    windows = _found_windows(distinct, length)
-    reach = length - length // 4
-    # A context that occurs twice repeats all of its windows.
-    full = distinct.filter("n > 1").select(
-        "gram", "context_key",
-        F.greatest(F.lit(0), F.lit(length) - (F.octet_length("context") - F.col("left"))).alias("least"),
-        F.least(F.lit(reach), F.col("left")).alias("most"),
-    )
-    windows = stored(
-        windows.unionByName(full)
-        .groupBy("gram", "context_key")
-        .agg(F.min("least").alias("least"), F.max("most").alias("most")),
-        "windows",
-    )
+    windows = stored(_found_windows(distinct, length), "windows")
     spans = (
         around.select(*DOC, "gram", "context_key", "pos")
         .join(windows, ["gram", "context_key"])

@@ -92,7 +92,7 @@ def deep_shallow(
     prefix of each with the one before it, 0 for the first."""
     out: list[int] = []
     lcp: list[int] = []
-    todo = [(list(range(len(strings))), 0)]
+    todo = [(list(range(len(strings))), 0)] if strings else []
     while todo:
         own, depth = todo.pop()
         if len(own) == 1:
