@@ -14,7 +14,7 @@ from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
 from wearlog.llm.rows import DOC, join, measured, read, unused
-from wearlog.session import stored
+from wearlog.session import scratch, scratch_path, stored
 
 
 #: A text is in no learned language if its letter groups are e**100 times likelier at random.
@@ -98,5 +98,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name}")
+        # What a stage stores on its way is removed once its result is written.
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.schema(docs.schema).parquet(path)
     return STAGES[-1][1](spark, docs, sf_dir)

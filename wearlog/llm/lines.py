@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.llm.flat import U64, column_of
+from wearlog.llm.flat import U64
 from wearlog.llm.perfect_hash import PerfectHash, fingerprints
 from wearlog.llm.rows import BLANK
 from wearlog.session import stored

@@ -87,6 +87,9 @@ class Search:
         ids = tree.ids[start:end]
         scores = self.queries[who] @ tree.vectors[start:end].T
         scores[ids[None, :] == self.own[who][:, None]] = -np.inf
+        # Rows below the k-th score change nothing; for most queries all of a leaf are.
+        some = (scores >= self.needed()[who][:, None]).any(axis=1)
+        who, scores = who[some], scores[some]
         scores = np.concatenate([self.scores[who], scores], axis=1)
         ids = np.concatenate([self.found[who], np.broadcast_to(ids, (len(who), len(ids)))], axis=1)
         ids = np.where(scores == -np.inf, np.iinfo(np.int64).max, ids)
