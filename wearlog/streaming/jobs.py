@@ -1,9 +1,9 @@
 """The streaming jobs: events -> parsed events -> predictions -> alerts.
 
 Events are read and parsed once, into one table with the partitions ``complete=true`` (sensor rows) and
-``complete=false`` (rejects). Each job is one query into one file sink with its own checkpoint. The sink's commit log lists
-the files of every finished batch, so a batch that is run again after a failure counts once, and
-the next job, which reads the sink as a stream, never sees a row twice.
+``complete=false`` (rejects). Each job is one query into one file sink with its own checkpoint. The
+sink's commit log lists the files of every finished batch, so a batch that is run again after a failure
+counts once, and the next job, which reads the sink as a stream, never sees a row twice.
 """
 
 from pyspark.ml import PipelineModel
