@@ -56,9 +56,19 @@ def scratch(spark: SparkSession, keep: bool = False) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: Tasks, and so files, of a stored table per core of the cluster, at most.
+FILES_PER_CORE = 4
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: computed once, safe from lost
-    executors, and the same rows (ids included) however often it is read."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executors, and the same rows (ids included) however often it is read.
+
+    Many small tables of many partitions would be more files than rows, so partitions are joined down to a
+    few per core; each is still computed by itself, one after another.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    tasks = FILES_PER_CORE * max(2, spark.sparkContext.defaultParallelism)
+    df.coalesce(tasks).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
