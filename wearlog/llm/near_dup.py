@@ -273,7 +273,9 @@ def near_duplicates(
     - Nodes are told apart by 64 bits of their word sequence.
     """
     body = F.col(f"`{text}`")
-    rows_in = docs.select(F.col(f"`{id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_key"), body.alias("body"))
+    rows_in = docs.select(
+        F.col(f"`{id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_key"), body.alias("body")
+    )
     signed = stored(
         scan(rows_in, ["doc_id", "text_key"], F.col("body"), _sign(bands, rows),
              "node long; n_words long; bands array<long>"),
@@ -290,7 +292,8 @@ def near_duplicates(
         .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("leader"))
         .filter("size > 1")
     )
-    members = stored(keys.join(buckets, "key"), "members")
+    # Stored, so that the join deals both sides anew and Spark can split a bucket that many nodes share.
+    members = stored(keys.join(stored(buckets, "buckets"), "key"), "members")
     # One text for each node that has a candidate.
     wanted = members.select("node").distinct()
     holders = (

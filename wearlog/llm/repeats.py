@@ -343,7 +343,8 @@ def repeated_spans(docs: DataFrame, length: int, id: str, text: str) -> DataFram
         "anchors",
     )
     twice = found.groupBy("gram").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram")
-    candidates = found.join(twice, "gram", "left_semi").distinct()
+    # Stored, so that the join deals both sides anew and Spark can split an anchor that occurs often.
+    candidates = found.join(stored(twice, "repeated"), "gram", "left_semi").distinct()
     by_row = stored(
         candidates.groupBy(*DOC).agg(F.collect_list(F.struct("pos", "gram")).alias("l")).select(
             *DOC, F.col("l.pos").alias("places"), F.col("l.gram").alias("grams")
@@ -368,7 +369,11 @@ def repeated_spans(docs: DataFrame, length: int, id: str, text: str) -> DataFram
     spans = (
         around.select(*DOC, "gram", "context_key", "pos")
         .join(windows, ["gram", "context_key"])
-        .select(*DOC, (F.col("pos") - F.col("most")).alias("start"), (F.col("pos") - F.col("least") + length).alias("end"))
+        .select(
+            *DOC,
+            (F.col("pos") - F.col("most")).alias("start"),
+            (F.col("pos") - F.col("least") + length).alias("end"),
+        )
         .groupBy(*DOC)
         .agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     )
