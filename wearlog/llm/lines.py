@@ -4,7 +4,7 @@
 2. Spark counts documents and the largest id per hash, combining before the shuffle: a line that a
    third of all documents hold is one row per task.
 3. Each shard of hashes becomes a minimal perfect hash whose slots index three compact arrays:
-   fingerprint, number of documents (saturating at the number asked for) and the id that keeps it.
+   fingerprint, number of documents (a byte, which saturates) and the id that keeps it.
 4. Documents probe the arrays: the stored (hash, id) pairs of a shard meet its arrays in groups of at
    most ``GROUP_ROWS`` pairs. Lines are never joined with lines, nor texts with texts.
 5. Each document gets the list of its own hashes to drop.
@@ -29,6 +29,8 @@ from wearlog.session import stored
 SHARD_HASHES, GROUP_ROWS = 50_000, 100_000
 #: Up to so many shards the number of groups of each (12 bytes) is broadcast, else joined by shuffle.
 MOST_BROADCAST_SHARDS = 500_000
+#: Numbers of documents are kept in a byte.
+MOST_COUNTED = 255
 STRIPPED = BLANK.encode()
 
 
@@ -80,28 +82,26 @@ def _ids(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     )
 
 
-def _index(min_docs: int):
-    def run(key: tuple, group: pa.Table) -> pa.Table:
-        hashes = group["hash"].to_numpy().view(U64)
-        keepers, known = _ids(group["keeper"])
-        table = PerfectHash.build(hashes)
-        slot = table.slots(hashes)
-        arrays = {
-            "prints": fingerprints(hashes),
-            "counts": np.minimum(group["n_docs"].to_numpy(), 255).astype(np.uint8),
-            "keepers": keepers,
-            "known": known,
-        }
-        blobs = {"bits": table.bits, "before": table.before, "rest": table.rest}
-        for name, values in arrays.items():
-            blobs[name] = np.empty_like(values)
-            blobs[name][slot] = values
-        return pa.table(
-            {"shard": [key[0].as_py()], "sizes": [table.sizes.tolist()]}
-            | {name: pa.array([values.tobytes()], pa.binary()) for name, values in blobs.items()}
-        )
-
-    return run
+def _index(key: tuple, group: pa.Table) -> pa.Table:
+    """One shard: its perfect hash, and the arrays in the order of the slots."""
+    hashes = group["hash"].to_numpy().view(U64)
+    keepers, known = _ids(group["keeper"])
+    table = PerfectHash.build(hashes)
+    slot = table.slots(hashes)
+    arrays = {
+        "prints": fingerprints(hashes),
+        "counts": np.minimum(group["n_docs"].to_numpy(), MOST_COUNTED).astype(np.uint8),
+        "keepers": keepers,
+        "known": known,
+    }
+    blobs = {"bits": table.bits, "before": table.before, "rest": table.rest}
+    for name, values in arrays.items():
+        blobs[name] = np.empty_like(values)
+        blobs[name][slot] = values
+    return pa.table(
+        {"shard": [key[0].as_py()], "sizes": [table.sizes.tolist()]}
+        | {name: pa.array([values.tobytes()], pa.binary()) for name, values in blobs.items()}
+    )
 
 
 INDEX_SCHEMA = "shard long, sizes array<long>, " + ", ".join(
@@ -140,8 +140,8 @@ def lines_to_drop(
     docs: DataFrame, id: str, text: str, min_docs: int = 3, min_points: int = 20
 ) -> DataFrame:
     """``id`` and ``drops``, the hashes of the lines that documents of this id lose."""
-    if not 1 <= min_docs <= 255:
-        raise ValueError("min_docs must be within 1 and 255")
+    if not 1 <= min_docs <= MOST_COUNTED:
+        raise ValueError(f"min_docs must be within 1 and {MOST_COUNTED}")
     pairs = stored(
         docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
             _pairs(min_points), "hash long, id long"
@@ -154,7 +154,7 @@ def lines_to_drop(
     lines = pairs.groupBy("hash").agg(
         F.count(F.lit(1)).alias("n_docs"), F.max("id").alias("keeper")
     )
-    index = lines.select("*", shard).groupBy("shard").applyInArrow(_index(min_docs), INDEX_SCHEMA)
+    index = lines.select("*", shard).groupBy("shard").applyInArrow(_index, INDEX_SCHEMA)
     sharded = pairs.select("*", shard)
     # A shard whose lines are held by many documents is probed by several groups.
     groups = sharded.groupBy("shard").agg(

@@ -10,8 +10,7 @@ from wearlog.llm.flat import slices
 
 UPPER, LOWERED = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: What is no part of a word, once A-Z are lower-cased.
-NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
+#: A word, once A-Z are lower-cased.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: What names a row: its id and 64 bits of its text.
 DOC = ["doc_id", "text_key"]
