@@ -8,7 +8,14 @@ import pytest
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from wearlog.session import scratch, scratch_path, shared_folder, stored
+from wearlog.session import (
+    FILES_PER_CORE,
+    _most_tasks,
+    scratch,
+    scratch_path,
+    shared_folder,
+    stored,
+)
 
 
 def fake(master, setting=None, current=None):
@@ -75,3 +82,21 @@ def test_a_scratch_block_that_fails_removes_its_tables(spark):
         stored(spark.range(5), "table")
         1 / 0
     assert set(folder.iterdir()) == before
+
+
+def test_small_tables_are_few_files(spark):
+    few = FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    table = stored(spark.range(1000).repartition(10 * few), "many")
+    assert len(table.inputFiles()) <= few and table.count() == 1000
+
+
+def test_tables_of_much_data_keep_their_tasks(spark):
+    few = FILES_PER_CORE * spark.sparkContext.defaultParallelism
+    read = stored(spark.range(20_000), "read")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1024")
+    try:
+        assert _most_tasks(read) > few and _most_tasks(read.join(read, "id")) > few
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert _most_tasks(read) == few

@@ -56,19 +56,28 @@ def scratch(spark: SparkSession, keep: bool = False) -> Iterator[None]:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-#: Tasks, and so files, of a stored table per core of the cluster, at most.
+#: Tasks, and so files, of a stored table per core of the cluster, unless its input is larger.
 FILES_PER_CORE = 4
 
 
+def _most_tasks(df: DataFrame) -> int:
+    """A few per core, or one for each split of the data that the table is computed from."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    read = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    splits = read // spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    few = FILES_PER_CORE * max(2, spark.sparkContext.defaultParallelism)
+    return min(max(few, splits), (1 << 31) - 1)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """The table written to the shared folder and read back: computed once, safe from lost
     executors, and the same rows (ids included) however often it is read.
 
-    Many small tables of many partitions would be more files than rows, so partitions are joined down to a
-    few per core; each is still computed by itself, one after another.
+    Small tables of many partitions would be more files than rows, so partitions are joined down to
+    ``_most_tasks``; each is still computed by itself, one after another.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    tasks = FILES_PER_CORE * max(2, spark.sparkContext.defaultParallelism)
-    df.coalesce(tasks).write.parquet(path)
+    df.coalesce(_most_tasks(df)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
