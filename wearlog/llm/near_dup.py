@@ -331,6 +331,7 @@ def near_duplicates(
     named = known.groupBy("component").agg(
         F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")
     )
+    named = stored(named, "class-names")
     grouped = known.join(named, "component").select(
         "doc_id", "text_key", "class_id", "class_size", F.col("component").alias("class_key")
     )
