@@ -73,6 +73,18 @@ def test_the_sample_is_bounded(spark, labelled):
     assert " grubby " in small.weights
 
 
+def test_rows_with_a_common_footer_are_no_copies(spark, labelled):
+    footer = "\nunsubscribe at https://extraordinarily-longwinded-newsletters.example/administration"
+    docs = spark.createDataFrame([(i, text + footer) for i, text, _ in labelled], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, t) for i, _, t in labelled], "doc_id long, toxic int")
+    model = learn_toxicity(docs, labels)
+    assert {" viiest ", " grubby "} <= set(model.weights)
+    # Copies with other spacing change nothing, nor does the order of the rows.
+    more = docs.filter("doc_id % 3 = 0").selectExpr("doc_id + 1000 as doc_id", "replace(text, ' ', '  ') as text")
+    again = labels.selectExpr("doc_id + 1000 as doc_id", "toxic").union(labels)
+    assert learn_toxicity(docs.union(more).repartition(7), again) == model
+
+
 def test_awkward_rows(spark, awkward):
     labels = spark.createDataFrame(
         [(1, 1), (2, 0), (None, 1), (6, None), (2, 0), (3, 1)], "doc_id long, toxic int"

@@ -24,6 +24,7 @@ from dataclasses import dataclass, field
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -186,10 +187,10 @@ def _folded_rows(part: pa.RecordBatch) -> list[str]:
     return [folded[a:b] for a, b in zip(first[:-1], first[1:])]
 
 
-def _longest(part: pa.RecordBatch) -> list[pa.Array]:
-    """The two longest words of each row, which copies and near copies share."""
-    rows = (sorted(set(row.split()), key=lambda w: (-len(w), w)) for row in _folded_rows(part))
-    return [pa.array([" ".join(words[:2]) for words in rows], pa.string())]
+def _copy_key(part: pa.RecordBatch) -> list[pa.Array]:
+    """128 bits of all folded words of each row in order, which only copies share."""
+    rows = (xxhash.xxh3_128_hexdigest(" ".join(row.split()).encode()) for row in _folded_rows(part))
+    return [pa.array(rows, pa.string())]
 
 
 def _count_terms(wanted):
@@ -327,9 +328,9 @@ def learn_toxicity(
     """Learn from about ``most_rows`` labelled rows at most, chosen by a hash of their id.
 
     Terms must stand in ``min_rows`` toxic rows. Rows without label or id are left out; an id with
-    several labels takes the highest. Rows with the same two longest words count once: copies and near
-    copies share them. Without toxic or without clean rows nothing is learned, and every
-    text scores 0.
+    several labels takes the highest. Copies, rows whose folded words are the same in the same order, count
+    once for each label; of them the row with the smallest id stays, so the same tables give the same model.
+    Without toxic or without clean rows nothing is learned, and every text scores 0.
     """
     spark = docs.sparkSession
     known = (
@@ -345,11 +346,12 @@ def learn_toxicity(
     rows = (
         docs.select(F.col(id).alias("id"), F.col(text).alias("body"))
         .join(F.broadcast(chosen), F.col("id") == F.col("label_id"))
-        .select("body", "toxic")
+        .select("id", "body", "toxic")
     )
     # Copies are no evidence of their own.
-    marked = scan(rows, ["body", "toxic"], F.col("body"), _longest, "longest string")
-    sample = stored(marked.dropDuplicates(["longest", "toxic"]).drop("longest"), "labelled")
+    marked = scan(rows, ["id", "body", "toxic"], F.col("body"), _copy_key, "copy string")
+    one = marked.groupBy("copy", "toxic").agg(F.min(F.struct("id", "body")).alias("row"))
+    sample = stored(one.select("row.body", "toxic"), "labelled")
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
     if not n_toxic or not n_clean:
@@ -392,6 +394,8 @@ def learn_toxicity(
     )
     shared = spark.sparkContext.broadcast(vars(model))
     fitted = scan(sample, ["toxic"], F.col("body"), _evidence_of(shared), "evidence double").toArrow()
+    # Rows arrive in any order, and sums of fractions depend on it.
+    fitted = fitted.sort_by([("evidence", "ascending"), ("toxic", "ascending")])
     model.slope, model.offset = _logistic(
         fitted["evidence"].to_numpy(), fitted["toxic"].to_numpy().astype(np.float64)
     )
