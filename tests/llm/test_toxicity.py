@@ -20,6 +20,21 @@ def test_folding():
     assert rows[4].strip() == "of scum ioser" and rows[5].strip() == "straße é"
 
 
+def test_signs_count_where_a_letter_stands_on_either_side():
+    rows, _ = _folded("V1LES7 grubb7! a$$", "2.0 $100 5% 7 !", "no! (5x) 4.", "𝑣𝒊𝖑𝓮𝟻𝕥 ℬⓐd 𝟹", "wow!1", "😀x")
+    assert [row.strip() for row in rows] == ["viiest grubbt ass", "", "no sx", "viiest bad", "wowii", "x"]
+
+
+def test_signs_at_the_end_of_a_word_are_read_in_each_way(spark):
+    model = ToxicityModel({" viiest ": 4.0, " grubby ": 3.0, " nazi ": 3.0}, [" not grubby "], 2.0, -3.0)
+    texts = ["É: V1LES7!", "grubby7, 𝐕𝟏𝐥𝐞𝐬𝐭", "naz!", "not grubby7", "is not; grubby5 or a b c nazi! vile57", "viles7ly"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in score_toxicity(docs, model, ["doc_id"]).collect()}
+    spans = [[texts[i][h["start"] : h["end"]] for h in rows[i]["hits"]] for i in range(6)]
+    assert spans == [["V1LES7"], ["grubby", "𝐕𝟏𝐥𝐞𝐬𝐭"], ["naz!"], [], ["nazi", "vile57"], []]
+    assert [rows[i]["n_words"] for i in range(6)] == [2, 2, 1, 2, 9, 1]
+
+
 def test_offsets_point_into_the_text(spark):
     model = ToxicityModel({" idiot ": 4.0, " moro": 3.0}, [" no idiot "], 2.0, -3.0)
     texts = ["É,  1d10t and MОRОNS", "no  idiot", "an idiot, no idiot", "idiotic", ""]

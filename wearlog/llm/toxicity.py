@@ -1,9 +1,12 @@
 """Toxicity (operator 3): a weighted lexicon matched by Aho-Corasick on folded text.
 
 Folding maps each code point to one code point: lower case, look-alike letters of other scripts and
-full-width forms to plain letters, digits and signs that stand for letters (where a letter follows) to
-these letters, ``l`` to ``i`` (both are written as 1), everything else to a blank. Runs of blanks become
-one. Offsets in the original text are kept.
+full-width, mathematical and circled forms to plain letters (NFKC), digits and signs that stand for letters
+(where a letter of the same word stands on either side) to these letters, ``l`` to ``i`` (both are written
+as 1), everything else to a blank. Runs of blanks become one. Offsets in the original text are kept.
+
+Signs behind a word's last letter may be letters or not: learning takes ``!`` and ``|`` there as blanks and
+digits, ``$`` and ``@`` as letters; scoring also reads such words with all of them as blanks and as letters.
 
 Learning uses a bounded sample of the labelled rows (``most_rows``, a documented limit):
 1. words and word beginnings in toxic rows are counted, then the same terms in clean rows;
@@ -17,9 +20,11 @@ count; of several terms at one word the longest counts. The sum of weights is di
 words (plus a constant) and mapped to 0..1.
 """
 
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -44,61 +49,136 @@ STANDS_FOR = {
     "!": "i", "|": "i",
 }
 
-BLANK, SIGN = 32, 0x80000000
-MIN_STEM, MAX_STEM = 4, 10
-
+#: Signs that are mostly punctuation behind a word.
+PUNCTUATION = "!|"
 
-def _fold_table() -> np.ndarray:
-    """For code points below 65536: the folded letter, a blank, or a sign with its letter."""
-    table = np.full(1 << 16, BLANK, np.uint32)
-    for point in range(1 << 16):
-        if 0xD800 <= point < 0xE000:
-            continue
-        low = chr(point).lower()
-        if 0xFF01 <= point <= 0xFF5E:
-            low = chr(point - 0xFEE0).lower()
-        low = LOOK_ALIKE.get(low, low)
-        if len(low) == 1 and low.isalpha():
-            table[point] = ord("i") if low == "l" else ord(low)
-    for sign, letter in STANDS_FOR.items():
-        table[ord(sign)] = table[ord(sign) + 0xFEE0] = SIGN | ord(letter)
-    return table
+BLANK, SIGN, SOFT = 32, 0x80000000, 0x40000000
+#: Stands for words that a reading leaves out; no term holds it.
+LEFT_OUT = 10
+MIN_STEM, MAX_STEM = 4, 10
+#: How signs behind a word's last letter are read: all but punctuation as letters, none, all.
+PLAIN, BARE, FULL = range(3)
+
+
+@lru_cache(1 << 17)
+def _fold_point(point: int) -> int:
+    """The folded letter of a code point, a blank, or a sign with its letter."""
+    char = chr(point)
+    if 0xD800 <= point < 0xE000:
+        return BLANK
+    # Other forms of one letter, or of a sign where they are full-width or beyond the first 65536.
+    other = unicodedata.normalize("NFKC", char)
+    if len(other) == 1 and (other.isalpha() or (point >= 0xFF01 and other in STANDS_FOR)):
+        char = other
+    if char in STANDS_FOR:
+        return SIGN | (SOFT if char in PUNCTUATION else 0) | ord(STANDS_FOR[char])
+    low = char.lower()
+    low = LOOK_ALIKE.get(low, low)
+    if len(low) == 1 and low.isalpha():
+        return ord("i") if low == "l" else ord(low)
+    return BLANK
 
 
 _table: list[np.ndarray] = []
 
 
-def fold(text: np.ndarray, at: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
-    """All rows as one folded string, each row followed by a blank and the whole preceded by one;
-    the original code point (counted over all rows) of each place; where the rows begin."""
+@dataclass
+class Spread:
+    """All rows, each followed by a blank and the whole preceded by one."""
+
+    points: np.ndarray
+    """Folded code points, of which signs are not yet read."""
+    origin: np.ndarray
+    """The original code point (counted over all rows) of each."""
+    first: np.ndarray
+    """Where the rows begin."""
+    signs: np.ndarray
+    opens: np.ndarray
+    """Places of signs, and of the blanks before their words."""
+    letters: tuple[np.ndarray, np.ndarray, np.ndarray]
+    """By reading, which signs are letters."""
+
+
+def spread_out(text: np.ndarray, at: np.ndarray) -> Spread:
     if not _table:
-        _table.append(_fold_table())
+        _table.append(np.array([_fold_point(point) for point in range(1 << 16)], np.uint32))
     points = np.frombuffer(text.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     opens = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])[at]
     folded = np.full(len(points), BLANK, np.uint32)
     low = points < (1 << 16)
     folded[low] = _table[0][points[low]]
+    if not low.all():
+        # Few of the million others occur in a text.
+        kinds, which = np.unique(points[~low], return_inverse=True)
+        folded[~low] = np.array([_fold_point(point) for point in kinds.tolist()], np.uint32)[which]
     # One blank before all rows and one after each.
     place = np.repeat(np.arange(len(at) - 1), np.diff(opens)) + np.arange(len(points)) + 1
     spread = np.full(len(points) + len(at), BLANK, np.uint32)
     spread[place] = folded
     origin = np.zeros(len(spread), np.int64)
     origin[place] = np.arange(len(points))
-    # Signs count as letters in runs that a letter follows; elsewhere they are blanks.
-    is_sign = spread >= SIGN
-    if is_sign.any():
-        n = len(spread)
-        following = np.where(is_sign, n, np.arange(n))
-        following = np.minimum.accumulate(following[::-1])[::-1]
-        letter = np.append(spread, BLANK)[np.minimum(following, n)] != BLANK
-        spread = np.where(is_sign, np.where(letter, spread & ~np.uint32(SIGN), BLANK), spread)
-    blank = spread == BLANK
-    keep = np.ones(len(spread), bool)
+    return Spread(spread, origin, np.arange(len(at)) + opens, *_sign_readings(spread))
+
+
+def _sign_readings(points: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple]:
+    """Signs count as letters in words that hold a letter; behind the last one, as each reading has it."""
+    is_sign, blank = points >= SIGN, points == BLANK
+    signs, blanks = np.flatnonzero(is_sign), np.flatnonzero(blank)
+    # The first and the last place are blanks.
+    after = np.searchsorted(blanks, signs)
+    opens, closes = blanks[after - 1], blanks[np.minimum(after, len(blanks) - 1)]
+
+    def around(wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last of the wanted places before each sign, the first from it on."""
+        places = np.concatenate([[-1], np.flatnonzero(wanted), [len(points)]])
+        at = np.searchsorted(places, signs)
+        return places[at - 1], places[at]
+
+    before, behind = around(~blank & ~is_sign)
+    inside = behind < closes
+    last = ~inside & (before > opens)
+    # A run of punctuation at the very end.
+    soft = last & (around(is_sign & ((points & SOFT) == 0))[1] > closes)
+    return signs, opens, (inside | (last & ~soft), inside, inside | last)
+
+
+def read_signs(spread: Spread, reading: int = PLAIN) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+    """The folded string; the place in ``spread`` of each of its code points; where the rows begin; and where
+    words begin that differ from the reading ``PLAIN``. Other readings hold nothing but these words with a
+    neighbour on each side.
+    """
+    points, letters = spread.points.copy(), spread.letters[reading]
+    signed = points[spread.signs] & ~np.uint32(SIGN | SOFT)
+    points[spread.signs] = np.where(letters, signed, np.uint32(BLANK))
+    changed = np.zeros(len(points), bool)
+    changed[spread.opens[letters != spread.letters[PLAIN]] + 1] = True
+    blank = points == BLANK
+    chosen = np.arange(len(points))
+    if reading != PLAIN:
+        begins = ~blank
+        begins[1:] &= blank[:-1]
+        word = np.cumsum(begins)
+        near = np.zeros(word[-1] + 3, bool)
+        own = word[changed]
+        near[own] = near[own - 1] = near[own + 1] = True
+        far = ~blank & ~near[word]
+        points[far] = LEFT_OUT
+        # Of each run of words left out one code point and its blank stay.
+        chosen = np.flatnonzero(~far | (begins & near[word - 1]))
+        blank = blank[chosen]
+    keep = np.ones(len(chosen), bool)
     keep[1:] = ~(blank[1:] & blank[:-1])
-    rows = np.concatenate([[0], np.cumsum(keep)])
-    row_starts = np.arange(len(at)) + opens
-    kept = spread[keep].astype(np.uint32)
-    return kept.tobytes().decode("utf-32-le"), origin[keep], rows[row_starts]
+    chosen = chosen[keep]
+    first = np.searchsorted(chosen, spread.first)
+    return points[chosen].tobytes().decode("utf-32-le"), chosen, first, changed[chosen]
+
+
+def fold(text: np.ndarray, at: np.ndarray) -> tuple[str, np.ndarray, np.ndarray]:
+    """All rows as one folded string, each row followed by a blank and the whole preceded by one;
+    the original code point (counted over all rows) of each place; where the rows begin."""
+    spread = spread_out(text, at)
+    folded, places, first, _ = read_signs(spread)
+    return folded, spread.origin[places], first
 
 
 @dataclass
@@ -166,6 +246,29 @@ def find_hits(machine, folded: str, first: np.ndarray) -> Hits:
     return Hits(starts, ends, rows, weights, n_words)
 
 
+def read_hits(machine, text: np.ndarray, at: np.ndarray) -> Hits:
+    """Hits in any reading of the signs, the longest of each word; ``starts`` and ``ends`` are the original
+    code points (counted over all rows) of the first and the last letter."""
+    spread = spread_out(text, at)
+    parts = []
+    for reading in (PLAIN, BARE, FULL):
+        if reading != PLAIN and (spread.letters[reading] == spread.letters[PLAIN]).all():
+            continue
+        folded, places, first, changed = read_signs(spread, reading)
+        found = find_hits(machine, folded, first)
+        if reading == PLAIN:
+            n_words = found.n_words
+        own = np.ones(len(found.starts), bool) if reading == PLAIN else changed[found.starts + 1]
+        starts, ends = found.starts[own], found.ends[own]
+        points = np.frombuffer(folded.encode("utf-32-le"), np.uint32)
+        last = np.where(points[ends] == BLANK, ends - 1, ends)
+        parts.append((places[starts + 1], places[last], ends - starts, found.rows[own], found.weights[own]))
+    begins, lasts, sizes, rows, weights = (np.concatenate(column) for column in zip(*parts))
+    order = np.lexsort((-sizes, begins))
+    order = order[np.diff(begins[order], prepend=-1) > 0]
+    return Hits(spread.origin[begins[order]], spread.origin[lasts[order]], rows[order], weights[order], n_words)
+
+
 def evidence(hits: Hits) -> np.ndarray:
     """Weight per word of each row."""
     sums = np.bincount(hits.rows, hits.weights, minlength=len(hits.n_words))
@@ -404,8 +507,8 @@ def learn_toxicity(
 
 def _evidence_of(shared):
     def work(part: pa.RecordBatch) -> list[pa.Array]:
-        folded, _, first = fold(*flat_text(part.column(part.num_columns - 1)))
-        return [pa.array(evidence(find_hits(ToxicityModel(**shared.value).automaton(), folded, first)))]
+        text, at = flat_text(part.column(part.num_columns - 1))
+        return [pa.array(evidence(read_hits(ToxicityModel(**shared.value).automaton(), text, at)))]
 
     return work
 
@@ -428,18 +531,11 @@ def score_toxicity(
         if not machines:
             machines.append(known.automaton())
         text, at = flat_text(part.column(part.num_columns - 1))
-        folded, origin, first = fold(text, at)
-        found = find_hits(machines[0], folded, first)
+        found = read_hits(machines[0], text, at)
         power = np.clip(known.slope * evidence(found) + known.offset, -50, 50)
         opens = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])[at]
-        # The letter after the blank, and the last letter of the term.
-        last = np.where(
-            np.frombuffer(folded.encode("utf-32-le"), np.uint32)[found.ends] == BLANK,
-            found.ends - 1,
-            found.ends,
-        ) if len(found.ends) else found.ends
-        begin = origin[found.starts + 1] - opens[found.rows]
-        end = origin[last] - opens[found.rows] + 1
+        begin = found.starts - opens[found.rows]
+        end = found.ends - opens[found.rows] + 1
         counts = np.bincount(found.rows, minlength=part.num_rows)
         spans = pa.StructArray.from_arrays(
             [pa.array(begin), pa.array(end), pa.array(found.weights)], ["start", "end", "weight"]
