@@ -83,6 +83,32 @@ def test_equals_the_plain_version(spark, copies, monkeypatch, few, part, block):
     assert all(r["class_size"] == sizes[r["class_id"]] for r in rows) and max(sizes.values()) > 30
 
 
+def test_blocks_of_long_texts_are_taken_in_slices(spark, prose, monkeypatch):
+    class Bounded(Words):
+        """Refuses more text at a time than a slice and one row."""
+
+        def __init__(self, text, at):
+            if len(text) > (1 << 19) + 50_000:
+                raise ValueError(f"{len(text)} bytes at a time")
+            super().__init__(text, at)
+
+    monkeypatch.setattr(near_dup, "Words", Bounded)
+    monkeypatch.setattr(near_dup, "FEW_PAIRS", 0)
+    rng = random.Random(21)
+    base = prose(rng, "en", 2500).split(" ")
+    # Similar texts, of which some pairs reach 0.8, and a chain.
+    texts = [_edited(rng, base, rng.randint(20, 70)) for _ in range(60)]
+    for _ in range(8):
+        texts.append(_edited(rng, texts[-1].split(" "), 25))
+    assert sum(map(len, texts)) > 2 * (1 << 19) and max(len(t.encode()) for t in texts) < 50_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r["class_id"] for r in near_duplicates(docs).collect()}
+    own = _sets(texts)
+    similar = lambda a, b: near_dup.probability_jaccard(*own[a], *own[b]) >= 0.8
+    expected = roots(len(texts), [(a, b) for a in range(len(texts)) for b in range(a) if similar(a, b)])
+    assert found == dict(enumerate(expected)) and 10 < len(set(expected)) < 60
+
+
 def test_awkward_rows(awkward):
     rows = near_duplicates(awkward).collect()
     assert len(rows) == awkward.count()

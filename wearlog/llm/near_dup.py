@@ -31,8 +31,8 @@ from wearlog.llm.rows import measured, scan
 from wearlog.session import stored
 
 SHINGLE, BANDS, ROWS = 5, 28, 5
-#: Buckets with more pairs than this to look at are compared in blocks of so many nodes.
-FEW_PAIRS, BLOCK_NODES = 20_000, 2048
+#: Buckets with more pairs than this to look at are compared in blocks of so many nodes, or bytes of text, about.
+FEW_PAIRS, BLOCK_NODES, BLOCK_BYTES = 20_000, 2048, 1 << 25
 #: Common elements that a comparison of blocks looks at at a time, about.
 MATCHES = 1 << 20
 #: Pairs of one node that are verified together, about.
@@ -382,51 +382,58 @@ def _bucket_pairs(placed: DataFrame, signed: DataFrame, tested: DataFrame) -> Da
     return stored(pairs.join(tested, ["u", "v"], "left_anti"), "pairs")
 
 
-def shared_weight(left: tuple, right: tuple, n_left: int, n_right: int) -> np.ndarray:
-    """For each pair of rows of two lists of (element, row, share): the sum over common elements of the
-    smaller share, which their similarity does not exceed."""
-    (a, row_a, share_a), (b, row_b, share_b) = left, right
-    order = np.argsort(b, kind="stable")
-    b, row_b, share_b = b[order], row_b[order], share_b[order]
-    low, high = np.searchsorted(b, a, "left"), np.searchsorted(b, a, "right")
-    total = np.zeros(n_left * n_right)
-    ends = np.cumsum(high - low)
-    start = 0
-    while start < len(a):
-        done = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, done + MATCHES, "right")))
-        n = (high - low)[start:stop]
-        which = np.repeat(np.arange(start, stop), n)
-        at = low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-        share = np.minimum(share_a[which], share_b[at])
-        place = row_a[which] * n_right + row_b[at]
-        total += np.bincount(place, share, minlength=len(total))
-        start = stop
-    return total.reshape(n_left, n_right)
+class Block:
+    """Nodes of a bucket as compact shingles, looked up by element: some 28 bytes a shingle."""
+
+    def __init__(self, nodes: list[int], owners: list[int], parts: list[tuple]):
+        self.nodes, self.owners = nodes, owners
+        sizes = np.concatenate([np.diff(first) for _, _, first in parts])
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        self.elements = np.concatenate([elements for elements, _, _ in parts])
+        self.counts = np.concatenate([counts.astype(np.int32) for _, counts, _ in parts])
+        self.row = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        self.n_shingles = np.bincount(self.row, self.counts, minlength=len(sizes))
+        self.order = np.argsort(self.elements, kind="stable").astype(np.int32)
+        self.sorted = self.elements[self.order]
+
+    def row_of(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(self.first[i], self.first[i + 1])
+        return self.elements[own], self.counts[own].astype(np.int64)
+
+    def shared_weight(self, elements: np.ndarray, counts: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """For each given row and each node: the sum over common elements of the smaller share, which
+        their similarity does not exceed."""
+        n_rows, n_nodes = len(first) - 1, len(self.nodes)
+        row = np.repeat(np.arange(n_rows), np.diff(first))
+        shares = counts / np.bincount(row, counts, minlength=n_rows)[row]
+        low, high = np.searchsorted(self.sorted, elements, "left"), np.searchsorted(self.sorted, elements, "right")
+        total = np.zeros(n_rows * n_nodes)
+        ends = np.cumsum(high - low)
+        start = 0
+        while start < len(elements):
+            done = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, done + MATCHES, "right")))
+            n = (high - low)[start:stop]
+            which = np.repeat(np.arange(start, stop), n)
+            at = self.order[low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)]
+            node = self.row[at]
+            share = np.minimum(shares[which], self.counts[at] / self.n_shingles[node])
+            total += np.bincount(row[which] * n_nodes + node, share, minlength=len(total))
+            start = stop
+        return total.reshape(n_rows, n_nodes)
 
 
 def _linked_blocks(threshold: float):
-    """Nodes of two blocks of a bucket (outside ones, and any) to links that join their classes.
+    """Rows (key, i, j, side, node, class_node, body) in the order of the first four to links that join the
+    nodes' classes: the nodes of side 0, a block, are held as shingles, those of side 1 meet them slice by
+    slice.
 
     Classes that links of the block have joined already need no further link.
     """
 
-    def run(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks()
-        body = rows["body"].combine_chunks() if rows["body"].num_chunks else pa.array([], pa.string())
-        elements, counts, first = shingles(Words(*flat_text(body)))
-        node, own = rows["node"].to_numpy(), rows["class_node"].to_numpy().tolist()
-        row = np.repeat(np.arange(len(node)), np.diff(first))
-        share = counts / np.bincount(row, counts, minlength=len(node))[row]
-        is_out = rows["side"].to_numpy() == 0
-        sides = []
-        for who in (np.flatnonzero(is_out), np.flatnonzero(~is_out)):
-            place = np.full(len(node), -1)
-            place[who] = np.arange(len(who))
-            keep = place[row] >= 0
-            sides.append((who, (elements[keep], place[row][keep], share[keep])))
-        (outs, left), (all_, right) = sides
-        most = shared_weight(left, right, len(outs), len(all_))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair = block = None
+        held: tuple[list, list, list] = ([], [], [])
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -434,42 +441,83 @@ def _linked_blocks(threshold: float):
                 x = parent[x]
             return x
 
-        links = []
-        for x, y in zip(*(i.tolist() for i in np.nonzero(most >= threshold - 1e-9))):
-            i, j = int(outs[x]), int(all_[y])
-            a, b = root(own[i]), root(own[j])
-            if a == b:
-                continue
-            one, two = slice(first[i], first[i + 1]), slice(first[j], first[j + 1])
-            if (
-                probability_jaccard(elements[one], counts[one], elements[two], counts[two])
-                >= threshold - 1e-12
-            ):
-                parent[max(a, b)] = min(a, b)
-                links.append((int(node[i]), int(node[j])))
-        return pa.table(
-            {
-                "u": pa.array([u for u, _ in links], pa.int64()),
-                "v": pa.array([v for _, v in links], pa.int64()),
-            }
-        )
+        for batch in batches:
+            for part in slices(batch, "body"):
+                names = [column_of(part, name).to_numpy() for name in ("key", "i", "j", "side")]
+                edges = np.any([np.diff(column) != 0 for column in names], axis=0)
+                # Of one pair of blocks and one side each, and of no more nodes than a block has.
+                opens = [0, *(np.flatnonzero(edges) + 1).tolist(), part.num_rows]
+                for low, high in zip(opens[:-1], opens[1:]):
+                    new, is_out = tuple(int(column[low]) for column in names[:3]), names[3][low] == 0
+                    if new != pair:
+                        pair, block, held, parent = new, None, ([], [], []), {}
+                    links = []
+                    for start in range(low, high, BLOCK_NODES):
+                        own = part.slice(start, min(BLOCK_NODES, high - start))
+                        nodes = column_of(own, "node").to_pylist()
+                        owners = column_of(own, "class_node").to_pylist()
+                        elements, counts, first = shingles(Words(*flat_text(column_of(own, "body"))))
+                        if is_out:
+                            held[0].extend(nodes)
+                            held[1].extend(owners)
+                            held[2].append((elements, counts.astype(np.int32), first))
+                            continue
+                        if block is None and held[0]:
+                            block, held = Block(*held), ([], [], [])
+                        if block is None:
+                            continue
+                        most = block.shared_weight(elements, counts, first)
+                        for y, x in zip(*(i.tolist() for i in np.nonzero(most >= threshold - 1e-9))):
+                            a, b = root(block.owners[x]), root(owners[y])
+                            if a == b:
+                                continue
+                            one = slice(first[y], first[y + 1])
+                            if (
+                                probability_jaccard(*block.row_of(x), elements[one], counts[one])
+                                >= threshold - 1e-12
+                            ):
+                                parent[max(a, b)] = min(a, b)
+                                links.append((block.nodes[x], nodes[y]))
+                    if links:
+                        u, v = zip(*links)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"]
+                        )
 
     return run
 
 
 def _block_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Links between classes within large buckets, stored. Blocks of ``BLOCK_NODES`` outside nodes meet
-    blocks of as many nodes of the bucket; no pair of nodes is a row."""
-    blocks = lambda n: F.ceil(F.col(n) / BLOCK_NODES)
-    number = lambda n: F.pmod(F.xxhash64("node"), blocks(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), blocks(n) - 1))
+    """Links between classes within large buckets, stored. Blocks of about ``BLOCK_NODES`` outside nodes, or
+    fewer with ``BLOCK_BYTES`` of text, meet such blocks of the bucket's nodes; no pair of nodes is a row."""
+    bytes_of = texts.select(F.col("node").alias("n"), F.octet_length("text").cast("long").alias("bytes"))
+    blocks = lambda n, size: F.greatest(
+        F.ceil(n / BLOCK_NODES), F.ceil(size / BLOCK_BYTES), F.lit(1).cast("long")
+    )
+    numbers = (
+        placed.join(bytes_of, F.col("node") == F.col("n"))
+        .groupBy("key")
+        .agg(
+            blocks(F.count(F.when(F.col("out"), 1)), F.sum(F.when(F.col("out"), F.col("bytes")))).alias("n_i"),
+            blocks(F.count(F.lit(1)), F.sum("bytes")).alias("n_j"),
+        )
+    )
+    numbers = stored(numbers, "blocks")
+    placed = placed.join(measured(numbers), "key")
+    number = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     outs = placed.filter("out").select(
-        "key", "node", "class_node", number("n_out").alias("i"), every("size").alias("j"), F.lit(0).alias("side")
+        "key", "node", "class_node", number("n_i").alias("i"), every("n_j").alias("j"), F.lit(0).alias("side")
     )
     all_ = placed.select(
-        "key", "node", "class_node", every("n_out").alias("i"), number("size").alias("j"), F.lit(1).alias("side")
+        "key", "node", "class_node", every("n_i").alias("i"), number("n_j").alias("j"), F.lit(1).alias("side")
     )
     body = texts.select(F.col("node").alias("n"), F.col("text").alias("body"))
-    rows = outs.unionByName(all_).join(body, F.col("node") == F.col("n")).drop("n")
-    links = rows.groupBy("key", "i", "j").applyInArrow(_linked_blocks(threshold), "u long, v long")
-    return stored(links, "block-links")
+    rows = (
+        outs.unionByName(all_)
+        .join(body, F.col("node") == F.col("n"))
+        .select("key", "i", "j", "side", "node", "class_node", "body")
+        .repartition("key", "i", "j")
+        .sortWithinPartitions("key", "i", "j", "side", "node")
+    )
+    return stored(rows.mapInArrow(_linked_blocks(threshold), "u long, v long"), "block-links")
