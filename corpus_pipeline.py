@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlog.llm.decontaminate import find_contamination
-from wearlog.llm.language import UNKNOWN, identify_languages, learn_languages
+from wearlog.llm.language import identify_languages, learn_languages
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
@@ -32,10 +32,12 @@ def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language go: those without a letter, and those far less likely under the languages
-    learned from the labelled rows than if all letter groups were equally likely. ``lang`` stays."""
+    learned from the labelled rows than if all letter groups were equally likely. ``lang`` stays. Where no
+    language was learned, as ``lang`` is null in all rows with text, every document with a letter stays."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     found = identify_languages(rows, learn_languages(docs), DOC)
-    unknown = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("gain") * F.col("n_grams") < -EVIDENCE))
+    # Without languages there is no gain either: it is 0.
+    unknown = found.filter((F.col("n_grams") == 0) | (F.col("gain") * F.col("n_grams") < -EVIDENCE))
     return _without(docs, stored(unknown.select(*DOC).distinct(), "unknown"))
 
 

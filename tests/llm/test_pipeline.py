@@ -97,5 +97,15 @@ def test_clean_documents_stay(spark, prose, tables):
     assert docs.count() == 60
 
 
+@pytest.mark.parametrize("labelled", [None, ""])
+def test_without_a_learned_language_documents_with_letters_stay(spark, prose, labelled):
+    rng = random.Random(5)
+    rows = [(i, prose(rng, ("en", "de")[i % 2], 40), None) for i in range(20)]
+    rows += [(20, "Ünd", None), (21, "12 ?!", None), (22, "", "en"), (23, labelled, "en"), (24, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = dict(corpus_pipeline.STAGES)["language_id"](spark, docs, "")
+    assert sorted(map(tuple, kept.collect())) == rows[:21]
+
+
 def test_the_order_of_the_stages():
     assert NAMES == ["language_id", "line_dedup", "near_dedup", "decontaminate", "mix_sources"]
