@@ -2,6 +2,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from log_lines import log_line
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
@@ -35,13 +36,6 @@ def small_splits(spark):
         spark.conf.unset(name)
 
 
-def log_line(engine, cycle, first, step=1.0):
-    """A line whose sensor i reads ``first + (i - 1) * step``."""
-    return " ".join(
-        map(str, [engine, cycle, 0, 0, 0, *[float(first + i * step) for i in range(21)]])
-    )
-
-
 @pytest.fixture()
 def landing(tmp_path):
     """Three lines of one engine in train and test, two lines of truth."""

@@ -4,7 +4,7 @@ import random
 import re
 
 import pytest
-from conftest import log_line
+from log_lines import log_line
 from pyspark.sql import functions as F
 
 from wearlog.functions.text import (

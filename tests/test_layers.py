@@ -3,7 +3,7 @@
 from pathlib import Path
 
 import pytest
-from conftest import log_line
+from log_lines import log_line
 
 from wearlog.operators.features import gold_projection
 from wearlog.plans.layers import land, previews, project, refine, run_batch
