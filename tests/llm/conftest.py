@@ -1,11 +1,7 @@
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 STEMS = {
     "en": "the of and ing tion er th wh ou ly ed ha".split(),
     "de": "der die und sch ung keit ein ver lich zu ß ü".split(),

@@ -1,0 +1,44 @@
+"""Every query where the executors' Python cannot import this package."""
+
+import os
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+SF = "/root/testdata/sf0.001"
+REPO = str(Path(__file__).resolve().parents[2])
+SCRIPT = f"""
+import sys
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "4").config("spark.sql.session.timeZone", "UTC")
+         .config("spark.checkpoint.dir", sys.argv[1]).getOrCreate())
+spark.sparkContext.setLogLevel("ERROR")
+
+def importable(batches):
+    import importlib.util
+    import pyarrow as pa
+    for batch in batches:
+        yield pa.RecordBatch.from_pydict({{"found": [importlib.util.find_spec("wearlog") is not None]}})
+
+assert not spark.range(1).mapInArrow(importable, "found boolean").first()["found"]
+sys.path.insert(0, {REPO!r})
+import corpus_pipeline
+from wearlog.llm.queries import QUERIES
+for name, query in {{**QUERIES, "pipeline": corpus_pipeline.run}}.items():
+    print(name, query(spark, {SF!r}).count(), flush=True)
+"""
+
+
+@pytest.mark.skipif(not os.path.exists(SF), reason="no test tables")
+def test_executors_need_only_the_libraries(tmp_path):
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, "-c", SCRIPT, str(tmp_path / "shared")],
+        cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900,
+    )
+    assert done.returncode == 0, done.stderr[-3000:]
+    rows = dict(line.split() for line in done.stdout.splitlines())
+    assert len(rows) >= 11 and all(int(n) > 0 for n in rows.values())

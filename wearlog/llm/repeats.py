@@ -43,7 +43,7 @@ from wearlog.llm.suffix_sort import deep_shallow
 from wearlog.session import stored
 
 #: Different contexts that one task sorts at most.
-GROUP_CONTEXTS = 20_000
+GROUP_CONTEXTS = 500
 #: Parts that the beginnings of windows in a large group are split into.
 PARTS = 4
 

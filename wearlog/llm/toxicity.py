@@ -24,7 +24,6 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -60,7 +59,6 @@ MIN_STEM, MAX_STEM = 4, 10
 PLAIN, BARE, FULL = range(3)
 
 
-@lru_cache(1 << 17)
 def _fold_point(point: int) -> int:
     """The folded letter of a code point, a blank, or a sign with its letter."""
     char = chr(point)
@@ -506,9 +504,13 @@ def learn_toxicity(
 
 
 def _evidence_of(shared):
+    machines: list = []
+
     def work(part: pa.RecordBatch) -> list[pa.Array]:
+        if not machines:
+            machines.append(ToxicityModel(**shared.value).automaton())
         text, at = flat_text(part.column(part.num_columns - 1))
-        return [pa.array(evidence(read_hits(ToxicityModel(**shared.value).automaton(), text, at)))]
+        return [pa.array(evidence(read_hits(machines[0], text, at)))]
 
     return work
 
