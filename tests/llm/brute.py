@@ -144,3 +144,38 @@ def mix(docs, share=1.5, epochs=2.0, seed="mix"):
         left[s] -= part
         taken[i] = (int(target[s] // total[s]) if total[s] else 0) * sizes[i] + part
     return [(sizes[i], total[docs[i][1]], target[docs[i][1]], taken[i]) for i in range(len(docs))]
+
+
+def quality(docs, max_docs=10, max_share=0.5, min_left=0.5):
+    """docs: (id, text, host); per row: counts, base_failed, lost words, lost lines, kept."""
+    words = lambda text: re.findall("[^ \t-\r]+", text or "")
+    key = lambda line: tuple(re.sub("[0-9]", "0", w.translate(LOWER)) for w in words(line))
+    name = lambda i, text: i if i is not None else ("no id", text)
+    held, sizes = defaultdict(set), defaultdict(set)
+    for i, text, host in docs:
+        sizes[host].add(name(i, text))
+        for line in (text or "").split("\n"):
+            if key(line):
+                held[host, key(line)].add(name(i, text))
+    frequent = {
+        k for k, ids in held.items()
+        if len(ids) > max_docs or (len(ids) >= 3 and len(ids) > max_share * len(sizes[k[0]]))
+    }
+    out = []
+    for _, text, host in docs:
+        lines, own = (text or "").split("\n"), words(text)
+        worded = [line for line in lines if key(line)]
+        windows = Counter(zip(own, own[1:], own[2:]))
+        repeated = {
+            i + j for i, w in enumerate(zip(own, own[1:], own[2:])) if windows[w] > 1 for j in range(3)
+        }
+        lost = [i for i, line in enumerate(lines) if (host, key(line)) in frequent]
+        n_lost = sum(len(words(lines[i])) for i in lost)
+        failed = len(own) < 50 or len(repeated) > 0.5 * len(own)
+        counts = (
+            len(own), sum(map(len, own)), sum((text or "").count(c) for c in "#*$%&|<>"),
+            len(worded) - len(set(worded)), len(repeated),
+        )
+        kept = not failed and len(own) - n_lost >= min_left * len(own)
+        out.append((*counts, failed, n_lost, lost, kept))
+    return out

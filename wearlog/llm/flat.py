@@ -31,6 +31,11 @@ LOWER[65:91] += 32
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
 
+#: Of any bytes: all but blanks, ``[^\\x20\\x09-\\x0D]``.
+NOT_BLANK = np.ones(256, dtype=bool)
+NOT_BLANK[32] = NOT_BLANK[9:14] = False
+AS_IT_IS = np.arange(256, dtype=np.uint8)
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -107,15 +112,18 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = SLICE_BYTES):
 
 
 class Words:
-    """The words of a flat text: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z.
+    """The words of a flat text: ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` after lower-casing A-Z, or runs of
+    the bytes marked in ``is_word`` after mapping each by ``fold``.
 
     ``starts``, ``ends``: byte ranges; ``doc``: the row of each; ``first``: n + 1 places where the
     rows' words begin; ``hashes``: 64 bits of each word.
     """
 
-    def __init__(self, text: np.ndarray, at: np.ndarray):
-        lowered = LOWER[text]
-        inside = IS_WORD[lowered]
+    def __init__(
+        self, text: np.ndarray, at: np.ndarray, is_word: np.ndarray = IS_WORD, fold: np.ndarray = LOWER
+    ):
+        lowered = fold[text]
+        inside = is_word[lowered]
         before = np.empty(len(text) + 1, dtype=bool)
         before[0] = False
         before[1:] = inside

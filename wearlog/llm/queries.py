@@ -9,6 +9,7 @@ from wearlog.llm.licences import TEMPLATES, scan_licences
 from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
+from wearlog.llm.quality import COUNTS, judge_quality
 from wearlog.llm.repeats import drop_repeats
 from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
@@ -286,6 +287,55 @@ LINE_DEDUP_SQL = r"""
                AS kept_sha256
     FROM marked GROUP BY doc_id"""
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_quality(read(spark, sf_dir, "documents"))
+    return judged.select("doc_id", *COUNTS, "base_failed", "kept", "lost_words")
+
+
+QUALITY_SQL = r"""
+    WITH split AS (
+        SELECT doc_id, source, coalesce(text, '') AS text,
+               regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    lines AS (
+        SELECT doc_id, source, line, regexp_extract_all(
+                   translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'),
+                   '[^\x20\x09-\x0D]+') AS k
+        FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM split)),
+    worded AS (SELECT * FROM lines WHERE len(k) > 0),
+    hosts AS (SELECT source, count(DISTINCT doc_id) AS docs FROM split GROUP BY source),
+    frequent AS (
+        SELECT held.source, k FROM (
+            SELECT source, k, count(DISTINCT doc_id) AS n FROM worded GROUP BY source, k) held
+        JOIN hosts ON hosts.source IS NOT DISTINCT FROM held.source
+        WHERE n > 10 OR (n >= 3 AND n > 0.5 * docs)),
+    lost AS (
+        SELECT doc_id, sum(len(worded.k))::BIGINT AS lost_words FROM worded JOIN frequent
+            ON worded.k = frequent.k AND worded.source IS NOT DISTINCT FROM frequent.source
+        GROUP BY doc_id),
+    dup AS (
+        SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM worded GROUP BY doc_id),
+    windows AS (
+        SELECT doc_id, i, w[i:i + 2] AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM split)),
+    often AS (SELECT doc_id, g FROM windows GROUP BY doc_id, g HAVING count(*) > 1),
+    repeated AS (
+        SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+        FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM windows JOIN often USING (doc_id, g))
+        GROUP BY doc_id),
+    counted AS (
+        SELECT doc_id, len(w) AS n_words,
+               coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+               len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+               coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+               coalesce(lost_words, 0) AS lost_words
+        FROM split LEFT JOIN dup USING (doc_id) LEFT JOIN repeated USING (doc_id)
+        LEFT JOIN lost USING (doc_id)),
+    judged AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted)
+    SELECT *, NOT base_failed AND n_words - lost_words >= 0.5 * n_words AS kept FROM judged"""
+
+
 QUERIES = {
     query.__name__: query
     for query in [
@@ -299,6 +349,7 @@ QUERIES = {
         op8_decontaminate,
         op9_top_k,
         op10_line_dedup,
+        op13_quality_rules,
     ]
 }
 ORACLE_SQL = {
@@ -307,4 +358,5 @@ ORACLE_SQL = {
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op9_top_k": TOP_K_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op13_quality_rules": QUALITY_SQL,
 }
