@@ -59,7 +59,7 @@ def test_depleted_documents_go_and_others_lose_the_lines(spark):
     rng = random.Random(4)
     own = lambda n: " ".join(str(rng.choice("pqrstuvw")) + chr(97 + rng.randrange(26)) + chr(97 + rng.randrange(26)) for _ in range(n))
     menu = "Home  About 12 contact " + own(30)
-    docs = [(i, f"{menu.replace('12', str(i))}\n{own(60)}", "a") for i in range(12)]
+    docs = [(i, f"{menu.replace('12', str(i + 10))}\n{own(60)}", "a") for i in range(12)]
     docs += [(20 + i, f"{own(25)}\n\t{menu.upper() if i else menu}\n{menu}", "a") for i in range(2)]
     docs += [(30, f"{own(20)}\n{menu}\n{menu}", "b"), (31, f"{own(70)}\n{menu}", "b")]
     frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
