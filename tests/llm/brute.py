@@ -179,3 +179,31 @@ def quality(docs, max_docs=10, max_share=0.5, min_left=0.5):
         kept = not failed and len(own) - n_lost >= min_left * len(own)
         out.append((*counts, failed, n_lost, lost, kept))
     return out
+
+
+def repairs(rows):
+    """rows: (role, text, fault) in order; the least (cost, audit, text) of all ways, by trying them all.
+    Between two rows two new turns are enough."""
+    possible = lambda lines: re.fullmatch("s?(ua)*u?", "".join(line[:1] for line in lines))
+
+    def with_new(ways):
+        for cost, audit, lines in ways:
+            for names in [()] + [(a,) for a in ("user:", "assistant:")] + [
+                (a, b) for a in ("user:", "assistant:") for b in ("user:", "assistant:")
+            ]:
+                if possible(lines + names):
+                    yield cost + 3 * len(names), audit + "I" * len(names), lines + names
+
+    ways = list(with_new([(0, "", ())]))
+    for role, text, fault in rows:
+        more, then = (3 if fault == 3 else 0), []
+        for cost, audit, lines in ways:
+            then.append((cost + 4, audit + "D", lines))
+            if fault not in (1, 2):
+                for letter, name, own in (("K", role, 0), ("R", "user", 3), ("R", "assistant", 3)):
+                    if name and possible((*lines, name)):
+                        then.append((cost + own + more, audit + letter, (*lines, f"{name}:{text}")))
+        ways = list(with_new(then))
+    ends = [way for way in ways if re.fullmatch("(s?(ua)+)?", "".join(line[0] for line in way[2]))]
+    cost, audit, lines = min(ends)
+    return cost, audit, "\n".join(lines)

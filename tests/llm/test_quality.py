@@ -74,7 +74,9 @@ def test_depleted_documents_go_and_others_lose_the_lines(spark):
 
 def test_a_line_of_a_third_of_all_rows_is_combined_before_it_is_counted(spark):
     docs = spark.range(30000).selectExpr(
-        "id AS doc_id", "concat('line of many\n', id, ' words of its own ', id * 7) AS text", "'h' AS source"
+        "id AS doc_id",
+        "concat('line of many\n', translate(id, '0123456789', 'abcdefghij'), ' words of its own') AS text",
+        "'h' AS source",
     )
     judged = judge_quality(docs, min_words=1)
     assert judged.filter("lost_words = 3 AND kept").count() == 30000

@@ -19,7 +19,7 @@ KINDS = {
     "VARCHAR": "string",
     "BOOLEAN": "boolean",
 }
-TABLES = ("documents", "embeddings", "labels", "benchmark")
+TABLES = ("documents", "embeddings", "labels", "benchmark", "conversations")
 
 
 def _view(con, folder, table):
@@ -54,6 +54,14 @@ def awkward_folder(spark, tmp_path_factory):
     vectors.withColumn("embedding", some).write.parquet(f"{folder}/embeddings.parquet")
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     items.withColumn("text", F.when(F.col("item_id") % 5 > 0, F.col("text"))).write.parquet(f"{folder}/benchmark.parquet")
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    spoiled = {
+        name: F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(n)) > 0, F.col(name))
+        for name, n in (("role", 5), ("text", 6))
+    }
+    first = F.when(F.col("turn") > 0, F.col("turn"))
+    turns = turns.withColumns(spoiled | {"turn": first, "words": F.lit(1), "key": F.lit("x")})
+    turns.write.parquet(f"{folder}/conversations.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     labels.withColumn("toxic", F.when(F.col("doc_id") % 6 > 0, F.col("toxic"))).write.parquet(f"{folder}/labels.parquet")
     return folder
@@ -131,6 +139,6 @@ def test_repeats_equal_the_plain_version(spark):
 
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
     assert set(ORACLE_SQL) <= set(contract.oracle_sql())

@@ -10,6 +10,7 @@ from wearlog.llm.lines import drop_common_lines
 from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
 from wearlog.llm.quality import COUNTS, judge_quality
+from wearlog.llm.repair import damaged, repair_summary
 from wearlog.llm.repeats import drop_repeats
 from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
@@ -287,6 +288,95 @@ LINE_DEDUP_SQL = r"""
                AS kept_sha256
     FROM marked GROUP BY doc_id"""
 
+def _check_sum(text: str) -> str:
+    """SQL for CRC-32 of an ASCII text, bit by bit."""
+    step = "CASE WHEN (v & 1) = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END"
+    return f"""xor(list_reduce(
+        list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT),
+        lambda c, b: list_reduce(range(8), lambda v, k: {step}, xor(c, b)),
+        4294967295::BIGINT), 4294967295::BIGINT)"""
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    named = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    key = F.crc32(F.concat(named("conv_id"), F.lit(":"), named("turn"))) % 20
+    return repair_summary(damaged(turns, key), turns.select("conv_id")).drop("rows")
+
+
+def _repair_sql() -> str:
+    def edit(letter: str, cost: str, state: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {state}.t)" if line else f"{state}.t"
+        return f"{{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a, 't': {lines}}}"
+
+    new = lambda state, role: edit("I", "3", state, f"'{role}:'")
+    extra = "CASE WHEN fault = 3 THEN 3 ELSE 0 END"
+    leads = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+    own = []
+    for state, ways in enumerate(leads):
+        to, role = (3, "assistant") if state == 2 else (2, "user")
+        kept = " ".join(
+            f"WHEN fault NOT IN (1, 2) AND role[1] = '{initial}' THEN "
+            + edit("K", f"({extra})", f"s{way}", "concat(role, ':', text)")
+            for initial, way in ways.items()
+        )
+        changed = edit("R", f"(3 + {extra})", f"s{to}", f"concat('{role}:', text)")
+        gone = edit("D", "4", f"s{state}")
+        own.append(
+            f"least({gone}, CASE {kept} ELSE {gone} END, "
+            f"CASE WHEN fault NOT IN (1, 2) THEN {changed} ELSE {gone} END) AS w{state}"
+        )
+    return rf"""
+    WITH RECURSIVE given AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               {_check_sum("concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+        FROM conversations),
+    spoiled AS (
+        SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+        FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) FROM given)),
+    numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again,
+               right(rtrim(text, E' 	
+'), 1) AS last
+        FROM spoiled),
+    turns AS (
+        SELECT conv_id, turn, role, text,
+               CASE WHEN last = '' THEN 1 WHEN again > 1 THEN 2 WHEN last NOT IN ('.', '!', '?') THEN 3 ELSE 0
+               END AS fault,
+               row_number() OVER (PARTITION BY conv_id
+                   ORDER BY turn DESC NULLS LAST, role DESC, text DESC, again DESC) AS i,
+               role[1] || lag(role[1]) OVER (PARTITION BY conv_id
+                   ORDER BY turn DESC NULLS LAST, role DESC, text DESC, again DESC) AS pair
+        FROM numbered),
+    counted AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+               count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+               count(*) FILTER (fault = 3) AS truncated,
+               count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+        FROM turns GROUP BY conv_id),
+    ways(conv_id, i, s0, s1, s2, s3) AS (
+        SELECT conv_id, 0::BIGINT, {{'c': 0, 'a': '', 't': []::VARCHAR[]}},
+               {{'c': 6, 'a': 'II', 't': ['user:', 'assistant:']}},
+               {{'c': 3, 'a': 'I', 't': ['assistant:']}}, {{'c': 0, 'a': '', 't': []::VARCHAR[]}}
+        FROM counted
+        UNION ALL
+        SELECT conv_id, i, least(w0, {new("v2", "user")}), least(w1, {new("v2", "user")}), v2, v3
+        FROM (SELECT *, least(w2, {new("w3", "assistant")}) AS v2, least(w3, {new("w2", "user")}) AS v3
+              FROM (SELECT ways.conv_id, turns.i, {", ".join(own)}
+                    FROM ways JOIN turns
+                      ON turns.conv_id IS NOT DISTINCT FROM ways.conv_id AND turns.i = ways.i + 1))),
+    best AS (
+        SELECT counted.*, s0 FROM counted JOIN ways
+            ON ways.conv_id IS NOT DISTINCT FROM counted.conv_id AND ways.i = counted.n)
+    SELECT ids.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank,
+           coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(s0.c, 0)::BIGINT AS cost, coalesce(s0.a, '') AS audit,
+           sha256(coalesce(array_to_string(s0.t, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) ids
+    LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM ids.conv_id"""
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = judge_quality(read(spark, sf_dir, "documents"))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", "lost_words")
@@ -349,6 +439,7 @@ QUERIES = {
         op8_decontaminate,
         op9_top_k,
         op10_line_dedup,
+        op12_conversation_repair,
         op13_quality_rules,
     ]
 }
@@ -358,5 +449,6 @@ ORACLE_SQL = {
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op9_top_k": TOP_K_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op12_conversation_repair": _repair_sql(),
     "op13_quality_rules": QUALITY_SQL,
 }
