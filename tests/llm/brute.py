@@ -207,3 +207,23 @@ def repairs(rows):
     ends = [way for way in ways if re.fullmatch("(s?(ua)+)?", "".join(line[0] for line in way[2]))]
     cost, audit, lines = min(ends)
     return cost, audit, "\n".join(lines)
+
+
+def trie(paths):
+    """paths: conversation -> list of (turn, words); per node (id, depth, parent, members, children, leaves,
+    saved words, ids that end)."""
+    members = defaultdict(list)
+    for conv, turns in paths.items():
+        for d in range(len(turns) + 1):
+            members[tuple(turns[:d])].append(conv)
+    out = []
+    for node, convs in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        inner = {n[:-1] for n in members if n}
+        out.append((
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs),
+            sum(len(n) == len(node) + 1 for n in below), sum(n not in inner for n in below),
+            sum((len(members[n]) - 1) * n[-1][1] for n in below if n),
+            ",".join(str(c) for c in sorted(convs) if len(paths[c]) == len(node)),
+        ))
+    return out

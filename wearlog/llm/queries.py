@@ -16,6 +16,8 @@ from wearlog.llm.rows import read
 from wearlog.llm.tokens import attribute_tokens
 from wearlog.llm.topk import top_k
 from wearlog.llm.toxicity import learn_toxicity, score_toxicity
+from wearlog.llm.trie import numbered_turns, prefix_trie, with_ends_digest, with_heads
+from wearlog.session import stored
 
 
 def remainder(parts: int) -> Column:
@@ -297,6 +299,64 @@ def _check_sum(text: str) -> str:
         4294967295::BIGINT), 4294967295::BIGINT)"""
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as rebuilt: the first turns come from the family's first conversation."""
+    conversations = read(spark, sf_dir, "conversations")
+    numbered = stored(numbered_turns(conversations), "numbered-turns")
+    ids = stored(numbered.select("conv_id").distinct(), "conversations")
+    family = F.col("conv_id") - F.col("conv_id") % 20
+    heads = F.crc32(F.col("conv_id").cast("string")) % 4
+    trie = prefix_trie(with_heads(numbered, ids, family, heads, most=3), ids)
+    return with_ends_digest(trie).select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        "ends_sha256",
+    )
+
+
+PREFIX_TRIE_SQL = rf"""
+    WITH numbered AS (
+        SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+               concat(md5(coalesce(role, '')), md5(coalesce(text, ''))) AS k,
+               len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+        FROM conversations WHERE conv_id IS NOT NULL),
+    ids AS (
+        SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS family, {_check_sum("conv_id::VARCHAR")} % 4 AS h
+        FROM numbered),
+    rebuilt AS (
+        SELECT ids.conv_id, 0 AS own, pos, k, w FROM ids JOIN numbered ON numbered.conv_id = family AND pos < h
+        UNION ALL
+        SELECT conv_id, 1, pos, k, w FROM ids JOIN numbered USING (conv_id) WHERE pos >= h),
+    paths AS (
+        SELECT conv_id, w, row_number() OVER placed AS depth, md5(string_agg(k, '') OVER placed) AS path
+        FROM rebuilt WINDOW placed AS (PARTITION BY conv_id ORDER BY own, pos)
+        UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+    stays AS (
+        SELECT *, lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS up,
+               depth = max(depth) OVER (PARTITION BY conv_id) AS last
+        FROM paths),
+    nodes AS (
+        SELECT path, depth, any_value(up) AS up, any_value(w) AS w, min(conv_id) AS conv_id, count(*) AS n_convs,
+               string_agg(conv_id, ',' ORDER BY conv_id) FILTER (last) AS ends
+        FROM stays GROUP BY path, depth),
+    marked AS (
+        SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN (
+            SELECT up AS path, count(*) AS n_children FROM nodes GROUP BY up) USING (path)),
+    sums AS (
+        SELECT above.path, above.depth, count(*) FILTER (n_children = 0) AS n_leaves,
+               sum((n_convs - 1) * marked.w)::BIGINT AS saved_tokens
+        FROM marked JOIN stays above ON above.conv_id = marked.conv_id AND above.depth <= marked.depth
+        GROUP BY above.path, above.depth)
+    SELECT marked.conv_id, marked.depth, parents.conv_id AS parent_conv_id, marked.n_convs, n_children,
+           n_leaves, saved_tokens, sha256(coalesce(marked.ends, '')) AS ends_sha256
+    FROM marked JOIN sums USING (path, depth) LEFT JOIN nodes parents ON parents.path = marked.up"""
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read(spark, sf_dir, "conversations")
     named = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
@@ -338,7 +398,8 @@ def _repair_sql() -> str:
     numbered AS (
         SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) AS again,
                right(rtrim(text, E' 	
-'), 1) AS last
+
+'), 1) AS last
         FROM spoiled),
     turns AS (
         SELECT conv_id, turn, role, text,
@@ -439,6 +500,7 @@ QUERIES = {
         op8_decontaminate,
         op9_top_k,
         op10_line_dedup,
+        op11_prefix_trie,
         op12_conversation_repair,
         op13_quality_rules,
     ]
@@ -449,6 +511,7 @@ ORACLE_SQL = {
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op9_top_k": TOP_K_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op11_prefix_trie": PREFIX_TRIE_SQL,
     "op12_conversation_repair": _repair_sql(),
     "op13_quality_rules": QUALITY_SQL,
 }
