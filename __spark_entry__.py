@@ -35,6 +35,16 @@ from wearlog.plans.series import events, test_log, to_line, train_log, truth
 from wearlog.plans.trainer import train_life
 from wearlog.schema import KEYS, LABEL, LOG_COLUMNS, SENSORS, SETTINGS
 from wearlog.session import scratch_path
+from wearlog.sources.commits import (
+    append_commit,
+    compact,
+    follow,
+    overwrite_commit,
+    read_version,
+    vacuum,
+    version_of,
+    write_part,
+)
 from wearlog.sources.landing import (
     good_rows,
     land_log,
@@ -486,6 +496,109 @@ def prediction_merge(spark, sf_dir):
     return read_table(spark, path, merge_schema=True)
 
 
+def _fails(action: Callable) -> bool:
+    try:
+        action()
+    except Exception:  # noqa: BLE001
+        return True
+    return False
+
+
+def stream_compacted(spark, sf_dir):
+    """Two lots of events ingested in many batches into a table of versions, merged after each, scored
+    downstream. Whether an overwrite that fails leaves the table as it was, and the parts it is left with."""
+    path, table, offsets = (scratch_path(spark, name) for name in ("events", "table", "offsets"))
+    scored, scored_offsets = scratch_path(spark, "scored"), scratch_path(spark, "offsets")
+    rows = series.series(events(spark, sf_dir), "event_id")
+    model, stats = _type_model(spark, sf_dir), _stats(spark, sf_dir)
+    for lot in (0, 1):
+        readings = rows.filter(F.col("event_id") % 2 == lot).select(F.to_json(F.struct(*SENSORS)).alias("value"))
+        readings.repartition(6).write.mode("append").text(path)
+        stream = read_events(spark, path, maxFilesPerTrigger=2)
+        jobs.ingest(stream, table, offsets, available_now=True, table_format="commits").awaitTermination()
+        if lot:
+            # One more version than the reader has seen is merged before it reads on.
+            compact(spark, table)
+        jobs.score_commits(
+            spark, model, table, scored, scored_offsets, stats=stats, available_now=True
+        ).awaitTermination()
+        compact(spark, table)
+    broken = read_version(spark, table).withColumn("sensor_1", F.raise_error(F.lit("broken")).cast("double"))
+    failed = _fails(lambda: overwrite_commit(broken, table))
+    vacuum(spark, table, keep=1, unnamed_hours=0)
+    intact = failed and read_version(spark, table).count() == rows.count()
+    parts = len(version_of(spark, table).parts)
+    return _rounded(
+        read_version(spark, scored).select(
+            *SENSORS, PREDICTION, F.lit(intact).alias("intact"), F.lit(parts).alias("n_parts")
+        ),
+        [*SENSORS, PREDICTION],
+    )
+
+
+def stream_batch_sink(spark, sf_dir):
+    """Predictions into a table of versions, batch by batch. The sink's last batch is run again, as its end was
+    not noted; later batches have a column more."""
+    rows = _predictions(spark, sf_dir).select("sensor_2", "sensor_3", PREDICTION)
+    source, table, offsets = (scratch_path(spark, name) for name in ("predictions", "table", "offsets"))
+    for lot in (0, 1):
+        append_table(rows.repartition(4), source)
+        stream = jobs.stream_table(spark, source, rows.schema, files_per_batch=2)
+        for _ in range(2):
+            handle = jobs.append_to(
+                table, offsets, lambda new, lot=lot: new.withColumn("model", F.lit("second")) if lot else new
+            )
+            jobs.each_batch(stream, handle, offsets, "sink", available_now=True).awaitTermination()
+            _forget_last_batch(spark, offsets)
+    return read_version(spark, table)
+
+
+def _forget_last_batch(spark: SparkSession, offsets: str) -> None:
+    """Remove a checkpoint's note that its last batch was finished."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{offsets}/commits")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    notes = [x.getPath() for x in files.listStatus(folder) if x.getPath().getName().isdigit()]
+    files.delete(max(notes, key=lambda note: int(note.getName())), False)
+
+
+def stream_recovered(spark, sf_dir):
+    """Two versions of readings passed on by a job that fails after writing data, then after its commit; the
+    rows that arrived, and how many parts were written in vain."""
+    source, table, offsets = (scratch_path(spark, name) for name in ("source", "table", "offsets"))
+    rows = series.series(events(spark, sf_dir), "event_id")
+    faults = ["written", "committed", None, "written", "written", "committed", None]
+
+    def handle(new: DataFrame, batch: int) -> None:
+        fault = faults.pop(0)
+        if fault == "written":
+            write_part(new, table)
+            raise RuntimeError("lost before the commit")
+        append_commit(new, table, "sink", batch)
+        if fault == "committed":
+            raise RuntimeError("lost before the offsets were noted")
+
+    for lot in (0, 1):
+        append_commit(rows.filter(F.col("event_id") % 2 == lot).select(*SENSORS), source)
+        while _fails(follow(spark, source, handle, offsets, "recover", available_now=True).awaitTermination):
+            pass
+    _, in_vain = vacuum(spark, table, keep=2, unnamed_hours=0)
+    return read_version(spark, table).withColumn("in_vain", F.lit(in_vain + len(faults)))
+
+
+def live_view(spark, sf_dir):
+    """Running totals of predictions by day, of a job that is stopped and started again."""
+    rows = _predictions(spark, sf_dir).withColumn("day", utc_text(F.col("processed_utc")).substr(1, 10))
+    rows = rows.select("day", PREDICTION)
+    path, view, offsets = (scratch_path(spark, name) for name in ("predictions", "view", "offsets"))
+    for lot in (0, 1, 2):
+        append_table(rows.filter(F.pmod(F.xxhash64("*"), F.lit(3)) == lot), path)
+        stream = jobs.stream_table(spark, path, rows.schema, files_per_batch=2)
+        jobs.live_view(stream, ["day"], view, offsets, available_now=True).awaitTermination()
+    # As totals, which have two decimals: means can lie halfway between two rounded ones.
+    total = F.round(F.col("mean") * F.col("n_rows"), 2).alias("total")
+    return read_version(spark, view).select("day", "n_rows", "least", total)
+
+
 QUERIES = [
     landing_parse,
     landing_skip_header,
@@ -526,6 +639,10 @@ QUERIES = [
     stream_alerts,
     alert_payloads,
     prediction_merge,
+    stream_compacted,
+    stream_batch_sink,
+    stream_recovered,
+    live_view,
 ]
 
 
@@ -725,6 +842,18 @@ def _sensor_sql() -> dict[str, str]:
             SELECT {z_scores(INDICATORS)}, round(life, 6) AS predicted_rul, true AS timed,
                    CAST(1 AS BIGINT) AS n_times
             FROM log JOIN {by_type} USING (event_type), stats""",
+        "stream_compacted": f"""{tables}
+            SELECT {z_scores(INDICATORS)}, round(life, 6) AS predicted_rul, true AS intact, 1 AS n_parts
+            FROM log JOIN {by_type} USING (event_type), stats""",
+        "stream_batch_sink": f"""{tables}
+            SELECT sensor_2, sensor_3, sensor_2 AS predicted_rul, CAST(NULL AS VARCHAR) AS model
+            FROM log
+            UNION ALL SELECT sensor_2, sensor_3, sensor_2, 'second' FROM log""",
+        "stream_recovered": f"{tables} SELECT {sensors}, 3 AS in_vain FROM log",
+        "live_view": f"""{tables}
+            SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_rows, min(sensor_2) AS least,
+                   round(avg(sensor_2) * count(*), 2) AS total
+            FROM log GROUP BY day""",
         "stream_alerts": alerts,
         "alert_payloads": alerts,
         "prediction_merge": f"""{tables}

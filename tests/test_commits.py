@@ -1,0 +1,201 @@
+"""Tables of versions."""
+
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from wearlog.sources import commits
+from wearlog.sources.commits import (
+    Conflict,
+    append_commit,
+    compact,
+    follow,
+    overwrite_commit,
+    read_version,
+    vacuum,
+    version_of,
+    versions,
+    write_part,
+)
+from wearlog.streaming import jobs
+
+
+@pytest.fixture()
+def table(tmp_path):
+    return str(tmp_path / "table")
+
+
+def numbers(spark, *values, **more):
+    return spark.createDataFrame([(v,) for v in values], "x long").coalesce(1).withColumns(
+        {name: F.lit(value) for name, value in more.items()}
+    )
+
+
+def seen(spark, table, version=None):
+    return sorted(r["x"] for r in read_version(spark, table, version).collect())
+
+
+def test_versions_stay_readable(spark, table):
+    assert versions(spark, table) == [] and version_of(spark, table) is None
+    with pytest.raises(FileNotFoundError):
+        read_version(spark, table)
+    append_commit(numbers(spark, 1, 2), table)
+    append_commit(numbers(spark, 3, y="new"), table)
+    overwrite_commit(read_version(spark, table).filter("x > 1"), table)
+    assert [seen(spark, table, v) for v in (1, 2, 3)] == [[1, 2], [1, 2, 3], [2, 3]]
+    assert [(r["x"], r["y"]) for r in read_version(spark, table, 2).orderBy("x").collect()] == [(1, None), (2, None), (3, "new")]
+    assert read_version(spark, table, 1).columns == ["x"]
+
+
+def test_no_rows(spark, table):
+    append_commit(numbers(spark), table)
+    assert seen(spark, table) == [] and compact(spark, table) is None
+
+
+def test_a_writer_s_batch_counts_once(spark, table):
+    for batch in (0, 0, 1, 1, 0):
+        append_commit(numbers(spark, batch), table, "w", batch)
+    append_commit(numbers(spark, 7), table, "other", 0)
+    assert seen(spark, table) == [0, 1, 7] and versions(spark, table) == [1, 2, 3]
+
+
+def test_failed_commits_leave_the_table(spark, table):
+    append_commit(numbers(spark, 1, 2), table)
+    broken = numbers(spark, 3).select(F.raise_error(F.lit("no")).cast("long").alias("x"))
+    for commit in (append_commit, overwrite_commit):
+        with pytest.raises(Exception, match="no"):
+            commit(broken, table)
+    with pytest.raises(ValueError, match="x is bigint"):
+        append_commit(numbers(spark, 3).withColumn("x", F.lit("text")), table)
+    assert seen(spark, table) == [1, 2] and versions(spark, table) == [1]
+    write_part(numbers(spark, 9), table)
+    assert vacuum(spark, table, keep=1)[1] == 0
+    assert vacuum(spark, table, keep=1, unnamed_hours=0)[1] >= 1
+    assert seen(spark, table) == [1, 2]
+
+
+def test_a_slower_writer_builds_on_the_faster_one(spark, table, monkeypatch):
+    append_commit(numbers(spark, 1), table)
+    put, late = commits._put, [numbers(spark, 2)]
+
+    def overtaken(spark, table, version):
+        if late:
+            append_commit(late.pop(), table)
+        return put(spark, table, version)
+
+    monkeypatch.setattr(commits, "_put", overtaken)
+    append_commit(numbers(spark, 3), table)
+    assert seen(spark, table) == [1, 2, 3] and versions(spark, table) == [1, 2, 3]
+
+
+def test_many_writers(spark, table):
+    append_commit(numbers(spark, 0), table)
+    writers = [threading.Thread(target=append_commit, args=(numbers(spark, i), table)) for i in range(1, 7)]
+    [w.start() for w in writers]
+    [w.join() for w in writers]
+    assert seen(spark, table) == list(range(7)) and len(versions(spark, table)) == 7
+
+
+def test_compaction_keeps_rows_and_what_others_add(spark, table, monkeypatch):
+    for i in range(4):
+        append_commit(numbers(spark, i, i + 10).repartition(2), table)
+    put, late = commits._put, [numbers(spark, 99, y=1)]
+
+    def overtaken(spark, table, version):
+        if late:
+            append_commit(late.pop(), table)
+        return put(spark, table, version)
+
+    monkeypatch.setattr(commits, "_put", overtaken)
+    version = compact(spark, table)
+    assert len(version.parts) == 2 and version.columns.names == ["x", "y"]
+    assert seen(spark, table) == [0, 1, 2, 3, 10, 11, 12, 13, 99]
+    assert len(read_version(spark, table).inputFiles()) == 2
+    # Large files are left alone.
+    assert compact(spark, table, file_bytes=1) is None
+
+    late.append(numbers(spark, 5))
+
+    def replaced(spark, table, version):
+        if late:
+            overwrite_commit(late.pop(), table)
+        return put(spark, table, version)
+
+    monkeypatch.setattr(commits, "_put", replaced)
+    with pytest.raises(Conflict):
+        compact(spark, table)
+    assert seen(spark, table) == [5]
+
+
+def _follower(spark, table, checkpoint, got, **options):
+    handle = lambda rows, batch: got.append(sorted(r["x"] for r in rows.collect()))
+    follow(spark, table, handle, checkpoint, "follower", available_now=True, **options).awaitTermination()
+
+
+def test_followers_see_rows_once(spark, table, tmp_path):
+    got, checkpoint = [], str(tmp_path / "offsets")
+    _follower(spark, table, checkpoint, got)
+    assert got == []
+    for i in range(3):
+        append_commit(numbers(spark, i), table)
+    _follower(spark, table, checkpoint, got)
+    append_commit(numbers(spark, 3), table)
+    compact(spark, table)
+    append_commit(numbers(spark, 4, y=1), table)
+    _follower(spark, table, checkpoint, got, versions_per_batch=1)
+    assert got == [[0, 1, 2], [3], [], [4]]
+    # One that starts late begins with the oldest version there is.
+    vacuum(spark, table, keep=2, unnamed_hours=0)
+    late = []
+    _follower(spark, table, str(tmp_path / "late"), late)
+    assert late == [[0, 1, 2, 3, 4]]
+    overwrite_commit(numbers(spark, 1), table)
+    with pytest.raises(Exception, match="was overwritten"):
+        _follower(spark, table, checkpoint, got)
+
+
+def test_versions_forgotten_too_early_are_an_error(spark, table, tmp_path):
+    append_commit(numbers(spark, 0), table)
+    got = []
+    query = follow(
+        spark, table, lambda rows, batch: got.append(rows.count()), str(tmp_path / "offsets"), "behind", every="200 milliseconds"
+    )
+    try:
+        query.processAllAvailable()
+        for i in range(3):
+            append_commit(numbers(spark, i), f"{table}-other")
+        # Version 3 without version 2, as if that had been forgotten.
+        newest = version_of(spark, f"{table}-other")
+        commits._put(spark, table, newest)
+        with pytest.raises(Exception, match="do not follow"):
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    assert got == [1]
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    source, table, offsets = (str(tmp_path / name) for name in ("source", "table", "offsets"))
+    numbers(spark, 1, 2).write.parquet(source)
+    stream = spark.readStream.schema("x long").parquet(source)
+    for more in (None, "second"):
+        handle = jobs.append_to(table, offsets, lambda rows, more=more: rows.withColumn("m", F.lit(more)) if more else rows)
+        jobs.each_batch(stream, handle, offsets, "again", available_now=True).awaitTermination()
+        for note in (tmp_path / "offsets" / "commits").iterdir():
+            note.unlink()
+    assert seen(spark, table) == [1, 2] and read_version(spark, table).columns == ["x"]
+    # Another checkpoint is another writer.
+    handle = jobs.append_to(table, f"{offsets}-2")
+    jobs.each_batch(stream, handle, f"{offsets}-2", "again", available_now=True).awaitTermination()
+    assert seen(spark, table) == [1, 1, 2, 2]
+
+
+def test_live_view_keeps_null_keys_and_survives_a_restart(spark, tmp_path):
+    source, view, offsets = (str(tmp_path / name) for name in ("source", "view", "offsets"))
+    for values in ([("a", 2.0), (None, 1.0)], [("a", 1.0), ("b", None)], [(None, 4.0)]):
+        spark.createDataFrame(values, "k string, v double").write.mode("append").parquet(source)
+        stream = spark.readStream.schema("k string, v double").parquet(source)
+        jobs.live_view(stream, ["k"], view, offsets, value="v", available_now=True).awaitTermination()
+    rows = sorted(map(tuple, read_version(spark, view).collect()), key=repr)
+    assert rows == [("a", 2, 1.0, 1.5), ("b", 1, None, None), (None, 2, 1.0, 2.5)]

@@ -4,8 +4,15 @@ Events are read and parsed once, into one table with the partitions ``complete=t
 ``complete=false`` (rejects). Each job is one query into one file sink with its own checkpoint. The
 sink's commit log lists the files of every finished batch, so a batch that is run again after a failure
 counts once, and the next job, which reads the sink as a stream, never sees a row twice.
+
+With ``table_format="commits"`` a job writes a table of versions (``sources.commits``) instead: its small files
+can be merged while others read on, and its batches may bring new columns. ``transform_commits`` and
+``score_commits`` read such tables as streams.
 """
 
+import json
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +29,13 @@ from pyspark.sql.types import (
 from wearlog.operators.forest import PREDICTION, score
 from wearlog.operators.scaling import apply_stats
 from wearlog.schema import EVENT_SCHEMA
+from wearlog.sources.commits import (
+    append_commit,
+    follow,
+    overwrite_commit,
+    read_version,
+    version_of,
+)
 from wearlog.streaming.events import (
     ALERT_THRESHOLD,
     FILES_PER_BATCH,
@@ -33,6 +47,7 @@ from wearlog.streaming.events import (
 
 INGEST_TRIGGER = "5 seconds"
 FILE_FORMATS = {"parquet", "orc", "json"}
+COMMITS = "commits"
 
 #: Parsed events as stored; the text is kept of rejects only.
 EVENTS_SCHEMA = StructType(
@@ -70,9 +85,12 @@ def append_stream(
 
     Each batch leaves a file per task and partition, and a sink of plain files keeps a list of all files it
     ever wrote. ``tasks`` bounds the former: set it to a batch's bytes over the file size wanted. Streams
-    that run for months at a short interval want a ``table_format`` that merges its files, e.g. ``delta``.
+    that run for months at a short interval want a ``table_format`` that merges its files: ``commits``, or
+    e.g. ``delta``.
     """
     rows = rows.coalesce(tasks) if tasks else rows
+    if table_format == COMMITS:
+        return each_batch(rows, append_to(table, checkpoint), checkpoint, name, every, available_now)
     writer = (
         rows.writeStream.format(table_format)
         .outputMode("append")
@@ -87,6 +105,62 @@ def append_stream(
     return writer.start(table)
 
 
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name of the query that the checkpoint belongs to; a new checkpoint is a new writer."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/metadata")
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())["id"]
+    finally:
+        stream.close()
+
+
+def append_to(
+    table: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> Callable[[DataFrame, int], None]:
+    """What to do with each batch of a stream: append it, transformed, to a table of versions, once even if
+    the batch is run again. The rows may have columns the table did not have before."""
+
+    def one(rows: DataFrame, batch: int) -> None:
+        append_commit(transform(rows), table, writer_id(rows.sparkSession, checkpoint), batch)
+
+    return one
+
+
+def each_batch(
+    rows: DataFrame,
+    handle: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    name: str,
+    every: str | None = None,
+    available_now: bool = False,
+    mode: str = "append",
+) -> StreamingQuery:
+    """Start calling ``handle(rows, batch)`` with each batch of a stream. After a failure the last batch may be
+    handled again, with the same rows and number."""
+    writer = rows.writeStream.foreachBatch(handle).outputMode(mode).queryName(name)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
+    return writer.start()
+
+
+def transform_commits(
+    spark: SparkSession,
+    source: str,
+    transform: Callable[[DataFrame], DataFrame],
+    table: str,
+    checkpoint: str,
+    name: str,
+    **options,
+) -> StreamingQuery:
+    """Rows appended to one table of versions, transformed, into another, each once; the source may be
+    compacted meanwhile. ``options`` are those of ``follow``."""
+    return follow(spark, source, append_to(table, checkpoint, transform), checkpoint, name, **options)
+
+
 def stream_table(
     spark: SparkSession,
     path: str,
@@ -151,6 +225,56 @@ def score_stream(
     return append_stream(scored, table, checkpoint, name, table_format=table_format, **options)
 
 
+def score_commits(
+    spark: SparkSession,
+    model: PipelineModel,
+    events_table: str,
+    table: str,
+    checkpoint: str,
+    stats: DataFrame | None = None,
+    name: str = "score",
+    **options,
+) -> StreamingQuery:
+    """``score_stream`` from a table of versions into another."""
+    scored = lambda parsed: predictions(model, sensor_rows(parsed), stats)
+    return transform_commits(spark, events_table, scored, table, checkpoint, name, **options)
+
+
+VIEW = ["n_rows", "least", "mean"]
+
+
+def live_view(
+    rows: DataFrame,
+    keys: list[str],
+    view: str,
+    checkpoint: str,
+    value: str = PREDICTION,
+    name: str = "live",
+    every: str | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep a table of running totals of a stream: of each key the number of rows, the least ``value`` and the
+    mean. The totals are the query's state, kept in its checkpoint; each batch sends on the keys that changed,
+    and their rows replace those in the view in one commit (``read_version`` shows the last one).
+
+    The view is as large as there are keys, as is the state.
+    """
+    totals = rows.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min(value).alias("least"), F.avg(value).alias("mean")
+    )
+
+    def one(changed: DataFrame, batch: int) -> None:
+        spark = changed.sparkSession
+        both = changed.withColumn("batch", F.lit(1))
+        if version_of(spark, view):
+            both = both.unionByName(read_version(spark, view).withColumn("batch", F.lit(0)))
+        newest = F.max_by(F.struct(*VIEW), "batch").alias("newest")
+        now = both.groupBy(*keys).agg(newest).select(*keys, "newest.*")
+        overwrite_commit(now, view, writer_id(spark, checkpoint), batch)
+
+    return each_batch(totals, one, checkpoint, name, every, available_now, mode="update")
+
+
 def alert_stream(
     spark: SparkSession,
     predictions_table: str,
