@@ -8,6 +8,7 @@ reads as its input, e.g. landing text, are first written by Spark into the share
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import product
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from wearlog.functions.metrics import rmse
 from wearlog.functions.text import utc_text
 from wearlog.operators.attach import attach
+from wearlog.operators.compiled import compile_forest, compile_model, score_compiled
 from wearlog.operators.features import gold_projection, with_label
 from wearlog.operators.folds import FOLD, assign_folds, read_with_folds
 from wearlog.operators.forest import (
@@ -30,6 +32,7 @@ from wearlog.operators.forest import (
 )
 from wearlog.operators.labels import label_from_truth, label_run_to_failure
 from wearlog.operators.scaling import apply_stats, fit_stats, range_profile
+from wearlog.operators.trees import Growth, binned, equal_bins, grid_search, grow
 from wearlog.plans import layers, series
 from wearlog.plans.series import events, test_log, to_line, train_log, truth
 from wearlog.plans.trainer import train_life
@@ -362,6 +365,51 @@ def score_one_record(spark, sf_dir):
     return spark.createDataFrame([(first["event_id"], round(life, 6))], f"event_id long, {PREDICTION} double")
 
 
+# Trees of two levels over all sensors, cut at equal distances: SQL can grow them too.
+GRID_16 = {
+    "n_estimators": [1, 2], "max_depth": [1, 2], "min_samples_split": [2, 300], "min_samples_leaf": [1, 100],
+}
+
+
+def forest_grid_all(spark, sf_dir):
+    """Cross-validated error of the points of a grid with all four axes, over all sensors."""
+    train = label_run_to_failure(train_log(spark, sf_dir, "event_id")).select(*ORDER, *SENSORS, LABEL)
+    folded = assign_folds(train, 3, ORDER)
+    found = grid_search(folded, 3, GRID_16, equal_bins(train, SENSORS), bootstrap=False)
+    rows = [(*(point[name] for name in GRID_16), round(error, 6)) for point, error in found.scores]
+    return spark.createDataFrame(rows, ", ".join(f"{name} int" for name in GRID_16) + ", rmse double")
+
+
+def _two_levels(spark: SparkSession, sf_dir: str):
+    train = label_run_to_failure(train_log(spark, sf_dir)).select(*SENSORS, LABEL)
+    bins = equal_bins(train, SENSORS)
+    return grow(binned(train, bins), bins, [Growth({"n_estimators": 1, "max_depth": 2}, bootstrap=False)])
+
+
+def forest_splits(spark, sf_dir):
+    """The nodes of a tree of two levels over all sensors."""
+    name = F.get(F.array(*map(F.lit, SENSORS)), F.col("feature")).alias("sensor")
+    nodes = _two_levels(spark, sf_dir).table(spark)
+    cut, value = (F.round(c, 6).alias(c) for c in ("threshold", "value"))
+    return nodes.select("node", name, cut, value, F.col("n").cast("long").alias("n_rows"))
+
+
+def score_compiled_rows(spark, sf_dir):
+    """Test rows scored by that tree as compiled; whether a bagged forest over all sensors, compiled, says the
+    same as Spark ML, and whether a record scored without a job gets its row's prediction."""
+    compiled = compile_forest(_two_levels(spark, sf_dir))
+    stats = fit_stats(train_log(spark, sf_dir))
+    train = apply_stats(label_run_to_failure(train_log(spark, sf_dir)), stats)
+    bagged = fit_forest(train.select(*SENSORS, LABEL), n_estimators=5, max_depth=6)
+    rows = score_compiled(compiled, test_log(spark, sf_dir, "event_id").select(*ORDER, *SENSORS))
+    first = rows.orderBy("event_id").first()
+    alone = compiled.predict(first.asDict()) == first[PREDICTION]
+    ours = score_compiled(compile_model(spark, bagged), apply_stats(rows, stats).withColumnRenamed(PREDICTION, "tree"))
+    both = score(bagged, ours.withColumnRenamed(PREDICTION, "compiled"))
+    agrees = (F.col("compiled") == F.col(PREDICTION)) & F.lit(alone)
+    return both.select(*ORDER, F.round("tree", 6).alias("tree"), agrees.alias("agrees"))
+
+
 # ---------------------------------------------------------------- events
 
 
@@ -629,6 +677,9 @@ QUERIES = [
     forest_rmse,
     forest_life,
     score_one_record,
+    forest_grid_all,
+    forest_splits,
+    score_compiled_rows,
     json_parse,
     low_value_alerts,
     stream_ingest,
@@ -668,6 +719,71 @@ def oracle_sql() -> dict[str, str]:
     return _sensor_sql() | _corpus()[1]
 
 
+def _trees_sql(tables: str, models: str, n_bins: int = 32) -> str:
+    """CTEs that grow a tree of up to two levels for each row ``m, without, depth, least, leaf`` of ``models``:
+    ``grown`` (m, feature and bin of the nodes 1, 2 and 3, null in leaves), ``cuts`` and ``numbered`` (training
+    rows with their bins)."""
+    lows = ", ".join(f"min({c})" for c in SENSORS)
+    highs = ", ".join(f"max({c})" for c in SENSORS)
+
+    def best(node_table: str, keys: str) -> str:
+        return f"""
+            SELECT {keys}, arg_min(f, (-gain, f, b)) AS f, arg_min(b, (-gain, f, b)) AS b
+            FROM (SELECT *, ls * ls / ln + (s - ls) * (s - ls) / (n - ln) - s * s / n AS gain
+                  FROM {node_table} WHERE n - ln > 0)
+            WHERE n >= least AND ln >= leaf AND n - ln >= leaf AND gain > 1e-9 * q
+            GROUP BY {keys}"""
+
+    def sums(histogram: str, keys: str) -> str:
+        each = f"PARTITION BY {keys}, f"
+        return f"""
+            SELECT {keys}, f, b, sum(n) OVER (ORDER_ ROWS UNBOUNDED PRECEDING) AS ln,
+                   sum(s) OVER (ORDER_ ROWS UNBOUNDED PRECEDING) AS ls,
+                   sum(n) OVER (EACH_) AS n, sum(s) OVER (EACH_) AS s, sum(q) OVER (EACH_) AS q
+            FROM {histogram}""".replace("ORDER_", f"{each} ORDER BY b").replace("EACH_", each)
+
+    totals = "count(*)::DOUBLE AS n, sum(RUL)::DOUBLE AS s, sum(RUL * RUL)::DOUBLE AS q"
+    return f"""{tables},
+        ends AS (SELECT [{lows}] AS lo, [{highs}] AS hi FROM train),
+        cuts AS (
+            SELECT f, CASE WHEN lo[f] = hi[f] THEN []::DOUBLE[] ELSE list_transform(range(1, {n_bins}),
+                       lambda i: lo[f] + (hi[f] - lo[f]) * i / {n_bins}) END AS c
+            FROM ends, range(1, 22) AS t(f)),
+        folded AS (SELECT *, ntile(3) OVER (ORDER BY engine_id, cycle, event_id) - 1 AS fold FROM train_labelled),
+        binned AS (
+            SELECT event_id, fold, RUL, f, len(list_filter(c, lambda x: v > x)) AS b
+            FROM (SELECT event_id, fold, RUL, unnest([{", ".join(SENSORS)}]) AS v,
+                         generate_subscripts([{", ".join(SENSORS)}], 1) AS f FROM folded) JOIN cuts USING (f)),
+        numbered AS (
+            SELECT event_id, fold, RUL, list(b ORDER BY f) AS bins FROM binned GROUP BY event_id, fold, RUL),
+        models AS ({models}),
+        roots AS (
+            SELECT without, f, b, {totals}
+            FROM (SELECT DISTINCT without FROM models) JOIN binned ON fold <> without GROUP BY without, f, b),
+        root_sums AS ({sums("roots", "without")}),
+        root_best AS ({best("(SELECT * FROM root_sums JOIN models USING (without) WHERE depth > 0)", "m")}),
+        sides AS (
+            SELECT m, least, leaf, CASE WHEN bins[root_best.f] > root_best.b THEN 3 ELSE 2 END AS node, RUL, bins
+            FROM models JOIN root_best USING (m) JOIN numbered ON fold <> without WHERE depth > 1),
+        side_bins AS (
+            SELECT m, node, any_value(least) AS least, any_value(leaf) AS leaf, f, b, {totals}
+            FROM (SELECT m, node, least, leaf, RUL, unnest(bins) AS b, generate_subscripts(bins, 1) AS f FROM sides)
+            GROUP BY m, node, f, b),
+        side_sums AS ({sums("side_bins", "m, node")}),
+        side_best AS ({best("(SELECT * FROM side_sums JOIN models USING (m))", "m, node")}),
+        grown AS (
+            SELECT models.*, root_best.f AS f1, root_best.b AS b1, low.f AS f2, low.b AS b2, high.f AS f3, high.b AS b3
+            FROM models LEFT JOIN root_best USING (m)
+            LEFT JOIN side_best low ON low.m = models.m AND low.node = 2
+            LEFT JOIN side_best high ON high.m = models.m AND high.node = 3)"""
+
+
+#: The leaf that a row with ``bins`` comes to.
+_LEAF = """CASE WHEN f1 IS NULL THEN 1
+    WHEN bins[f1] > b1 THEN CASE WHEN f3 IS NULL THEN 3 WHEN bins[f3] > b3 THEN 7 ELSE 6 END
+    ELSE CASE WHEN f2 IS NULL THEN 2 WHEN bins[f2] > b2 THEN 5 ELSE 4 END END"""
+
+
 def _sensor_sql() -> dict[str, str]:
     def columns(names, table=""):
         return ", ".join(f"{table}{name}" for name in names)
@@ -712,6 +828,12 @@ def _sensor_sql() -> dict[str, str]:
             SELECT {sensors}, sensor_2 AS predicted_rul,
                    strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS processed_utc
             FROM log WHERE sensor_2 < 20"""
+    points = " UNION ALL ".join(
+        f"SELECT {i * 3 + fold} AS m, {fold} AS without, {d} AS depth, {s} AS least, {leaf} AS leaf, {t} AS trees"
+        for i, (t, d, s, leaf) in enumerate(product(*GRID_16.values()))
+        for fold in range(3)
+    )
+    two_levels = _trees_sql(tables, "SELECT 0 AS m, -1 AS without, 2 AS depth, 2 AS least, 1 AS leaf")
     parsed = {
         "engine_id": "CAST(l_orderkey AS INTEGER)",
         "cycle": "CAST(l_linenumber AS INTEGER)",
@@ -825,6 +947,36 @@ def _sensor_sql() -> dict[str, str]:
         "score_one_record": f"""{tables}
             SELECT event_id, round(life, 6) AS predicted_rul
             FROM test JOIN {by_type} USING (event_type) ORDER BY event_id LIMIT 1""",
+        "forest_grid_all": f"""{_trees_sql(tables, points)},
+            placed AS (SELECT grown.*, fold, RUL, {_LEAF} AS node FROM grown, numbered),
+            leaves AS (
+                SELECT m, node, sum(RUL)::DOUBLE / count(*) AS p FROM placed WHERE fold <> without GROUP BY m, node),
+            errors AS (
+                SELECT m, any_value(trees) AS trees, any_value(depth) AS depth, any_value(least) AS least,
+                       any_value(leaf) AS leaf, sqrt(avg((RUL - p) * (RUL - p))) AS e
+                FROM placed JOIN leaves USING (m, node) WHERE fold = without GROUP BY m)
+            SELECT trees AS n_estimators, depth AS max_depth, least AS min_samples_split,
+                   leaf AS min_samples_leaf, round(avg(e), 6) AS rmse
+            FROM errors GROUP BY trees, depth, least, leaf""",
+        "forest_splits": f"""{two_levels},
+            paths AS (SELECT RUL, unnest(CASE WHEN node > 3 THEN [1, node // 2, node]
+                                              WHEN node > 1 THEN [1, node] ELSE [1] END) AS node
+                      FROM (SELECT RUL, {_LEAF} AS node FROM grown, numbered)),
+            nodes AS (SELECT node, sum(RUL)::DOUBLE / count(*) AS value, count(*) AS n_rows FROM paths GROUP BY node),
+            split AS (SELECT 1 AS node, f1 AS f, b1 AS b FROM grown
+                      UNION ALL SELECT 2, f2, b2 FROM grown UNION ALL SELECT 3, f3, b3 FROM grown)
+            SELECT CAST(node AS BIGINT) AS node, 'sensor_' || f AS sensor, round(c[b + 1], 6) AS threshold,
+                   round(value, 6) AS value, n_rows
+            FROM nodes LEFT JOIN split USING (node) LEFT JOIN cuts USING (f)""",
+        "score_compiled_rows": f"""{two_levels},
+            leaves AS (SELECT {_LEAF} AS node, sum(RUL)::DOUBLE / count(*) AS value FROM grown, numbered GROUP BY 1),
+            rows_to_score AS (
+                SELECT engine_id, cycle, event_id, list(len(list_filter(c, lambda x: v > x)) ORDER BY f) AS bins
+                FROM (SELECT engine_id, cycle, event_id, unnest([{sensors}]) AS v,
+                             generate_subscripts([{sensors}], 1) AS f FROM test) JOIN cuts USING (f)
+                GROUP BY engine_id, cycle, event_id)
+            SELECT engine_id, cycle, event_id, round(value, 6) AS tree, true AS agrees
+            FROM (SELECT engine_id, cycle, event_id, {_LEAF} AS node FROM rows_to_score, grown) JOIN leaves USING (node)""",
         "json_parse": """
             SELECT concat(props, ['', '}', ' x', props, ',"end":1'][event_id % 5 + 1]) AS body,
                    CASE WHEN event_id % 5 = 0 THEN CAST(json_extract(props, '$.k') AS DOUBLE) END AS k,
