@@ -31,6 +31,16 @@ from wearlog.operators.forest import (
     search_forest,
 )
 from wearlog.operators.labels import label_from_truth, label_run_to_failure
+from wearlog.operators.moments import (
+    RANK_ERROR,
+    current_moments,
+    land_moments,
+    merged_moments,
+    merged_quantiles,
+    rank_bounds,
+    stats_row,
+    withdraw_files,
+)
 from wearlog.operators.scaling import apply_stats, fit_stats, range_profile
 from wearlog.operators.trees import Growth, binned, equal_bins, grid_search, grow
 from wearlog.plans import layers, series
@@ -196,6 +206,37 @@ def sensor_stats(spark, sf_dir):
     return _rounded(stats, stats.columns)
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Moments of the training log after three landings; the second delivers one file anew, which was spoiled
+    at first, and one that the third withdraws."""
+    table = scratch_path(spark, "moments")
+    rows = train_log(spark, sf_dir, "event_id")
+    files = rows.withColumn("file", F.concat(F.lit("part-"), F.col("event_id") % 4)).drop("event_id")
+    spoiled = files.withColumns({s: F.col(s) * 3 - 7 for s in SENSORS})
+    land_moments(files.filter("file = 'part-0'").unionByName(spoiled.filter("file = 'part-1'")), table, 0)
+    extra = spoiled.withColumn("file", F.lit("part-9"))
+    land_moments(files.filter("file <> 'part-0' AND file <> 'part-3'").unionByName(extra), table, 1)
+    land_moments(files.filter("file = 'part-3'"), table, 2)
+    withdraw_files(spark, ["part-9"], table, 3)
+    return table
+
+
+def sensor_stats_incremental(spark, sf_dir):
+    """Mean and deviation merged from what each landed file left, never from the log."""
+    merged = merged_moments(current_moments(spark, _landed(spark, sf_dir)))
+    stats = stats_row(merged, SENSORS)
+    return _rounded(stats, stats.columns)
+
+
+def sensor_quantiles(spark, sf_dir):
+    """Quantiles merged from the files' sketches: whether each one's exact rank is within the stated error."""
+    shares = [0.01, 0.25, 0.5, 0.75, 0.99]
+    quantiles = merged_quantiles(current_moments(spark, _landed(spark, sf_dir)), shares)
+    ranks = rank_bounds(train_log(spark, sf_dir), quantiles, SENSORS)
+    within = F.col("share").between(F.col("below") - RANK_ERROR, F.col("upto") + RANK_ERROR)
+    return ranks.select("sensor", "share", within.alias("within"))
+
+
 def sensor_ranges(spark, sf_dir):
     return range_profile(train_log(spark, sf_dir))
 
@@ -657,6 +698,8 @@ QUERIES = [
     rul_train,
     rul_test_last,
     sensor_stats,
+    sensor_stats_incremental,
+    sensor_quantiles,
     sensor_ranges,
     sensor_zscore,
     gold_train,
@@ -843,6 +886,11 @@ def _sensor_sql() -> dict[str, str]:
         "sensor_3": "CAST(l_suppkey AS DOUBLE)",
         **{f"sensor_{i}": f"l_quantity * {i}" for i in range(4, 22)},
     }
+    stats_sql = (
+        f"{tables} SELECT "
+        + ", ".join(f"round(m_{s}, 6) AS mean_{s}, round(d_{s}, 6) AS std_{s}" for s in SENSORS)
+        + " FROM stats"
+    )
     return {
         "landing_parse": "SELECT "
         + ", ".join(f"{text} AS {name}" for name, text in parsed.items())
@@ -869,11 +917,12 @@ def _sensor_sql() -> dict[str, str]:
             FROM daily WHERE line > 1""",
         "rul_train": f"{tables} SELECT event_id, engine_id, cycle, RUL FROM train_labelled",
         "rul_test_last": f"{tables} SELECT event_id, engine_id, cycle, RUL FROM test_labelled",
-        "sensor_stats": f"{tables} SELECT "
-        + ", ".join(
-            f"round(m_{s}, 6) AS mean_{s}, round(d_{s}, 6) AS std_{s}" for s in SENSORS
-        )
-        + " FROM stats",
+        "sensor_stats": stats_sql,
+        "sensor_stats_incremental": stats_sql,
+        "sensor_quantiles": f"""{tables}
+            SELECT sensor, CAST(share AS DOUBLE) AS share, count(*) > 0 AS within
+            FROM (SELECT unnest({SENSORS}) AS sensor FROM train), (SELECT unnest([0.01, 0.25, 0.5, 0.75, 0.99]) AS share)
+            GROUP BY sensor, share""",
         "sensor_ranges": f"{tables} SELECT "
         + ", ".join(f"min({s}) AS min_{s}, max({s}) AS max_{s}" for s in SENSORS)
         + " FROM train",
