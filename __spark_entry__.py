@@ -7,6 +7,7 @@ reads as its input, e.g. landing text, are first written by Spark into the share
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from itertools import product
 
@@ -66,7 +67,7 @@ from wearlog.sources.landing import (
     rejected_lines,
 )
 from wearlog.sources.tables import append_table, overwrite_table, preview, read_table
-from wearlog.streaming import jobs
+from wearlog.streaming import jobs, segments, spool
 from wearlog.streaming.events import (
     alert_messages,
     low_life,
@@ -688,6 +689,47 @@ def live_view(spark, sf_dir):
     return read_version(spark, view).select("day", "n_rows", "least", total)
 
 
+def alert_spool(spark, sf_dir):
+    """Alerts handed over message by message: those for a life below 1 are refused however often they are
+    tried, others only the first time. The last batch is run again, as its end was not noted."""
+    source, folder, offsets = (scratch_path(spark, name) for name in ("predictions", "spool", "offsets"))
+    overwrite_table(_predictions(spark, sf_dir).repartition(4), source)
+    seen = set()
+
+    def send(message: str) -> None:
+        if json.loads(message)[PREDICTION] < 1:
+            raise ValueError("refused")
+        if message not in seen:
+            seen.add(message)
+            raise ConnectionError("busy")
+
+    rows = jobs.stream_table(spark, source, jobs.PREDICTION_SCHEMA, files_per_batch=2)
+    for _ in range(2):
+        spool.spool_stream(
+            alert_messages(low_life(rows)), folder, offsets, send=send, available_now=True
+        ).awaitTermination()
+        _forget_last_batch(spark, offsets)
+    life = F.from_json("value", f"{PREDICTION} double")[PREDICTION].alias(PREDICTION)
+    good = spool.delivered(spark, folder).select(life, F.lit("delivered").alias("state"))
+    return good.unionByName(spool.failed(spark, folder).select(life, F.col("error").alias("state")))
+
+
+def stream_segments(spark, sf_dir):
+    """Events from a log of four partitions with binary bodies, in bounded batches, ingested over two restarts
+    while the log grows."""
+    folder, table, offsets = (scratch_path(spark, name) for name in ("log", "table", "offsets"))
+    rows = series.series(events(spark, sf_dir), "event_id")
+    limit = max(1, rows.count() // 16)
+    for lot in range(3):
+        body = F.to_json(F.struct(*SENSORS)).cast("binary").alias("body")
+        segments.write_segments(rows.filter(F.col("event_id") % 3 == lot).select(body), folder, 4)
+        stream = segments.read_segments(spark, folder, f"{offsets}-progress/noted", limit)
+        query = jobs.ingest(stream.select("body"), table, offsets, name=f"segments-{table[-32:]}", every="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+    return sensor_rows(read_table(spark, table))
+
+
 QUERIES = [
     landing_parse,
     landing_skip_header,
@@ -737,6 +779,8 @@ QUERIES = [
     stream_batch_sink,
     stream_recovered,
     live_view,
+    alert_spool,
+    stream_segments,
 ]
 
 
@@ -1051,6 +1095,11 @@ def _sensor_sql() -> dict[str, str]:
             FROM log
             UNION ALL SELECT sensor_2, sensor_3, sensor_2, 'second' FROM log""",
         "stream_recovered": f"{tables} SELECT {sensors}, 3 AS in_vain FROM log",
+        "alert_spool": f"""{tables}
+            SELECT sensor_2 AS predicted_rul,
+                   CASE WHEN sensor_2 < 1 THEN 'ValueError: refused' ELSE 'delivered' END AS state
+            FROM log WHERE sensor_2 < 20""",
+        "stream_segments": f"{tables} SELECT {sensors} FROM log",
         "live_view": f"""{tables}
             SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS n_rows, min(sensor_2) AS least,
                    round(avg(sensor_2) * count(*), 2) AS total

@@ -1,0 +1,113 @@
+"""Hand-over of messages, and event logs in segments."""
+
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wearlog.streaming import segments, spool
+from wearlog.streaming.segments import append_segment, log_ends, read_segments, write_segments
+from wearlog.streaming.spool import Pending, SpoolWriter, delivered, failed, mounted, spool_stream
+
+
+def values(df):
+    return sorted(r["value"] for r in df.collect())
+
+
+def refusing():
+    """A function that is sent to tasks as it is, not by the name of this module."""
+
+    def refuse(message):
+        if "bad" in message:
+            raise ValueError(message[:3])
+
+    return refuse
+
+
+def test_writer_commits_and_aborts(spark, tmp_path):
+    folder = str(tmp_path / "spool")
+    writer = SpoolWriter(folder, refusing(), 2)
+    first = writer.write(iter([{"value": "a"}, {"value": "bad ü"}, {"value": "b"}]))
+    assert sorted(first.files.values()) == [1, 2]
+    writer.commit([first, Pending({}), None], 0)
+    # The same batch again, by other tasks, and one that is given up.
+    writer.commit([writer.write(iter([{"value": "a"}]))], 0)
+    writer.abort([writer.write(iter([{"value": "lost"}])), None], 1)
+    assert os.listdir(f"{folder}/.pending") == []
+    writer.commit([writer.write(iter([{"value": "c"}]))], 1)
+    assert values(delivered(spark, folder)) == ["a", "b", "c"]
+    assert [tuple(r) for r in failed(spark, folder).collect()] == [("bad ü", "ValueError: bad", 2)]
+    spool.clear_pending(folder)
+    assert not os.path.exists(f"{folder}/.pending")
+
+
+def test_attempts_are_bounded():
+    calls = []
+
+    def send(message):
+        calls.append(message)
+        if len(calls) < 3:
+            raise ConnectionError("busy")
+
+    assert SpoolWriter("", send, 3)._try("x") is None and len(calls) == 3
+    calls.clear()
+    assert SpoolWriter("", send, 2)._try("x") == "ConnectionError: busy" and len(calls) == 2
+    assert SpoolWriter("", None, 2)._try("x") is None
+
+
+def test_stream(spark, tmp_path):
+    source, folder, offsets = (str(tmp_path / name) for name in ("source", "spool", "offsets"))
+    assert values(delivered(spark, folder)) == [] and failed(spark, folder).collect() == []
+    for lot in (["good 1", "bad 1"], ["good 2"]):
+        spark.createDataFrame([(v,) for v in lot], "value string").write.mode("append").text(source)
+        stream = spark.readStream.text(source)
+        for _ in range(2):
+            spool_stream(stream, f"file://{folder}", offsets, send=refusing(), available_now=True).awaitTermination()
+    assert values(delivered(spark, folder)) == ["good 1", "good 2"]
+    assert values(failed(spark, folder)) == ["bad 1"]
+    assert sorted(n for n in os.listdir(folder) if n.startswith("batch-")) == [f"batch-{i:012d}" for i in range(2)]
+
+
+def test_only_mounted_folders():
+    assert mounted("file:///a/b") == mounted("file:/a/b") == mounted("/a/b") == "/a/b"
+    with pytest.raises(ValueError, match="no mounted folder"):
+        mounted("hdfs://host/a")
+
+
+def test_segments_by_name(tmp_path):
+    folder = str(tmp_path)
+    assert append_segment(folder, "p", iter([b"a", b"", b"\x00\xff"])) == 3
+    assert append_segment(folder, "p", iter([])) == 0 and append_segment(folder, "p", iter([b"d"])) == 1
+    os.makedirs(f"{folder}/empty")
+    assert log_ends(folder) == {"empty": 0, "p": 4} and log_ends(f"{folder}/none") == {}
+    reader = segments.SegmentReader(folder, f"{folder}/.noted/x", 2)
+    assert [reader.latestOffset()["p"] for _ in range(3)] == [2, 4, 4]
+    # A new reader goes on where the last one was.
+    append_segment(folder, "p", iter([b"e"] * 5))
+    assert segments.SegmentReader(folder, f"{folder}/.noted/x", 2).latestOffset() == {"empty": 0, "p": 6}
+    pieces = reader.partitions({"p": 1}, {"p": 6, "empty": 0})
+    assert [(p.start, p.end) for p in pieces] == [(1, 3), (3, 4), (4, 6)]
+    bodies = [b for piece in pieces for batch in reader.read(piece) for b in batch.column(2).to_pylist()]
+    assert bodies == [b"", b"\x00\xff", b"d", b"e", b"e"]
+    assert reader.partitions({"p": 6}, {"p": 6}) == []
+
+
+def test_stream_of_segments(spark, tmp_path):
+    folder, table, offsets = (str(tmp_path / name) for name in ("log", "table", "offsets"))
+    for lot in range(3):
+        body = F.concat(F.lit(f"{lot}-"), F.col("id").cast("string"))
+        write_segments(spark.range(50).select(body.alias("body")), folder, 3)
+        stream = read_segments(spark, folder, f"{offsets}-noted/x", 7)
+        query = (
+            stream.writeStream.format("parquet").option("checkpointLocation", offsets).queryName("log").start(table)
+        )
+        query.processAllAvailable()
+        sizes = [p["numInputRows"] for p in query.recentProgress]
+        query.stop()
+        assert max(sizes) <= 3 * 7 and sum(sizes) == 50
+    rows = spark.read.schema("partition string, offset long, body binary").parquet(table).collect()
+    assert sorted(bytes(r["body"]).decode() for r in rows) == sorted(f"{lot}-{i}" for lot in range(3) for i in range(50))
+    ends = log_ends(folder)
+    assert sorted((r["partition"], r["offset"]) for r in rows) == sorted((p, i) for p, n in ends.items() for i in range(n))
+    assert json.loads((tmp_path / "offsets-noted" / "x").read_text()) == ends
