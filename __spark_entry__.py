@@ -7,6 +7,8 @@ reads as its input, e.g. landing text, are first written by Spark into the share
 
 from __future__ import annotations
 
+import contextlib
+import io
 import json
 from collections.abc import Callable
 from itertools import product
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from wearlog import __main__ as cli
 from wearlog.functions.metrics import rmse
 from wearlog.functions.text import utc_text
 from wearlog.operators.attach import attach
@@ -291,6 +294,34 @@ def batch_silver_test(spark, sf_dir):
     return _rounded(read_table(spark, f"{_batch(spark, sf_dir)}/silver/test"), SENSORS)
 
 
+def _command(*args: str) -> None:
+    """Run the command line in this session; what it prints is not shown."""
+    with contextlib.redirect_stdout(io.StringIO()):
+        cli.main(args)
+
+
+def cli_batch(spark, sf_dir):
+    """Landing text to gold by the command line."""
+    landing, out = scratch_path(spark, "landing"), scratch_path(spark, "layers")
+    series.write_landing(spark, sf_dir, landing)
+    _command("batch", landing, out, "--no-header")
+    return _rounded(read_table(spark, f"{out}/gold/test"), SENSORS)
+
+
+def cli_ingest(spark, sf_dir):
+    """Events parsed by the command line."""
+    table, offsets = scratch_path(spark, "table"), scratch_path(spark, "offsets")
+    _command("ingest", _event_files(spark, sf_dir), table, offsets, "--once")
+    return sensor_rows(read_table(spark, table))
+
+
+def gold_previews(spark, sf_dir):
+    """The tables below gold, with the number of rows that their previews show."""
+    gold = f"{_batch(spark, sf_dir)}/gold"
+    shown = [(name, rows.count()) for name, rows in layers.previews(spark, gold).items()]
+    return spark.createDataFrame(shown, "name string, n_rows long")
+
+
 def first_rows(spark, sf_dir):
     """The preview of a layer, ordered."""
     rows = train_log(spark, sf_dir, "event_id")
@@ -750,6 +781,8 @@ QUERIES = [
     batch_gold_train,
     batch_gold_test,
     batch_silver_test,
+    cli_batch,
+    gold_previews,
     first_rows,
     cv_folds,
     cv_folds_tied,
@@ -781,6 +814,7 @@ QUERIES = [
     live_view,
     alert_spool,
     stream_segments,
+    cli_ingest,
 ]
 
 
@@ -978,6 +1012,11 @@ def _sensor_sql() -> dict[str, str]:
             SELECT engine_id, cycle, {sensors}, CAST(NULL AS INTEGER) AS RUL FROM test""",
         "batch_gold_train": gold_train_sql,
         "batch_gold_test": gold_test_sql,
+        "cli_batch": gold_test_sql,
+        "cli_ingest": f"{tables} SELECT {sensors} FROM log",
+        "gold_previews": f"""{tables}
+            SELECT 'train' AS name, least(5, count(*)) AS n_rows FROM train
+            UNION ALL SELECT 'test', least(5, count(*)) FROM test""",
         "batch_silver_test": f"""{tables}
             SELECT {columns(KEYS + SETTINGS)}, {scaled}, RUL FROM test_labelled, stats""",
         "first_rows": f"""{tables}

@@ -116,6 +116,19 @@ def test_attach_refuses_tables_of_unknown_size(spark):
         attach(rows, side, "k")
 
 
+@pytest.mark.parametrize(
+    "kind, values",
+    [("timestamp", ["2024-01-01", "2024-01-02", None]), ("decimal(38,5)", ["1.5", "-2", None]), ("binary", ["ab", "", None])],
+)
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_keys_of_any_plain_type(spark, kind, values, broadcast_bytes):
+    rows = spark.createDataFrame([(v, i) for i, v in enumerate(values * 3)], "k string, v int")
+    rows = rows.withColumn("k", F.col("k").cast(kind))
+    side = rows.groupBy("k").agg(F.max("v").alias("top"), F.count(F.lit(1)).alias("n_rows"))
+    got = attach(rows, side, "k", broadcast_bytes=broadcast_bytes, hot_rows=2).select("v", "top")
+    assert sorted(map(tuple, got.collect())) == [(i, 6 + i % 3) for i in range(9)]
+
+
 def test_a_key_with_several_rows_is_an_error(spark, log):
     truth = spark.createDataFrame([(1, 5), (2, 6), (1, 7)], "engine_id int, RUL int")
     with pytest.raises(ValueError, match="keys"):

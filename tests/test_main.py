@@ -3,6 +3,7 @@
 import json
 
 from wearlog import __main__ as cli
+from wearlog.operators.compiled import Compiled
 from wearlog.operators.forest import load_model
 from wearlog.schema import SENSORS
 from wearlog.streaming.events import rejected_events
@@ -20,6 +21,13 @@ def test_commands(spark, landing, tmp_path, capsys):
     trees = load_model(f"{at}/model").stages[-1]
     assert trees.getNumTrees == 2 and trees.getMaxBins() == 16
 
+    cli.main(
+        ["train", f"{at}/out/gold", f"{at}/grown", "--folds", "2", "--grown", "--grid", "n_estimators=2",
+         "--grid", "max_depth=1", "--grid", "min_samples_split=2,9"]
+    )
+    assert "min_samples_split" in capsys.readouterr().out
+    assert len(Compiled.load(spark, f"{at}/grown").roots) == 2
+
     (tmp_path / "in").mkdir()
     event = {s: float(i) for i, s in enumerate(SENSORS, 1)}
     (tmp_path / "in" / "a.json").write_text(json.dumps(event) + "\nbad\n")

@@ -7,6 +7,7 @@ import pytest
 
 from wearlog.operators import scaling
 from wearlog.operators.scaling import apply_stats, fit_stats, range_profile
+from wearlog.plans.series import CONSTANT
 
 
 @pytest.fixture(scope="module")
@@ -45,7 +46,7 @@ def test_constant_sensors_stay_raw_and_others_are_scaled(spark, log):
 
 def test_constant_sensors_stay_constant_over_many_partitions(spark):
     """Merging the partitions' deviations alone gives some of these a deviation of 1e-14."""
-    constants = [518.67, 14.62, 1.3, 0.03, 2388.0, 100.0, 1.0]
+    constants = [*map(float, CONSTANT.values()), 1.0]
     columns = [f"CAST({value} AS DOUBLE) AS sensor_{i}" for i, value in enumerate(constants)]
     df = spark.range(0, 8 * 49, 1, 8).selectExpr(*columns)
     merged = df.selectExpr(*[f"stddev_samp({c}) AS {c}" for c in df.columns]).first()

@@ -1,0 +1,26 @@
+"""Layer tables."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from wearlog.sources import tables
+from wearlog.sources.tables import overwrite_table, read_table
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "layer" / "table")
+    overwrite_table(spark.range(3), path)
+    broken = spark.range(2).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        overwrite_table(broken, path)
+    assert read_table(spark, path).count() == 3 and os.listdir(tmp_path / "layer") == ["table"]
+
+
+def test_a_table_computed_from_itself(spark, tmp_path):
+    path = str(tmp_path / "table")
+    overwrite_table(spark.range(5), path)
+    overwrite_table(read_table(spark, path).filter("id > 2"), f"{path}/")
+    assert read_table(spark, path).count() == 2 and os.listdir(tmp_path) == ["table"]
+    assert tables.folders(spark, str(tmp_path)) == ["table"]

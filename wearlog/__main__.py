@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from wearlog.operators.forest import load_model
 from wearlog.plans.layers import run_batch
-from wearlog.plans.trainer import train_life
+from wearlog.plans.trainer import grow_life, train_life
 from wearlog.sources.tables import read_table
 from wearlog.streaming import jobs
 from wearlog.streaming.events import ALERT_THRESHOLD, read_events
@@ -48,6 +48,12 @@ def _arguments(args: Sequence[str] | None) -> argparse.Namespace:
         help="a parameter of Spark's forest, e.g. maxBins=64 or maxMemoryInMB=1024",
     )
 
+    train.add_argument(
+        "--grown",
+        action="store_true",
+        help="grow the forests level by level; the grid may then hold min_samples_split too",
+    )
+
     def streaming(name: str, text: str) -> argparse.ArgumentParser:
         command = commands.add_parser(name, help=text)
         command.add_argument("source")
@@ -85,6 +91,12 @@ def main(args: Sequence[str] | None = None) -> None:
         return
     if given.command == "train":
         grid = {name: [int(v) for v in values.split(",")] for name, values in _pairs(given.grid)}
+        if given.grown:
+            grown = grow_life(spark, given.gold, given.folds, grid or None, given.by_engine)
+            grown.save(given.model)
+            print("best point", grown.best)
+            print("RMSE train", grown.rmse(), "test", grown.rmse(grown.test))
+            return
         found = train_life(
             spark,
             given.gold,

@@ -17,19 +17,26 @@ HOT_KEY_BYTES = 1 << 20
 # text itself.
 _ENTRY_BYTES = 48
 _VALUE_BYTES = 8
-_FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date"}
+_FIXED_WIDTH = {
+    "tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz",
+}
+# Values of other widths, in multiples of ``_VALUE_BYTES``: a decimal's number may take 16 bytes.
+_WIDE = {"decimal": 3}
+_COUNTED = {"string", "binary"}
 
 _OWNED = "_rows_of_key"
 
 
 def _row_bytes(df: DataFrame) -> Column:
     """A row's size in a broadcast."""
-    texts = [name for name, kind in df.dtypes if kind == "string"]
-    unknown = {kind for _, kind in df.dtypes} - _FIXED_WIDTH - {"string"}
+    kinds = {name: kind.split("(")[0] for name, kind in df.dtypes}
+    unknown = set(kinds.values()) - _FIXED_WIDTH - _COUNTED - set(_WIDE)
     if unknown:
         raise ValueError(f"no size known for columns of type {sorted(unknown)}")
-    fixed = F.lit(_ENTRY_BYTES + _VALUE_BYTES * len(df.columns)).cast("long")
-    return reduce(add, [F.coalesce(F.octet_length(t), F.lit(0)) for t in texts], fixed)
+    values = sum(_WIDE.get(kind, 1) for kind in kinds.values())
+    fixed = F.lit(_ENTRY_BYTES + _VALUE_BYTES * values).cast("long")
+    counted = [name for name, kind in kinds.items() if kind in _COUNTED]
+    return reduce(add, [F.coalesce(F.octet_length(name), F.lit(0)) for name in counted], fixed)
 
 
 def attach(

@@ -8,7 +8,7 @@ trees of many models (points of a grid, folds) grow in the same passes.
 
 A node is split if it is not yet ``max_depth`` deep, has ``min_samples_split`` rows at least, and a split leaves
 ``min_samples_leaf`` rows on either side and lowers the sum of squared errors. Of equal splits the one on the
-first feature counts, then the lowest.
+first feature counts, then the lowest. A tree whose bootstrap sample is empty has no nodes.
 """
 
 import sys
@@ -314,7 +314,8 @@ def _squares(shared, n_features: int):
 
 
 def fold_errors(rows: DataFrame, bins: Bins, forest: Forest, models: list[Growth]) -> dict[int, float]:
-    """The RMSE of each model on the rows of the fold it left out, all in one pass."""
+    """The RMSE of each model on the rows of the fold it left out, all in one pass; models that had no rows to
+    learn from, or none to judge, are not in it."""
     trees: dict[tuple[int, int], tuple[dict, dict]] = {}
     for m, t, node, feature, cut, value, _ in forest.nodes:
         splits, leaves = trees.setdefault((m, t), ({}, {}))
@@ -324,7 +325,10 @@ def fold_errors(rows: DataFrame, bins: Bins, forest: Forest, models: list[Growth
             splits[node] = (feature, bins.cuts[feature].index(cut))
     work = []
     for m, growth in enumerate(models):
-        own = [trees[m, t] for t in range(growth.limits()["n_estimators"])]
+        # A tree that drew no row has no nodes and no say.
+        own = [trees[m, t] for t in range(growth.limits()["n_estimators"]) if (m, t) in trees]
+        if not own:
+            continue
         flat = [(s, np.array(sorted(l)), np.array([l[i] for i in sorted(l)])) for s, l in own]
         work.append((m, growth.without, flat))
     shared = rows.sparkSession.sparkContext.broadcast(work)
@@ -363,8 +367,9 @@ def grid_search(
     models = [Growth(p, fold, bootstrap) for p in points for fold in range(folds)]
     grown = grow(rows, bins, models, seed)
     errors = fold_errors(rows, bins, grown, models)
+    worst = float("inf")
     scores = [
-        (p, sum(errors[i * folds + fold] for fold in range(folds)) / folds) for i, p in enumerate(points)
+        (p, sum(errors.get(i * folds + fold, worst) for fold in range(folds)) / folds) for i, p in enumerate(points)
     ]
     best = min(scores, key=lambda scored: scored[1])[0]
     return GridSearch(grow(rows, bins, [Growth(best, None, bootstrap)], seed), best, scores)

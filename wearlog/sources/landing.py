@@ -88,12 +88,12 @@ def land_log(spark: SparkSession, path: str, skip_header: bool = True) -> DataFr
     """
     parsed = stored(parse_lines(read_lines(spark, path)), "parsed")
     if skip_header:
-        first = F.min(F.when(F.col("block") == 0, F.col("id"))).alias("header")
-        files = parsed.groupBy("file").agg(first, F.count(F.lit(1)).alias("n_rows"))
-        marked = attach(parsed, files, "file")
+        first = F.min(F.when(F.col("block") == 0, F.struct("id", "reject_reason"))).alias("first")
+        files = stored(parsed.groupBy("file").agg(first, F.count(F.lit(1)).alias("n_rows")), "files")
+        marked = attach(parsed, files.select("file", "n_rows", F.col("first.id").alias("header")), "file")
         is_header = (F.col("block") == 0) & (F.col("id") == F.col("header"))
-        _warn(path, marked.filter(is_header & F.col("reject_reason").isNull()))
-        parsed = marked.filter(~is_header).drop("header")
+        _warn(path, files.filter(F.col("first.id").isNotNull() & F.col("first.reject_reason").isNull()))
+        parsed = marked.filter(~F.coalesce(is_header, F.lit(False))).drop("header")
     return parsed.filter(F.col("reject_reason").isNull() | (F.col("reject_reason") != "blank"))
 
 

@@ -1,5 +1,7 @@
 """Layer tables: Parquet directories."""
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -9,7 +11,28 @@ def read_table(spark: SparkSession, path: str, merge_schema: bool = False) -> Da
 
 
 def overwrite_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+    """Replace a table. The new one is written beside it and takes its place by two renames: if writing fails,
+    the old one stays, and ``df`` may be computed from it. Tables with readers at any time are better kept in
+    versions (``sources.commits``)."""
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    place = hadoop.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    beside = f"{path.rstrip('/')}".rsplit("/", 1)
+    new, old = (hadoop.Path(f"{beside[0]}/.{beside[1]}-{what}-{uuid.uuid4().hex}") for what in ("new", "old"))
+    try:
+        df.write.parquet(new.toString())
+        had = files.exists(place)
+        if had and not files.rename(place, old):
+            raise OSError(f"{path} cannot be replaced")
+        if not files.rename(new, place):
+            if had:
+                files.rename(old, place)
+            raise OSError(f"{path} cannot be written")
+    finally:
+        files.delete(new, True)
+        if files.exists(place):
+            files.delete(old, True)
 
 
 def append_table(df: DataFrame, path: str) -> None:
