@@ -41,3 +41,14 @@ def test_keys_are_stripped_lowered_and_counted_in_code_points():
     nineteen, twenty = "é" * 19, "é" * 20
     assert lines.line_hashes(nineteen.encode(), 20) == [None]
     assert lines.line_hashes(twenty.encode(), 20) != [None]
+
+
+def test_rows_without_ids_are_no_hot_key(spark):
+    rows = [(None, f"a line that all of these hold\nown line {i} of its own words") for i in range(400)]
+    rows += [(7, "a line that all of these hold")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    drops = lines.lines_to_drop(docs, "doc_id", "text")
+    sizes = drops.groupBy("id", "own").count().collect()
+    assert len(sizes) == 400 and {r["count"] for r in sizes} == {1}
+    kept = {r["text"] for r in lines.drop_common_lines(docs).collect()}
+    assert kept == {text.split("\n")[1] for i, text in rows if i is None} | {rows[-1][1]}

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.flat import U64
@@ -62,13 +62,14 @@ def _pairs(min_points: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hashes, owners = [], []
-            for i, text in enumerate(batch.column(1).cast(pa.binary())):
+            for i, text in enumerate(batch.column(2).cast(pa.binary())):
                 own = {h for h in line_hashes(text.as_py() or b"", min_points) if h is not None}
                 hashes.extend(own)
                 owners.extend([i] * len(own))
+            rows = pa.array(owners, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes, pa.int64()), batch.column(0).take(pa.array(owners, pa.int64()))],
-                names=["hash", "id"],
+                [pa.array(hashes, pa.int64()), batch.column(0).take(rows), batch.column(1).take(rows)],
+                names=["hash", "id", "own"],
             )
 
     return run
@@ -113,7 +114,7 @@ INDEX_SCHEMA = "shard long, sizes array<long>, " + ", ".join(
 def _probe(min_docs: int):
     def run(pairs: pa.Table, index: pa.Table) -> pa.Table:
         if pairs.num_rows == 0:
-            return pa.table({"id": pa.array([], pa.int64()), "hash": pa.array([], pa.int64())})
+            return pa.table({name: pa.array([], pa.int64()) for name in ("id", "own", "hash")})
         row = index.to_pylist()[0]
         array = lambda name, kind: np.frombuffer(row[name], kind)
         table = PerfectHash(
@@ -131,21 +132,27 @@ def _probe(min_docs: int):
             ~known | (array("keepers", np.int64)[slot] == ids)
         )
         drop = np.flatnonzero(found & (array("counts", np.uint8)[slot] >= min_docs) & ~kept)
-        return pa.table({"id": pairs["id"].take(pa.array(drop)), "hash": hashes[drop]})
+        rows = pa.array(drop)
+        return pa.table({"id": pairs["id"].take(rows), "own": pairs["own"].take(rows), "hash": hashes[drop]})
 
     return run
 
 
+def _own(id: Column, text: Column) -> Column:
+    return F.when(id.isNull(), F.xxhash64(text)).otherwise(0)
+
+
 def lines_to_drop(
     docs: DataFrame, id: str, text: str, min_docs: int = 3, min_points: int = 20
 ) -> DataFrame:
-    """``id`` and ``drops``, the hashes of the lines that documents of this id lose."""
+    """``id, own`` and ``drops``, the hashes of the lines that documents of this id lose. Rows without an id
+    are told apart by ``own``, 64 bits of their text (0 for all others), so that they are no hot key."""
     if not 1 <= min_docs <= MOST_COUNTED:
         raise ValueError(f"min_docs must be within 1 and {MOST_COUNTED}")
     pairs = stored(
-        docs.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-            _pairs(min_points), "hash long, id long"
-        ),
+        docs.select(
+            F.col(id).cast("long").alias("id"), _own(F.col(id), F.col(text)).alias("own"), F.col(text).alias("text")
+        ).mapInArrow(_pairs(min_points), "hash long, id long, own long"),
         "line-pairs",
     )
     shards = max(1, -(-pairs.count() // SHARD_HASHES))
@@ -164,15 +171,15 @@ def lines_to_drop(
     index = index.join(groups, "shard").select(
         "*", F.explode(F.sequence(F.lit(0), F.col("n_groups") - 1)).alias("part")
     )
-    part = F.pmod(F.xxhash64("id", "hash"), F.col("n_groups")).cast("int").alias("part")
+    part = F.pmod(F.xxhash64("id", "own", "hash"), F.col("n_groups")).cast("int").alias("part")
     dropped = (
         sharded.join(groups, "shard")
-        .select("shard", part, "hash", "id")
+        .select("shard", part, "hash", "id", "own")
         .groupBy("shard", "part")
         .cogroup(index.drop("n_groups").groupBy("shard", "part"))
-        .applyInArrow(_probe(min_docs), "id long, hash long")
+        .applyInArrow(_probe(min_docs), "id long, own long, hash long")
     )
-    return dropped.groupBy("id").agg(F.collect_set("hash").alias("drops"))
+    return dropped.groupBy("id", "own").agg(F.collect_set("hash").alias("drops"))
 
 
 def _rebuild(at: int, min_points: int, with_counts: bool):
@@ -234,9 +241,8 @@ def drop_common_lines(
     lost = lines_to_drop(docs, id, text, min_docs, min_points)
     # The smaller side is hashed; texts are dealt by id but not sorted.
     rows = docs.select(*columns)
-    joined = rows.join(
-        lost.hint("shuffle_hash"), rows[key].cast("long").eqNullSafe(lost["id"]), "left"
-    ).drop("id")
+    same = rows[key].cast("long").eqNullSafe(lost["id"]) & (_own(rows[key], rows[f"c{at}"]) == lost["own"])
+    joined = rows.join(lost.hint("shuffle_hash"), same, "left").drop("id", "own")
     fields = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.dtypes))
     if counts:
         fields += ", n_lines long, n_dropped long"
