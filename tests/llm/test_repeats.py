@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import defaultdict
 from os.path import commonprefix
 
 import pytest
@@ -8,7 +9,10 @@ from hypothesis import strategies as st
 
 import wearlog.llm.repeats as repeats
 from brute import repeats as plain
+from brute import words
+from wearlog.llm.passages import short_passages
 from wearlog.llm.suffix_sort import common, deep_shallow
+from wearlog.session import stored
 
 strings = st.lists(
     st.builds(
@@ -107,3 +111,38 @@ def test_awkward_rows(awkward):
     assert repeats.drop_repeats(awkward.limit(0), 20).collect() == []
     with pytest.raises(ValueError):
         repeats.drop_repeats(awkward, 7)
+
+
+def _passages(docs, n_words):
+    """docs: (id, text); words of each row in passages of ``n_words`` that another document holds."""
+    held = defaultdict(set)
+    for i, text in docs:
+        w = words(text)
+        for at in range(len(w) - n_words + 1):
+            held[tuple(w[at : at + n_words])].add((i, text))
+    out = []
+    for i, text in docs:
+        w = words(text)
+        inside = {
+            p for at in range(len(w) - n_words + 1) if len(held[tuple(w[at : at + n_words])]) > 1
+            for p in range(at, at + n_words)
+        }
+        out.append((i, len(inside)))
+    return out
+
+
+@pytest.mark.parametrize("n_words", [4, 11, 51])
+def test_passages_equal_the_plain_version(spark, prose, n_words):
+    docs = [(i, text) for i, text in enumerate(_texts(prose))] + [(3, None), (None, ""), (None, "a b " * 30)]
+    docs += [docs[0], (1000, docs[0][1]), (1001, (docs[0][1] or "").upper().replace(" ", ",  "))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    nothing = stored(frame.limit(0).selectExpr("doc_id", "0L AS text_key"), "known")
+    found = {(r["doc_id"], r["text_key"]): r["n_passage_words"] for r in short_passages(frame, nothing, n_words).collect()}
+    keys = frame.selectExpr("doc_id", "text", "xxhash64(text) AS k").collect()
+    expected = {(r["doc_id"], r["k"]): n for r, (_, n) in zip(keys, _passages([(r["doc_id"], r["text"]) for r in keys], n_words)) if n}
+    assert found == expected and found
+    # Rows that are known are left out, and still count as others' counterparts.
+    known = stored(frame.filter("doc_id = 0").selectExpr("doc_id", "xxhash64(text) AS text_key"), "known")
+    rest = {(r["doc_id"], r["text_key"]): r["n_passage_words"] for r in short_passages(frame, known, n_words).collect()}
+    assert rest == {k: n for k, n in expected.items() if k[0] != 0}
+    assert short_passages(frame.limit(0), nothing, n_words).collect() == []

@@ -11,8 +11,9 @@ from wearlog.llm.mixing import mix_sources
 from wearlog.llm.near_dup import near_duplicates
 from wearlog.llm.quality import COUNTS, judge_quality
 from wearlog.llm.repair import damaged, repair_summary
-from wearlog.llm.repeats import drop_repeats
-from wearlog.llm.rows import read
+from wearlog.llm.passages import short_passages
+from wearlog.llm.repeats import drop_repeats, repeated_spans
+from wearlog.llm.rows import DOC, join, measured, read
 from wearlog.llm.tokens import attribute_tokens
 from wearlog.llm.topk import top_k
 from wearlog.llm.toxicity import learn_toxicity, score_toxicity
@@ -176,17 +177,26 @@ def op6_token_counts(
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = drop_repeats(read(spark, sf_dir, "documents"), 400)
+    """The contract's columns, then passages of over 50 words that another document holds in rows that lose
+    nothing, as these passages can be shorter than 400 bytes, and whether a row holds either."""
+    docs = read(spark, sf_dir, "documents")
+    spans = stored(repeated_spans(docs, 400, "doc_id", "text"), "spans")
+    cut = drop_repeats(docs, 400, spans=spans)
     lost = F.aggregate(
         "removed", F.lit(0).cast("long"), lambda total, run: total + run["end"] - run["start"]
     )
-    return cut.select(
-        "doc_id",
+    rows = cut.select(
+        *DOC,
         (F.octet_length("kept") + lost).cast("long").alias("n_bytes"),
         lost.alias("n_removed"),
         F.size("removed").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+    passages = stored(short_passages(docs, spans.select(*DOC), n_words=51), "passages")
+    found = join(rows, measured(passages), DOC, "left").drop("text_key")
+    words = F.coalesce("n_passage_words", F.lit(0))
+    repeated = (F.col("n_removed") > 0) | (words > 0)
+    return found.withColumns({"n_passage_words": words, "repeated": repeated})
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

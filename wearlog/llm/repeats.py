@@ -409,15 +409,15 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             removed.append([{"start": a, "end": b} for a, b in runs])
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield pa.RecordBatch.from_arrays(
-            [column_of(batch, "doc_id"), pa.array(kept, pa.binary()), pa.array(removed, kind)],
-            names=["doc_id", "kept", "removed"],
+            [*(column_of(batch, name) for name in DOC), pa.array(kept, pa.binary()), pa.array(removed, kind)],
+            names=[*DOC, "kept", "removed"],
         )
 
 
 def drop_repeats(
-    docs: DataFrame, length: int = 400, id: str = "doc_id", text: str = "text"
+    docs: DataFrame, length: int = 400, id: str = "doc_id", text: str = "text", spans: DataFrame | None = None
 ) -> DataFrame:
-    """``doc_id, kept, removed`` for every row of ``docs``: the bytes left of the text as UTF-8 and the
+    """``doc_id, text_key, kept, removed`` for every row of ``docs``: the bytes left of the text as UTF-8 and the
     maximal removed runs (start, end), in order.
 
     A byte is removed if a string of ``length`` bytes that covers it also starts anywhere else, in the same
@@ -427,6 +427,7 @@ def drop_repeats(
     - Rows that repeat, or have the same text, lose all of it if it is long enough. Ids may be null or repeat;
       rows are told apart by id and a 64-bit hash of the text.
     - ``kept`` is binary: a cut may split a character. Other columns are not looked at.
+    - ``spans`` are the stored ``repeated_spans`` of ``docs``, if they are at hand.
     """
     if length < 8:
         raise ValueError("length must be 8 or more")
@@ -434,7 +435,8 @@ def drop_repeats(
     rows = docs.select(
         F.col(f"`{id}`").cast("long").alias("doc_id"), F.xxhash64(body).alias("text_key"), body.alias("body")
     )
-    spans = stored(repeated_spans(docs, length, id, text), "spans")
+    if spans is None:
+        spans = stored(repeated_spans(docs, length, id, text), "spans")
     marked = join(rows, spans.hint("shuffle_hash"), DOC, "left")
-    kind = "doc_id long, kept binary, removed array<struct<start:long,end:long>>"
-    return marked.select("doc_id", "body", "whole", "spans").mapInArrow(_cut, kind)
+    kind = "doc_id long, text_key long, kept binary, removed array<struct<start:long,end:long>>"
+    return marked.select(*DOC, "body", "whole", "spans").mapInArrow(_cut, kind)
