@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,32 @@ def test_proximity(spark):
 def test_runs_no_python(documents, items):
     plan = find_contamination(documents, items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("slop", [0, 1, 2])
+def test_near_places_equal_the_plain_version(spark, slop):
+    rng = random.Random(7)
+    text = lambda n: " ".join(rng.choice("abcdefghij") * 2 for _ in range(n))
+    docs = [(i, text(rng.choice([3, 20, 60]))) for i in range(30)] + [(None, text(30)), (2, None), (5, "")]
+    items = [(i, text(rng.choice([1, 2, 3, 5, 7]))) for i in range(12)]
+    windows = {tuple(w[i : i + 4]) for _, t in items for w in [words(t)] for i in range(max(1, len(w) - 3))}
+    counts = Counter(w for _, t in docs for w in words(t))
+    expected = Counter()
+    for name, (i, t) in enumerate(docs):
+        own = words(t)
+        for window in windows:
+            if any(w not in counts for w in window):
+                continue
+            rarest = min(range(len(window)), key=lambda o: (counts[window[o]], o))
+            for start in (p - rarest for p, w in enumerate(own) if w == window[rarest] and p >= rarest):
+                close = all(
+                    window[o] in own[max(0, start + o - slop) : start + o + slop + 1] for o in range(len(window))
+                )
+                expected[name] += close and tuple(own[start : start + len(window)]) != window
+    found = find_contamination(
+        spark.createDataFrame(docs, "doc_id long, text string").repartition(3),
+        spark.createDataFrame(items, "item_id long, text string"), n=4, slop=slop,
+    )
+    got = Counter((r["doc_id"], r["n_words"], r["n_near"]) for r in found.collect())
+    assert got == Counter((i, len(words(t)), expected[name]) for name, (i, t) in enumerate(docs))
+    assert (sum(expected.values()) > 20) == (slop > 0)

@@ -12,7 +12,7 @@ Only rare lists and the postings of documents with survivors are ever joined. Si
 ``MOST_BROADCAST_ROWS`` measured rows and joined by shuffle beyond; the results are the same.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.rows import DOC, join, measured, words_of
@@ -73,8 +73,9 @@ def planned(windows: DataFrame, postings: DataFrame) -> DataFrame:
     return whole.join(ranked, "key").filter(F.size("lists") == F.col("n"))
 
 
-def exact_matches(plan: DataFrame, postings: DataFrame) -> DataFrame:
-    """``doc_id, text_key, key, start, n``: every place of every window."""
+def start_places(plan: DataFrame, postings: DataFrame) -> DataFrame:
+    """``doc_id, text_key, key, n, start``: where windows would begin, judged by the places of their rarest
+    word; stored."""
     first = plan.select(
         "key", "n", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["off"].alias("off")
     )
@@ -84,65 +85,60 @@ def exact_matches(plan: DataFrame, postings: DataFrame) -> DataFrame:
         .select(*DOC, "key", "n", (F.col("pos") - F.col("off")).alias("start"))
         .filter("start >= 0")
     )
+    # A row may stand there more than once: rows repeat, and so do their postings.
+    return stored(starts.distinct(), "starts")
+
+
+PLACE = [*DOC, "key", "n", "start"]
+
+
+def matches_within(starts: DataFrame, plan: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
+    """``doc_id, text_key, key, n, start``: the ``starts`` at which every word of the window stands within
+    ``slop`` places of its own place. The second-rarest word goes first; few starts are left for the others."""
+
+    def near(rows: DataFrame, term: Column, off: Column) -> DataFrame:
+        """A row for each place at which the word may stand."""
+        pos = F.col("start") + off
+        if slop:
+            shifts = F.explode(F.sequence(F.lit(-slop), F.lit(slop)))
+            rows = rows.select("*", shifts.alias("shift"))
+            pos = pos + F.col("shift")
+        return rows.select(*PLACE, term.alias("term"), off.alias("off"), pos.alias("pos"))
+
     second = plan.filter("n > 1").select(
         F.col("key").alias("k"), F.col("lists")[1]["term"].alias("t"), F.col("lists")[1]["off"].alias("o")
     )
     second = stored(second, "second-rarest")
-    # A row may stand there more than once: rows repeat, and so do their postings.
-    starts = stored(starts.distinct(), "starts")
     rare = postings.join(measured(second.select(F.col("t").alias("term")).distinct()), "term", "left_semi")
-    probes = starts.join(measured(second), F.col("key") == F.col("k")).select(
-        *DOC, "key", "n", "start", F.col("t").alias("term"), (F.col("start") + F.col("o")).alias("pos")
-    )
-    survivors = join(probes, rare, [*DOC, "term", "pos"], "left_semi").select(*DOC, "key", "n", "start")
-    single = starts.filter("n = 1").select(*DOC, "key", "n", "start")
-    survivors = stored(survivors.unionByName(single), "survivors")
+    probes = near(starts.join(measured(second), F.col("key") == F.col("k")), F.col("t"), F.col("o"))
+    survivors = join(probes, rare, [*DOC, "term", "pos"], "left_semi").select(*PLACE)
+    survivors = survivors.distinct() if slop else survivors
+    survivors = stored(survivors.unionByName(starts.filter("n = 1").select(*PLACE)), "survivors")
     holders = stored(survivors.select(*DOC).distinct(), "holders")
     own = join(postings, measured(holders), DOC, "left_semi").distinct()
     others = plan.filter("n > 2").select(
         F.col("key").alias("k"), F.explode(F.slice("lists", 3, F.greatest(F.size("lists") - 2, F.lit(1)))).alias("list")
     )
-    wanted = survivors.filter("n > 2").join(measured(stored(others, "other-lists")), F.col("key") == F.col("k")).select(
-        *DOC, "key", "n", "start",
-        F.col("list")["term"].alias("term"),
-        (F.col("start") + F.col("list")["off"]).alias("pos"),
-    )
+    listed = survivors.filter("n > 2").join(measured(stored(others, "other-lists")), F.col("key") == F.col("k"))
+    wanted = near(listed, F.col("list")["term"], F.col("list")["off"])
     proved = (
         join(wanted, own, [*DOC, "term", "pos"])
-        .groupBy(*DOC, "key", "n", "start")
-        .agg(F.count(F.lit(1)).alias("found"))
+        .groupBy(*PLACE)
+        .agg((F.count_distinct("off") if slop else F.count(F.lit(1))).alias("found"))
         .filter("found = n - 2")
         .drop("found")
     )
-    return proved.unionByName(survivors.filter("n <= 2")).select(*DOC, "key", "start", "n")
+    return proved.unionByName(survivors.filter("n <= 2")).select(*PLACE)
+
+
+def exact_matches(plan: DataFrame, postings: DataFrame) -> DataFrame:
+    """``doc_id, text_key, key, n, start``: every place of every window."""
+    return matches_within(start_places(plan, postings), plan, postings, 0)
 
 
 def proximity_matches(plan: DataFrame, postings: DataFrame, slop: int) -> DataFrame:
-    """``doc_id, text_key, key, start``: places where every word of a window stands within ``slop``
-    places of its own place, counted from a place of the rarest word."""
-    first = plan.select(
-        "key", "n", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["off"].alias("off"), "lists"
-    )
-    starts = (
-        postings.join(first, "term")
-        .select(*DOC, "key", "n", (F.col("pos") - F.col("off")).alias("start"), "lists")
-        .distinct()
-    )
-    probes = starts.select(
-        *DOC, "key", "n", "start", F.explode("lists").alias("list")
-    ).select(
-        *DOC, "key", "n", "start",
-        F.col("list")["off"].alias("off"),
-        F.col("list")["term"].alias("term"),
-        F.explode(F.sequence(F.lit(-slop), F.lit(slop))).alias("shift"),
-    ).withColumn("pos", F.col("start") + F.col("off") + F.col("shift"))
-    return (
-        join(probes, postings.distinct(), [*DOC, "term", "pos"])
-        .groupBy(*DOC, "key", "n", "start")
-        .agg(F.countDistinct("off").alias("found"))
-        .filter("found = n")
-        .select(*DOC, "key", "start")
-    )
+    """The same with every word within ``slop`` places of its own, counted from a place of the rarest word."""
+    return matches_within(start_places(plan, postings), plan, postings, slop)
 
 
 def find_contamination(
@@ -153,11 +149,13 @@ def find_contamination(
     text: str = "text",
     item_id: str = "item_id",
     item_text: str = "text",
+    slop: int | None = None,
 ) -> DataFrame:
     """``doc_id, text_key, n_words, n_hit, n_items, item_ids`` for every row of ``docs``.
 
     ``n_hit``: words inside a place of a window; ``item_ids``: sorted text ids of the items with a
-    window that stands in the document.
+    window that stands in the document. With a ``slop``, ``n_near`` counts the places of windows that do not
+    stand there word for word, but with every word within ``slop`` places of its own.
 
     - Null and empty texts have no words; so have items, and those have no window. Items without an id
       are left out. Items with fewer than ``n`` words are one window as a whole.
@@ -169,7 +167,8 @@ def find_contamination(
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     postings = store_postings(docs, stored(terms, "terms"), id, text)
     plan = stored(planned(windows, postings), "plan")
-    matches = stored(exact_matches(plan, postings), "matches")
+    starts = start_places(plan, postings)
+    matches = stored(matches_within(starts, plan, postings, 0), "matches")
     hits = (
         matches.select(*DOC, F.explode(F.sequence(F.col("start"), F.col("start") + F.col("n") - 1)).alias("pos"))
         .distinct()
@@ -185,10 +184,18 @@ def find_contamination(
     )
     ends = postings.filter(F.col("term") == END).select(*DOC, F.col("pos").cast("long").alias("n_words"))
     per_doc = stored(join(hits, found, DOC), "hits")
+    more = []
+    if slop is not None:
+        rest = join(starts, matches.select(*DOC, "key", "start"), [*DOC, "key", "start"], "left_anti")
+        near = matches_within(stored(rest, "other-starts"), plan, postings, slop)
+        near = stored(near.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near")), "near")
+        ends = join(ends, measured(near), DOC, "left")
+        more = [F.coalesce("n_near", F.lit(0)).alias("n_near")]
     return join(ends, measured(per_doc), DOC, "left").select(
         *DOC,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        *more,
     )

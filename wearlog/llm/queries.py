@@ -201,7 +201,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(
-        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), n=10, slop=2
     )
     return found.select(
         "doc_id",
@@ -210,6 +210,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_items",
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        "n_near",
     )
 
 
@@ -233,16 +234,37 @@ DECONTAMINATE_SQL = r"""
         SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
         FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc_words), lengths
         WHERE i + n - 1 <= len(w)),
-    found AS (SELECT doc_id, i, places.n, item FROM places JOIN grams USING (g)),
+    found AS (SELECT doc_id, i, places.n, item, g FROM places JOIN grams USING (g)),
     hits AS (
         SELECT doc_id, count(DISTINCT p) AS n_hit
         FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+    words AS (SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS pos FROM doc_words),
+    counts AS (SELECT term, count(*) AS n_places FROM words GROUP BY term),
+    parts AS (
+        SELECT g, n, unnest(string_split(g, ' ')) AS term, generate_subscripts(string_split(g, ' '), 1) - 1 AS off
+        FROM (SELECT DISTINCT g, n FROM grams)),
+    rarest AS (
+        SELECT g, n, arg_min(term, (n_places, off)) AS term, arg_min(off, (n_places, off)) AS off
+        FROM parts JOIN counts USING (term) GROUP BY g, n HAVING count(*) = n),
+    starts AS (
+        SELECT doc_id, g, n, pos - off AS start FROM words JOIN rarest USING (term) WHERE pos >= off
+        EXCEPT SELECT doc_id, g, n, i - 1 FROM found),
+    near AS (
+        SELECT doc_id, count(*) AS n_near
+        FROM (SELECT starts.doc_id, starts.g, start
+              FROM starts JOIN parts USING (g) JOIN words
+                ON words.doc_id = starts.doc_id AND words.term = parts.term
+               AND words.pos BETWEEN start + off - 2 AND start + off + 2
+              GROUP BY starts.doc_id, starts.g, starts.n, start HAVING count(DISTINCT off) = starts.n)
+        GROUP BY doc_id),
     by_doc AS (
         SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
         FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
     SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-    FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN by_doc USING (doc_id)"""
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+           coalesce(n_near, 0) AS n_near
+    FROM doc_words LEFT JOIN hits USING (doc_id) LEFT JOIN by_doc USING (doc_id)
+    LEFT JOIN near USING (doc_id)"""
 
 
 def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
