@@ -123,14 +123,17 @@ def test_bad_lines_are_rejected_with_a_reason(spark, ansi):
 
 def scans_of_text(spark, run):
     """How many scans of text files the executed plans of ``run`` have."""
-    seen = []
-    before = spark._jsparkSession.sharedState().statusStore().executionsList().size()
-    run()
     store = spark._jsparkSession.sharedState().statusStore()
-    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
-    runs = store.executionsList()
-    for i in range(before, runs.size()):
-        seen.append(runs.apply(i).physicalPlanDescription())
+
+    def executions():
+        """By number, as Spark forgets the oldest of many."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        runs = store.executionsList()
+        return {runs.apply(i).executionId(): runs.apply(i) for i in range(runs.size())}
+
+    before = max(executions(), default=-1)
+    run()
+    seen = [own.physicalPlanDescription() for number, own in executions().items() if number > before]
     return sum(text.count("Scan text ") - text.count(") Scan text ") for text in seen)
 
 
