@@ -26,11 +26,13 @@ def _found(spark, rows, queries, k=5):
     return sorted((r["query_id"], r["rank"], r["id"], r["score"]) for r in found.collect())
 
 
-@pytest.mark.parametrize("shard, block, leaf", [(8192, 256, 64), (40, 7, 4)])
-def test_equals_brute_force(spark, monkeypatch, shard, block, leaf):
+@pytest.mark.parametrize("shard, part, leaf, roots", [(8192, 256, 64, 1024), (40, 3, 4, 4)])
+def test_equals_brute_force(spark, monkeypatch, shard, part, leaf, roots):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard)
-    monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+    monkeypatch.setattr(topk, "SLICE_ROWS", part)
+    monkeypatch.setattr(topk, "MOST_PER_TASK", 2 * part)
     monkeypatch.setattr(topk, "LEAF_ROWS", leaf)
+    monkeypatch.setattr(topk, "PIECE_ROOTS", roots)
     rng = random.Random(7)
     centers = [[rng.randint(-90, 90) for _ in range(6)] for _ in range(5)]
     rows = [
@@ -54,6 +56,37 @@ def test_awkward_vectors(spark):
     assert _found(spark, single, single) == []
 
 
+@pytest.fixture
+def meetings(monkeypatch):
+    """The holders and the number of askers of every round."""
+    seen = {}
+    meet = topk._meet
+
+    def watched(holders, askers, work, schema, name):
+        seen[name] = (holders, askers.count())
+        return meet(holders, askers, work, schema, name)
+
+    monkeypatch.setattr(topk, "_meet", watched)
+    return seen
+
+
+def test_repeated_rows_fill_no_shard(spark, monkeypatch, meetings):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 50)
+    rows = [(7, [1000.0, 1000.0])] * 200 + [(i, [float(i % 9), float(i % 7)]) for i in range(100, 500)]
+    queries = [(i, [1.0, 1.0]) for i in range(1000, 1010)]
+    assert _found(spark, rows, queries) == _plain(rows, queries, 5)
+    sizes = [len(t["ids"]) // 8 for t in meetings["second"][0].select("ids").collect()]
+    assert sum(sizes) == 600 and max(sizes) <= 100
+
+
+def test_shards_below_the_shared_score_are_not_visited(spark, monkeypatch, meetings):
+    monkeypatch.setattr(topk, "SHARD_ROWS", 30)
+    rows = [(i, [float(i), 1.0]) for i in range(600)]
+    queries = [(2000, [1.0, 0.0])]
+    assert _found(spark, rows, queries) == _plain(rows, queries, 5)
+    assert meetings["first"][1] == 1 and meetings["second"][1] <= 3
+
+
 def test_bounds_hold_and_prune():
     rng = np.random.default_rng(2)
     vectors = np.floor(rng.normal(0, 40, (3000, 8)) + rng.choice([-400, 0, 400], (3000, 1)))

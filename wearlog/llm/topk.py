@@ -1,15 +1,19 @@
 """Exact top-k search (operator 9): ball-tree branch and bound per shard.
 
-Candidates are dealt to shards of about ``SHARD_ROWS`` rows, each of which becomes a ball tree, stored
-once. Queries are dealt in blocks of ``BLOCK_ROWS``.
-
-1. Each block descends each tree to its best leaf only. From these scores every query gets a first k-th
-   score, a lower bound of the final one, which all shards share.
-2. Each block searches each tree: a node is left out for the queries whose upper bound there, ``q . c +
-   |q| r``, is below their current k-th score; children are visited in the order of their bounds. The
-   k-th score starts from the shared one and rises as results come in.
+Candidates are dealt to shards of about ``SHARD_ROWS`` rows by ranges of their length, so that shards of
+short vectors can be left out as a whole. Each becomes a ball tree, stored once; the trees' roots are
+packed in pieces of ``PIECE_ROOTS``.
+
+1. Every query is sent to one shard, that with the best upper bound at its root, and searches its tree.
+   The k-th score there is a lower bound of the final one, which all other shards share.
+2. A query is sent only to the shards whose root's upper bound, ``q . c + |q| r``, reaches that score.
+   In their trees a node is left out for the queries whose bound there is below their current k-th
+   score, which starts from the shared one and rises; children are visited in the order of their bounds.
 3. The shards' results of a query are merged in pieces of one list per shard.
 
+Queries travel as rows. A task gets a tree once, then the queries for it in slices of ``SLICE_ROWS``. A
+shard with very many of them is dealt to several tasks, each with up to ``MOST_PER_TASK`` queries.
+
 Vectors of integers give exact scores as long as they stay below 2**53.
 """
 
@@ -20,11 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wearlog.llm.rows import measured
 from wearlog.session import stored
 
-SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 256, 64
+SHARD_ROWS, LEAF_ROWS, SLICE_ROWS, PIECE_ROOTS = 8192, 64, 256, 1024
+#: Queries that a task searches one tree for: fewer only where there would be too few tasks for the cores.
+MOST_PER_TASK, TASKS_PER_CORE = 4096, 3
+
+BLOBS = ["ids", "vectors", "nodes", "centers"]
+TREE = "shard long, dim int, ids binary, vectors binary, nodes binary, centers binary, root binary"
+
 
-TREE = "shard long, dim int, ids binary, vectors binary, nodes binary, centers binary"
+def upper_bounds(balls: np.ndarray, queries: np.ndarray, norms: np.ndarray) -> np.ndarray:
+    """At least the score of each query with any row of each ball (center, radius), rounding included."""
+    centers, radii = balls[:, :-1], balls[:, -1] * (1 + 1e-9) + 1e-9
+    raw = queries @ centers.T + norms[:, None] * radii
+    return raw + 1e-9 * (1 + np.abs(raw) + norms[:, None] * np.sqrt((centers**2).sum(axis=1)))
 
 
 class BallTree:
@@ -61,15 +76,11 @@ class BallTree:
         return cls(ids[order], vectors[order], np.array(nodes, np.int64), np.array(centers))
 
     def bounds(self, node: int, queries: np.ndarray, norms: np.ndarray) -> np.ndarray:
-        """At least the score of each query with any row of the node, rounding included."""
-        center = self.centers[node]
-        radius = center[-1] * (1 + 1e-9) + 1e-9
-        raw = queries @ center[:-1] + norms * radius
-        return raw + 1e-9 * (1 + np.abs(raw) + norms * np.sqrt((center[:-1] ** 2).sum()))
+        return upper_bounds(self.centers[node : node + 1], queries, norms)[:, 0]
 
 
 class Search:
-    """The best k of each query of a block so far; ties go to the smaller id."""
+    """The best k of each query of a slice so far; ties go to the smaller id."""
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, least: np.ndarray):
         self.own, self.queries, self.k = ids, queries, k
@@ -97,19 +108,6 @@ class Search:
         self.scores[who] = np.take_along_axis(scores, best, axis=1)
         self.found[who] = np.take_along_axis(ids, best, axis=1)
 
-    def descend(self, tree: BallTree) -> None:
-        """Only the leaf that each query's best bounds lead to."""
-        todo = [(0, np.arange(len(self.own)))]
-        while todo:
-            node, who = todo.pop()
-            left, right = tree.nodes[node, 2:]
-            if not left:
-                self.leaf(tree, node, who)
-                continue
-            q, norms = self.queries[who], self.norms[who]
-            goes = tree.bounds(left, q, norms) >= tree.bounds(right, q, norms)
-            todo += [(n, w) for n, w in ((left, who[goes]), (right, who[~goes])) if len(w)]
-
     def run(self, tree: BallTree) -> None:
         todo = [(0, np.arange(len(self.own)))]
         while todo:
@@ -132,17 +130,20 @@ class Search:
             todo += [(n, w) for n, w in later + sooner if len(w)]
 
 
-def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
-    values = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+def _matrix(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
+    values = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten().to_numpy(zero_copy_only=False)
     return values.astype(np.float64).reshape(-1, dim)
 
 
+def blob(values: np.ndarray) -> pa.Array:
+    return pa.array([np.ascontiguousarray(values).tobytes()], pa.binary())
+
+
 def _grow(key: tuple, rows: pa.Table) -> pa.Table:
     dim = key[1].as_py()
     ids = rows["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
     tree = BallTree.build(ids[order], _matrix(rows["vector"], dim)[order])
-    blob = lambda a: pa.array([np.ascontiguousarray(a).tobytes()], pa.binary())
     return pa.table(
         {
             "shard": [key[0].as_py()],
@@ -151,53 +152,115 @@ def _grow(key: tuple, rows: pa.Table) -> pa.Table:
             "vectors": blob(tree.vectors),
             "nodes": blob(tree.nodes),
             "centers": blob(tree.centers),
+            "root": blob(tree.centers[0]),
         }
     )
 
 
 def _pack(key: tuple, rows: pa.Table) -> pa.Table:
-    dim = key[1].as_py()
+    """The roots of up to ``PIECE_ROOTS`` trees, by the trees' numbers."""
     return pa.table(
         {
-            "block": [key[0].as_py()],
-            "dim": pa.array([dim], pa.int32()),
-            "queries": pa.array([rows["id"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
-            "points": pa.array([_matrix(rows["vector"], dim).tobytes()], pa.binary()),
+            "shard": [key[0].as_py()],
+            "dim": pa.array([key[1].as_py()], pa.int32()),
+            "ids": blob(rows["shard"].to_numpy().astype(np.int64)),
+            "centers": pa.array([b"".join(rows["root"].to_pylist())], pa.binary()),
         }
     )
 
 
-def _searched(k: int, whole: bool):
-    """Rows (tree, block of queries and their shared bounds) to each query's best rows of the tree."""
+def _array(held: dict, name: str, kind: type, width: int = 0) -> np.ndarray:
+    values = np.frombuffer(held[name], kind)
+    return values.reshape(-1, width) if width else values
+
+
+def _asked(held: dict, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, vectors and shared k-th scores of the queries."""
+    least = part.column("least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+    return part.column("id").to_numpy(), _matrix(part.column("vector"), held["dim"]), least
+
+
+def _homes(held: dict, part: pa.RecordBatch) -> list[pa.Array]:
+    """For each query the root of the piece with the best bound."""
+    ids, queries, _ = _asked(held, part)
+    balls = _array(held, "centers", np.float64, held["dim"] + 1)
+    bounds = upper_bounds(balls, queries, np.sqrt((queries**2).sum(axis=1)))
+    best = bounds.argmax(axis=1)
+    return [ids, _array(held, "ids", np.int64)[best], bounds[np.arange(len(ids)), best]]
+
+
+def _reached(held: dict, part: pa.RecordBatch) -> list[pa.Array]:
+    """For each query the piece's other shards that may hold a row of at least the shared k-th score."""
+    ids, queries, least = _asked(held, part)
+    shards = _array(held, "ids", np.int64)
+    balls = _array(held, "centers", np.float64, held["dim"] + 1)
+    bounds = upper_bounds(balls, queries, np.sqrt((queries**2).sum(axis=1)))
+    home = part.column("home").to_numpy()
+    who, where = np.nonzero((bounds >= least[:, None]) & (shards[None, :] != home[:, None]))
+    first = np.searchsorted(who, np.arange(len(ids) + 1))
+    return [ids, pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(shards[where]))]
+
+
+def _searched(k: int):
+    def work(held: dict, part: pa.RecordBatch) -> list[pa.Array]:
+        """The best rows of the tree for each query."""
+        ids, queries, least = _asked(held, part)
+        tree = BallTree(
+            _array(held, "ids", np.int64),
+            _array(held, "vectors", np.float64, held["dim"]),
+            _array(held, "nodes", np.int64, 4),
+            _array(held, "centers", np.float64, held["dim"] + 1),
+        )
+        search = Search(ids, queries, k, least)
+        search.run(tree)
+        hit = search.scores > -np.inf
+        return [ids[np.nonzero(hit)[0]], search.found[hit], search.scores[hit]]
+
+    return work
+
+
+def _held(work, names: list[str]):
+    """Runs over sorted rows: one that holds a tree or a piece, then the queries that it meets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                dim = row["dim"]
-                array = lambda name, kind: np.frombuffer(row[name], kind)  # noqa: E731, B023
-                tree = BallTree(
-                    array("ids", np.int64),
-                    array("vectors", np.float64).reshape(-1, dim),
-                    array("nodes", np.int64).reshape(-1, 4),
-                    array("centers", np.float64).reshape(-1, dim + 1),
-                )
-                ids = array("queries", np.int64)
-                least = np.full(len(ids), -np.inf)
-                known = dict(zip(row.get("known") or [], row.get("least") or []))
-                if known:
-                    least = np.array([known.get(i, -np.inf) for i in ids.tolist()])
-                search = Search(ids, array("points", np.float64).reshape(-1, dim), k, least)
-                search.run(tree) if whole else search.descend(tree)
-                hit = search.scores > -np.inf
-                who = np.nonzero(hit)[0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[who]), pa.array(search.found[hit]), pa.array(search.scores[hit])],
-                    names=["query_id", "id", "score"],
-                )
+            holders = np.flatnonzero(batch.column("id").is_null().to_numpy(zero_copy_only=False))
+            for start, end in zip([-1, *holders], [*holders, batch.num_rows]):
+                if start >= 0:
+                    held = batch.slice(start, 1).to_pylist()[0]
+                for at in range(start + 1, end, SLICE_ROWS):
+                    found = work(held, batch.slice(at, min(SLICE_ROWS, end - at)))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in found], names=names)
 
     return run
 
 
+def _meet(holders: DataFrame, askers: DataFrame, work, schema: str, name: str) -> DataFrame:
+    """What ``work`` makes of every holder (shard, dim, blobs) and its askers (shard, dim, id, vector, least,
+    home), stored. The blobs are sent once per task."""
+    cores = holders.sparkSession.sparkContext.defaultParallelism
+    counts = stored(askers.groupBy("shard", "dim").agg(F.count(F.lit(1)).alias("n")), f"{name}-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    per_task = min(MOST_PER_TASK, max(SLICE_ROWS, -(-total // (TASKS_PER_CORE * cores))))
+    parts = stored(
+        counts.select("shard", "dim", F.ceil(F.col("n") / per_task).alias("parts")), f"{name}-parts"
+    )
+    tasks = parts.agg(F.sum("parts")).first()[0] or 1
+    dealt = askers.join(measured(parts), ["shard", "dim"]).select(
+        *askers.columns, F.pmod(F.xxhash64("id"), F.col("parts")).alias("part")
+    )
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    first = holders.join(measured(parts), ["shard", "dim"]).select(*holders.columns, part)
+    rows = (
+        first.unionByName(dealt, allowMissingColumns=True)
+        .repartition(2 * tasks, "shard", "dim", "part")
+        .sortWithinPartitions("shard", "dim", "part", F.col("id").asc_nulls_first())
+    )
+    names = [field.split()[0] for field in schema.split(", ")]
+    return stored(rows.mapInArrow(_held(work, names), schema), name)
+
+
 RESULT = "query_id long, id long, score double"
 
 
@@ -237,43 +300,43 @@ def top_k(
 
     candidates = stored(clean(rows), "vectors")
     shards = max(1, -(-candidates.count() // SHARD_ROWS))
-    shard = F.pmod(F.xxhash64("id", "vector"), F.lit(shards)).alias("shard")
-    trees = stored(
-        candidates.select(shard, "dim", "id", "vector").groupBy("shard", "dim").applyInArrow(_grow, TREE),
-        "trees",
+    # Equal lengths, and rows that repeat, are cut anywhere: the row's number takes part in the order.
+    length = F.aggregate("vector", F.lit(0.0), lambda sum, x: sum + x * x)
+    number = F.xxhash64("id", F.monotonically_increasing_id())
+    ranged = (
+        candidates.select("dim", "id", "vector", length.alias("length"), number.alias("number"))
+        .repartitionByRange(shards, "length", "number")
+        .select(F.spark_partition_id().cast("long").alias("shard"), "dim", "id", "vector")
+    )
+    trees = stored(stored(ranged, "shards").groupBy("shard", "dim").applyInArrow(_grow, TREE), "trees")
+    piece = F.floor(F.col("shard") / PIECE_ROOTS).alias("piece")
+    pieces = stored(
+        trees.select(piece, "dim", "shard", "root")
+        .groupBy("piece", "dim")
+        .applyInArrow(_pack, "shard long, dim int, ids binary, centers binary"),
+        "roots",
     )
+    trees = trees.select("shard", "dim", *BLOBS)
     asked = clean(queries).groupBy("id").agg(F.min(F.struct("dim", "vector")).alias("q"))
     asked = stored(asked.select("id", "q.dim", "q.vector"), "queries")
-    n_blocks = max(1, -(-asked.count() // BLOCK_ROWS))
-    blocks = stored(
-        asked.select(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"), "dim", "id", "vector")
-        .groupBy("block", "dim")
-        .applyInArrow(_pack, "block long, dim int, queries binary, points binary"),
-        "blocks",
-    )
-    # Every block visits every tree of its dimension; the trees stay where they are dealt by shard.
-    visits = blocks.select(
-        "*", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")
-    )
-    dealt = trees.repartition(shards, "shard", "dim")
-    first = visits.join(dealt, ["shard", "dim"]).mapInArrow(_searched(k, False), RESULT)
+    unknown = [F.lit(None).cast("double").alias("least"), F.lit(None).cast("long").alias("home")]
+    # Every query meets every piece of roots of its length: one for each PIECE_ROOTS * SHARD_ROWS rows.
+    met = asked.join(measured(stored(pieces.select("shard", "dim"), "pieces")), "dim")
+    homes = _meet(pieces, met.select("*", *unknown), _homes, "id long, home long, bound double", "homes")
+    homes = homes.groupBy("id").agg(F.max_by("home", "bound").alias("home"))
+    at_home = asked.join(homes, "id").withColumn("least", F.lit(None).cast("double"))
+    at_home = stored(at_home.withColumn("shard", F.col("home")), "at-home")
+    first = _meet(trees, at_home, _searched(k), RESULT, "first")
     least = (
         _best(first, k)
         .filter(F.size("best") == k)
-        .select("query_id", (-F.element_at("best", -1)["minus"]).alias("bound"))
-    )
-    shared = (
-        asked.join(least, asked["id"] == least["query_id"])
-        .groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("block"), "dim")
-        .agg(F.collect_list(F.struct("id", "bound")).alias("l"))
-        .select("block", "dim", F.col("l.id").alias("known"), F.col("l.bound").alias("least"))
-    )
-    shared = stored(shared, "bounds")
-    second = (
-        visits.join(shared, ["block", "dim"], "left")
-        .join(dealt, ["shard", "dim"])
-        .mapInArrow(_searched(k, True), RESULT)
+        .select(F.col("query_id").alias("id"), (-F.element_at("best", -1)["minus"]).alias("least"))
     )
+    known = stored(at_home.drop("least", "shard").join(least, "id", "left"), "known")
+    met = known.join(measured(stored(pieces.select("shard", "dim"), "pieces")), "dim")
+    reached = _meet(pieces, met, _reached, "id long, shards array<long>", "reached")
+    away = known.join(reached.select("id", F.explode("shards").alias("shard")), "id")
+    second = _meet(trees, away, _searched(k), RESULT, "second").unionByName(first)
     best = _best(second, k).select("query_id", F.posexplode("best").alias("at", "row"))
     return best.select(
         "query_id",
