@@ -3,6 +3,7 @@ import random
 import pytest
 
 import wearlog.llm.mixing as mixing
+import wearlog.llm.rows as rows_module
 from brute import mix
 
 
@@ -21,7 +22,7 @@ def test_equals_the_plain_version(documents, corpus):
 
 @pytest.mark.parametrize("most", [100_000, -1])
 def test_targets_are_met_and_caps_hold(spark, monkeypatch, most):
-    monkeypatch.setattr(mixing, "MOST_BROADCAST_SOURCES", most)
+    monkeypatch.setattr(rows_module, "MOST_BROADCAST_BYTES", most)
     rng = random.Random(5)
     rows = [
         (i, rng.choice(["hot"] * 6 + ["b", "c", "d", "e", None]), "w " * rng.randint(0, 30))
@@ -48,6 +49,19 @@ def test_weights_that_cannot_be_met_end_at_the_caps(documents, spark):
         assert r["taken"] == (2 * r["size"] if named else 0)
 
 
+def test_a_source_per_host_is_numbered_and_filled_in_ranges(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROWS_PER_TASK", 40)
+    rng = random.Random(9)
+    hosts = [f"host{i:04d}" for i in range(500)] + ["\U0001F600", "\uFFFD", "", None]
+    # Sizes over many magnitudes, so that many sources are clamped; some agree.
+    docs = [(i, host, "w " * int(2 ** rng.uniform(0, 9))) for i, host in enumerate(hosts * 2)]
+    table = spark.createDataFrame(docs, "doc_id long, source string, text string").repartition(5)
+    expected = sorted((row[0], *own) for row, own in zip(docs, mix(docs)))
+    got = _rows(mixing.mix_sources(table))
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in expected]
+    assert [r[3] for r in got] == pytest.approx([r[3] for r in expected])
+
+
 def test_awkward_rows(awkward):
     rows = awkward.collect()
     expected = mix([(r["doc_id"], r["source"], r["text"]) for r in rows])

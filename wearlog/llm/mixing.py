@@ -2,21 +2,23 @@
 
 1. Sizes per row are stored once (no texts), sizes per source are summed.
 2. Water-filling over the table of sources: every source gets the level times its weight; sources
-   above ``max_epochs`` times their size are clamped there and the level rises for the others, until no
-   further source is clamped. Each round is an aggregate of one row.
+   above ``max_epochs`` times their size are clamped there and the level rises for the others. Sources
+   are clamped in the order of cap by weight, so the level follows from one pass of running sums: it is
+   that of the first source which it does not fill.
 3. A target is some whole repetitions of its source and a fraction. The fraction is the first words of
    the source in a seeded order: whole documents, and of one document its first words. To find them no
    source is ever sorted as a whole: it is cut into about sqrt(n) buckets by the seeded hash, the
    buckets' sums are accumulated, and only the bucket in which the target ends is ordered.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wearlog.llm.rows import measured_bytes
 from wearlog.session import stored
 
+#: Rows of a table of sources that one task sums up in order, about.
+ROWS_PER_TASK = 1_000_000
 #: The digits of an MD5 sum that deal a row to a bucket (28 bits).
 HEX_DIGITS = 7
 
@@ -26,36 +28,65 @@ def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def running_sums(
+    table: DataFrame, order: list[Column], before: dict[str, Column], rest: dict[str, Column]
+) -> DataFrame:
+    """The table with the sums of ``before`` over the rows that precede a row in the ``order``, and of
+    ``rest`` over the row and all that follow; stored.
+
+    The table is cut into ranges of the order. One task sums up a range, and one the ranges' totals, of
+    which there is one for each ``ROWS_PER_TASK`` rows.
+    """
+    parts = max(1, -(-table.count() // ROWS_PER_TASK))
+    ranged = stored(
+        table.repartitionByRange(parts, *order).withColumn("range", F.spark_partition_id()), "ranges"
+    )
+    totals = ranged.groupBy("range").agg(*[F.sum(x).alias(c) for c, x in {**before, **rest}.items()])
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.orderBy("range").rowsBetween(1, Window.unboundedFollowing)
+    totals = totals.select(
+        F.col("range").alias("r"),
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_out") for c in before],
+        *[F.coalesce(F.sum(c).over(later), F.lit(0)).alias(f"{c}_out") for c in rest],
+    )
+    inside = Window.partitionBy("range").orderBy(*order)
+    up = inside.rowsBetween(Window.unboundedPreceding, -1)
+    down = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    joined = ranged.join(measured_bytes(stored(totals, "range-totals")), F.col("range") == F.col("r"))
+    return stored(
+        joined.select(
+            *table.columns,
+            *[(F.col(f"{c}_out") + F.coalesce(F.sum(x).over(up), F.lit(0))).alias(c) for c, x in before.items()],
+            *[(F.col(f"{c}_out") + F.sum(x).over(down)).alias(c) for c, x in rest.items()],
+        ),
+        "running",
+    )
+
+
 def water_fill(sources: DataFrame, share: float, max_epochs: float) -> DataFrame:
-    """``sources`` (with ``weight`` and ``source_size``) with ``target``.
+    """``sources`` (with ``source``, ``weight`` and ``source_size``) with ``target``.
 
     The targets sum up to ``share`` of all sizes, or to all caps if those are less. Sources without a
     positive weight, or of size 0, get 0.
     """
     cap = F.col("source_size") * F.lit(float(max_epochs))
     usable = (F.col("weight") > 0) & (F.col("source_size") > 0)
-    total = sources.agg(F.sum("source_size").alias("n")).first()["n"] or 0
-    total = float(total) * share
-    level = None
-    while True:
-        # At first none is clamped; then those that the last level fills beyond their cap.
-        full = F.lit(False) if level is None else cap <= F.lit(level) * F.col("weight")
-        row = (
-            sources.filter(usable)
-            .agg(
-                F.sum(F.when(full, cap)).alias("clamped"),
-                F.sum(F.when(~full, F.col("weight"))).alias("weight"),
-            )
-            .first()
-        )
-        if not row["weight"]:
-            level = math.inf if level is not None else 0.0
-            break
-        new = (total - (row["clamped"] or 0.0)) / row["weight"]
-        if level is not None and new <= level:
-            break
-        level = new
-    filled = cap if math.isinf(level) else F.least(cap, F.lit(level) * F.col("weight"))
+    total = float(sources.agg(F.sum("source_size").alias("n")).first()["n"] or 0) * share
+    running = running_sums(
+        sources.filter(usable),
+        [(cap / F.col("weight")).asc(), F.col("source").asc_nulls_last()],
+        {"clamped": cap},
+        {"open": F.col("weight").cast("double")},
+    )
+    level = (F.lit(total) - F.col("clamped")) / F.col("open")
+    # The sums grow with the order, so the least one tells the first source that is not filled.
+    found = (
+        running.withColumn("level", level)
+        .filter(cap > F.col("level") * F.col("weight"))
+        .agg(F.min_by("level", "clamped").alias("level"))
+        .first()["level"]
+    )
+    filled = cap if found is None else F.least(cap, F.lit(found) * F.col("weight"))
     return sources.withColumn("target", F.when(usable, filled).otherwise(F.lit(0.0)))
 
 
@@ -99,9 +130,12 @@ def mix_sources(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n")
     )
     if weights is None:
-        # One row per source, not per document.
-        turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % 3
-        weighted = sources.withColumn("weight", F.element_at(F.array(*map(F.lit, (5, 2, 1))), turn + 1))
+        order = [F.col("source").asc_nulls_last()]
+        placed = running_sums(stored(sources, "source-sizes"), order, {"place": F.lit(1)}, {})
+        fixed = F.array(*map(F.lit, (5, 2, 1)))
+        weighted = placed.withColumn(
+            "weight", F.element_at(fixed, (F.col("place") % 3 + 1).cast("int"))
+        ).drop("place")
     else:
         known = weights.select(
             F.col(weights.columns[0]).alias("s"), F.col(weights.columns[1]).alias("weight")
@@ -121,7 +155,7 @@ def mix_sources(
     span = F.conv(F.substring("place", 1, HEX_DIGITS), 16, 10).cast("long")
     bucket = F.floor(span * F.col("buckets") / F.lit(16**HEX_DIGITS))
     rows = sized.join(
-        F.broadcast(plan) if _small(plan) else plan, sized["source"].eqNullSafe(plan["source"])
+        measured_bytes(plan), sized["source"].eqNullSafe(plan["source"])
     ).select(sized["*"], *[c for c in plan.columns if c != "source"], bucket.alias("bucket"))
     sums = rows.groupBy("source", "bucket", "extra").agg(F.sum("size").alias("bucket_size"))
     ordered = Window.partitionBy("source").orderBy("bucket")
@@ -139,7 +173,7 @@ def mix_sources(
     )
     ends = stored(ends, "last-buckets")
     ended = rows.join(
-        F.broadcast(ends) if _small(ends) else ends,
+        measured_bytes(ends),
         rows["source"].eqNullSafe(ends["s"]),
         "left",
     ).drop("s")
@@ -157,10 +191,3 @@ def mix_sources(
     cut = ended.filter(is_last).select(*output, (base + part).cast("long").alias("taken"))
     return simple.unionByName(cut)
 
-
-#: A table of one row per source is broadcast up to this many rows (some 100 bytes each).
-MOST_BROADCAST_SOURCES = 100_000
-
-
-def _small(table: DataFrame) -> bool:
-    return table.count() <= MOST_BROADCAST_SOURCES

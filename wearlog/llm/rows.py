@@ -16,6 +16,8 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 DOC = ["doc_id", "text_key"]
 #: A broadcast side has this many rows at most, of about 100 bytes.
 MOST_BROADCAST_ROWS = 100_000
+#: And where rows may have any width: this many bytes.
+MOST_BROADCAST_BYTES = 10_000_000
 BLANK = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
@@ -39,6 +41,26 @@ def measured(table: DataFrame, limit: int = MOST_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= limit else table
 
 
+def row_bytes(table: DataFrame) -> Column:
+    """About the bytes of a row: texts and lists as long as they are, other values 8."""
+
+    def of(name: str, kind: str) -> Column:
+        column = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        if kind.startswith(("array", "struct", "map")):
+            return F.octet_length(F.to_json(F.struct(column))) + 16
+        return F.lit(8)
+
+    return sum((of(name, kind) for name, kind in table.dtypes), F.lit(16)).cast("long")
+
+
+def measured_bytes(table: DataFrame, limit: int | None = None) -> DataFrame:
+    """The stored table, to be broadcast if all its rows together are small enough."""
+    size = table.agg(F.sum(row_bytes(table))).first()[0] or 0
+    return F.broadcast(table) if size <= (MOST_BROADCAST_BYTES if limit is None else limit) else table
+
+
 def join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
     """Join on columns of the same name; null ids are equal."""
     renamed = right.select(*[F.col(c).alias(f"{c}_" if c in names else c) for c in right.columns])
