@@ -48,8 +48,7 @@ def _key(row):
 
 @pytest.mark.parametrize("most", [100_000, -1])
 def test_equals_the_plain_version(documents, corpus, items, monkeypatch, most):
-    monkeypatch.setattr(helpers, "MOST_BROADCAST_ROWS", most)
-    monkeypatch.setattr(helpers.measured, "__defaults__", (most,))
+    monkeypatch.setattr(helpers, "MOST_BROADCAST_BYTES", most)
     docs = [(row[0], row[1]) for row in corpus]
     expected = _expected(docs, items, 10)
     assert sum(hit > 0 for _, hit, _ in expected) > 3
@@ -75,6 +74,27 @@ def test_awkward_rows(spark, awkward):
     assert len(none) == awkward.count() and {r["n_hit"] for r in none} == {0}
 
 
+@pytest.mark.parametrize("most", [10_000_000, -1])
+def test_a_window_that_all_items_share(spark, monkeypatch, most):
+    monkeypatch.setattr(helpers, "MOST_BROADCAST_BYTES", most)
+    items = [(i, f"the same few words w{i}") for i in range(300)] + [(i, "one two") for i in range(300, 400)]
+    docs = [(i, f"x the same few words w{i % 3} one two") for i in range(40)] + [(40, "the same"), (41, "two one")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = find_contamination(spark.createDataFrame(docs, "doc_id long, text string"), table, n=4).collect()
+    expected = _expected(docs, table, 4)
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in got) == sorted(
+        (i, *own) for (i, _), own in zip(docs, expected)
+    )
+    assert max(r["n_items"] for r in got) == 400
+
+
+def test_lists_count_as_long_as_they_are(spark):
+    short = spark.range(3).selectExpr("id", "'x' AS name")
+    assert short.agg(F.sum(helpers.row_bytes(short))).first()[0] == 3 * (16 + 8 + 17)
+    wide = spark.range(1).selectExpr("transform(sequence(1, 1000), i -> 'twelve bytes') AS list")
+    assert wide.agg(F.sum(helpers.row_bytes(wide))).first()[0] > 12_000
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame(
         [
@@ -87,6 +107,7 @@ def test_proximity(spark):
     )
     items = spark.createDataFrame([(1, "alpha beta gamma")], "item_id long, text string")
     windows = windows_of(items, 10)
+    windows = windows.select("phrase").distinct()
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     postings = store_postings(docs, terms, "doc_id", "text")
     near = lambda slop: {

@@ -9,18 +9,19 @@
 3. Exact matches become hit positions and items per document.
 
 Only rare lists and the postings of documents with survivors are ever joined. Sides are broadcast up to
-``MOST_BROADCAST_ROWS`` measured rows and joined by shuffle beyond; the results are the same.
+``MOST_BROADCAST_BYTES``, measured, and joined by shuffle beyond; the results are the same.
 """
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wearlog.llm.rows import DOC, join, measured, words_of
+from wearlog.llm.rows import DOC, join, measured_bytes, words_of
 from wearlog.session import stored
 
 #: Stands for the end of a document among the postings; no word holds a blank.
 END = " "
 
+
 def keyed_words(docs: DataFrame, id: str, text: str) -> DataFrame:
     body = F.col(f"`{text}`")
     return docs.select(
@@ -36,13 +37,13 @@ def store_postings(docs: DataFrame, terms: DataFrame, id: str, text: str) -> Dat
     places = keyed_words(docs, id, text).select(
         *DOC, F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("pos", "word")
     )
-    wanted = measured(terms.unionByName(terms.sparkSession.createDataFrame([(END,)], "term string")))
+    wanted = measured_bytes(terms.unionByName(terms.sparkSession.createDataFrame([(END,)], "term string")))
     postings = places.join(wanted, places["word"] == wanted["term"]).select(*DOC, "term", "pos")
     return stored(postings, "postings")
 
 
 def windows_of(items: DataFrame, n: int, id: str = "item_id", text: str = "text") -> DataFrame:
-    """``phrase`` (its words), ``item_ids``: the distinct windows of all items."""
+    """``phrase`` (its words), ``item_id``: every window of every item, each once; stored."""
     words = items.select(
         F.col(f"`{id}`").cast("string").alias("item_id"), words_of(F.col(f"`{text}`")).alias("words")
     ).filter((F.size("words") > 0) & F.col("item_id").isNotNull())
@@ -50,12 +51,12 @@ def windows_of(items: DataFrame, n: int, id: str = "item_id", text: str = "text"
     phrases = words.select("item_id", F.explode(starts).alias("at"), "words").select(
         "item_id", F.slice("words", F.col("at"), n).alias("phrase")
     )
-    return phrases.groupBy("phrase").agg(F.collect_set("item_id").alias("item_ids"))
+    return stored(phrases.distinct(), "windows")
 
 
 def planned(windows: DataFrame, postings: DataFrame) -> DataFrame:
     """The windows all of whose words occur in the corpus, with their terms from the rarest on:
-    ``key, n, lists`` (array of term and offset), ``item_ids``."""
+    ``key, n, lists`` (array of term and offset); ``windows`` holds a ``phrase`` once."""
     counts = (
         postings.filter(F.col("term") != END)
         .groupBy("term")
@@ -65,11 +66,11 @@ def planned(windows: DataFrame, postings: DataFrame) -> DataFrame:
     key = F.array_join("phrase", " ").alias("key")
     spread = windows.select(key, F.posexplode("phrase").alias("off", "term"))
     ranked = (
-        spread.join(measured(counts), "term")
+        spread.join(measured_bytes(counts), "term")
         .groupBy("key")
         .agg(F.sort_array(F.collect_list(F.struct("n_places", "off", "term"))).alias("lists"))
     )
-    whole = windows.select(key, F.size("phrase").alias("n"), "item_ids")
+    whole = windows.select(key, F.size("phrase").alias("n"))
     return whole.join(ranked, "key").filter(F.size("lists") == F.col("n"))
 
 
@@ -79,7 +80,7 @@ def start_places(plan: DataFrame, postings: DataFrame) -> DataFrame:
     first = plan.select(
         "key", "n", F.col("lists")[0]["term"].alias("term"), F.col("lists")[0]["off"].alias("off")
     )
-    first = measured(stored(first, "rarest"))
+    first = measured_bytes(stored(first, "rarest"))
     starts = (
         postings.join(first, "term")
         .select(*DOC, "key", "n", (F.col("pos") - F.col("off")).alias("start"))
@@ -109,17 +110,17 @@ def matches_within(starts: DataFrame, plan: DataFrame, postings: DataFrame, slop
         F.col("key").alias("k"), F.col("lists")[1]["term"].alias("t"), F.col("lists")[1]["off"].alias("o")
     )
     second = stored(second, "second-rarest")
-    rare = postings.join(measured(second.select(F.col("t").alias("term")).distinct()), "term", "left_semi")
-    probes = near(starts.join(measured(second), F.col("key") == F.col("k")), F.col("t"), F.col("o"))
+    rare = postings.join(measured_bytes(second.select(F.col("t").alias("term")).distinct()), "term", "left_semi")
+    probes = near(starts.join(measured_bytes(second), F.col("key") == F.col("k")), F.col("t"), F.col("o"))
     survivors = join(probes, rare, [*DOC, "term", "pos"], "left_semi").select(*PLACE)
     survivors = survivors.distinct() if slop else survivors
     survivors = stored(survivors.unionByName(starts.filter("n = 1").select(*PLACE)), "survivors")
     holders = stored(survivors.select(*DOC).distinct(), "holders")
-    own = join(postings, measured(holders), DOC, "left_semi").distinct()
+    own = join(postings, measured_bytes(holders), DOC, "left_semi").distinct()
     others = plan.filter("n > 2").select(
         F.col("key").alias("k"), F.explode(F.slice("lists", 3, F.greatest(F.size("lists") - 2, F.lit(1)))).alias("list")
     )
-    listed = survivors.filter("n > 2").join(measured(stored(others, "other-lists")), F.col("key") == F.col("k"))
+    listed = survivors.filter("n > 2").join(measured_bytes(stored(others, "other-lists")), F.col("key") == F.col("k"))
     wanted = near(listed, F.col("list")["term"], F.col("list")["off"])
     proved = (
         join(wanted, own, [*DOC, "term", "pos"])
@@ -163,7 +164,8 @@ def find_contamination(
       are told apart by a 64-bit hash of the text.
     - Empty tables give rows without hits, or no rows. Other columns are not looked at.
     """
-    windows = stored(windows_of(items, n, item_id, item_text), "windows")
+    owned = windows_of(items, n, item_id, item_text)
+    windows = stored(owned.select("phrase").distinct(), "phrases")
     terms = windows.select(F.explode("phrase").alias("term")).distinct()
     postings = store_postings(docs, stored(terms, "terms"), id, text)
     plan = stored(planned(windows, postings), "plan")
@@ -175,10 +177,12 @@ def find_contamination(
         .groupBy(*DOC)
         .agg(F.count(F.lit(1)).alias("n_hit"))
     )
+    # A window that many items share is a row for each of them, so that no task holds it as a list.
+    owners = owned.select(F.array_join("phrase", " ").alias("key"), F.col("item_id").alias("item"))
+    owners = stored(owners.join(plan.select("key"), "key", "left_semi"), "owners")
     found = (
-        matches.select(*DOC, "key").distinct()
-        .join(measured(plan.select("key", "item_ids")), "key")
-        .select(*DOC, F.explode("item_ids").alias("item"))
+        stored(matches.select(*DOC, "key").distinct(), "doc-windows")
+        .join(measured_bytes(owners), "key")
         .groupBy(*DOC)
         .agg(F.sort_array(F.collect_set("item")).alias("item_ids"))
     )
@@ -189,9 +193,9 @@ def find_contamination(
         rest = join(starts, matches.select(*DOC, "key", "start"), [*DOC, "key", "start"], "left_anti")
         near = matches_within(stored(rest, "other-starts"), plan, postings, slop)
         near = stored(near.groupBy(*DOC).agg(F.count(F.lit(1)).alias("n_near")), "near")
-        ends = join(ends, measured(near), DOC, "left")
+        ends = join(ends, measured_bytes(near), DOC, "left")
         more = [F.coalesce("n_near", F.lit(0)).alias("n_near")]
-    return join(ends, measured(per_doc), DOC, "left").select(
+    return join(ends, measured_bytes(per_doc), DOC, "left").select(
         *DOC,
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
