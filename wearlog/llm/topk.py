@@ -99,7 +99,9 @@ class Search:
         scores = self.queries[who] @ tree.vectors[start:end].T
         scores[ids[None, :] == self.own[who][:, None]] = -np.inf
         # Rows below the k-th score change nothing; for most queries all of a leaf are.
-        some = (scores >= self.needed()[who][:, None]).any(axis=1)
+        some = np.flatnonzero(scores.max(axis=1) >= self.needed()[who])
+        if len(some) == 0:
+            return
         who, scores = who[some], scores[some]
         scores = np.concatenate([self.scores[who], scores], axis=1)
         ids = np.concatenate([self.found[who], np.broadcast_to(ids, (len(who), len(ids)))], axis=1)
@@ -109,21 +111,20 @@ class Search:
         self.found[who] = np.take_along_axis(ids, best, axis=1)
 
     def run(self, tree: BallTree) -> None:
+        bounds = upper_bounds(tree.centers, self.queries, self.norms)
         todo = [(0, np.arange(len(self.own)))]
         while todo:
             node, who = todo.pop()
             # The k-th scores may have risen since the node was put aside. A bound that equals the k-th
             # score may hide a row with a smaller id.
-            bound = tree.bounds(node, self.queries[who], self.norms[who])
-            who = who[bound >= self.needed()[who]]
+            who = who[bounds[who, node] >= self.needed()[who]]
             if len(who) == 0:
                 continue
             left, right = tree.nodes[node, 2:]
             if not left:
                 self.leaf(tree, node, who)
                 continue
-            q, norms = self.queries[who], self.norms[who]
-            first = tree.bounds(left, q, norms) >= tree.bounds(right, q, norms)
+            first = bounds[who, left] >= bounds[who, right]
             # Last in, first out: every query sees its better child first.
             later = [(right, who[first]), (left, who[~first])]
             sooner = [(left, who[first]), (right, who[~first])]
