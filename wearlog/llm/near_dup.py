@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearlog.llm.components import components, joined_components
@@ -221,6 +221,16 @@ def _verify(threshold: float):
     return run
 
 
+#: Tasks for work that is computing more than reading: by its amount, but enough for all cores.
+TASKS_PER_CORE, PAIRS_PER_TASK, BLOCKS_PER_TASK = 3, 20_000, 8
+
+
+def _tasks(spark: SparkSession, pieces: int, per_task: int) -> int:
+    """A number of partitions, which Spark then does not join by their bytes."""
+    enough = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    return max(1, min(pieces, max(enough, pieces // per_task)))
+
+
 def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs ``u, v`` of nodes whose texts are similar enough, stored.
 
@@ -239,7 +249,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     others = dealt.join(body, F.col("u") == F.col("node")).select("u", "v", "part", "body")
     rows = (
         centers.unionByName(others)
-        .repartition("v", "part")
+        .repartition(_tasks(pairs.sparkSession, dealt.count(), PAIRS_PER_TASK), "v", "part")
         .sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
     )
     return stored(rows.mapInArrow(_verify(threshold), "u long, v long"), "verified")
@@ -503,6 +513,7 @@ def _block_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataF
         )
     )
     numbers = stored(numbers, "blocks")
+    n_blocks = numbers.agg(F.sum(F.col("n_i") * F.col("n_j"))).first()[0] or 0
     placed = placed.join(measured(numbers), "key")
     number = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
@@ -517,7 +528,7 @@ def _block_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataF
         outs.unionByName(all_)
         .join(body, F.col("node") == F.col("n"))
         .select("key", "i", "j", "side", "node", "class_node", "body")
-        .repartition("key", "i", "j")
+        .repartition(_tasks(texts.sparkSession, n_blocks, BLOCKS_PER_TASK), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "node")
     )
     return stored(rows.mapInArrow(_linked_blocks(threshold), "u long, v long"), "block-links")
