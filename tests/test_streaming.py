@@ -3,6 +3,8 @@
 import json
 import random
 import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -96,6 +98,39 @@ def test_ingest_across_batches_and_restarts(spark, folder):
     assert spark.read.parquet(f"{folder}/events").filter("complete AND body IS NOT NULL").isEmpty()
 
 
+INGEST_ALONE = """
+import sys
+from pyspark.sql import SparkSession
+from wearlog.streaming import jobs
+from wearlog.streaming.events import read_events
+folder = sys.argv[1]
+conf = {"spark.master": "local[1]", "spark.ui.enabled": "false", "spark.checkpoint.dir": folder + "/shared",
+        "spark.eventLog.enabled": "true", "spark.eventLog.dir": "file://" + folder + "/log",
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"}
+spark = SparkSession.builder.config(map=conf).getOrCreate()
+query = jobs.ingest(read_events(spark, folder + "/in"), folder + "/events", folder + "/c", available_now=True)
+query.awaitTermination()
+spark.stop()
+"""
+
+
+def test_ingest_holds_no_rows_in_memory(spark, folder):
+    """Tasks write both partitions as the rows come, instead of sorting them first."""
+    (folder / "log").mkdir()
+    drop(folder, "a", [event(), "{}", event(), *['{"k": 1}'] * 5000])
+    root = str(Path(jobs.__file__).parents[2])
+    subprocess.run([sys.executable, "-c", INGEST_ALONE, str(folder)], cwd=root, check=True, capture_output=True)
+    (log,) = (folder / "log").iterdir()
+    told = [json.loads(line) for line in log.read_text().splitlines()]
+    tasks = [t["Task Info"]["Accumulables"] for t in told if t["Event"] == "SparkListenerTaskEnd"]
+    peaks = [int(a["Update"]) for task in tasks for a in task if a["Name"] == "internal.metrics.peakExecutionMemory"]
+    assert tasks and sum(peaks) == 0
+    rows, bad = rows_and_rejects(spark, folder)
+    assert (rows.count(), bad.count()) == (2, 5001)
+    # Here one task; a file per partition, as before.
+    assert len(list((folder / "events").glob("complete=*/*.parquet"))) == 2
+
+
 def test_downstream_reads_complete_events_only(spark, folder):
     drop(folder, "a", [event(), *BAD])
     run(jobs.ingest(read_events(spark, f"{folder}/in"), f"{folder}/events", f"{folder}/c", **NOW))
