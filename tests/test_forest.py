@@ -3,8 +3,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from wearlog.operators import forest
+from wearlog.operators.compiled import compile_model, score_compiled
 from wearlog.plans.trainer import train_life
 from wearlog.schema import KEYS, LABEL, SENSORS
 
@@ -86,6 +88,41 @@ def test_seed_makes_training_repeatable(spark, gold):
     assert len(errors) == 1
 
 
+@pytest.fixture(scope="module")
+def flat(spark, gold):
+    """A search where two sensors never change, and the rows."""
+    rows = spark.read.parquet(f"{gold}/keyed/train").withColumns(
+        {"sensor_1": F.lit(518.67), "sensor_9": F.lit(0.0), "fold": F.col("engine_id") % 2}
+    )
+    grid = {"n_estimators": [3], "max_depth": [2, 4]}
+    return forest.search_forest(rows, 2, grid), rows
+
+
+def test_sensors_that_never_change_are_not_searched(spark, flat, tmp_path):
+    found, rows = flat
+    trees = found.model.stages[-1]
+    assert trees.numFeatures == len(SENSORS) - 2
+    scored = forest.score(found.model, rows)
+    assert scored.columns == [*rows.columns, forest.PREDICTION]
+    # The same forest as over all sensors, and as compiled.
+    best = {name: value for name, value in found.best.items()}
+    whole = forest.fit_forest(rows.select(*SENSORS, LABEL), **best)
+    assert whole.stages[-1].numFeatures == len(SENSORS)
+    ours = score_compiled(compile_model(spark, found.model), rows).withColumnRenamed(forest.PREDICTION, "compiled")
+    both = forest.score(whole, forest.score(found.model, ours).withColumnRenamed(forest.PREDICTION, "sliced"))
+    off = F.greatest(F.abs(F.col(forest.PREDICTION) - F.col("sliced")), F.abs(F.col(forest.PREDICTION) - F.col("compiled")))
+    assert both.agg(F.max(off)).first()[0] < 1e-9
+    path = str(tmp_path / "model")
+    forest.save_model(found.model, path)
+    assert forest.score(forest.load_model(path), rows).count() == rows.count()
+
+
+def test_a_missing_value_is_loud_in_any_sensor(flat):
+    found, rows = flat
+    with pytest.raises(Exception, match="null"):
+        forest.score(found.model, rows.withColumn("sensor_9", F.lit(None).cast("double"))).collect()
+
+
 def test_grid():
     assert len(forest.grid_points(forest.DEFAULT_GRID)) == 8
     with pytest.raises(ValueError, match="min_samples_split"):

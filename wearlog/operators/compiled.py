@@ -128,16 +128,19 @@ def compile_forest(forest: Forest, model: int = 0) -> Compiled:
 
 
 def compile_model(spark: SparkSession, model: PipelineModel, path: str | None = None) -> Compiled:
-    """A Spark ML forest (assembler and trees over numbers), from the node table it is saved as.
+    """A Spark ML forest (assembler, slicer if any, and trees over numbers), from the node table it is saved as.
 
     ``path`` is where it is saved already; else it is saved to the shared folder.
     """
     if path is None:
         path = scratch_path(spark, "model")
         save_model(model, path)
-    assembler, forest = model.stages
+    assembler, *slicers, forest = model.stages
+    names = list(assembler.getInputCols())
+    for slicer in slicers:
+        names = [names[i] for i in slicer.getIndices()]
     split = F.col("nodeData.split")
-    nodes = spark.read.parquet(f"{path}/stages/1_{forest.uid}/data").select(
+    nodes = spark.read.parquet(f"{path}/stages/{len(model.stages) - 1}_{forest.uid}/data").select(
         "treeID", "nodeData.id", split["featureIndex"].alias("feature"),
         F.get(split["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
         "nodeData.leftChild", "nodeData.rightChild", "nodeData.prediction",
@@ -146,7 +149,7 @@ def compile_model(spark: SparkSession, model: PipelineModel, path: str | None =
     # As many rows as the model has nodes.
     for tree, node, feature, threshold, left, right, value in nodes.toLocalIterator():
         trees.setdefault(tree, {})[node] = (feature if feature >= 0 else None, threshold, left, right, value)
-    return _flat(list(assembler.getInputCols()), [trees[t] for t in sorted(trees)])
+    return _flat(names, [trees[t] for t in sorted(trees)])
 
 
 def score_compiled(compiled: Compiled, df: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from itertools import product
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from wearlog.session import shared_folder
 
 PREDICTION = "predicted_rul"
 FEATURES = "features"
+VARYING = "varying_features"
 
 # The default grid. The usual fourth axis, the least size of a node that may be
 # split, has no counterpart in Spark ML.
@@ -77,6 +78,22 @@ def _assembler(sensors: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=sensors, outputCol=FEATURES)
 
 
+def _inputs(labelled: DataFrame) -> list[VectorAssembler | VectorSlicer]:
+    """What puts the trees' inputs together, in the last one's output: all sensors, but for those with one
+    value in all rows. No tree can be split by these, yet each pass over the rows would count them.
+
+    All sensors are put together before, so a missing one is an error in any of them.
+    """
+    sensors = sensor_columns(labelled)
+    assembler = _assembler(sensors)
+    ends = [f(s).alias(f"{k}_{s}") for s in sensors for k, f in (("lo", F.min), ("hi", F.max))]
+    found = labelled.agg(*ends).first()
+    varying = [i for i, s in enumerate(sensors) if found[f"lo_{s}"] != found[f"hi_{s}"]]
+    if not varying or len(varying) == len(sensors):
+        return [assembler]
+    return [assembler, VectorSlicer(inputCol=FEATURES, outputCol=VARYING, indices=varying)]
+
+
 def fit_forest(
     train: DataFrame,
     seed: int = 42,
@@ -104,9 +121,10 @@ def search_forest(
     shared_folder(folded.sparkSession)
     points = grid_points(DEFAULT_GRID if grid is None else grid)
     labelled = folded.filter(F.col(LABEL).isNotNull())
-    assembler = _assembler(sensor_columns(folded))
-    vectors = assembler.transform(labelled).select(FEATURES, LABEL, FOLD)
-    estimator = forest(seed, bootstrap, settings)
+    inputs = _inputs(labelled)
+    features = inputs[-1].getOutputCol()
+    vectors = PipelineModel(inputs).transform(labelled).select(features, LABEL, FOLD)
+    estimator = forest(seed, bootstrap, {"featuresCol": features} | (settings or {}))
     maps = [
         {estimator.getParam(_PARAMS[name]): value for name, value in point.items()}
         for point in points
@@ -123,12 +141,12 @@ def search_forest(
     ).fit(vectors)
     scores = [(point, float(error)) for point, error in zip(points, search.avgMetrics)]
     best = min(scores, key=lambda scored: scored[1])[0]
-    return Search(PipelineModel([assembler, search.bestModel]), best, scores)
+    return Search(PipelineModel([*inputs, search.bestModel]), best, scores)
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The table with ``predicted_rul``; batch or stream."""
-    return model.transform(df).drop(FEATURES)
+    return model.transform(df).drop(FEATURES, VARYING)
 
 
 def score_record(spark: SparkSession, model: PipelineModel, record: dict[str, float]) -> float:
