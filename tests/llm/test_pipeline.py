@@ -5,6 +5,7 @@ import pytest
 
 import corpus_pipeline
 from brute import contamination, line_dedup, mix, near_classes, words
+from wearlog.llm.rows import BATCH_BYTES
 
 NAMES = [name for name, _ in corpus_pipeline.STAGES]
 
@@ -107,5 +108,44 @@ def test_without_a_learned_language_documents_with_letters_stay(spark, prose, la
     assert sorted(map(tuple, kept.collect())) == rows[:21]
 
 
+@pytest.mark.parametrize("name", ["language_id", "line_dedup", "near_dedup"])
+def test_python_gets_batches_of_few_bytes(spark, prose, monkeypatch, name):
+    rng, key = random.Random(9), "spark.sql.execution.arrow.maxBytesPerBatch"
+    rows = [(i, prose(rng, "en", 300), "en") for i in range(60)]
+    longest = max(len(row[1]) for row in rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    docs = docs.crossJoin(spark.range(50).withColumnRenamed("id", "n")).repartition(1)
+    docs = docs.selectExpr("doc_id * 50 + n as doc_id", "concat(text, n) as text", "lang").cache()
+    too_large = spark.sparkContext.accumulator(0)
+    asked = type(docs).mapInArrow
+
+    def noted(self, func, schema):
+        def run(batches):
+            def each():
+                for batch in batches:
+                    too_large.add(int(batch.nbytes > BATCH_BYTES + 2 * longest))
+                    yield batch
+
+            yield from func(each())
+
+        return asked(self, run, schema)
+
+    before = spark.conf.get(key, None)
+    spark.conf.unset(key)
+    monkeypatch.setattr(type(docs), "mapInArrow", noted)
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, docs, "").collect()
+        assert too_large.value == 0
+        # A limit that the session has stays.
+        spark.conf.set(key, "64m")
+        dict(corpus_pipeline.STAGES)[name](spark, docs, "").collect()
+        assert too_large.value > 0 and spark.conf.get(key) == "64m"
+    finally:
+        docs.unpersist()
+        spark.conf.unset(key)
+        if before is not None:
+            spark.conf.set(key, before)
+
+
 def test_the_order_of_the_stages():
     assert NAMES == ["language_id", "line_dedup", "near_dedup", "decontaminate", "mix_sources"]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearlog.llm.flat import column_of, flat_text, slices
-from wearlog.llm.rows import scan
+from wearlog.llm.rows import in_batches, scan
 
 GRAM_BITS, UNIT = 14, 24
 GRAM = 3
@@ -86,8 +86,9 @@ def learn_languages(
     More than ``most_languages`` distinct labels are refused: the model grows with them.
     """
     rows = labelled.select(F.lower(F.col(text)).alias("text"), F.col(lang).alias("lang"))
+    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = (
-        rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+        in_batches(rows)
         .mapInArrow(_count, "lang string, bucket long, n long")
         .groupBy("lang", "bucket")
         .agg(F.sum("n").alias("n"))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from wearlog.llm.flat import U64
 from wearlog.llm.perfect_hash import PerfectHash, fingerprints
-from wearlog.llm.rows import BLANK
+from wearlog.llm.rows import BLANK, in_batches
 from wearlog.session import stored
 
 #: Distinct hashes of a shard, about, and pairs that probe it in one group, at most about.
@@ -149,11 +149,11 @@ def lines_to_drop(
     are told apart by ``own``, 64 bits of their text (0 for all others), so that they are no hot key."""
     if not 1 <= min_docs <= MOST_COUNTED:
         raise ValueError(f"min_docs must be within 1 and {MOST_COUNTED}")
+    rows = docs.select(
+        F.col(id).cast("long").alias("id"), _own(F.col(id), F.col(text)).alias("own"), F.col(text).alias("text")
+    )
     pairs = stored(
-        docs.select(
-            F.col(id).cast("long").alias("id"), _own(F.col(id), F.col(text)).alias("own"), F.col(text).alias("text")
-        ).mapInArrow(_pairs(min_points), "hash long, id long, own long"),
-        "line-pairs",
+        in_batches(rows).mapInArrow(_pairs(min_points), "hash long, id long, own long"), "line-pairs"
     )
     shards = max(1, -(-pairs.count() // SHARD_HASHES))
     shard = F.pmod(F.xxhash64("hash"), F.lit(shards)).alias("shard")
@@ -246,7 +246,7 @@ def drop_common_lines(
     fields = ", ".join(f"c{i} {kind}" for i, (_, kind) in enumerate(docs.dtypes))
     if counts:
         fields += ", n_lines long, n_dropped long"
-    kept = joined.mapInArrow(_rebuild(at, min_points, bool(counts)), fields)
+    kept = in_batches(joined).mapInArrow(_rebuild(at, min_points, bool(counts)), fields)
     renamed = [F.col(f"c{i}").alias(name) for i, name in enumerate(names)]
     extra = [F.col(a).alias(b) for a, b in zip(("n_lines", "n_dropped"), counts or ())]
     return kept.select(*renamed, *extra)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from wearlog.llm.components import components, joined_components
 from wearlog.llm.flat import U64, Words, column_of, flat_text, slices, splitmix
-from wearlog.llm.rows import measured, scan
+from wearlog.llm.rows import in_batches, measured, scan
 from wearlog.session import stored
 
 SHINGLE, BANDS, ROWS = 5, 28, 5
@@ -252,7 +252,7 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
         .repartition(_tasks(pairs.sparkSession, dealt.count(), PAIRS_PER_TASK), "v", "part")
         .sortWithinPartitions("v", "part", F.col("u").asc_nulls_first())
     )
-    return stored(rows.mapInArrow(_verify(threshold), "u long, v long"), "verified")
+    return stored(in_batches(rows).mapInArrow(_verify(threshold), "u long, v long"), "verified")
 
 
 def _with_class(pairs: DataFrame, classes: DataFrame, name: str) -> DataFrame:
@@ -531,4 +531,4 @@ def _block_links(placed: DataFrame, texts: DataFrame, threshold: float) -> DataF
         .repartition(_tasks(texts.sparkSession, n_blocks, BLOCKS_PER_TASK), "key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "node")
     )
-    return stored(rows.mapInArrow(_linked_blocks(threshold), "u long, v long"), "block-links")
+    return stored(in_batches(rows).mapInArrow(_linked_blocks(threshold), "u long, v long"), "block-links")
